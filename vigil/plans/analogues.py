@@ -91,7 +91,8 @@ class Analogue:
     def observations(self) -> DataFrame:
         """Vitals-shaped long table: (id, time, category, value, text value, tie)."""
         e = self.table("events")
-        txt = (F.when(F.col("event_id") % 17 == 0, F.concat(F.lit(">"), F.col("value").cast("string")))
+        txt = (F.when(F.col("event_id") % 23 == 0, F.lit(None).cast("string"))
+               .when(F.col("event_id") % 17 == 0, F.concat(F.lit(">"), F.col("value").cast("string")))
                .otherwise(F.col("value").cast("string")))
         return e.select(F.col("user_id").cast("string").alias("hospitalization_id"),
                         F.col("ts").alias("recorded_dttm"),

@@ -53,3 +53,61 @@ def q_cohort_demographics(spark, d):
     return df.select("hospitalization_id", "patient_id", "age", "dispo", "min_in_dttm",
                      "max_out_dttm", "after_24hr", "sex", "isfemale", "isdeathdispo", "race",
                      "ethnicity", r6("ICU_stay_hrs").alias("ICU_stay_hrs"))
+
+
+# ---- features -------------------------------------------------------------------------
+from ..functions import lenient_number, safe_div  # noqa: E402
+from ..operators import reshape as rs  # noqa: E402
+from ..operators import temporal as tp  # noqa: E402
+
+OBS_CATEGORIES = ["view", "purchase", "signup", "click", "error", "temp_c"]
+
+
+@query
+def q_window_features_wide(spark, d):
+    a = Analogue(spark, d)
+    obs = a.observations().withColumn("v", lenient_number("vital_text"))
+    f = rs.window_features(_cohort(a), obs, id_col="hospitalization_id", t="recorded_dttm",
+                           cat="vital_category", value="v", categories=OBS_CATEGORIES, tie="event_id")
+    return f.select("hospitalization_id", *[
+        (r6(c).alias(c) if c.endswith("_mean") else c) for c in f.columns if c != "hospitalization_id"])
+
+
+@query
+def q_ratio_at_same_time(spark, d):
+    a = Analogue(spark, d)
+    obs = a.observations().withColumn("recorded_dttm", F.date_trunc("DAY", "recorded_dttm"))
+    w = rs.pivot_eav(obs, keys=["hospitalization_id", "recorded_dttm"], cat="vital_category",
+                     value="vital_value", categories=["view", "click"], tie="event_id",
+                     names={"view": "weight_kg", "click": "height_cm"})
+    bmi = safe_div(F.col("weight_kg"), (F.col("height_cm") / 100.0) * (F.col("height_cm") / 100.0))
+    return w.select("hospitalization_id", "recorded_dttm", "weight_kg", "height_cm",
+                    r6(bmi).alias("bmi"))
+
+
+WORST_RANGES = {"view": (0.0, 400.0), "error": (1.0, 450.0), "click": (5.0, 500.0)}
+
+
+@query
+def q_range_filtered_worst(spark, d):
+    a = Analogue(spark, d)
+    return rs.worst_values(a.observations(), id_col="hospitalization_id", t="recorded_dttm",
+                           cat="vital_category", value="vital_value",
+                           worst_max=["view", "error"], worst_min=["click", "purchase"],
+                           ranges=WORST_RANGES, floors={"purchase": 10.0})
+
+
+@query
+def q_asof_weight(spark, d):
+    a = Analogue(spark, d)
+    return tp.asof_join(a.doses(), a.weights(), id_col="hospitalization_id", left_t="admin_dttm",
+                        right_t="recorded_dttm", values=["weight_kg", "w_event_id"],
+                        right_tie="w_event_id", bucket="DAY")
+
+
+@query
+def q_asof_weight_swapped(spark, d):
+    a = Analogue(spark, d)
+    return tp.asof_join(a.weights(), a.doses(), id_col="hospitalization_id", left_t="recorded_dttm",
+                        right_t="admin_dttm", values=["med_category", "med_dose", "med_dose_unit", "event_id"],
+                        right_tie="event_id", bucket="DAY")

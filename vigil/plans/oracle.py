@@ -117,3 +117,89 @@ SELECT c.hospitalization_id, c.patient_id, c.age, c.dispo, c.min_in_dttm, c.max_
        round(epoch_us(c.max_out_dttm - c.min_in_dttm) / 3.6e9, 6) AS ICU_stay_hrs
 FROM cohort c LEFT JOIN pat p USING (patient_id)
 WHERE p.sex_category IS NOT NULL"""
+
+OBS = """obs AS (
+  SELECT CAST(user_id AS VARCHAR) AS hospitalization_id, ts AS recorded_dttm,
+         event_type AS vital_category,
+         CASE WHEN event_id % 23 = 0 THEN NULL ELSE value END AS vital_value,
+         TRY_CAST(CASE WHEN event_id % 23 = 0 THEN NULL
+                       WHEN event_id % 17 = 0 THEN '>' || CAST(value AS VARCHAR)
+                       ELSE CAST(value AS VARCHAR) END AS DOUBLE) AS v,
+         event_id
+  FROM events)"""
+
+DOSES = """doses AS (
+  SELECT CAST(user_id AS VARCHAR) AS hospitalization_id, ts AS admin_dttm,
+         CASE event_id % 8 WHEN 0 THEN 'norepinephrine' WHEN 1 THEN 'epinephrine'
+              WHEN 2 THEN 'phenylephrine' WHEN 3 THEN 'vasopressin' WHEN 4 THEN 'dopamine'
+              WHEN 5 THEN 'angiotensin' WHEN 6 THEN 'dobutamine' ELSE 'milrinone' END AS med_category,
+         CASE WHEN event_id % 29 = 0 THEN NULL ELSE value END AS med_dose,
+         CASE event_id % 5 WHEN 0 THEN 'mcg/kg/min' WHEN 1 THEN 'MCG/MIN' WHEN 2 THEN 'mg/hr'
+              WHEN 3 THEN 'units/min' ELSE 'ng/kg/min' END AS med_dose_unit,
+         event_id
+  FROM events WHERE event_type = 'purchase'),
+weights AS (
+  SELECT CAST(user_id AS VARCHAR) AS hospitalization_id, ts AS recorded_dttm, value AS weight_kg,
+         event_id AS w_event_id
+  FROM events WHERE event_type = 'view')"""
+
+_CATS = ["view", "purchase", "signup", "click", "error", "temp_c"]
+
+SQL["window_features_wide"] = with_(STAYS, ENC, COHORT, OBS) + """,
+inside AS (
+  SELECT o.* FROM obs o JOIN cohort c USING (hospitalization_id)
+  WHERE o.recorded_dttm >= c.min_in_dttm AND o.recorded_dttm <= c.after_24hr),
+piv AS (
+  SELECT hospitalization_id, recorded_dttm,
+""" + ",\n".join(f"    first(v ORDER BY event_id) FILTER (WHERE vital_category = '{c}') AS {c}"
+                 for c in _CATS) + """
+  FROM inside GROUP BY hospitalization_id, recorded_dttm)
+SELECT c.hospitalization_id,
+""" + ",\n".join(f"  min({c}) AS {c}_min, max({c}) AS {c}_max, round(avg({c}), 6) AS {c}_mean"
+                 for c in _CATS) + """
+FROM cohort c LEFT JOIN piv USING (hospitalization_id)
+GROUP BY c.hospitalization_id"""
+
+SQL["ratio_at_same_time"] = with_(OBS) + """,
+piv AS (
+  SELECT hospitalization_id, date_trunc('day', recorded_dttm) AS recorded_dttm,
+         first(vital_value ORDER BY event_id) FILTER (WHERE vital_category = 'view') AS weight_kg,
+         first(vital_value ORDER BY event_id) FILTER (WHERE vital_category = 'click') AS height_cm
+  FROM obs WHERE vital_category IN ('view', 'click')
+  GROUP BY 1, 2)
+SELECT hospitalization_id, recorded_dttm, weight_kg, height_cm,
+       round(CASE WHEN height_cm = 0 THEN NULL
+                  ELSE weight_kg / ((height_cm / 100.0) * (height_cm / 100.0)) END, 6) AS bmi
+FROM piv"""
+
+SQL["range_filtered_worst"] = with_(OBS) + """,
+ok AS (
+  SELECT * FROM obs
+  WHERE ((vital_category = 'view' AND vital_value BETWEEN 0 AND 400)
+      OR (vital_category = 'error' AND vital_value BETWEEN 1 AND 450)
+      OR (vital_category = 'click' AND vital_value BETWEEN 5 AND 500)
+      OR (vital_category = 'purchase' AND vital_value >= 10))
+    AND vital_value IS NOT NULL),
+per_time AS (
+  SELECT hospitalization_id, recorded_dttm, vital_category,
+         CASE WHEN vital_category IN ('view', 'error') THEN max(vital_value)
+              ELSE min(vital_value) END AS worst
+  FROM ok GROUP BY 1, 2, 3)
+SELECT hospitalization_id,
+       max(worst) FILTER (WHERE vital_category = 'view') AS view_max,
+       max(worst) FILTER (WHERE vital_category = 'error') AS error_max,
+       min(worst) FILTER (WHERE vital_category = 'click') AS click_min,
+       min(worst) FILTER (WHERE vital_category = 'purchase') AS purchase_min
+FROM per_time GROUP BY hospitalization_id"""
+
+SQL["asof_weight"] = with_(DOSES) + """
+SELECT d.hospitalization_id, d.admin_dttm, d.med_category, d.med_dose, d.med_dose_unit, d.event_id,
+       w.weight_kg, w.w_event_id, w.recorded_dttm
+FROM doses d ASOF LEFT JOIN weights w
+  ON d.hospitalization_id = w.hospitalization_id AND d.admin_dttm >= w.recorded_dttm"""
+
+SQL["asof_weight_swapped"] = with_(DOSES) + """
+SELECT w.hospitalization_id, w.recorded_dttm, w.weight_kg, w.w_event_id,
+       d.med_category, d.med_dose, d.med_dose_unit, d.event_id, d.admin_dttm
+FROM weights w ASOF LEFT JOIN doses d
+  ON w.hospitalization_id = d.hospitalization_id AND w.recorded_dttm >= d.admin_dttm"""
