@@ -157,7 +157,8 @@ class Analogue:
                 .select(F.col("o_orderkey").cast("string").alias("case_id"),
                         (F.col("o_orderstatus") == "F").cast("int").alias("label"),
                         (F.col("o_totalprice") / 500000.0).alias("score"),
-                        F.col("o_orderpriority").alias("priority"),
+                        F.when(F.col("o_orderkey") % 19 == 0, F.lit(None).cast("string"))
+                        .otherwise(F.col("o_orderpriority")).alias("priority"),
                         F.col("c_mktsegment").alias("segment"),
                         F.col("r_name").alias("site"),
                         F.year("o_orderdate").alias("year")))

@@ -111,3 +111,109 @@ def q_asof_weight_swapped(spark, d):
     return tp.asof_join(a.weights(), a.doses(), id_col="hospitalization_id", left_t="recorded_dttm",
                         right_t="admin_dttm", values=["med_category", "med_dose", "med_dose_unit", "event_id"],
                         right_tie="event_id", bucket="DAY")
+
+
+# ---- evaluation of scored cases ----------------------------------------------------------
+from ..operators import evaluate as ev  # noqa: E402
+
+SITE = ["site"]
+
+
+def _scored(spark, d):
+    return Analogue(spark, d).scored()
+
+
+@query
+def q_score_ladder(spark, d):
+    return ev.score_ladder(_scored(spark, d), by=SITE)
+
+
+@query
+def q_roc_points(spark, d):
+    lad = ev.score_ladder(_scored(spark, d), by=SITE)
+    return ev.roc_points(lad, SITE).select("site", "fpr", "tpr", "threshold")
+
+
+@query
+def q_pr_points(spark, d):
+    lad = ev.score_ladder(_scored(spark, d), by=SITE)
+    return ev.pr_points(lad, SITE)
+
+
+@query
+def q_threshold_metrics_all(spark, d):
+    lad = ev.score_ladder(_scored(spark, d), by=SITE)
+    return ev.threshold_metrics(ev.roc_points(lad, SITE), SITE)
+
+
+@query
+def q_metrics_at_threshold(spark, d):
+    return ev.metrics_at_threshold(_scored(spark, d), by=SITE)
+
+
+@query
+def q_auc_brier(spark, d):
+    m = ev.headline_metrics(_scored(spark, d), by=SITE)
+    return m.select("site", "metric", r6("value").alias("value"))
+
+
+def _sweep(spark, d):
+    return ev.topn_sweep(_scored(spark, d), by=SITE)
+
+
+@query
+def q_topn_sweep(spark, d):
+    s = _sweep(spark, d)
+    return s.select("site", "q", "n_percentile", r6("thr_value").alias("thr_value"), "tn", "fp", "fn", "tp",
+                    *[r6(c).alias(c) for c in ("sensitivity", "specificity", "ppv", "npv", "recall",
+                                              "accuracy")])
+
+
+@query
+def q_calibration_equal_width(spark, d):
+    c = ev.calibration_equal_width(_scored(spark, d), by=SITE)
+    return c.select("site", "bin", "n", *[r6(x).alias(x) for x in ("predicted_prob", "actual_prob", "se",
+                                                                   "lower_ci", "upper_ci")])
+
+
+@query
+def q_calibration_fixed_edges(spark, d):
+    c = ev.calibration_fixed_edges(_scored(spark, d), by=SITE)
+    return c.select("site", "prob_bin_val", "n", r6("actual_prob").alias("actual_prob"),
+                    r6("predicted_prob").alias("predicted_prob"))
+
+
+@query
+def q_fairness(spark, d):
+    f = ev.fairness(_scored(spark, d), subgroups=["priority", "segment"], by=SITE)
+    keep = ["site", "subgroup", "group_value", "tn", "tp", "fp", "fn", "group_count", "total_count"]
+    return f.select(*keep, *[r6(c).alias(c) for c in f.columns if c not in keep])
+
+
+@query
+def q_net_benefit(spark, d):
+    nb = ev.net_benefit(_sweep(spark, d))
+    return nb.select("site", "q", r6("thr_value").alias("thr_value"), r6("net_benefit").alias("net_benefit"))
+
+
+@query
+def q_nearest_threshold(spark, d):
+    nb = ev.net_benefit(_sweep(spark, d)).select("site", "q", "thr_value", "net_benefit")
+    n = ev.nearest_threshold(nb, SITE)
+    return n.select("site", "q", r6("thr_value").alias("thr_value"), r6("net_benefit").alias("net_benefit"))
+
+
+@query
+def q_calibration_slope(spark, d):
+    c = ev.calibration_equal_width(_scored(spark, d), by=SITE)
+    g = c.groupBy("site").agg(F.regr_slope("actual_prob", "predicted_prob").alias("slope"),
+                              F.regr_intercept("actual_prob", "predicted_prob").alias("intercept"))
+    return g.select("site", r6("slope").alias("slope"), r6("intercept").alias("intercept"))
+
+
+@query
+def q_site_table(spark, d):
+    from ..operators import sites
+    m = ev.headline_metrics(_scored(spark, d), by=SITE)
+    t = sites.site_table(m)
+    return t.select("site", r6("auc").alias("auc"), r6("brier").alias("brier"), "auc_rank", "brier_rank")

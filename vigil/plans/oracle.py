@@ -203,3 +203,190 @@ SELECT w.hospitalization_id, w.recorded_dttm, w.weight_kg, w.w_event_id,
        d.med_category, d.med_dose, d.med_dose_unit, d.event_id, d.admin_dttm
 FROM weights w ASOF LEFT JOIN doses d
   ON w.hospitalization_id = d.hospitalization_id AND w.recorded_dttm >= d.admin_dttm"""
+
+SCORED = """sc AS (
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS case_id,
+         CAST(o.o_orderstatus = 'F' AS INTEGER) AS label,
+         o.o_totalprice / 500000.0 AS score,
+         CASE WHEN o.o_orderkey % 19 = 0 THEN NULL ELSE o.o_orderpriority END AS priority,
+         c.c_mktsegment AS segment, r.r_name AS site, CAST(year(o.o_orderdate) AS INTEGER) AS year
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+LADDER = """lad0 AS (
+  SELECT site, score, CAST(sum(label) AS BIGINT) AS pos, CAST(count(*) - sum(label) AS BIGINT) AS neg
+  FROM sc GROUP BY site, score),
+lad AS (
+  SELECT site, score, pos, neg,
+         CAST(sum(pos) OVER w AS BIGINT) AS cum_pos, CAST(sum(neg) OVER w AS BIGINT) AS cum_neg,
+         CAST(row_number() OVER w AS BIGINT) AS rank,
+         CAST(sum(pos) OVER (PARTITION BY site) AS BIGINT) AS P,
+         CAST(sum(neg) OVER (PARTITION BY site) AS BIGINT) AS N
+  FROM lad0
+  WINDOW w AS (PARTITION BY site ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+# ROC points as roc_curve(drop_intermediate=True): keep the ends and every point where the
+# second difference of the cumulative counts is non-zero; prepend (0, 0, inf).
+ROC = """roc AS (
+  SELECT site, cum_neg / N AS fpr, cum_pos / P AS tpr, score AS threshold, cum_pos, cum_neg, P, N
+  FROM (SELECT *, LEAD(pos) OVER (PARTITION BY site ORDER BY score DESC) AS npos,
+                  LEAD(neg) OVER (PARTITION BY site ORDER BY score DESC) AS nneg FROM lad)
+  WHERE rank = 1 OR npos IS NULL OR npos <> pos OR nneg <> neg
+  UNION ALL
+  SELECT DISTINCT site, 0.0, 0.0, 'inf'::DOUBLE, 0, 0, P, N FROM lad)"""
+
+# AUC by the rank-sum (Mann-Whitney) formula with average ranks for ties.
+AUC = """rk AS (
+  SELECT site, label, rank() OVER (PARTITION BY site ORDER BY score)
+         + (count(*) OVER (PARTITION BY site, score) - 1) / 2.0 AS r FROM sc),
+auc AS (
+  SELECT site, (sum(r) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2.0)
+               / (sum(label) * (count(*) - sum(label)))::DOUBLE AS auc
+  FROM rk GROUP BY site)"""
+
+CONF = """conf AS (
+  SELECT site,
+         CAST(count(*) FILTER (WHERE label = 0 AND score < 0.208) AS BIGINT) AS tn,
+         CAST(count(*) FILTER (WHERE label = 0 AND score >= 0.208) AS BIGINT) AS fp,
+         CAST(count(*) FILTER (WHERE label = 1 AND score < 0.208) AS BIGINT) AS fn,
+         CAST(count(*) FILTER (WHERE label = 1 AND score >= 0.208) AS BIGINT) AS tp,
+         avg((score - label) * (score - label)) AS brier
+  FROM sc GROUP BY site)"""
+
+
+def _rates(tn="tn", fp="fp", fn="fn", tp="tp", zero=None):
+    def r(a, b):
+        z = "NULL" if zero is None else zero
+        return f"CASE WHEN ({b}) = 0 THEN {z} ELSE {a}::DOUBLE / ({b}) END"
+    return {
+        "sensitivity": r(tp, f"{tp} + {fn}"),
+        "specificity": r(tn, f"{tn} + {fp}"),
+        "ppv": r(tp, f"{tp} + {fp}"),
+        "npv": r(tn, f"{tn} + {fn}"),
+        "recall": r(tp, f"{tp} + {fn}"),
+        "accuracy": f"({tp} + {tn})::DOUBLE / ({tn} + {fp} + {fn} + {tp})",
+    }
+
+
+SQL["score_ladder"] = with_(SCORED, LADDER) + "SELECT * FROM lad"
+
+SQL["roc_points"] = with_(SCORED, LADDER, ROC) + "SELECT site, fpr, tpr, threshold FROM roc"
+
+SQL["pr_points"] = with_(SCORED, LADDER) + """
+SELECT site, cum_pos::DOUBLE / (cum_pos + cum_neg) AS precision,
+       CASE WHEN P = 0 THEN 1.0 ELSE cum_pos::DOUBLE / P END AS recall, score AS threshold FROM lad
+UNION ALL SELECT DISTINCT site, 1.0, 0.0, 1.0 FROM lad"""
+
+SQL["threshold_metrics_all"] = with_(SCORED, LADDER, ROC) + """
+SELECT site, threshold, (cum_pos + (N - cum_neg))::DOUBLE / (P + N) AS accuracy,
+       cum_pos::DOUBLE / P AS recall,
+       CASE WHEN cum_pos + cum_neg = 0 THEN 0.0 ELSE cum_pos::DOUBLE / (cum_pos + cum_neg) END AS precision
+FROM roc"""
+
+SQL["metrics_at_threshold"] = with_(SCORED, CONF) + "SELECT site, 0.208::DOUBLE AS thr_value, tn, fp, fn, tp, " + \
+    ", ".join(f"{v} AS {k}" for k, v in _rates().items()) + " FROM conf"
+
+SQL["auc_brier"] = with_(SCORED, CONF, AUC) + """,
+m AS (SELECT conf.*, auc.auc FROM conf JOIN auc USING (site))
+SELECT site, 'Accuracy' AS metric, round((tp + tn)::DOUBLE / (tn + fp + fn + tp), 6) AS value FROM m
+UNION ALL SELECT site, 'Recall', round(CASE WHEN tp + fn = 0 THEN NULL ELSE tp::DOUBLE / (tp + fn) END, 6) FROM m
+UNION ALL SELECT site, 'Precision', round(CASE WHEN tp + fp = 0 THEN NULL ELSE tp::DOUBLE / (tp + fp) END, 6) FROM m
+UNION ALL SELECT site, 'ROC AUC', round(auc, 6) FROM m
+UNION ALL SELECT site, 'Brier Score Loss', round(brier, 6) FROM m"""
+
+_QLIST = "[" + ", ".join(f"{k / 100!r}::DOUBLE" for k in range(100, 0, -1)) + "]"
+
+SWEEP = """qs AS (
+  SELECT site, unnest(quantile_cont(score, """ + _QLIST + """)) AS thr_value,
+         unnest(""" + _QLIST + """) AS q
+  FROM sc GROUP BY site),
+sw AS (
+  SELECT q.site, q.q, q.thr_value,
+         CAST(count(*) FILTER (WHERE s.label = 0 AND s.score < q.thr_value) AS BIGINT) AS tn,
+         CAST(count(*) FILTER (WHERE s.label = 0 AND s.score >= q.thr_value) AS BIGINT) AS fp,
+         CAST(count(*) FILTER (WHERE s.label = 1 AND s.score < q.thr_value) AS BIGINT) AS fn,
+         CAST(count(*) FILTER (WHERE s.label = 1 AND s.score >= q.thr_value) AS BIGINT) AS tp
+  FROM qs q JOIN sc s ON s.site = q.site
+  GROUP BY q.site, q.q, q.thr_value),
+nb AS (
+  SELECT *, CASE WHEN thr_value = 1 THEN NULL
+                 ELSE (tp - fp * (thr_value / (1 - thr_value))) / (tn + fp + fn + tp) END AS net_benefit
+  FROM sw)"""
+
+SQL["topn_sweep"] = with_(SCORED, SWEEP) + """
+SELECT site, q, 'Top ' || CAST(round((1.0 - q) * 100, 0) AS VARCHAR) || '%' AS n_percentile,
+       round(thr_value, 6) AS thr_value, tn, fp, fn, tp, """ + ", ".join(
+    f"round({v}, 6) AS {k}" for k, v in _rates().items()) + " FROM sw"
+
+_EDGES = " + ".join(f"CASE WHEN {k}.0 * ((mx - mn) / 10.0) + mn < score THEN 1 ELSE 0 END"
+                    for k in range(1, 10))
+
+SQL["calibration_equal_width"] = with_(SCORED) + """,
+mm AS (SELECT site, min(score) AS mn, max(score) AS mx FROM sc GROUP BY site),
+b AS (SELECT sc.*, CAST(""" + _EDGES + """ AS INTEGER) AS bin FROM sc JOIN mm USING (site)),
+g AS (SELECT site, bin, avg(score) AS predicted_prob, avg(label::DOUBLE) AS actual_prob, count(*) AS n
+      FROM b GROUP BY site, bin)
+SELECT site, bin, n, round(predicted_prob, 6) AS predicted_prob, round(actual_prob, 6) AS actual_prob,
+       round(sqrt(actual_prob * (1 - actual_prob) / n), 6) AS se,
+       round(actual_prob - 1.96 * sqrt(actual_prob * (1 - actual_prob) / n), 6) AS lower_ci,
+       round(actual_prob + 1.96 * sqrt(actual_prob * (1 - actual_prob) / n), 6) AS upper_ci
+FROM g"""
+
+_FIXED = [round(0.05 * k, 2) for k in range(1, 20)]
+SQL["calibration_fixed_edges"] = with_(SCORED) + """,
+b AS (SELECT sc.*, """ + " + ".join(f"CASE WHEN {e!r} <= score THEN 1 ELSE 0 END" for e in _FIXED) + """ AS idx
+      FROM sc)
+SELECT site, CASE """ + " ".join(f"WHEN idx = {i} THEN {e!r}" for i, e in enumerate(_FIXED)) + """
+       ELSE 19.0 END AS prob_bin_val,
+       count(*) AS n, round(avg(label::DOUBLE), 6) AS actual_prob, round(avg(score), 6) AS predicted_prob
+FROM b GROUP BY 1, 2"""
+
+SQL["fairness"] = with_(SCORED) + """,
+tot AS (SELECT site, count(*) AS total_count FROM sc GROUP BY site),
+long AS (
+  SELECT site, label, score, 'priority' AS subgroup, priority AS group_value FROM sc WHERE priority IS NOT NULL
+  UNION ALL
+  SELECT site, label, score, 'segment', segment FROM sc WHERE segment IS NOT NULL),
+rk AS (
+  SELECT *, rank() OVER (PARTITION BY site, subgroup, group_value ORDER BY score)
+            + (count(*) OVER (PARTITION BY site, subgroup, group_value, score) - 1) / 2.0 AS r FROM long),
+g AS (
+  SELECT site, subgroup, group_value,
+         CAST(count(*) FILTER (WHERE label = 0 AND score <= 0.208) AS BIGINT) AS tn,
+         CAST(count(*) FILTER (WHERE label = 1 AND score > 0.208) AS BIGINT) AS tp,
+         CAST(count(*) FILTER (WHERE label = 0 AND score > 0.208) AS BIGINT) AS fp,
+         CAST(count(*) FILTER (WHERE label = 1 AND score <= 0.208) AS BIGINT) AS fn,
+         (sum(r) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2.0)
+           / nullif(sum(label) * (count(*) - sum(label)), 0)::DOUBLE AS auc,
+         avg((score - label) * (score - label)) AS brier, count(*) AS group_count
+  FROM rk GROUP BY site, subgroup, group_value)
+SELECT g.site, subgroup, group_value, tn, tp, fp, fn, group_count, total_count,
+       round(CASE WHEN two THEN auc END, 6) AS auc, """ + ", ".join(
+    f"round(CASE WHEN two THEN {v} END, 6) AS {k}" for k, v in _rates(zero="0.0").items()
+    if k in ("ppv", "sensitivity", "specificity", "npv", "recall", "accuracy")) + """,
+       round(CASE WHEN two THEN brier END, 6) AS brier_score,
+       round(group_count / total_count, 6) AS proportion
+FROM (SELECT *, (tp + fn > 0 AND tn + fp > 0) AS two FROM g) g JOIN tot USING (site)"""
+
+SQL["net_benefit"] = with_(SCORED, SWEEP) + """
+SELECT site, q, round(thr_value, 6) AS thr_value, round(net_benefit, 6) AS net_benefit FROM nb"""
+
+SQL["nearest_threshold"] = with_(SCORED, SWEEP) + """
+SELECT site, q, round(thr_value, 6) AS thr_value, round(net_benefit, 6) AS net_benefit FROM (
+  SELECT *, row_number() OVER (PARTITION BY site ORDER BY abs(thr_value - 0.208), thr_value) AS rn FROM nb)
+WHERE rn = 1"""
+
+SQL["calibration_slope"] = with_(SCORED) + """,
+mm AS (SELECT site, min(score) AS mn, max(score) AS mx FROM sc GROUP BY site),
+b AS (SELECT sc.*, CAST(""" + _EDGES + """ AS INTEGER) AS bin FROM sc JOIN mm USING (site)),
+g AS (SELECT site, bin, avg(score) AS predicted_prob, avg(label::DOUBLE) AS actual_prob FROM b GROUP BY 1, 2)
+SELECT site, round(regr_slope(actual_prob, predicted_prob), 6) AS slope,
+       round(regr_intercept(actual_prob, predicted_prob), 6) AS intercept
+FROM g GROUP BY site"""
+
+SQL["site_table"] = with_(SCORED, CONF, AUC) + """
+SELECT site, round(auc, 6) AS auc, round(brier, 6) AS brier,
+       CAST(row_number() OVER (ORDER BY auc DESC, site) AS INTEGER) AS auc_rank,
+       CAST(row_number() OVER (ORDER BY brier ASC, site) AS INTEGER) AS brier_rank
+FROM conf JOIN auc USING (site)"""
