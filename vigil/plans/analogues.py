@@ -140,11 +140,43 @@ class Analogue:
                          .alias("lpm_set"))
 
     def order_windows(self) -> DataFrame:
-        """Per-order observation window: [order date, order date + 60 days]."""
+        """Per-order observation window: [order date, order date + 180 days]."""
         o = self.table("orders")
         return o.select(F.col("o_orderkey").cast("string").alias("hospitalization_id"),
                         F.col("o_orderdate").alias("min_in_dttm"),
-                        (F.col("o_orderdate") + F.expr("INTERVAL 60 DAYS")).alias("after_24hr"))
+                        (F.col("o_orderdate") + F.expr("INTERVAL 180 DAYS")).alias("after_24hr"))
+
+    def sofa_wide(self) -> DataFrame:
+        """One row per line item carrying every organ-score input (NULL patterns by line)."""
+        li = self.table("lineitem")
+        ln = F.col("l_linenumber")
+        q, px, tax, disc = F.col("l_quantity"), F.col("l_extendedprice"), F.col("l_tax"), F.col("l_discount")
+        return li.select(
+            F.col("l_orderkey").cast("string").alias("hospitalization_id"),
+            F.col("l_shipdate").alias("recorded_dttm"),
+            F.when(ln != 2, F.lit(55.0) + q * 0.9).alias("spo2"),
+            F.when(ln != 3, px / 1000.0).alias("map"),
+            (tax * 100.0).alias("creatinine"),
+            (disc * 150.0 + 0.0).alias("bilirubin_total"),
+            (px / 100.0).alias("po2_arterial"),
+            F.when(ln != 6, q * 4.0).alias("platelet_count"),
+            F.when(ln != 4, (F.lit(3) + ln * 2).cast("double")).alias("gcs_total"),
+            F.when(ln.isin(1, 4), tax * 3.0).alias("norepinephrine"),
+            F.when(ln == 2, q / 3.0).alias("dopamine"),
+            F.when(ln == 3, disc * 2.0 + 0.0).alias("epinephrine"),
+            F.when(ln == 5, disc + 0.0).alias("dobutamine"))
+
+    def sofa_inputs(self) -> dict:
+        w = self.sofa_wide()
+        k = ["hospitalization_id", "recorded_dttm"]
+        vit = w.unpivot(k, ["spo2", "map"], "vital_category", "vital_value")
+        labs = (w.unpivot(k, ["creatinine", "bilirubin_total", "po2_arterial", "platelet_count"],
+                          "lab_category", "lab_value_numeric")
+                .withColumnRenamed("recorded_dttm", "lab_order_dttm"))
+        gcs = w.select(*k, F.col("gcs_total").alias("numerical_value"))
+        meds = (w.unpivot(k, ["norepinephrine", "dopamine", "epinephrine", "dobutamine"], "med_category",
+                          "med_dose_converted").withColumnRenamed("recorded_dttm", "admin_dttm"))
+        return {"vitals": vit, "labs": labs, "gcs": gcs, "meds": meds, "resp": self.settings()}
 
     # ---- scored cases (orders) -----------------------------------------------------------
     def scored(self) -> DataFrame:

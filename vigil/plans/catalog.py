@@ -217,3 +217,66 @@ def q_site_table(spark, d):
     m = ev.headline_metrics(_scored(spark, d), by=SITE)
     t = sites.site_table(m)
     return t.select("site", r6("auc").alias("auc"), r6("brier").alias("brier"), "auc_rank", "brier_rank")
+
+
+# ---- clinical summaries --------------------------------------------------------------------
+from ..operators import clinical as cl  # noqa: E402
+
+ID = "hospitalization_id"
+
+
+def _converted(a: Analogue) -> DataFrame:
+    j = tp.asof_join(a.doses(), a.weights(), id_col=ID, left_t="admin_dttm", right_t="recorded_dttm",
+                     values=["weight_kg", "w_event_id"], right_tie="w_event_id", bucket="DAY")
+    return cl.convert_doses(j)
+
+
+@query
+def q_dose_converted(spark, d):
+    c = _converted(Analogue(spark, d))
+    return c.select(ID, "admin_dttm", "event_id", "med_category", "med_dose", "med_dose_unit", "weight_kg",
+                    "med_dose_converted")
+
+
+@query
+def q_dose_summary(spark, d):
+    a = Analogue(spark, d)
+    total = a.table("events").agg(F.count_distinct("user_id").alias("n_total"))
+    s = cl.dose_summary(_converted(a), total, id_col=ID)
+    return s.select("med_category", "n_encounters",
+                    *[r6(c).alias(c) for c in ("overall_median_dose", "overall_iqr_lower", "overall_iqr_upper",
+                                               "pct_encounters")])
+
+
+@query
+def q_settings_summary(spark, d):
+    a = Analogue(spark, d)
+    s = cl.settings_summary(a.order_windows(), a.settings(), id_col=ID)
+    return s.select(*[r6(c).alias(c) for c in s.columns])
+
+
+@query
+def q_initial_mode_table(spark, d):
+    a = Analogue(spark, d)
+    t = cl.initial_modes(a.settings(), a.order_windows(), id_col=ID, tie=["l_linenumber"])
+    return t.select("denominator", "mode_category", "n_encounters", r6("pct_encounters").alias("pct_encounters"))
+
+
+def _sofa(spark, d):
+    a = Analogue(spark, d)
+    return cl.organ_score(a.order_windows(), id_col=ID, **a.sofa_inputs())
+
+
+@query
+def q_organ_score(spark, d):
+    s = _sofa(spark, d)
+    return s.select(ID, *[r6(c).alias(c) for c in ("p_f", "p_f_imputed", "s_f")], "resp_support_max",
+                    "sofa_cv_97", "sofa_coag", "sofa_liver", "sofa_renal", "sofa_resp_pf", "sofa_resp_pf_imp",
+                    "sofa_resp", "sofa_cns", "sofa_97_24hr")
+
+
+@query
+def q_organ_score_distribution(spark, d):
+    s = cl.organ_score_distribution(_sofa(spark, d), id_col=ID)
+    return s.select("sofa_category", *[r6(c).alias(c) for c in ("overall_median", "overall_iqr_lower",
+                                                                 "overall_iqr_upper")])

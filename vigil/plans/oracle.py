@@ -390,3 +390,209 @@ SELECT site, round(auc, 6) AS auc, round(brier, 6) AS brier,
        CAST(row_number() OVER (ORDER BY auc DESC, site) AS INTEGER) AS auc_rank,
        CAST(row_number() OVER (ORDER BY brier ASC, site) AS INTEGER) AS brier_rank
 FROM conf JOIN auc USING (site)"""
+
+from ..functions.fixed import dose_factor_rows as _dfr, REQUIRED_MEDS as _MEDS, REQUIRED_MODES as _MODES  # noqa: E402
+
+FACTORS = "ft(drug, unit, factor, per_weight) AS (VALUES " + ", ".join(
+    f"('{d}', '{u}', {f!r}::DOUBLE, {str(w).upper()})" for d, u, f, w in _dfr()) + ")"
+
+CONV = """aj AS (
+  SELECT d.*, w.weight_kg FROM doses d ASOF LEFT JOIN weights w
+    ON d.hospitalization_id = w.hospitalization_id AND d.admin_dttm >= w.recorded_dttm),
+conv AS (
+  SELECT a.*, round(a.med_dose * CASE WHEN ft.per_weight
+                                      THEN CASE WHEN a.weight_kg = 0 THEN NULL ELSE ft.factor / a.weight_kg END
+                                      ELSE ft.factor END, 3) AS med_dose_converted
+  FROM aj a LEFT JOIN ft ON a.med_category = ft.drug AND lower(a.med_dose_unit) = ft.unit
+  WHERE a.med_dose IS NOT NULL)"""
+
+SQL["dose_converted"] = with_(DOSES, FACTORS, CONV) + """
+SELECT hospitalization_id, admin_dttm, event_id, med_category, med_dose, med_dose_unit, weight_kg,
+       med_dose_converted FROM conv"""
+
+SQL["dose_summary"] = with_(DOSES, FACTORS, CONV) + """,
+per AS (SELECT hospitalization_id, med_category, quantile_cont(med_dose_converted, 0.5) AS median
+        FROM conv GROUP BY 1, 2),
+ov AS (SELECT med_category,
+              quantile_cont(median, 0.5) FILTER (WHERE median <> 0) AS overall_median_dose,
+              quantile_cont(median, 0.25) FILTER (WHERE median <> 0) AS overall_iqr_lower,
+              quantile_cont(median, 0.75) FILTER (WHERE median <> 0) AS overall_iqr_upper,
+              count(*) AS n_encounters
+       FROM per GROUP BY 1),
+tot AS (SELECT count(DISTINCT user_id) AS n FROM events),
+req(med_category) AS (VALUES """ + ", ".join(f"('{m}')" for m in _MEDS) + """)
+SELECT req.med_category, ov.n_encounters, round(ov.overall_median_dose, 6) AS overall_median_dose,
+       round(ov.overall_iqr_lower, 6) AS overall_iqr_lower, round(ov.overall_iqr_upper, 6) AS overall_iqr_upper,
+       round(100.0 * ov.n_encounters / tot.n, 6) AS pct_encounters
+FROM req LEFT JOIN ov USING (med_category) CROSS JOIN tot"""
+
+SETTINGS = """sett AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS hospitalization_id, l_shipdate AS recorded_dttm, l_linenumber,
+         CASE l_returnflag WHEN 'R' THEN 'IMV' WHEN 'A' THEN 'NIPPV' END AS device_category,
+         CASE WHEN l_linenumber = 1 THEN '' WHEN l_linenumber = 7 THEN 'Unlisted Mode'
+              WHEN l_linestatus = 'O' THEN 'Pressure Control' ELSE 'simv' END AS mode_category,
+         l_discount * 10 + 0.0 AS fio2_set, l_quantity AS peep_set,
+         CASE WHEN l_linenumber % 3 = 0 THEN l_tax * 1000 END AS tidal_volume_set,
+         CASE WHEN l_linenumber % 2 = 0 THEN l_quantity / 2 END AS lpm_set
+  FROM lineitem),
+win AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS hospitalization_id, o_orderdate AS min_in_dttm,
+         o_orderdate + INTERVAL 180 DAY AS after_24hr FROM orders),
+vent AS (SELECT DISTINCT hospitalization_id FROM sett WHERE device_category IN ('IMV', 'Vent'))"""
+
+SQL["settings_summary"] = with_(SETTINGS) + """,
+r0 AS (SELECT * FROM sett WHERE hospitalization_id IN (SELECT hospitalization_id FROM vent)),
+m AS (SELECT avg(fio2_set) AS mu FROM r0),
+r1 AS (SELECT r0.*, CASE WHEN m.mu > 1 THEN fio2_set / 100 ELSE fio2_set END AS f FROM r0, m),
+r AS (SELECT hospitalization_id, recorded_dttm,
+             CASE WHEN peep_set >= 0 AND peep_set <= 30 THEN peep_set END AS peep,
+             CASE WHEN f >= 0.21 AND f <= 1 THEN f END AS fio2 FROM r1),
+ins AS (SELECT r.* FROM r JOIN win USING (hospitalization_id)
+        WHERE recorded_dttm >= min_in_dttm AND recorded_dttm <= after_24hr)
+SELECT round(quantile_cont(peep, 0.5), 6) AS median_peep, round(quantile_cont(peep, 0.25), 6) AS iqr_lower_peep,
+       round(quantile_cont(peep, 0.75), 6) AS iqr_upper_peep,
+       round(quantile_cont(fio2, 0.5), 6) AS median_fio2, round(quantile_cont(fio2, 0.25), 6) AS iqr_lower_fio2,
+       round(quantile_cont(fio2, 0.75), 6) AS iqr_upper_fio2
+FROM ins"""
+
+SQL["initial_mode_table"] = with_(SETTINGS) + """,
+req(mode_category, ord) AS (VALUES """ + ", ".join(f"('{m}', {i})" for i, m in enumerate(_MODES)) + """),
+r AS (SELECT * FROM sett WHERE hospitalization_id IN (SELECT hospitalization_id FROM vent)
+        AND nullif(trim(mode_category), '') IS NOT NULL),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY hospitalization_id
+                                                  ORDER BY recorded_dttm, l_linenumber) AS rn FROM r) WHERE rn = 1),
+c AS (SELECT req.mode_category, count(*) AS n FROM f JOIN req ON lower(trim(f.mode_category)) = lower(req.mode_category)
+      GROUP BY 1),
+dens(denominator, d) AS (SELECT 'ventilated', (SELECT count(*) FROM vent)
+                         UNION ALL SELECT 'all', (SELECT count(DISTINCT o_orderkey) FROM orders)),
+body AS (SELECT dens.denominator, req.mode_category, CAST(c.n AS BIGINT) AS n_encounters,
+                100.0 * c.n / dens.d AS pct_encounters, dens.d
+         FROM dens CROSS JOIN req LEFT JOIN c USING (mode_category)),
+nomode AS (SELECT denominator, 'No mode documented' AS mode_category,
+                  CAST(any_value(d) - coalesce(sum(n_encounters), 0) AS BIGINT) AS n_encounters,
+                  100.0 * (any_value(d) - coalesce(sum(n_encounters), 0)) / any_value(d) AS pct_encounters
+           FROM body GROUP BY denominator),
+allrows AS (SELECT denominator, mode_category, n_encounters, pct_encounters FROM body
+            UNION ALL SELECT * FROM nomode)
+SELECT denominator, mode_category, n_encounters, round(pct_encounters, 6) AS pct_encounters FROM allrows
+UNION ALL
+SELECT denominator, 'Total', CAST(sum(n_encounters) AS BIGINT), round(sum(pct_encounters), 6) FROM allrows
+GROUP BY denominator"""
+
+SOFA = """sw AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS hospitalization_id, l_shipdate AS recorded_dttm, l_linenumber AS ln,
+         CASE WHEN l_linenumber <> 2 THEN 55.0 + l_quantity * 0.9 END AS spo2,
+         CASE WHEN l_linenumber <> 3 THEN l_extendedprice / 1000.0 END AS map,
+         l_tax * 100.0 AS creatinine, l_discount * 150.0 + 0.0 AS bilirubin_total,
+         l_extendedprice / 100.0 AS po2_arterial,
+         CASE WHEN l_linenumber <> 6 THEN l_quantity * 4.0 END AS platelet_count,
+         CASE WHEN l_linenumber <> 4 THEN CAST(3 + l_linenumber * 2 AS DOUBLE) END AS gcs_total,
+         CASE WHEN l_linenumber IN (1, 4) THEN l_tax * 3.0 END AS norepinephrine,
+         CASE WHEN l_linenumber = 2 THEN l_quantity / 3.0 END AS dopamine,
+         CASE WHEN l_linenumber = 3 THEN l_discount * 2.0 + 0.0 END AS epinephrine,
+         CASE WHEN l_linenumber = 5 THEN l_discount + 0.0 END AS dobutamine
+  FROM lineitem),
+swin AS (SELECT sw.*, win.min_in_dttm, win.after_24hr FROM sw JOIN win USING (hospitalization_id)
+         WHERE recorded_dttm >= min_in_dttm AND recorded_dttm <= after_24hr),
+vt AS (
+  SELECT hospitalization_id, recorded_dttm,
+         min(CASE WHEN spo2 >= 60 THEN spo2 END) AS spo2, min(CASE WHEN map >= 30 THEN map END) AS map
+  FROM swin GROUP BY 1, 2),
+vit AS (
+  SELECT hospitalization_id,
+         min(CASE WHEN spo2 < 97 THEN
+               cbrt(sqrt(125000.0 + (11700.0 / (1.0 / (spo2 / 100.0) - 1.0)) ^ 2) + 11700.0 / (1.0 / (spo2 / 100.0) - 1.0))
+             - cbrt(sqrt(125000.0 + (11700.0 / (1.0 / (spo2 / 100.0) - 1.0)) ^ 2) - 11700.0 / (1.0 / (spo2 / 100.0) - 1.0))
+             END) AS pao2_imputed_min,
+         min(spo2) AS spo2_min, min(map) AS map_min
+  FROM vt GROUP BY 1),
+rs0 AS (
+  SELECT s.*, CASE WHEN fio2_set >= 0.21 AND fio2_set <= 1 THEN fio2_set END AS f
+  FROM sett s JOIN win USING (hospitalization_id)
+  WHERE recorded_dttm >= min_in_dttm AND recorded_dttm <= after_24hr),
+rs1 AS (
+  SELECT *, CASE
+      WHEN device_category = 'Nasal Cannula' AND f IS NULL AND lpm_set > 20 THEN 'High Flow NC'
+      WHEN device_category IS NOT NULL THEN device_category
+      WHEN lower(mode_category) IN ('simv', 'pressure-regulated volume control', 'assist control-volume control') THEN 'Vent'
+      WHEN f = 0.21 AND lpm_set IS NULL AND peep_set IS NULL AND tidal_volume_set IS NULL THEN 'Room Air'
+      WHEN f IS NULL AND lpm_set = 0 AND peep_set IS NULL AND tidal_volume_set IS NULL THEN 'Room Air'
+      WHEN f IS NULL AND lpm_set <= 20 AND lpm_set > 0 AND peep_set IS NULL AND tidal_volume_set IS NULL THEN 'Nasal Cannula'
+      WHEN f IS NULL AND lpm_set > 20 AND peep_set IS NULL AND tidal_volume_set IS NULL THEN 'High Flow NC'
+    END AS dev FROM rs0),
+rs2 AS (
+  SELECT hospitalization_id,
+         CASE WHEN f IS NOT NULL THEN f WHEN dev = 'Room Air' THEN 0.21
+              WHEN dev = 'Nasal Cannula' THEN 0.24 + 0.04 * lpm_set END AS fio2_combined,
+         CASE WHEN dev IN ('Vent', 'IMV') THEN 1 WHEN dev = 'NIPPV' THEN 2 WHEN dev = 'CPAP' THEN 3
+              WHEN dev = 'High Flow NC' THEN 4 WHEN dev = 'Face Mask' THEN 5 WHEN dev = 'Trach Collar' THEN 6
+              WHEN dev = 'Nasal Cannula' THEN 7 WHEN dev = 'Other' THEN 8 WHEN dev = 'Room Air' THEN 9 END AS rk
+  FROM rs1),
+rs AS (
+  SELECT hospitalization_id, max(fio2_combined) AS fio2_max,
+         CASE min(rk) WHEN 1 THEN 'Vent' WHEN 2 THEN 'NIPPV' WHEN 3 THEN 'CPAP' WHEN 4 THEN 'High Flow NC'
+              WHEN 5 THEN 'Face Mask' WHEN 6 THEN 'Trach Collar' WHEN 7 THEN 'Nasal Cannula' WHEN 8 THEN 'Other'
+              WHEN 9 THEN 'Room Air' END AS resp_support_max
+  FROM rs2 GROUP BY 1),
+lb AS (
+  SELECT hospitalization_id,
+         max(CASE WHEN creatinine BETWEEN 0 AND 20 THEN creatinine END) AS creatinine_max,
+         max(CASE WHEN bilirubin_total BETWEEN 0 AND 80 THEN bilirubin_total END) AS bilirubin_total_max,
+         min(CASE WHEN po2_arterial BETWEEN 30 AND 700 THEN po2_arterial END) AS po2_arterial_min,
+         min(CASE WHEN platelet_count BETWEEN 0 AND 2000 THEN platelet_count END) AS platelet_count_min,
+         min(gcs_total) AS min_gcs_score,
+         max(norepinephrine) AS norepinephrine, max(dopamine) AS dopamine, max(epinephrine) AS epinephrine,
+         max(dobutamine) AS dobutamine
+  FROM swin GROUP BY 1),
+x AS (
+  SELECT win.hospitalization_id, rs.fio2_max, rs.resp_support_max, vit.*, lb.*
+  FROM win LEFT JOIN rs USING (hospitalization_id) LEFT JOIN vit USING (hospitalization_id)
+           LEFT JOIN lb USING (hospitalization_id)),
+y AS (
+  SELECT x.*, CASE WHEN fio2_max = 0 THEN NULL ELSE po2_arterial_min / fio2_max END AS p_f,
+         CASE WHEN fio2_max = 0 THEN NULL ELSE pao2_imputed_min / fio2_max END AS p_f_imputed,
+         CASE WHEN fio2_max = 0 THEN NULL ELSE spo2_min / fio2_max END AS s_f
+  FROM x),
+z AS (
+  SELECT y.hospitalization_id AS hid, y.*,
+    CASE WHEN dopamine > 15 OR epinephrine > 0.1 OR norepinephrine > 0.1 THEN 4
+         WHEN dopamine > 5 OR (epinephrine <= 0.1 AND epinephrine > 0) OR (norepinephrine <= 0.1 AND norepinephrine > 0) THEN 3
+         WHEN (dopamine <= 5 AND dopamine > 0) OR dobutamine > 0 THEN 2
+         WHEN map_min < 70 THEN 1 ELSE 0 END AS sofa_cv_97,
+    CASE WHEN platelet_count_min < 20 THEN 4 WHEN platelet_count_min < 50 THEN 3
+         WHEN platelet_count_min < 100 THEN 2 WHEN platelet_count_min < 150 THEN 1 ELSE 0 END AS sofa_coag,
+    CASE WHEN bilirubin_total_max >= 12.0 THEN 4 WHEN bilirubin_total_max >= 6.0 THEN 3
+         WHEN bilirubin_total_max >= 2.0 THEN 2 WHEN bilirubin_total_max >= 1.2 THEN 1 ELSE 0 END AS sofa_liver,
+    CASE WHEN creatinine_max >= 5.0 THEN 4 WHEN creatinine_max >= 3.5 AND creatinine_max < 5.0 THEN 3
+         WHEN creatinine_max >= 2.0 AND creatinine_max < 3.5 THEN 2
+         WHEN creatinine_max >= 1.2 AND creatinine_max < 2.0 THEN 1 ELSE 0 END AS sofa_renal,
+    CASE WHEN p_f < 100 AND resp_support_max IN ('NIPPV', 'CPAP', 'Vent') THEN 4
+         WHEN p_f < 200 AND resp_support_max IN ('NIPPV', 'CPAP', 'Vent') THEN 3
+         WHEN p_f < 300 THEN 2 WHEN p_f < 400 THEN 1 ELSE 0 END AS sofa_resp_pf,
+    CASE WHEN p_f_imputed < 100 AND resp_support_max IN ('NIPPV', 'CPAP', 'Vent') THEN 4
+         WHEN p_f_imputed < 200 AND resp_support_max IN ('NIPPV', 'CPAP', 'Vent') THEN 3
+         WHEN p_f_imputed < 300 THEN 2 WHEN p_f_imputed < 400 THEN 1 ELSE 0 END AS sofa_resp_pf_imp,
+    CASE WHEN min_gcs_score < 6 THEN 4 WHEN min_gcs_score >= 6 AND min_gcs_score <= 9 THEN 3
+         WHEN min_gcs_score >= 10 AND min_gcs_score <= 12 THEN 2
+         WHEN min_gcs_score >= 13 AND min_gcs_score <= 14 THEN 1 ELSE 0 END AS sofa_cns
+  FROM y),
+sofa AS (
+  SELECT *, greatest(sofa_resp_pf, sofa_resp_pf_imp) AS sofa_resp,
+         sofa_cv_97 + sofa_coag + sofa_renal + sofa_liver + greatest(sofa_resp_pf, sofa_resp_pf_imp) + sofa_cns
+           AS sofa_97_24hr
+  FROM z)"""
+
+SQL["organ_score"] = with_(SETTINGS, SOFA) + """
+SELECT hid AS hospitalization_id, round(p_f, 6) AS p_f, round(p_f_imputed, 6) AS p_f_imputed, round(s_f, 6) AS s_f,
+       resp_support_max, sofa_cv_97, sofa_coag, sofa_liver, sofa_renal, sofa_resp_pf, sofa_resp_pf_imp, sofa_resp,
+       sofa_cns, sofa_97_24hr
+FROM sofa"""
+
+SQL["organ_score_distribution"] = with_(SETTINGS, SOFA) + """,
+long AS (UNPIVOT (SELECT hid, sofa_97_24hr, sofa_cv_97, sofa_coag, sofa_renal, sofa_liver, sofa_resp, sofa_cns FROM sofa)
+         ON sofa_97_24hr, sofa_cv_97, sofa_coag, sofa_renal, sofa_liver, sofa_resp, sofa_cns
+         INTO NAME sofa_category VALUE sofa_value)
+SELECT sofa_category, round(quantile_cont(CAST(sofa_value AS DOUBLE), 0.5), 6) AS overall_median,
+       round(quantile_cont(CAST(sofa_value AS DOUBLE), 0.25), 6) AS overall_iqr_lower,
+       round(quantile_cont(CAST(sofa_value AS DOUBLE), 0.75), 6) AS overall_iqr_upper
+FROM long GROUP BY 1"""
