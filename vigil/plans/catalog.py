@@ -280,3 +280,72 @@ def q_organ_score_distribution(spark, d):
     s = cl.organ_score_distribution(_sofa(spark, d), id_col=ID)
     return s.select("sofa_category", *[r6(c).alias(c) for c in ("overall_median", "overall_iqr_lower",
                                                                  "overall_iqr_upper")])
+
+
+# ---- profiling -------------------------------------------------------------------------------
+from ..functions import fixed as fx  # noqa: E402
+from ..functions import map_values, death_flag  # noqa: E402
+from ..operators import profile as pf  # noqa: E402
+
+LINE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query
+def q_describe_features(spark, d):
+    li = Analogue(spark, d).table("lineitem")
+    t = pf.transpose_stats(pf.describe(li, LINE_FEATURES), LINE_FEATURES)
+    return t.select("statistic", *[r6(c).alias(c) for c in LINE_FEATURES])
+
+
+@query
+def q_missingness(spark, d):
+    s = Analogue(spark, d).settings()
+    m = pf.missingness(s, ["device_category", "mode_category", "fio2_set", "peep_set", "tidal_volume_set",
+                           "lpm_set"])
+    return m.select("column", "na_count", "total_rows", r6("nan_percentage").alias("nan_percentage"))
+
+
+@query
+def q_histogram30(spark, d):
+    h = pf.histogram(Analogue(spark, d).table("lineitem"), LINE_FEATURES, bins=30)
+    return h.select("feature", "bin", "n", r6("bin_lower").alias("bin_lower"))
+
+
+def _people(a: Analogue) -> DataFrame:
+    e = a.encounters().join(a.patients(), "patient_id", "left")
+    return e.select("hospitalization_id", "age_at_admission", F.col("sex_category").alias("sex"),
+                    map_values("race_category", fx.RACE_MAP, fx.RACE_DEFAULT).alias("race"),
+                    map_values("ethnicity_category", fx.ETHNICITY_MAP, fx.ETHNICITY_DEFAULT).alias("ethnicity"),
+                    death_flag("discharge_category", "urgent|high").alias("Mortality"))
+
+
+@query
+def q_table1(spark, d):
+    t = pf.table1(_people(Analogue(spark, d)), continuous=["age_at_admission"],
+                  categorical=["sex", "race", "ethnicity", "Mortality"])
+    return t.select("variable", "level", "statistic", r6("value").alias("value"))
+
+
+# ---- small relational operators ----------------------------------------------------------
+SITE_NAMES = {"AFRICA": "Africa Region", "AMERICA": "Americas Region", "ASIA": "Asia Region",
+              "EUROPE": "Europe Region"}
+
+
+@query
+def q_split_tag(spark, d):
+    s = _scored(spark, d)
+    tag = F.when(F.col("year").isin(1998, 1999), F.lit("test")).otherwise(F.lit("train"))
+    return s.select("case_id", "year", tag.alias("Data_Type"))
+
+
+@query
+def q_lookup_map(spark, d):
+    s = _scored(spark, d)
+    return s.select("case_id", "site", map_values("site", SITE_NAMES, None).alias("site_name"))
+
+
+@query
+def q_membership_flag(spark, d):
+    a = Analogue(spark, d)
+    vent = cl.ventilated_ids(a.settings(), id_col=ID)
+    return coh.membership_flag(a.order_windows().select(ID), vent, ID, "Ventilator")

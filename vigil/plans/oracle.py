@@ -596,3 +596,72 @@ SELECT sofa_category, round(quantile_cont(CAST(sofa_value AS DOUBLE), 0.5), 6) A
        round(quantile_cont(CAST(sofa_value AS DOUBLE), 0.25), 6) AS overall_iqr_lower,
        round(quantile_cont(CAST(sofa_value AS DOUBLE), 0.75), 6) AS overall_iqr_upper
 FROM long GROUP BY 1"""
+
+_LF = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+SQL["describe_features"] = """
+WITH long AS (UNPIVOT (SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
+              ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME feature VALUE v),
+s AS (SELECT feature, CAST(count(v) AS DOUBLE) AS "count", avg(v) AS "mean", stddev_samp(v) AS "std",
+             min(v) AS "min", quantile_cont(v, 0.25) AS "25%", quantile_cont(v, 0.5) AS "50%",
+             quantile_cont(v, 0.75) AS "75%", max(v) AS "max" FROM long GROUP BY feature),
+l2 AS (UNPIVOT s ON "count", "mean", "std", "min", "25%", "50%", "75%", "max" INTO NAME statistic VALUE value)
+SELECT statistic, """ + ", ".join(f"round(max(value) FILTER (WHERE feature = '{c}'), 6) AS {c}" for c in _LF) + """
+FROM l2 GROUP BY statistic"""
+
+SQL["missingness"] = with_(SETTINGS) + """,
+t AS (SELECT count(*) AS n, """ + ", ".join(f"CAST(count(*) - count({c}) AS BIGINT) AS {c}" for c in
+      ["device_category", "mode_category", "fio2_set", "peep_set", "tidal_volume_set", "lpm_set"]) + """ FROM sett)
+SELECT "column", na_count, n AS total_rows, round(na_count * 100.0 / n, 6) AS nan_percentage
+FROM (UNPIVOT t ON device_category, mode_category, fio2_set, peep_set, tidal_volume_set, lpm_set
+      INTO NAME "column" VALUE na_count)"""
+
+SQL["histogram30"] = """
+WITH long AS (UNPIVOT (SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
+              ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME feature VALUE v),
+mm AS (SELECT feature, min(v) AS mn, max(v) AS mx FROM long GROUP BY feature),
+b AS (SELECT long.feature, mn, mx, CAST(""" + " + ".join(
+    f"CASE WHEN {k}.0 * ((mx - mn) / 30.0) + mn <= v THEN 1 ELSE 0 END" for k in range(1, 30)) + """ AS INTEGER) AS bin
+      FROM long JOIN mm USING (feature) WHERE v IS NOT NULL)
+SELECT feature, bin, count(*) AS n, round(any_value(bin * ((mx - mn) / 30.0) + mn), 6) AS bin_lower
+FROM b GROUP BY feature, bin"""
+
+SQL["table1"] = with_(ENC, PATIENTS) + """,
+ppl AS (
+  SELECT e.hospitalization_id, e.age_at_admission, p.sex_category AS sex,
+         CASE p.race_category WHEN 'White' THEN 'White' WHEN 'Black or African American' THEN 'Black'
+              WHEN 'Black or African-American' THEN 'Black' WHEN 'Asian' THEN 'Asian' ELSE 'Others' END AS race,
+         CASE WHEN p.ethnicity_category IN ('Hispanic', 'Hispanic or Latino') THEN 'Hispanic or Latino'
+              ELSE 'Not Hispanic or Latino' END AS ethnicity,
+         CAST(CAST(regexp_matches(coalesce(e.discharge_category, 'Other'), '(?i)urgent|high') AS INTEGER) AS VARCHAR)
+           AS Mortality
+  FROM enc e LEFT JOIN pat p USING (patient_id)),
+cont AS (
+  SELECT 'age_at_admission' AS variable, '' AS level, statistic, value FROM (
+    UNPIVOT (SELECT CAST(count(age_at_admission) AS DOUBLE) AS n, avg(age_at_admission) AS mean,
+                    stddev_samp(age_at_admission) AS sd, quantile_cont(age_at_admission, 0.5) AS median,
+                    min(age_at_admission) AS min, max(age_at_admission) AS max,
+                    CAST(count(*) - count(age_at_admission) AS DOUBLE) AS missing FROM ppl)
+    ON n, mean, sd, median, min, max, missing INTO NAME statistic VALUE value)),
+cat AS (
+  SELECT 'sex' AS variable, sex AS level FROM ppl UNION ALL SELECT 'race', race FROM ppl
+  UNION ALL SELECT 'ethnicity', ethnicity FROM ppl UNION ALL SELECT 'Mortality', Mortality FROM ppl),
+cnt AS (SELECT variable, level, CAST(count(*) AS DOUBLE) AS n FROM cat WHERE level IS NOT NULL GROUP BY 1, 2),
+lv AS (SELECT variable, level, n, n * 100.0 / sum(n) OVER (PARTITION BY variable) AS pct FROM cnt)
+SELECT variable, level, statistic, round(value, 6) AS value FROM cont
+UNION ALL SELECT variable, level, 'n', n FROM lv
+UNION ALL SELECT variable, level, 'pct', round(pct, 6) FROM lv
+UNION ALL SELECT variable, '', 'missing', CAST(count(*) - count(level) AS DOUBLE) FROM cat GROUP BY variable
+UNION ALL SELECT 'N', '', 'n', CAST(count(*) AS DOUBLE) FROM ppl"""
+
+SQL["split_tag"] = with_(SCORED) + """
+SELECT case_id, year, CASE WHEN year IN (1998, 1999) THEN 'test' ELSE 'train' END AS Data_Type FROM sc"""
+
+SQL["lookup_map"] = with_(SCORED) + """
+SELECT case_id, site, CASE site WHEN 'AFRICA' THEN 'Africa Region' WHEN 'AMERICA' THEN 'Americas Region'
+                                WHEN 'ASIA' THEN 'Asia Region' WHEN 'EUROPE' THEN 'Europe Region' END AS site_name
+FROM sc"""
+
+SQL["membership_flag"] = with_(SETTINGS) + """
+SELECT win.hospitalization_id, CASE WHEN vent.hospitalization_id IS NULL THEN 0 ELSE 1 END AS Ventilator
+FROM win LEFT JOIN vent USING (hospitalization_id)"""
