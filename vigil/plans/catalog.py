@@ -349,3 +349,56 @@ def q_membership_flag(spark, d):
     a = Analogue(spark, d)
     vent = cl.ventilated_ids(a.settings(), id_col=ID)
     return coh.membership_flag(a.order_windows().select(ID), vent, ID, "Ventilator")
+
+
+# ---- bootstrap and model (random / fitted: rows-only checks) ---------------------------------
+from ..operators import bootstrap as bs  # noqa: E402
+from ..operators import model as mdl  # noqa: E402
+
+
+@query
+def q_bootstrap_ci(spark, d):
+    return bs.bootstrap_ci(_scored(spark, d), by=SITE, replicates=1000, seed=42)
+
+
+@query
+def q_metrics_table(spark, d):
+    s = _scored(spark, d)
+    return bs.metrics_table(ev.headline_metrics(s, by=SITE), bs.bootstrap_ci(s, by=SITE), by=SITE)
+
+
+MODEL_FEATURES = ["o_totalprice", "c_acctbal", "c_nationkey", "priority_rank", "n_lines", "avg_discount",
+                  "sum_quantity", "max_tax", "open_lines"]
+
+
+def _model_frame(spark, d):
+    a = Analogue(spark, d)
+    o, c, li = a.table("orders"), a.table("customer"), a.table("lineitem")
+    lines = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.avg("l_discount").alias("avg_discount"),
+                                         F.sum("l_quantity").alias("sum_quantity"), F.max("l_tax").alias("max_tax"),
+                                         F.sum((F.col("l_linestatus") == "O").cast("int")).alias("open_lines"))
+    return (o.join(c, o.o_custkey == c.c_custkey, "left").join(lines, o.o_orderkey == lines.l_orderkey, "left")
+            .select(F.col("o_orderkey").cast("string").alias("case_id"),
+                    (F.col("o_orderstatus") == "F").cast("int").alias("label"),
+                    F.year("o_orderdate").alias("year"), "o_totalprice", "c_acctbal", "c_nationkey",
+                    F.substring("o_orderpriority", 1, 1).cast("int").alias("priority_rank"),
+                    "n_lines", "avg_discount", "sum_quantity", "max_tax", "open_lines"))
+
+
+def _fit(spark, d):
+    df = _model_frame(spark, d)
+    test = F.col("year").isin(1998, 1999)
+    model = mdl.train(df.where(~test), MODEL_FEATURES)
+    return model, df.where(test)
+
+
+@query
+def q_gbt_scores(spark, d):
+    model, test = _fit(spark, d)
+    return mdl.score(model, test, MODEL_FEATURES).select("case_id", "label", "pred_proba")
+
+
+@query
+def q_gbt_importance(spark, d):
+    model, _ = _fit(spark, d)
+    return mdl.importance(model, MODEL_FEATURES, top=20)
