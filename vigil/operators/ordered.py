@@ -38,6 +38,11 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[
     and, optionally, group totals ``{totals_prefix}{c}``.  ``order`` must be unique within
     a group (aggregate ties first)."""
     by = list(by)
+    if not by:
+        # one group: a constant key keeps the bucket-offset window (n_buckets rows) keyed
+        out = running_totals(df.withColumn("_g", F.lit(0)), ["_g"], order, sums, descending=descending,
+                             n_buckets=n_buckets, prefix=prefix, totals_prefix=totals_prefix)
+        return out.drop("_g")
     n = _n_buckets(df, n_buckets)
     o = F.col(order).desc() if descending else F.col(order).asc()
     # Range bounds come from sampling, which may differ if the exchange is recomputed in
