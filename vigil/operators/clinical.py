@@ -112,23 +112,23 @@ def initial_modes(resp: DataFrame, encounters: DataFrame, *, id_col: str, t: str
         canon = F.when(e, F.lit(m)) if canon is None else canon.when(e, F.lit(m))
     counts = (first.withColumn(mode, canon).where(F.col(mode).isNotNull())
               .groupBy(mode).agg(F.count(F.lit(1)).alias("n_encounters")))
-    dens = (vent.agg(F.count(F.lit(1)).alias("ventilated"))
-            .crossJoin(encounters.select(id_col).distinct().agg(F.count(F.lit(1)).alias("all"))))
-    tables = []
-    for name in ("ventilated", "all"):
-        base = (densify(counts, list(required), mode).crossJoin(F.broadcast(dens.select(F.col(name).alias("_d"))))
-                .withColumn("pct_encounters", 100.0 * F.col("n_encounters") / F.col("_d")))
-        rest = (base.groupBy("_d").agg(F.sum("n_encounters").alias("_s"))
-                .select(F.lit(fixed.NO_MODE).alias(mode), F.lit(len(required)).alias("_order"),
-                        (F.col("_d") - F.coalesce("_s", F.lit(0))).alias("n_encounters"), "_d")
-                .withColumn("pct_encounters", 100.0 * F.col("n_encounters") / F.col("_d")))
-        body = base.select(mode, "_order", "n_encounters", "pct_encounters").unionByName(
-            rest.select(mode, "_order", "n_encounters", "pct_encounters"))
-        total = body.agg(F.sum("n_encounters").alias("n_encounters"),
-                         F.sum("pct_encounters").alias("pct_encounters")).select(
-            F.lit("Total").alias(mode), F.lit(len(required) + 1).alias("_order"), "n_encounters", "pct_encounters")
-        tables.append(body.unionByName(total).withColumn("denominator", F.lit(name)))
-    return tables[0].unionByName(tables[1])
+    # the two denominators as two rows, so every later step runs once for both tables
+    dens = (vent.agg(F.count(F.lit(1)).alias("_d")).withColumn("denominator", F.lit("ventilated"))
+            .unionByName(encounters.select(id_col).distinct().agg(F.count(F.lit(1)).alias("_d"))
+                         .withColumn("denominator", F.lit("all"))))
+    base = (densify(counts, list(required), mode).crossJoin(F.broadcast(dens))
+            .withColumn("pct_encounters", 100.0 * F.col("n_encounters") / F.col("_d")))
+    rest = (base.groupBy("denominator", "_d").agg(F.sum("n_encounters").alias("_s"))
+            .select("denominator", F.lit(fixed.NO_MODE).alias(mode), F.lit(len(required)).alias("_order"),
+                    (F.col("_d") - F.coalesce("_s", F.lit(0))).alias("n_encounters"), "_d")
+            .withColumn("pct_encounters", 100.0 * F.col("n_encounters") / F.col("_d")))
+    cols = ["denominator", mode, "_order", "n_encounters", "pct_encounters"]
+    body = base.select(*cols).unionByName(rest.select(*cols))
+    total = (body.groupBy("denominator").agg(F.sum("n_encounters").alias("n_encounters"),
+                                             F.sum("pct_encounters").alias("pct_encounters"))
+             .select("denominator", F.lit("Total").alias(mode), F.lit(len(required) + 1).alias("_order"),
+                     "n_encounters", "pct_encounters"))
+    return body.unionByName(total)
 
 
 # ---- organ failure score --------------------------------------------------------------------

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .ordered import attach, exact_quantiles, running_totals
+from .ordered import attach, pick_positions, running_totals
 
 div = F.try_divide
 
@@ -165,8 +165,13 @@ def topn_sweep(df: DataFrame, *, label="label", score="score", by: Sequence[str]
     by = list(by)
     probs = [k / float(steps) for k in range(steps, 0, -1)]
     lad = score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets)
-    qv = exact_quantiles(df.where(F.col(label).isNotNull()), by, score, probs, n_buckets=n_buckets,
-                         out="thr_value", bounds=True)
+    # quantiles of the score read off the same ladder: ascending position of a distinct
+    # score = rows below it + its own count (no second pass over the data)
+    asc = lad.select(*by, F.col("score"), (F.col("pos") + F.col("neg")).alias("_n"),
+                     ((F.col("P") + F.col("N")) - (F.col("cum_pos") + F.col("cum_neg"))
+                      + (F.col("pos") + F.col("neg"))).alias("cum__n"),
+                     (F.col("P") + F.col("N")).alias("_gtot"))
+    qv = pick_positions(asc, by, "score", probs, out="thr_value", bounds=True)
     # rows with score >= threshold: the threshold is an order statistic or lies between two
     # adjacent ones, so the count is the ladder's running total at the lower statistic
     # (threshold equal to it) or at the upper one -- an equi join on (group, score)

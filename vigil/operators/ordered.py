@@ -78,19 +78,28 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     by = list(by)
     cnt = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
            .agg(F.count(F.lit(1)).alias("_n")))
-    rt = running_totals(cnt, by, value, ["_n"], n_buckets=n_buckets, totals_prefix="_N")
-    # targets: one row per group with the sorted positions it needs
-    grp = cnt.groupBy(*by).agg(F.sum("_n").alias("_N"))
+    rt = running_totals(cnt, by, value, ["_n"], n_buckets=n_buckets, totals_prefix="_Ntot")
+    return pick_positions(rt.select(*by, value, "_n", "cum__n", F.col("_Ntot_n").alias("_gtot")), by, value, probs,
+                          prob_col=prob_col, out=out, bounds=bounds)
+
+
+def pick_positions(rt: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], *,
+                   prob_col: str = "q", out: str = "value", bounds: bool = False) -> DataFrame:
+    """Quantiles from a distinct-value table ``(by..., value, _n, cum__n, _gtot)`` where
+    ``cum__n`` counts rows with a value <= this one and ``_gtot`` is the group size.  Group
+    sizes are read from that table (already materialised), not recomputed upstream."""
+    by = list(by)
+    grp = rt.groupBy(*by).agg(F.first("_gtot").alias("_gtot"))
     qs = F.array(*[F.lit(float(p)) for p in probs])
-    tg = (grp.select(*by, "_N", F.explode(qs).alias(prob_col))
-          .withColumn("_h", (F.col("_N") - 1).cast("double") * F.col(prob_col))
+    tg = (grp.select(*by, "_gtot", F.explode(qs).alias(prob_col))
+          .withColumn("_h", (F.col("_gtot") - 1).cast("double") * F.col(prob_col))
           .withColumn("_lo", F.floor("_h"))
-          .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_N") - 1))
+          .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_gtot") - 1))
           .withColumn("_f", F.col("_h") - F.col("_lo")))
     pos = tg.groupBy(*by).agg(F.array_distinct(F.flatten(F.collect_list(F.array("_lo", "_hi"))))
                               .alias("_pos"))
     # keep only the distinct values that hold a needed position: cum-_n <= p < cum
-    hits = (attach(rt.drop("_N_n"), pos, by)
+    hits = (attach(rt.drop("_gtot"), pos, by)
             .withColumn("_p", F.explode(F.filter("_pos", lambda p: (p >= F.col("cum__n") - F.col("_n"))
                                                   & (p < F.col("cum__n")))))
             .select(*by, "_p", F.col(value).alias("_v")))
