@@ -60,13 +60,13 @@ def to_ntz(df: DataFrame) -> DataFrame:
 
 
 def load_table(spark: SparkSession, name: str, root: str, fmt: str = "parquet",
-               version: int = 2, schema: T.StructType | None = None) -> DataFrame:
-    """Read ``{root}/clif_{name}.{fmt}``; unknown formats raise ``ValueError``.
+               version: int = 2, schema: T.StructType | None = None, prefix: str = "") -> DataFrame:
+    """Read ``{root}/{prefix}{name}.{fmt}``; unknown formats raise ``ValueError``.
 
     CSV gets the declared schema (no inference pass over the data); Parquet uses its
     own footer schema, then ids and timestamps are normalised.
     """
-    path = f"{root}/clif_{name}.{fmt}"
+    path = f"{root}/{prefix}{name}.{fmt}"
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "csv":
