@@ -88,3 +88,38 @@ def test_demographics_flags(spark):
     assert r["h1"]["isfemale"] == 1 and r["h2"]["race"] == "Others"
     assert r["h2"]["ethnicity"] == "Not Hispanic or Latino" and r["h1"]["ethnicity"] == "Hispanic or Latino"
     assert abs(r["h1"]["ICU_stay_hrs"] - 30.0) < 1e-9
+
+
+def test_state_blocks_bucketed_equals_plain(spark):
+    import datetime as dt
+    import random
+    rnd = random.Random(5)
+    rows, k = [], 0
+    for hid in ["a", "b", "c"]:
+        t = ts("2020-01-01 00:00:00")
+        for _ in range(200):
+            t += dt.timedelta(hours=rnd.choice([1, 3, 7, 30]))
+            rows.append((hid, rnd.choice(["ICU", "Ward", None, "OR"]), t, t + dt.timedelta(hours=1), k))
+            k += 1
+    s = spark.createDataFrame(rows, ADT)
+    a = sorted(map(tuple, coh.state_blocks(s, tie="k", bucket=None, merge={"OR": "ICU"}).collect()),
+               key=lambda r: (r[0], r[1]))
+    b = sorted(map(tuple, coh.state_blocks(s, tie="k", bucket="DAY", merge={"OR": "ICU"}).collect()),
+               key=lambda r: (r[0], r[1]))
+    assert a == b and min(r[1] for r in a) == 1
+
+
+def test_first_row_null_state_opens_block_one(spark):
+    s = stays(spark, {"g": [(None, 2), (None, 2), ("ICU", 5)]})
+    b = sorted(r["block"] for r in coh.state_blocks(s, tie="k").collect())
+    assert b == [1, 2]
+
+
+def test_next_time_bucketed(spark):
+    import datetime as dt
+    from vigil.operators.temporal import next_time
+    rows = [("u", ts("2020-01-01 23:00:00") + dt.timedelta(hours=h), i) for i, h in enumerate([0, 0, 5, 50, 51])]
+    df = spark.createDataFrame(rows, "id string, t timestamp_ntz, k int")
+    a = {r["k"]: r["next_t"] for r in next_time(df, id_col="id", t="t", tie="k", bucket=None).collect()}
+    b = {r["k"]: r["next_t"] for r in next_time(df, id_col="id", t="t", tie="k", bucket="DAY").collect()}
+    assert a == b and a[4] is None and a[2] == rows[3][1]

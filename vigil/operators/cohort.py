@@ -26,25 +26,51 @@ def _order_key(t_in: str, tie: str | None) -> Column:
 
 def state_blocks(stays: DataFrame, *, id_col: str = "hospitalization_id",
                  state: str = "location_category", t_in: str = "in_dttm", t_out: str = "out_dttm",
-                 tie: str | None = None, merge: dict | None = None) -> DataFrame:
-    """Number contiguous runs of the same state per id (block ids start at 1) and
-    collapse each run to ``(id, block, state, min_in, max_out, n_rows)``.
+                 tie: str | None = None, merge: dict | None = None, bucket: str | None = "DAY") -> DataFrame:
+    """WIN-1..3 + AGG-1: number contiguous runs of the same state per id (block ids start
+    at 1) and collapse each run to ``(id, block, state, min_in, max_out, n_rows)``.
 
     ``merge`` maps states onto another before the comparison (e.g. ``{"OR": "ICU"}``).
     NULL is a state of its own and compared null-safely (two NULL rows in a row share a
-    block).  One exchange: the window and the aggregate both cluster by ``id``.
+    block); the first row of an id always opens block 1.
+
+    With ``bucket`` (a ``date_trunc`` unit) the ordered windows are partitioned by
+    (id, time bucket), so one id with a huge history is spread over many tasks.  What
+    crosses a bucket boundary -- the last state of the previous bucket and the number of
+    blocks opened before -- comes from a per-(id, bucket) summary, which has one row per
+    bucket and is small next to the rows.
     """
     st = F.col(state)
     for src, dst in (merge or {}).items():
         st = F.when(st == F.lit(src), F.lit(dst)).otherwise(st)
-    order = [F.col(t_in)] + ([F.col(tie)] if tie else [])
-    w = Window.partitionBy(id_col).orderBy(*order)
+    key = F.struct(F.col(t_in).alias("t"), *([F.col(tie).alias("k")] if tie else []))
+    x = stays.withColumn("_st", st).withColumn("_key", key)
+    parts = [id_col] + (["_bk"] if bucket else [])
+    if bucket:
+        x = x.withColumn("_bk", F.date_trunc(bucket, t_in))
+    w = Window.partitionBy(*parts).orderBy("_key")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    flagged = (stays.withColumn("_st", st)
-               .withColumn("_chg", F.when(F.lag("_st").over(w).eqNullSafe(F.col("_st")), 0)
-                           .otherwise(1)))
-    blocks = flagged.withColumn("block", F.sum("_chg").over(run))
-    return (blocks.groupBy(id_col, "block")
+    prev = F.lag(F.struct(F.col("_st").alias("s"))).over(w)
+    first_in_part = prev.isNull()
+    chg = F.when(prev.isNull(), 1).when(prev["s"].eqNullSafe(F.col("_st")), 0).otherwise(1)
+    x = x.withColumn("_first", first_in_part).withColumn("_c", chg)
+    if not bucket:
+        x = x.withColumn("block", F.sum("_c").over(run))
+    else:
+        # local counts exclude the bucket's first row, whose change depends on the carry
+        x = x.withColumn("_lc", F.sum(F.when(F.col("_first"), 0).otherwise(F.col("_c"))).over(run))
+        summ = (x.groupBy(id_col, "_bk")
+                .agg(F.min_by("_st", "_key").alias("_fs"), F.max_by("_st", "_key").alias("_ls"),
+                     F.sum(F.when(F.col("_first"), 0).otherwise(F.col("_c"))).alias("_n_in")))
+        wb = Window.partitionBy(id_col).orderBy("_bk")
+        prev_b = F.lag(F.struct(F.col("_ls").alias("s"))).over(wb)
+        summ = summ.withColumn("_fc", F.when(prev_b.isNull(), 1)
+                               .when(prev_b["s"].eqNullSafe(F.col("_fs")), 0).otherwise(1))
+        summ = summ.withColumn("_off", F.coalesce(
+            F.sum(F.col("_fc") + F.col("_n_in")).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        x = (x.join(summ.select(id_col, "_bk", "_fc", "_off"), [id_col, "_bk"], "inner")
+             .withColumn("block", F.col("_off") + F.col("_fc") + F.col("_lc")))
+    return (x.groupBy(id_col, "block")
             .agg(F.first("_st").alias(state), F.min(t_in).alias("min_in_dttm"),
                  F.max(t_out).alias("max_out_dttm"), F.count(F.lit(1)).alias("n_rows")))
 

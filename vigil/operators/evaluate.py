@@ -132,17 +132,29 @@ def pr_points(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return pts.unionByName(last)
 
 
-def trapezoid_auc(points: DataFrame, x: str, y: str, by: Sequence[str] = (),
-                  order: Sequence[str] = ()) -> DataFrame:
-    """Area under a piecewise-linear curve given as points sorted by ``order``.  Done with
-    a rank self-join so a large curve is never pulled into one task."""
+def curve_areas(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """EVL-10/11: trapezoid areas under the ROC curve (fpr, tpr) and the PR curve
+    (recall, precision) through every ladder point, starting at (0, 0) for ROC and at
+    recall 0, precision 1 for PR.  Consecutive points are paired by an equi join on
+    rank (rank - 1), so a large curve is never sorted in one task."""
     by = list(by)
-    from pyspark.sql import Window
-    w = Window.partitionBy(*by).orderBy(*order)
-    p = points.withColumn("_r", F.row_number().over(w))
-    q = p.select(*by, (F.col("_r") - 1).alias("_r"), F.col(x).alias("_x2"), F.col(y).alias("_y2"))
-    return (p.join(q, by + ["_r"]).groupBy(*by)
-            .agg(F.abs(F.sum((F.col("_x2") - F.col(x)) * (F.col("_y2") + F.col(y)) * 0.5)).alias("area")))
+    d = F.col("P").cast("double")
+    n = F.col("N").cast("double")
+    pts = lad.select(*by, "rank", div(F.col("cum_neg").cast("double"), n).alias("x1"),
+                     div(F.col("cum_pos").cast("double"), d).alias("y1"),
+                     F.when(F.col("P") == 0, F.lit(1.0)).otherwise(div(F.col("cum_pos").cast("double"), d)).alias("r1"),
+                     div(F.col("cum_pos").cast("double"), (F.col("cum_pos") + F.col("cum_neg")).cast("double"))
+                     .alias("p1"))
+    start = (lad.groupBy(*by).agg(F.first("P").alias("_P"))
+             .select(*by, F.lit(0).cast("long").alias("rank"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"),
+                     F.lit(0.0).alias("r1"), F.lit(1.0).alias("p1")))
+    allp = pts.unionByName(start)
+    prev = allp.select(*by, (F.col("rank") + 1).alias("rank"), F.col("x1").alias("x0"), F.col("y1").alias("y0"),
+                       F.col("r1").alias("r0"), F.col("p1").alias("p0"))
+    j = pts.join(prev, by + ["rank"], "inner")
+    return j.groupBy(*by).agg(
+        F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") + F.col("y0")) * 0.5).alias("roc_auc_trapezoid"),
+        F.sum((F.col("r1") - F.col("r0")) * (F.col("p1") + F.col("p0")) * 0.5).alias("pr_auc"))
 
 
 def threshold_metrics(roc: DataFrame, by: Sequence[str] = ()) -> DataFrame:

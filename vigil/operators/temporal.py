@@ -83,3 +83,21 @@ def asof_join(left: DataFrame, right: DataFrame, *, id_col: str, left_t: str, ri
     out = hit.select("_l.*", *[F.col(f"_m.{c}").alias(prefix + c) for c in vals],
                      F.col("_m._rt").alias(prefix + right_t))
     return out
+
+
+def next_time(df: DataFrame, *, id_col: str, t: str, tie: str | None = None, out: str = "next_t",
+              bucket: str | None = "DAY") -> DataFrame:
+    """Time of the next row of the same id in (t, tie) order (``lead``), NULL for the last.
+
+    With ``bucket`` the window is partitioned by (id, time bucket); a bucket's last row
+    takes the first time of the id's next non-empty bucket from a per-(id, bucket) summary,
+    so a hot id is not sorted in one task."""
+    order = [F.col(t)] + ([F.col(tie)] if tie else [])
+    if not bucket:
+        return df.withColumn(out, F.lead(t).over(Window.partitionBy(id_col).orderBy(*order)))
+    x = df.withColumn("_bk", F.date_trunc(bucket, t))
+    x = x.withColumn(out, F.lead(t).over(Window.partitionBy(id_col, "_bk").orderBy(*order)))
+    firsts = x.groupBy(id_col, "_bk").agg(F.min(t).alias("_ft"))
+    nxt = firsts.withColumn("_nb", F.lead("_ft").over(Window.partitionBy(id_col).orderBy("_bk")))
+    return (x.join(nxt.select(id_col, "_bk", "_nb"), [id_col, "_bk"], "inner")
+            .withColumn(out, F.coalesce(F.col(out), F.col("_nb"))).drop("_bk", "_nb"))

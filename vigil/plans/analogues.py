@@ -45,15 +45,15 @@ class Analogue:
     # ---- stays and encounters (events, customer, orders) ---------------------------------
     def stays(self) -> DataFrame:
         """ADT analogue: one stay per event; out = next event of the user."""
-        e = self.table("events")
-        w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+        from ..operators.temporal import next_time
+        e = next_time(self.table("events"), id_col="user_id", t="ts", tie="event_id", out="_next")
         loc = (F.when(F.col("event_id") % 50 == 0, F.lit(None).cast("string"))
                .when(F.col("event_type") == "purchase", F.lit("icu"))
                .when(F.col("event_type") == "signup", F.lit("procedural"))
                .otherwise(F.col("event_type")))
         return e.select(F.col("user_id").cast("string").alias("hospitalization_id"),
                         loc.alias("location_category"), F.col("ts").alias("in_dttm"),
-                        F.lead("ts").over(w).alias("out_dttm"), "event_id")
+                        F.col("_next").alias("out_dttm"), "event_id")
 
     def encounters(self) -> DataFrame:
         """Hospitalization analogue: customer; admission = first event of the user;

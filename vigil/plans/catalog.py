@@ -402,3 +402,15 @@ def q_gbt_scores(spark, d):
 def q_gbt_importance(spark, d):
     model, _ = _fit(spark, d)
     return mdl.importance(model, MODEL_FEATURES, top=20)
+
+
+@query
+def q_curve_areas(spark, d):
+    lad = ev.score_ladder(_scored(spark, d), by=SITE)
+    a = ev.curve_areas(lad, SITE)
+    return a.select("site", r6("roc_auc_trapezoid").alias("roc_auc_trapezoid"), r6("pr_auc").alias("pr_auc"))
+
+
+@query
+def q_label_probability_table(spark, d):
+    return _scored(spark, d).select("case_id", "label", F.col("score").alias("pred_proba"), "site")

@@ -69,7 +69,8 @@ m AS (
 k AS (
   SELECT *, CASE WHEN st = 'OR' THEN 'ICU' ELSE st END AS st2 FROM m WHERE rk >= min_icu),
 chg AS (
-  SELECT *, CASE WHEN LAG(st2) OVER (PARTITION BY hospitalization_id ORDER BY rk)
+  SELECT *, CASE WHEN rk = min_icu THEN 1
+                 WHEN LAG(st2) OVER (PARTITION BY hospitalization_id ORDER BY rk)
                       IS NOT DISTINCT FROM st2 THEN 0 ELSE 1 END AS c FROM k),
 grp AS (
   SELECT *, SUM(c) OVER (PARTITION BY hospitalization_id ORDER BY rk
@@ -95,7 +96,9 @@ SELECT hospitalization_id, patient_id, age, dispo, min_in_dttm, max_out_dttm, af
 SQL["state_blocks"] = with_(STAYS) + """,
 k AS (SELECT *, CASE WHEN upper(location_category) IN ('PROCEDURAL', 'OR') THEN 'ICU'
                      ELSE upper(location_category) END AS st FROM stays),
-chg AS (SELECT *, CASE WHEN LAG(st) OVER (PARTITION BY hospitalization_id ORDER BY in_dttm, event_id)
+chg AS (SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY hospitalization_id ORDER BY in_dttm, event_id) = 1
+                        THEN 1
+                        WHEN LAG(st) OVER (PARTITION BY hospitalization_id ORDER BY in_dttm, event_id)
                         IS NOT DISTINCT FROM st THEN 0 ELSE 1 END AS c FROM k),
 grp AS (SELECT *, SUM(c) OVER (PARTITION BY hospitalization_id ORDER BY in_dttm, event_id
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS block FROM chg)
@@ -665,3 +668,19 @@ FROM sc"""
 SQL["membership_flag"] = with_(SETTINGS) + """
 SELECT win.hospitalization_id, CASE WHEN vent.hospitalization_id IS NULL THEN 0 ELSE 1 END AS Ventilator
 FROM win LEFT JOIN vent USING (hospitalization_id)"""
+
+SQL["curve_areas"] = with_(SCORED, LADDER) + """,
+pts AS (
+  SELECT site, rank, cum_neg::DOUBLE / N AS x, cum_pos::DOUBLE / P AS y,
+         CASE WHEN P = 0 THEN 1.0 ELSE cum_pos::DOUBLE / P END AS r,
+         cum_pos::DOUBLE / (cum_pos + cum_neg) AS p FROM lad
+  UNION ALL SELECT DISTINCT site, 0, 0.0, 0.0, 0.0, 1.0 FROM lad),
+seg AS (
+  SELECT site, rank, x, y, r, p,
+         LAG(x) OVER w AS x0, LAG(y) OVER w AS y0, LAG(r) OVER w AS r0, LAG(p) OVER w AS p0
+  FROM pts WINDOW w AS (PARTITION BY site ORDER BY rank))
+SELECT site, round(sum((x - x0) * (y + y0) * 0.5), 6) AS roc_auc_trapezoid,
+       round(sum((r - r0) * (p + p0) * 0.5), 6) AS pr_auc
+FROM seg WHERE rank > 0 GROUP BY site"""
+
+SQL["label_probability_table"] = with_(SCORED) + "SELECT case_id, label, score AS pred_proba, site FROM sc"
