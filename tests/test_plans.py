@@ -58,7 +58,7 @@ def test_hot_plans(spark, name):
 
 
 def test_scan_pruning_and_pushdown(spark):
-    lines = plan_lines(QUERIES["settings_summary"](spark, D))
+    lines = plan_lines(QUERIES["organ_score"](spark, D))
     scans = [ln for ln in lines if "FileScan parquet" in ln and "lineitem" in ln]
     assert scans and all("l_comment" not in s and "l_partkey" not in s for s in scans)
     lines = plan_lines(QUERIES["dose_converted"](spark, D))
