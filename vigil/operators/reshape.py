@@ -93,3 +93,21 @@ def unpivot_columns(df: DataFrame, ids: Sequence[str], cols: Sequence[str], var:
     """SET-3: wide -> long (``DataFrame.unpivot``); values are cast to double."""
     return df.select(*ids, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         list(ids), list(cols), var, value)
+
+
+def filter_categories(long: DataFrame, cat: str, categories: Sequence[str], *, type_col: str | None = None,
+                      type_value: str = "standard") -> DataFrame:
+    """FLT-1/FLT-2: rows of the listed categories (one ``isin``, pushed to the scan), and
+    optionally only rows whose type column equals ``type_value``."""
+    cond = F.col(cat).isin(*categories)
+    if type_col:
+        cond = cond & (F.col(type_col) == F.lit(type_value))
+    return long.where(cond)
+
+
+def filter_pairs(long: DataFrame, allowed: Sequence[tuple], cols: Sequence[str]) -> DataFrame:
+    """FLT-3: rows whose (category, unit, ...) tuple is in a short fixed list -- a left
+    semi join against the list, which is a literal and therefore broadcast by construction."""
+    spark = long.sparkSession
+    ok = spark.createDataFrame([tuple(a) for a in allowed], ", ".join(f"{c} string" for c in cols))
+    return long.join(F.broadcast(ok), list(cols), "left_semi")

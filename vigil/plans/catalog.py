@@ -414,3 +414,23 @@ def q_curve_areas(spark, d):
 @query
 def q_label_probability_table(spark, d):
     return _scored(spark, d).select("case_id", "label", F.col("score").alias("pred_proba"), "site")
+
+
+# Labs analogue for the category / unit / type filters: lineitem lines as lab results.
+LAB_PAIRS = [("creatinine", "mg/dL"), ("albumin", "g/dL"), ("sodium", "mmol/L")]
+
+
+@query
+def q_lab_unit_filter(spark, d):
+    li = Analogue(spark, d).table("lineitem")
+    cat = (F.when(F.col("l_returnflag") == "R", F.lit("creatinine")).when(F.col("l_returnflag") == "A", F.lit("albumin"))
+           .otherwise(F.lit("sodium")))
+    unit = (F.when(F.col("l_linenumber") % 3 == 0, F.lit("mg/dL")).when(F.col("l_linenumber") % 3 == 1, F.lit("g/dL"))
+            .otherwise(F.lit("mmol/L")))
+    typ = F.when(F.col("l_linestatus") == "O", F.lit("standard")).otherwise(F.lit("poc"))
+    labs = li.select(F.col("l_orderkey").cast("string").alias(ID), cat.alias("lab_category"),
+                     unit.alias("reference_unit"), typ.alias("lab_type_name"), F.col("l_quantity").alias("lab_value"))
+    std = rs.filter_categories(labs, "lab_category", ["creatinine", "albumin"], type_col="lab_type_name")
+    kept = rs.filter_pairs(std, LAB_PAIRS, ["lab_category", "reference_unit"])
+    return kept.groupBy("lab_category", "reference_unit").agg(F.count(F.lit(1)).alias("n"),
+                                                              r6(F.avg("lab_value")).alias("mean_value"))

@@ -684,3 +684,17 @@ SELECT site, round(sum((x - x0) * (y + y0) * 0.5), 6) AS roc_auc_trapezoid,
 FROM seg WHERE rank > 0 GROUP BY site"""
 
 SQL["label_probability_table"] = with_(SCORED) + "SELECT case_id, label, score AS pred_proba, site FROM sc"
+
+SQL["lab_unit_filter"] = """
+WITH labs AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS hospitalization_id,
+         CASE l_returnflag WHEN 'R' THEN 'creatinine' WHEN 'A' THEN 'albumin' ELSE 'sodium' END AS lab_category,
+         CASE l_linenumber % 3 WHEN 0 THEN 'mg/dL' WHEN 1 THEN 'g/dL' ELSE 'mmol/L' END AS reference_unit,
+         CASE WHEN l_linestatus = 'O' THEN 'standard' ELSE 'poc' END AS lab_type_name,
+         l_quantity AS lab_value
+  FROM lineitem)
+SELECT lab_category, reference_unit, count(*) AS n, round(avg(lab_value), 6) AS mean_value
+FROM labs
+WHERE (lab_category = 'creatinine' AND reference_unit = 'mg/dL' AND lab_type_name = 'standard')
+   OR (lab_category = 'albumin' AND reference_unit = 'g/dL' AND lab_type_name = 'standard')
+GROUP BY 1, 2"""
