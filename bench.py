@@ -36,7 +36,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = [n for n in HEADLINE if n in QUERIES]
-    spark = get_session(f"local[{cpus}]", int(cpus) * 2, app="vigil-bench",
+    spark = get_session(f"local[{cpus}]", int(cpus), app="vigil-bench",
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
     for n in names:
         run(spark, n, d)

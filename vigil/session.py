@@ -19,6 +19,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.filterPushdown": "true",
+    # checkpointed ladders are removed once no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
