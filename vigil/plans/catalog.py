@@ -100,17 +100,20 @@ def q_range_filtered_worst(spark, d):
 @query
 def q_asof_weight(spark, d):
     a = Analogue(spark, d)
-    return tp.asof_join(a.doses(), a.weights(), id_col="hospitalization_id", left_t="admin_dttm",
-                        right_t="recorded_dttm", values=["weight_kg", "w_event_id"],
-                        right_tie="w_event_id", bucket="DAY")
+    j = tp.asof_join(a.doses(), a.weights(), id_col="hospitalization_id", left_t="admin_dttm",
+                     right_t="recorded_dttm", values=["weight_kg", "w_event_id"],
+                     right_tie="w_event_id", bucket="DAY")
+    # the matched id may be NULL: exported as text so both engines agree on the type
+    return j.withColumn("w_event_id", F.col("w_event_id").cast("string"))
 
 
 @query
 def q_asof_weight_swapped(spark, d):
     a = Analogue(spark, d)
-    return tp.asof_join(a.weights(), a.doses(), id_col="hospitalization_id", left_t="recorded_dttm",
-                        right_t="admin_dttm", values=["med_category", "med_dose", "med_dose_unit", "event_id"],
-                        right_tie="event_id", bucket="DAY")
+    j = tp.asof_join(a.weights(), a.doses(), id_col="hospitalization_id", left_t="recorded_dttm",
+                     right_t="admin_dttm", values=["med_category", "med_dose", "med_dose_unit", "event_id"],
+                     right_tie="event_id", bucket="DAY")
+    return j.withColumn("event_id", F.col("event_id").cast("string"))
 
 
 # ---- evaluation of scored cases ----------------------------------------------------------
@@ -243,7 +246,8 @@ def q_dose_summary(spark, d):
     a = Analogue(spark, d)
     total = a.table("events").agg(F.count_distinct("user_id").alias("n_total"))
     s = cl.dose_summary(_converted(a), total, id_col=ID)
-    return s.select("med_category", "n_encounters",
+    # NULL for a required drug never given: a nullable count is exported as double
+    return s.select("med_category", F.col("n_encounters").cast("double").alias("n_encounters"),
                     *[r6(c).alias(c) for c in ("overall_median_dose", "overall_iqr_lower", "overall_iqr_upper",
                                                "pct_encounters")])
 
@@ -259,7 +263,8 @@ def q_settings_summary(spark, d):
 def q_initial_mode_table(spark, d):
     a = Analogue(spark, d)
     t = cl.initial_modes(a.settings(), a.order_windows(), id_col=ID, tie=["l_linenumber"])
-    return t.select("denominator", "mode_category", "n_encounters", r6("pct_encounters").alias("pct_encounters"))
+    return t.select("denominator", "mode_category", F.col("n_encounters").cast("double").alias("n_encounters"),
+                    r6("pct_encounters").alias("pct_encounters"))
 
 
 def _sofa(spark, d):

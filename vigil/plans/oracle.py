@@ -197,13 +197,13 @@ FROM per_time GROUP BY hospitalization_id"""
 
 SQL["asof_weight"] = with_(DOSES) + """
 SELECT d.hospitalization_id, d.admin_dttm, d.med_category, d.med_dose, d.med_dose_unit, d.event_id,
-       w.weight_kg, w.w_event_id, w.recorded_dttm
+       w.weight_kg, CAST(w.w_event_id AS VARCHAR) AS w_event_id, w.recorded_dttm
 FROM doses d ASOF LEFT JOIN weights w
   ON d.hospitalization_id = w.hospitalization_id AND d.admin_dttm >= w.recorded_dttm"""
 
 SQL["asof_weight_swapped"] = with_(DOSES) + """
 SELECT w.hospitalization_id, w.recorded_dttm, w.weight_kg, w.w_event_id,
-       d.med_category, d.med_dose, d.med_dose_unit, d.event_id, d.admin_dttm
+       d.med_category, d.med_dose, d.med_dose_unit, CAST(d.event_id AS VARCHAR) AS event_id, d.admin_dttm
 FROM weights w ASOF LEFT JOIN doses d
   ON w.hospitalization_id = d.hospitalization_id AND w.recorded_dttm >= d.admin_dttm"""
 
@@ -424,7 +424,7 @@ ov AS (SELECT med_category,
        FROM per GROUP BY 1),
 tot AS (SELECT count(DISTINCT user_id) AS n FROM events),
 req(med_category) AS (VALUES """ + ", ".join(f"('{m}')" for m in _MEDS) + """)
-SELECT req.med_category, ov.n_encounters, round(ov.overall_median_dose, 6) AS overall_median_dose,
+SELECT req.med_category, CAST(ov.n_encounters AS DOUBLE) AS n_encounters, round(ov.overall_median_dose, 6) AS overall_median_dose,
        round(ov.overall_iqr_lower, 6) AS overall_iqr_lower, round(ov.overall_iqr_upper, 6) AS overall_iqr_upper,
        round(100.0 * ov.n_encounters / tot.n, 6) AS pct_encounters
 FROM req LEFT JOIN ov USING (med_category) CROSS JOIN tot"""
@@ -477,9 +477,10 @@ nomode AS (SELECT denominator, 'No mode documented' AS mode_category,
            FROM body GROUP BY denominator),
 allrows AS (SELECT denominator, mode_category, n_encounters, pct_encounters FROM body
             UNION ALL SELECT * FROM nomode)
-SELECT denominator, mode_category, n_encounters, round(pct_encounters, 6) AS pct_encounters FROM allrows
+SELECT denominator, mode_category, CAST(n_encounters AS DOUBLE) AS n_encounters,
+       round(pct_encounters, 6) AS pct_encounters FROM allrows
 UNION ALL
-SELECT denominator, 'Total', CAST(sum(n_encounters) AS BIGINT), round(sum(pct_encounters), 6) FROM allrows
+SELECT denominator, 'Total', CAST(sum(n_encounters) AS DOUBLE), round(sum(pct_encounters), 6) FROM allrows
 GROUP BY denominator"""
 
 SOFA = """sw AS (
