@@ -118,3 +118,32 @@ def test_bootstrap_contains_point(spark):
     auc = brute_auc(y, s)
     assert ci["ROC AUC"]["ci_lower"] <= auc <= ci["ROC AUC"]["ci_upper"]
     assert ci["ROC AUC"]["exact_cells"]
+
+
+def test_sweep_r_variant(spark):
+    rng = np.random.RandomState(2)
+    df = frame(spark, rng.randint(0, 2, 200), rng.rand(200))
+    sw = ev.topn_sweep(df, by=["site"], include_top=False).collect()
+    assert len(sw) == 99 and max(r["q"] for r in sw) == 0.99
+
+
+def test_cell_bootstrap_agrees_with_row_resampling(spark):
+    """Brute force on a small fixture: resample rows with numpy and compare the intervals."""
+    from vigil.operators import bootstrap as bs
+    rng = np.random.RandomState(11)
+    n = 300
+    s = rng.rand(n).round(3)
+    y = (rng.rand(n) < s).astype(int)
+    R = 2000
+    aucs, accs = [], []
+    for _ in range(R):
+        idx = rng.randint(0, n, n)
+        aucs.append(brute_auc(y[idx], s[idx]))
+        accs.append(((s[idx] >= 0.208).astype(int) == y[idx]).mean())
+    ci = {r["metric"]: r for r in bs.bootstrap_ci(frame(spark, y, s), by=["site"], replicates=R).collect()}
+    assert abs(ci["ROC AUC"]["ci_lower"] - np.quantile(aucs, 0.025)) < 0.02
+    assert abs(ci["ROC AUC"]["ci_upper"] - np.quantile(aucs, 0.975)) < 0.02
+    assert abs(ci["Accuracy"]["ci_lower"] - np.quantile(accs, 0.025)) < 0.02
+    idx = {r["metric"]: r for r in bs.bootstrap_ci(frame(spark, y, s), by=["site"], replicates=R,
+                                                   ci_method="index").collect()}
+    assert abs(idx["ROC AUC"]["ci_lower"] - ci["ROC AUC"]["ci_lower"]) < 0.01

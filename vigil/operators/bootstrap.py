@@ -46,7 +46,8 @@ def bootstrap_cells(df: DataFrame, *, label="label", score="score", by: Sequence
                  (F.max("_m") <= max_cells).alias("exact")))
 
 
-def _replicates(cells: pd.DataFrame, replicates: int, seed: int, alpha: float) -> pd.DataFrame:
+def _replicates(cells: pd.DataFrame, replicates: int, seed: int, alpha: float,
+                ci_method: str = "interpolated") -> pd.DataFrame:
     c = cells.sort_values(["cell", "above"], ascending=[True, False])
     pos, neg = c["pos"].to_numpy(float), c["neg"].to_numpy(float)
     mse_pos = np.divide(c["se_pos"].to_numpy(float), pos, out=np.zeros_like(pos), where=pos > 0)
@@ -70,16 +71,23 @@ def _replicates(cells: pd.DataFrame, replicates: int, seed: int, alpha: float) -
                   tp / (tp + fp) if tp + fp > 0 else np.nan,
                   auc,
                   (p * mse_pos + q * mse_neg).sum() / n if n else np.nan]
-    lo = np.nanquantile(out, alpha / 2, axis=0)
-    hi = np.nanquantile(out, 1 - alpha / 2, axis=0)
+    if ci_method == "index":
+        # sorted replicates, bounds at positions int(a/2 * R) and int((1 - a/2) * R)
+        srt = np.sort(out, axis=0)
+        lo = srt[int(alpha / 2 * replicates)]
+        hi = srt[min(int((1 - alpha / 2) * replicates), replicates - 1)]
+    else:
+        lo = np.nanquantile(out, alpha / 2, axis=0)
+        hi = np.nanquantile(out, 1 - alpha / 2, axis=0)
     return pd.DataFrame({"metric": METRICS, "ci_lower": lo, "ci_upper": hi,
                          "replicates": replicates, "exact_cells": bool(c["exact"].all())})
 
 
 def bootstrap_ci(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),
                  thr: float = fixed.THRESHOLD, replicates: int = fixed.BOOTSTRAP_REPLICATES, seed: int = 42,
-                 alpha: float = 0.05, max_cells: int = 20000) -> DataFrame:
-    """EVL-3: percentile intervals (interpolated) of accuracy, recall, precision (at
+                 alpha: float = 0.05, max_cells: int = 20000, ci_method: str = "interpolated") -> DataFrame:
+    """EVL-3: percentile intervals (``interpolated``, or ``index`` = sorted replicate at
+    position int(a/2 R) as in the Python variant) of accuracy, recall, precision (at
     ``score >= thr``), ROC AUC and probability Brier score over ``replicates`` resamples
     of each group.  Rows (by..., metric, ci_lower, ci_upper, replicates, exact_cells)."""
     by = list(by)
@@ -91,7 +99,7 @@ def bootstrap_ci(df: DataFrame, *, label="label", score="score", by: Sequence[st
         ", metric string, ci_lower double, ci_upper double, replicates int, exact_cells boolean"
 
     def run(key, pdf):
-        res = _replicates(pdf, replicates, seed, alpha)
+        res = _replicates(pdf, replicates, seed, alpha, ci_method)
         for i, kname in enumerate(keys):
             res.insert(i, kname, str(key[i]))
         return res

@@ -170,12 +170,15 @@ def threshold_metrics(roc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def topn_sweep(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),
-               steps: int = fixed.SWEEP_STEPS, n_buckets: int | None = None) -> DataFrame:
+               steps: int = fixed.SWEEP_STEPS, include_top: bool = True,
+               n_buckets: int | None = None) -> DataFrame:
     """EVL-6: for q = 1.00, 0.99, ..., 1/steps: threshold = linear quantile q of the score,
-    counts of ``score >= threshold``.  Quantile positions and counts are looked up on the
-    ladder by equi joins: one pass over the data, not one per threshold."""
+    counts of ``score >= threshold``.  ``include_top=False`` starts at (steps-1)/steps
+    (99 rows from 0.99, the R variant).  Quantile positions and counts are looked up on
+    the ladder by equi joins: one pass over the data, not one per threshold."""
     by = list(by)
-    probs = [k / float(steps) for k in range(steps, 0, -1)]
+    top = steps if include_top else steps - 1
+    probs = [k / float(steps) for k in range(top, 0, -1)]
     lad = score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets)
     # quantiles of the score read off the same ladder: ascending position of a distinct
     # score = rows below it + its own count (no second pass over the data)

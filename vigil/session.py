@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # faster (de)serialisation of checkpointed ladders and of ML training RDDs
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.filterPushdown": "true",
     # checkpointed ladders are removed once no longer referenced
