@@ -45,11 +45,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests)
-    create a scratch folder."""
+    """Use the cluster's ``spark.checkpoint.dir``.  Only in local mode, when it is unset
+    (tests), a scratch folder is created; on a cluster an unset value is an error, since a
+    machine-local folder would not survive the loss of an executor."""
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name shared storage on a cluster")
         d = tempfile.mkdtemp(prefix="vigil-ckpt-", dir=os.environ.get("VIGIL_SCRATCH", "/tmp"))
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
