@@ -15,11 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _n_buckets(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+from ..session import ensure_checkpoint_dir
 
 
 def attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -43,13 +39,17 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[
         out = running_totals(df.withColumn("_g", F.lit(0)), ["_g"], order, sums, descending=descending,
                              n_buckets=n_buckets, prefix=prefix, totals_prefix=totals_prefix)
         return out.drop("_g")
-    n = _n_buckets(df, n_buckets)
     o = F.col(order).desc() if descending else F.col(order).asc()
     # Range bounds come from sampling, which may differ if the exchange is recomputed in
     # another branch of the plan; the bucket ids must be identical in the totals and in the
     # rows, so the bucketed rows are written once to the checkpoint folder (reliable
     # storage, also survives the loss of executors) and every branch reads that copy.
-    r = (df.repartitionByRange(n, *[F.col(b) for b in by], o)
+    ensure_checkpoint_dir(df.sparkSession)
+    # without an explicit count adaptive execution may coalesce the range partitions
+    # (each partition stays one contiguous key range, which is all the buckets need)
+    keys = [F.col(b) for b in by] + [o]
+    r = (df.repartitionByRange(n_buckets, *keys) if n_buckets else df.repartitionByRange(*keys))
+    r = (r
          .withColumn("_bk", F.spark_partition_id())
          .checkpoint(eager=True))
     tot = r.groupBy(*by, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
