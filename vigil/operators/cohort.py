@@ -50,10 +50,10 @@ def state_blocks(stays: DataFrame, *, id_col: str = "hospitalization_id",
         x = x.withColumn("_bk", F.date_trunc(bucket, t_in))
     w = Window.partitionBy(*parts).orderBy("_key")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prev = F.lag(F.struct(F.col("_st").alias("s"))).over(w)
-    first_in_part = prev.isNull()
+    x = x.withColumn("_prev", F.lag(F.struct(F.col("_st").alias("s"))).over(w))
+    prev = F.col("_prev")
     chg = F.when(prev.isNull(), 1).when(prev["s"].eqNullSafe(F.col("_st")), 0).otherwise(1)
-    x = x.withColumn("_first", first_in_part).withColumn("_c", chg)
+    x = x.withColumn("_first", prev.isNull()).withColumn("_c", chg).drop("_prev")
     if not bucket:
         x = x.withColumn("block", F.sum("_c").over(run))
     else:

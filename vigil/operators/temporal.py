@@ -73,7 +73,9 @@ def asof_join(left: DataFrame, right: DataFrame, *, id_col: str, left_t: str, ri
         rlast = R.groupBy("_id", "_bk").agg(
             F.max_by("_r", F.struct(F.col("_t"), *[F.col(f"_r._tie{i}") for i in range(len(tie))]))
             .alias("_last"))
-        need = hit.where(F.col("_m").isNull()).select("_id", "_bk").distinct()
+        # every (id, bucket) of the left side, taken from the left input itself so that the
+        # windowed union above is computed once
+        need = L.select("_id", "_bk").distinct()
         keys = need.join(rlast, ["_id", "_bk"], "full")
         wb = Window.partitionBy("_id").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
         carry = (keys.withColumn("_prev", F.last("_last", ignorenulls=True).over(wb))
