@@ -15,6 +15,7 @@ from ..operators import evaluate as ev
 from ..operators import profile as pf
 from ..operators import reshape as rs
 from ..operators import temporal as tp
+from ..session import pin
 from ..sources import load_table
 
 ID = "hospitalization_id"
@@ -51,10 +52,11 @@ def load_registry(spark: SparkSession, root: str, fmt: str = "parquet", version:
     return {t: load_table(spark, t, root, fmt, version=version, prefix=prefix) for t in tables}
 
 
-def study_cohort(t: dict, **rules) -> DataFrame:
-    """COH-1 + COH-2: first ICU block with demographics and outcome label."""
-    c = coh.first_block(t["adt"], t["hospitalization"], **rules)
-    return coh.demographics(c, t["patient"])
+def study_cohort(t: dict, pinned: bool = True, **rules) -> DataFrame:
+    """COH-1 + COH-2: first ICU block with demographics and outcome label.  Every later
+    table reads the cohort, so by default it is pinned once in the checkpoint folder."""
+    c = coh.demographics(coh.first_block(t["adt"], t["hospitalization"], **rules), t["patient"])
+    return pin(c) if pinned else c
 
 
 def vital_features(cohort: DataFrame, vitals: DataFrame, strict: bool = True) -> DataFrame:

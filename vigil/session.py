@@ -57,3 +57,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
+
+
+def pin(df):
+    """Cut a DataFrame's lineage: write it once to the checkpoint folder (shared storage
+    on a cluster) and read that copy from then on.  For results reused by many outputs."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
