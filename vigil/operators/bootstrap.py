@@ -19,35 +19,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .evaluate import score_ladder
+from .ordered import running_totals
 
 METRICS = ["Accuracy", "Recall", "Precision", "ROC AUC", "Brier Score Loss"]
 
 
 def bootstrap_cells(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),
                     thr: float = fixed.THRESHOLD, max_cells: int = 20000) -> DataFrame:
-    """(by..., cell, above, pos, neg, se_pos, se_neg, exact): cell 0 holds the highest scores."""
+    """(by..., cell, above, pos, neg, se_pos, se_neg, exact): cell 0 holds the highest scores.
+    One aggregate per distinct score (counts and squared errors), ranked by the two-level
+    prefix sum; ranks are only used to merge scores when a group has more than
+    ``max_cells`` of them."""
     by = list(by)
-    sq = df.select(*by, label, score,
-                   F.when(F.col(label) == 1, (F.col(score) - 1) * (F.col(score) - 1)).alias("_sep"),
-                   F.when(F.col(label) == 0, F.col(score) * F.col(score)).alias("_sen"))
-    se = sq.groupBy(*by, F.col(score).alias("score")).agg(F.sum("_sep").alias("se_pos"),
-                                                          F.sum("_sen").alias("se_neg"))
-    lad = score_ladder(df, label=label, score=score, by=by).join(se, by + ["score"], "left")
-    m = lad.groupBy(*by).agg(F.max("rank").alias("_m"))
-    x = lad.join(m, by) if by else lad.crossJoin(F.broadcast(m))
-    cell = F.when(F.col("_m") <= max_cells, F.col("rank") - 1).otherwise(
-        F.floor((F.col("rank") - 1) * F.lit(max_cells) / F.col("_m")))
-    return (x.withColumn("cell", cell.cast("long")).withColumn("above", F.col("score") >= thr)
+    y = F.col(label) == 1
+    per = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+           .groupBy(*by, F.col(score).alias("score"))
+           .agg(F.sum(y.cast("long")).alias("pos"), F.sum((~y).cast("long")).alias("neg"),
+                F.sum(F.when(y, (F.col(score) - 1) * (F.col(score) - 1)).otherwise(0.0)).alias("se_pos"),
+                F.sum(F.when(~y, F.col(score) * F.col(score)).otherwise(0.0)).alias("se_neg"))
+           .withColumn("one", F.lit(1).cast("long")))
+    rt = running_totals(per, by, "score", ["one"], descending=True)
+    cell = F.when(F.col("tot_one") <= max_cells, F.col("cum_one") - 1).otherwise(
+        F.floor((F.col("cum_one") - 1) * F.lit(max_cells) / F.col("tot_one")))
+    return (rt.withColumn("cell", cell.cast("long")).withColumn("above", F.col("score") >= thr)
             .groupBy(*by, "cell", "above")
-            .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
-                 F.coalesce(F.sum("se_pos"), F.lit(0.0)).alias("se_pos"),
-                 F.coalesce(F.sum("se_neg"), F.lit(0.0)).alias("se_neg"),
-                 (F.max("_m") <= max_cells).alias("exact")))
+            .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("se_pos").alias("se_pos"),
+                 F.sum("se_neg").alias("se_neg"), (F.max("tot_one") <= max_cells).alias("exact")))
 
 
-def _replicates(cells: pd.DataFrame, replicates: int, seed: int, alpha: float,
-                ci_method: str = "interpolated") -> pd.DataFrame:
+def _replicate_block(cells: pd.DataFrame, reps: int, seed_seq) -> np.ndarray:
+    """``reps`` multinomial resamples of one group's cells -> array (reps, 5 metrics)."""
     c = cells.sort_values(["cell", "above"], ascending=[True, False])
     pos, neg = c["pos"].to_numpy(float), c["neg"].to_numpy(float)
     mse_pos = np.divide(c["se_pos"].to_numpy(float), pos, out=np.zeros_like(pos), where=pos > 0)
@@ -55,11 +56,20 @@ def _replicates(cells: pd.DataFrame, replicates: int, seed: int, alpha: float,
     above = c["above"].to_numpy(bool)
     n = int(pos.sum() + neg.sum())
     probs = np.concatenate([pos, neg]) / max(n, 1)
-    rng = np.random.RandomState(seed)
+    rng = np.random.Generator(np.random.PCG64(seed_seq))
     k = len(pos)
-    out = np.full((replicates, 5), np.nan)
-    for r in range(replicates):
-        draw = rng.multinomial(n, probs)
+    out = np.full((reps, 5), np.nan)
+    counts = np.concatenate([pos, neg]).astype(np.int64)
+    # Two exact samplers of the same multinomial: drawing n row indices costs O(n) per
+    # replicate, one binomial per cell costs O(cells); take the cheaper one for this group.
+    by_rows = n <= 10 * len(counts)
+    if by_rows:
+        cat_of_row = np.repeat(np.arange(len(counts)), counts)
+    for r in range(reps):
+        if by_rows:
+            draw = np.bincount(cat_of_row[rng.integers(0, n, n)], minlength=len(counts))
+        else:
+            draw = rng.multinomial(n, probs)
         p, q = draw[:k].astype(float), draw[k:].astype(float)
         tp, fp = p[above].sum(), q[above].sum()
         fn, tn = p[~above].sum(), q[~above].sum()
@@ -71,41 +81,58 @@ def _replicates(cells: pd.DataFrame, replicates: int, seed: int, alpha: float,
                   tp / (tp + fp) if tp + fp > 0 else np.nan,
                   auc,
                   (p * mse_pos + q * mse_neg).sum() / n if n else np.nan]
-    if ci_method == "index":
-        # sorted replicates, bounds at positions int(a/2 * R) and int((1 - a/2) * R)
-        srt = np.sort(out, axis=0)
-        lo = srt[int(alpha / 2 * replicates)]
-        hi = srt[min(int((1 - alpha / 2) * replicates), replicates - 1)]
-    else:
-        lo = np.nanquantile(out, alpha / 2, axis=0)
-        hi = np.nanquantile(out, 1 - alpha / 2, axis=0)
-    return pd.DataFrame({"metric": METRICS, "ci_lower": lo, "ci_upper": hi,
-                         "replicates": replicates, "exact_cells": bool(c["exact"].all())})
+    return out
 
 
 def bootstrap_ci(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),
                  thr: float = fixed.THRESHOLD, replicates: int = fixed.BOOTSTRAP_REPLICATES, seed: int = 42,
-                 alpha: float = 0.05, max_cells: int = 20000, ci_method: str = "interpolated") -> DataFrame:
+                 alpha: float = 0.05, max_cells: int = 20000, ci_method: str = "interpolated",
+                 blocks: int = 8) -> DataFrame:
     """EVL-3: percentile intervals (``interpolated``, or ``index`` = sorted replicate at
     position int(a/2 R) as in the Python variant) of accuracy, recall, precision (at
     ``score >= thr``), ROC AUC and probability Brier score over ``replicates`` resamples
-    of each group.  Rows (by..., metric, ci_lower, ci_upper, replicates, exact_cells)."""
+    of each group.  Rows (by..., metric, ci_lower, ci_upper, replicates, exact_cells).
+
+    Each group's replicates are split into ``blocks`` independent streams (seeded from
+    (seed, block)), so one group's resampling runs on many cores; the bounded cell table is
+    repeated per block with ``explode`` and the interval is an exact percentile over the
+    replicate values (at most ``replicates`` per group and metric)."""
     by = list(by)
     cells = bootstrap_cells(df, label=label, score=score, by=by, thr=thr, max_cells=max_cells)
     if not by:
         cells = cells.withColumn("_g", F.lit(0))
     keys = by or ["_g"]
-    schema = ", ".join([f"{b} string" for b in keys]) + \
-        ", metric string, ci_lower double, ci_upper double, replicates int, exact_cells boolean"
+    nb = max(1, min(blocks, replicates))
+    schema = ", ".join([f"{b} string" for b in keys]) + ", _blk int, metric string, v double, exact boolean"
 
     def run(key, pdf):
-        res = _replicates(pdf, replicates, seed, alpha, ci_method)
+        blk = int(key[len(keys)])
+        reps = replicates // nb + (1 if blk < replicates % nb else 0)
+        out = _replicate_block(pdf, reps, np.random.SeedSequence([seed, blk]))
+        rows = pd.DataFrame({"metric": np.tile(METRICS, reps),
+                             "v": out.reshape(-1)})
+        rows["v"] = rows["v"].astype(float)
         for i, kname in enumerate(keys):
-            res.insert(i, kname, str(key[i]))
-        return res
-
-    out = cells.select(*[F.col(k).cast("string").alias(k) for k in keys], "cell", "above", "pos", "neg",
-                       "se_pos", "se_neg", "exact").groupBy(*keys).applyInPandas(run, schema)
+            rows.insert(i, kname, str(key[i]))
+        rows.insert(len(keys), "_blk", blk)
+        rows["exact"] = bool(pdf["exact"].all())
+        return rows
+
+    rep = (cells.select(*[F.col(k).cast("string").alias(k) for k in keys], "cell", "above", "pos", "neg",
+                        "se_pos", "se_neg", "exact")
+           .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+           .groupBy(*keys, "_blk").applyInPandas(run, schema)
+           .withColumn("v", F.when(~F.isnan("v"), F.col("v"))))
+    a_lo, a_hi = alpha / 2, 1 - alpha / 2
+    if ci_method == "index":
+        srt = F.array_sort(F.collect_list("v"))
+        lo = F.element_at(srt, int(a_lo * replicates) + 1)
+        hi = F.element_at(srt, min(int(a_hi * replicates), replicates - 1) + 1)
+    else:
+        lo, hi = F.percentile("v", a_lo), F.percentile("v", a_hi)
+    out = (rep.groupBy(*keys, "metric")
+           .agg(lo.alias("ci_lower"), hi.alias("ci_upper"), F.lit(replicates).alias("replicates"),
+                F.min("exact").alias("exact_cells")))
     return out.drop("_g") if not by else out
 
 
