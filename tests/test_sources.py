@@ -33,3 +33,15 @@ def test_shareable_refuses_ids(spark):
     df = spark.createDataFrame([("h1", 1.0)], "hospitalization_id string, v double")
     with pytest.raises(ValueError):
         write_shareable(df, tempfile.mkdtemp())
+
+
+def test_parse_timestamp_and_drop_zone(spark):
+    from vigil.functions import parse_timestamp
+    from vigil.sources import to_ntz
+    df = spark.createDataFrame([("2020-01-01 10:00:00",), ("garbage",)], "s string")
+    r = [x[0] for x in df.select(parse_timestamp("s")).collect()]
+    assert r[0] == ts("2020-01-01 10:00:00") and r[1] is None
+    z = spark.createDataFrame([("h", 1)], "hospitalization_id string, x int").selectExpr(
+        "hospitalization_id", "TIMESTAMP '2020-01-01 10:00:00' AS t")
+    out = to_ntz(z)
+    assert dict(out.dtypes)["t"] == "timestamp_ntz" and out.collect()[0]["t"] == ts("2020-01-01 10:00:00")

@@ -71,3 +71,13 @@ def pao2_from_spo2(spo2) -> Column:
 def first_nonblank(c) -> Column:
     """FLT-11 helper: NULL for empty or blank text."""
     return F.nullif(F.trim(_c(c)), F.lit(""))
+
+
+def parse_timestamp(c, fmt: str | None = None, strict: bool = False) -> Column:
+    """DAT-1: text to ``timestamp_ntz``; unparseable text is NULL (lenient) or an error
+    (``strict``, ANSI cast)."""
+    col = _c(c)
+    if strict:
+        return (F.to_timestamp_ntz(col, F.lit(fmt)) if fmt else col.cast("timestamp_ntz"))
+    return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz") if fmt else \
+        F.try_to_timestamp(col).cast("timestamp_ntz")

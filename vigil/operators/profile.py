@@ -97,3 +97,14 @@ def table1(df: DataFrame, *, continuous: Sequence[str], categorical: Sequence[st
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def table1_header(df: DataFrame, site) -> DataFrame:
+    """TAB-1 / STR-3: the column title of Table 1, ``Overall(N=n)`` rewritten to
+    ``{site} (N=n)`` with a regular expression (one row per site value)."""
+    site_col = F.col(site) if isinstance(site, str) and site in df.columns else F.lit(site)
+    g = df.groupBy(site_col.alias("_site")).agg(F.count(F.lit(1)).alias("_n"))
+    raw = F.concat(F.lit("Overall(N="), F.col("_n").cast("string"), F.lit(")"))
+    return g.select(F.col("_site").alias("site"),
+                    F.regexp_replace(raw, r"Overall\(N=(\d+)\)", F.concat(F.col("_site"), F.lit(" (N=$1)")))
+                    .alias("header"))

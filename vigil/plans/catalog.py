@@ -439,3 +439,9 @@ def q_lab_unit_filter(spark, d):
     kept = rs.filter_pairs(std, LAB_PAIRS, ["lab_category", "reference_unit"])
     return kept.groupBy("lab_category", "reference_unit").agg(F.count(F.lit(1)).alias("n"),
                                                               r6(F.avg("lab_value")).alias("mean_value"))
+
+
+@query
+def q_table1_header(spark, d):
+    s = _scored(spark, d)
+    return pf.table1_header(s, "site")

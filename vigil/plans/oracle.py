@@ -699,3 +699,8 @@ FROM labs
 WHERE (lab_category = 'creatinine' AND reference_unit = 'mg/dL' AND lab_type_name = 'standard')
    OR (lab_category = 'albumin' AND reference_unit = 'g/dL' AND lab_type_name = 'standard')
 GROUP BY 1, 2"""
+
+SQL["table1_header"] = with_(SCORED) + """
+SELECT site, regexp_replace('Overall(N=' || CAST(count(*) AS VARCHAR) || ')', 'Overall\\(N=(\\d+)\\)',
+                            site || ' (N=\\1)') AS header
+FROM sc GROUP BY site"""
