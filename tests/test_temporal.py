@@ -47,3 +47,16 @@ def test_pivot_tie_and_mean(spark):
 def test_lenient_parse(spark):
     df = spark.createDataFrame([(">90",), ("abc",), (None,), ("7.5",)], "s string")
     assert [r[0] for r in df.select(lenient_number("s")).collect()] == [None, None, None, 7.5]
+
+
+def test_trunc_ntz_ignores_session_zone(spark):
+    from vigil.functions import trunc_ntz
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+        df = spark.createDataFrame([(ts("2024-03-10 02:30:00"),), (ts("2024-01-01 00:09:58"),)], "t timestamp_ntz")
+        r = df.select(trunc_ntz("DAY", "t").alias("d"), trunc_ntz("HOUR", "t").alias("h")).collect()
+        assert [x["d"] for x in r] == [ts("2024-03-10 00:00:00"), ts("2024-01-01 00:00:00")]
+        assert [x["h"] for x in r] == [ts("2024-03-10 02:00:00"), ts("2024-01-01 00:00:00")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

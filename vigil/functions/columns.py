@@ -81,3 +81,21 @@ def parse_timestamp(c, fmt: str | None = None, strict: bool = False) -> Column:
         return (F.to_timestamp_ntz(col, F.lit(fmt)) if fmt else col.cast("timestamp_ntz"))
     return F.try_to_timestamp(col, F.lit(fmt)).cast("timestamp_ntz") if fmt else \
         F.try_to_timestamp(col).cast("timestamp_ntz")
+
+
+def trunc_ntz(unit: str, c) -> Column:
+    """``date_trunc`` that stays ``timestamp_ntz`` and ignores the session time zone
+    (``date_trunc`` on a zone-less timestamp returns a zoned one).  Units: YEAR, QUARTER,
+    MONTH, WEEK, DAY, HOUR, MINUTE."""
+    col = _c(c)
+    u = unit.upper()
+    if u in ("YEAR", "QUARTER", "MONTH", "WEEK"):
+        return F.trunc(F.to_date(col), u).cast("timestamp_ntz")
+    if u == "DAY":
+        return F.to_date(col).cast("timestamp_ntz")
+    zero = F.lit(0)
+    h = F.hour(col) if u in ("HOUR", "MINUTE") else zero
+    m = F.minute(col) if u == "MINUTE" else zero
+    if u not in ("HOUR", "MINUTE"):
+        raise ValueError(f"unsupported unit {unit!r}")
+    return F.make_timestamp_ntz(F.year(col), F.month(col), F.dayofmonth(col), h, m, F.lit(0).cast("decimal(8,6)"))

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import add_hours, death_flag, hours_between, map_values
+from ..functions import add_hours, death_flag, hours_between, map_values, trunc_ntz
 from ..functions import fixed
 
 
@@ -47,7 +47,7 @@ def state_blocks(stays: DataFrame, *, id_col: str = "hospitalization_id",
     x = stays.withColumn("_st", st).withColumn("_key", key)
     parts = [id_col] + (["_bk"] if bucket else [])
     if bucket:
-        x = x.withColumn("_bk", F.date_trunc(bucket, t_in))
+        x = x.withColumn("_bk", trunc_ntz(bucket, t_in))
     w = Window.partitionBy(*parts).orderBy("_key")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("_prev", F.lag(F.struct(F.col("_st").alias("s"))).over(w))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import within
+from ..functions import trunc_ntz, within
 
 
 def window_join(windows: DataFrame, obs: DataFrame, *, id_col: str, t: str,
@@ -60,8 +60,8 @@ def asof_join(left: DataFrame, right: DataFrame, *, id_col: str, left_t: str, ri
                      rv.alias("_r"))
     parts = ["_id"]
     if bucket:
-        L = L.withColumn("_bk", F.date_trunc(bucket, "_t"))
-        R = R.withColumn("_bk", F.date_trunc(bucket, "_t"))
+        L = L.withColumn("_bk", trunc_ntz(bucket, "_t"))
+        R = R.withColumn("_bk", trunc_ntz(bucket, "_t"))
         parts.append("_bk")
     u = L.unionByName(R, allowMissingColumns=True)
     order = [F.col("_t"), F.col("_side")] + [F.col(f"_r._tie{i}") for i in range(len(tie))]
@@ -97,7 +97,7 @@ def next_time(df: DataFrame, *, id_col: str, t: str, tie: str | None = None, out
     order = [F.col(t)] + ([F.col(tie)] if tie else [])
     if not bucket:
         return df.withColumn(out, F.lead(t).over(Window.partitionBy(id_col).orderBy(*order)))
-    x = df.withColumn("_bk", F.date_trunc(bucket, t))
+    x = df.withColumn("_bk", trunc_ntz(bucket, t))
     x = x.withColumn(out, F.lead(t).over(Window.partitionBy(id_col, "_bk").orderBy(*order)))
     firsts = x.groupBy(id_col, "_bk").agg(F.min(t).alias("_ft"))
     nxt = firsts.withColumn("_nb", F.lead("_ft").over(Window.partitionBy(id_col).orderBy("_bk")))

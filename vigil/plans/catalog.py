@@ -56,7 +56,7 @@ def q_cohort_demographics(spark, d):
 
 
 # ---- features -------------------------------------------------------------------------
-from ..functions import lenient_number, safe_div  # noqa: E402
+from ..functions import lenient_number, safe_div, trunc_ntz  # noqa: E402
 from ..operators import reshape as rs  # noqa: E402
 from ..operators import temporal as tp  # noqa: E402
 
@@ -76,7 +76,7 @@ def q_window_features_wide(spark, d):
 @query
 def q_ratio_at_same_time(spark, d):
     a = Analogue(spark, d)
-    obs = a.observations().withColumn("recorded_dttm", F.date_trunc("DAY", "recorded_dttm"))
+    obs = a.observations().withColumn("recorded_dttm", trunc_ntz("DAY", "recorded_dttm"))
     w = rs.pivot_eav(obs, keys=["hospitalization_id", "recorded_dttm"], cat="vital_category",
                      value="vital_value", categories=["view", "click"], tie="event_id",
                      names={"view": "weight_kg", "click": "height_cm"})
