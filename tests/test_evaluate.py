@@ -147,3 +147,11 @@ def test_cell_bootstrap_agrees_with_row_resampling(spark):
     idx = {r["metric"]: r for r in bs.bootstrap_ci(frame(spark, y, s), by=["site"], replicates=R,
                                                    ci_method="index").collect()}
     assert abs(idx["ROC AUC"]["ci_lower"] - ci["ROC AUC"]["ci_lower"]) < 0.01
+
+
+def test_ungrouped_sweep_matches_grouped(spark):
+    rng = np.random.RandomState(9)
+    df = frame(spark, rng.randint(0, 2, 150), rng.rand(150).round(2))
+    a = {r["q"]: (r["thr_value"], r["tp"], r["fp"]) for r in ev.topn_sweep(df, by=["site"]).collect()}
+    b = {r["q"]: (r["thr_value"], r["tp"], r["fp"]) for r in ev.topn_sweep(df.drop("site")).collect()}
+    assert a == b and len(a) == 100

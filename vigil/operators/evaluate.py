@@ -17,7 +17,7 @@ div = F.try_divide
 
 
 def score_ladder(df: DataFrame, *, label: str = "label", score: str = "score",
-                 by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+                 by: Sequence[str] = (), n_buckets: int | None = None, keep_bucket: bool = False) -> DataFrame:
     """EVL-1: ``(by..., score, pos, neg, cum_pos, cum_neg, rank, P, N)``; cumulative
     counts include the row's own score (predicted positive at threshold = score), rank
     1 is the highest score."""
@@ -27,9 +27,11 @@ def score_ladder(df: DataFrame, *, label: str = "label", score: str = "score",
            .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("_n"))
            .withColumn("neg", F.col("_n") - F.col("pos")).drop("_n")
            .withColumn("one", F.lit(1).cast("long")))
-    rt = running_totals(lad, by, "score", ["pos", "neg", "one"], descending=True, n_buckets=n_buckets)
+    rt = running_totals(lad, by, "score", ["pos", "neg", "one"], descending=True, n_buckets=n_buckets,
+                        keep_bucket=keep_bucket)
     return rt.select(*by, "score", "pos", "neg", "cum_pos", "cum_neg", F.col("cum_one").alias("rank"),
-                     F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"))
+                     F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"),
+                     *([c for c in ("_g", "_bk") if c in rt.columns] if keep_bucket else []))
 
 
 def auc_from_ladder(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -179,13 +181,13 @@ def topn_sweep(df: DataFrame, *, label="label", score="score", by: Sequence[str]
     by = list(by)
     top = steps if include_top else steps - 1
     probs = [k / float(steps) for k in range(top, 0, -1)]
-    lad = score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets)
+    lad = score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets, keep_bucket=True)
     # quantiles of the score read off the same ladder: ascending position of a distinct
     # score = rows below it + its own count (no second pass over the data)
     asc = lad.select(*by, F.col("score"), (F.col("pos") + F.col("neg")).alias("_n"),
                      ((F.col("P") + F.col("N")) - (F.col("cum_pos") + F.col("cum_neg"))
                       + (F.col("pos") + F.col("neg"))).alias("cum__n"),
-                     (F.col("P") + F.col("N")).alias("_gtot"))
+                     (F.col("P") + F.col("N")).alias("_gtot"), "_bk", *(["_g"] if not by else []))
     qv = pick_positions(asc, by, "score", probs, out="thr_value", bounds=True)
     # rows with score >= threshold: the threshold is an order statistic or lies between two
     # adjacent ones, so the count is the ladder's running total at the lower statistic

@@ -29,16 +29,21 @@ def attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], *,
                    descending: bool = False, n_buckets: int | None = None,
-                   prefix: str = "cum_", totals_prefix: str | None = "tot_") -> DataFrame:
+                   prefix: str = "cum_", totals_prefix: str | None = "tot_",
+                   keep_bucket: bool = False) -> DataFrame:
     """Add ``{prefix}{c}`` = running (inclusive) sum of ``c`` in ``order`` within ``by``
     and, optionally, group totals ``{totals_prefix}{c}``.  ``order`` must be unique within
-    a group (aggregate ties first)."""
+    a group (aggregate ties first).  ``keep_bucket`` keeps the range bucket id ``_bk``
+    (contiguous key ranges) for callers that look rows up by position."""
     by = list(by)
     if not by:
         # one group: a constant key keeps the bucket-offset window (n_buckets rows) keyed
         out = running_totals(df.withColumn("_g", F.lit(0)), ["_g"], order, sums, descending=descending,
-                             n_buckets=n_buckets, prefix=prefix, totals_prefix=totals_prefix)
-        return out.drop("_g")
+                             n_buckets=n_buckets, prefix=prefix, totals_prefix=totals_prefix,
+                             keep_bucket=keep_bucket)
+        # with buckets kept, the constant key stays: read back from the checkpoint it is a
+        # column, so later equi joins on it are not folded into cartesian products
+        return out if keep_bucket else out.drop("_g")
     o = F.col(order).desc() if descending else F.col(order).asc()
     # Range bounds come from sampling, which may differ if the exchange is recomputed in
     # another branch of the plan; the bucket ids must be identical in the totals and in the
@@ -64,7 +69,8 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[
     wr = Window.partitionBy(*by, "_bk").orderBy(o).rowsBetween(Window.unboundedPreceding,
                                                                Window.currentRow)
     out = j.withColumns({f"{prefix}{c}": F.sum(c).over(wr) + F.col(f"_o_{c}") for c in sums})
-    return out.drop("_bk", *[f"_o_{c}" for c in sums])
+    out = out.drop(*[f"_o_{c}" for c in sums])
+    return out if keep_bucket else out.drop("_bk")
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], *,
@@ -78,9 +84,11 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     by = list(by)
     cnt = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
            .agg(F.count(F.lit(1)).alias("_n")))
-    rt = running_totals(cnt, by, value, ["_n"], n_buckets=n_buckets, totals_prefix="_Ntot")
-    return pick_positions(rt.select(*by, value, "_n", "cum__n", F.col("_Ntot_n").alias("_gtot")), by, value, probs,
-                          prob_col=prob_col, out=out, bounds=bounds)
+    rt = running_totals(cnt, by, value, ["_n"], n_buckets=n_buckets, totals_prefix="_Ntot", keep_bucket=True)
+    g = by or ["_g"]
+    res = pick_positions(rt.select(*g, value, "_n", "cum__n", F.col("_Ntot_n").alias("_gtot"), "_bk"), g, value,
+                         probs, prob_col=prob_col, out=out, bounds=bounds)
+    return res if by else res.drop("_g")
 
 
 def pick_positions(rt: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], *,
@@ -89,6 +97,12 @@ def pick_positions(rt: DataFrame, by: Sequence[str], value: str, probs: Sequence
     ``cum__n`` counts rows with a value <= this one and ``_gtot`` is the group size.  Group
     sizes are read from that table (already materialised), not recomputed upstream."""
     by = list(by)
+    if not by:
+        # no group keys: use the checkpointed constant key when present (see running_totals)
+        if "_g" not in rt.columns:
+            rt = rt.withColumn("_g", F.lit(0))
+        res = pick_positions(rt, ["_g"], value, probs, prob_col=prob_col, out=out, bounds=bounds)
+        return res.drop("_g")
     grp = rt.groupBy(*by).agg(F.first("_gtot").alias("_gtot"))
     qs = F.array(*[F.lit(float(p)) for p in probs])
     tg = (grp.select(*by, "_gtot", F.explode(qs).alias(prob_col))
@@ -96,13 +110,18 @@ def pick_positions(rt: DataFrame, by: Sequence[str], value: str, probs: Sequence
           .withColumn("_lo", F.floor("_h"))
           .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_gtot") - 1))
           .withColumn("_f", F.col("_h") - F.col("_lo")))
-    pos = tg.groupBy(*by).agg(F.array_distinct(F.flatten(F.collect_list(F.array("_lo", "_hi"))))
-                              .alias("_pos"))
-    # keep only the distinct values that hold a needed position: cum-_n <= p < cum
-    hits = (attach(rt.drop("_gtot"), pos, by)
-            .withColumn("_p", F.explode(F.filter("_pos", lambda p: (p >= F.col("cum__n") - F.col("_n"))
-                                                  & (p < F.col("cum__n")))))
-            .select(*by, "_p", F.col(value).alias("_v")))
+    need = tg.select(*by, F.explode(F.array("_lo", "_hi")).alias("_p")).distinct()
+    holds = (F.col("_p") >= F.col("cum__n") - F.col("_n")) & (F.col("_p") < F.col("cum__n"))
+    if "_bk" in rt.columns:
+        # match the few target positions to range buckets on the small bucket table first,
+        # then each row is compared only with the positions of its own bucket (equi join)
+        rng = rt.groupBy(*by, "_bk").agg(F.min(F.col("cum__n") - F.col("_n")).alias("_blo"),
+                                         F.max("cum__n").alias("_bhi"))
+        pb = (need.join(rng, by, "inner").where((F.col("_p") >= F.col("_blo")) & (F.col("_p") < F.col("_bhi")))
+              .select(*by, "_bk", "_p"))
+        hits = rt.join(pb, by + ["_bk"], "inner").where(holds).select(*by, "_p", F.col(value).alias("_v"))
+    else:
+        hits = rt.join(need, by, "inner").where(holds).select(*by, "_p", F.col(value).alias("_v"))
     lo = hits.select(*by, F.col("_p").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = hits.select(*by, F.col("_p").alias("_hi"), F.col("_v").alias("_vhi"))
     res = (tg.join(lo, by + ["_lo"], "inner").join(hi, by + ["_hi"], "inner")
