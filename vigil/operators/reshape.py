@@ -44,22 +44,19 @@ def window_features(windows: DataFrame, obs: DataFrame, *, id_col: str, t: str,
     Order of work: window filter -> de-duplicate (id, time, category) with a deterministic
     first -> one conditional aggregate per (category, statistic).  That equals pivoting
     (id, time) to wide and aggregating each column, without materialising the wide rows.
-    With ``keep_all`` every window row is kept: the window filter is a left outer join
-    whose join condition carries the time range, so the window side is read once and an
-    id without observations yields NULL features.
+    The window filter is an inner equi join (a hot id's observations can be split by AQE's
+    skew handling, or the window side is broadcast when small); with ``keep_all`` the
+    per-id result is left-joined to the window ids afterwards -- one row per id on both
+    sides, so that join carries no skew.  Pin a computed cohort once (``session.pin``)
+    when it feeds several feature tables.
     """
     o = obs.where(F.col(cat).isin(*categories))
-    if keep_all:
-        w = windows.select(id_col, lo, hi)
-        o = o.withColumnRenamed(id_col, "_oid")
-        cond = (F.col(id_col) == F.col("_oid")) & (F.col(t) >= F.col(lo)) & (F.col(t) <= F.col(hi))
-        inside = w.join(o, cond, "left").drop("_oid", lo, hi)
-    else:
-        inside = window_join(windows, o, id_col=id_col, t=t, lo=lo, hi=hi)
+    inside = window_join(windows, o, id_col=id_col, t=t, lo=lo, hi=hi)
     d = dedupe_eav(inside, keys=[id_col, t], cat=cat, value=value, tie=tie)
     aggs = [_AGGS[s](F.when(F.col(cat) == F.lit(c), F.col(value))).alias(name.format(cat=c, stat=s))
             for c in categories for s in stats]
-    return d.groupBy(id_col).agg(*aggs)
+    feats = d.groupBy(id_col).agg(*aggs)
+    return windows.select(id_col).join(feats, id_col, "left") if keep_all else feats
 
 
 def worst_values(long: DataFrame, *, id_col: str, t: str, cat: str, value: str,
