@@ -390,11 +390,17 @@ def _model_frame(spark, d):
                     "n_lines", "avg_discount", "sum_quantity", "max_tax", "open_lines"))
 
 
+_MODELS: dict = {}
+
+
 def _fit(spark, d):
+    """Train once per (session, data directory); both model queries reuse the fit."""
     df = _model_frame(spark, d)
     test = F.col("year").isin(1998, 1999)
-    model = mdl.train(df.where(~test), MODEL_FEATURES)
-    return model, df.where(test)
+    key = (id(spark), d)
+    if key not in _MODELS:
+        _MODELS[key] = mdl.train(df.where(~test), MODEL_FEATURES)
+    return _MODELS[key], df.where(test)
 
 
 @query
