@@ -86,3 +86,24 @@ def test_asof_never_looks_ahead(spark, events):
         for i, t, n in left:
             cand = [(rt, rn) for ri, rt, rn in right if ri == i and rt <= t]
             assert got[n] == (max(cand)[1] if cand else None)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["x", "y"]), st.sampled_from(STATES), st.integers(1, 40)),
+                min_size=1, max_size=50))
+def test_blocks_partition_the_rows_in_time_order(spark, rows):
+    data, clock, k = [], {}, 0
+    for hid, loc, dur in rows:
+        start = clock.get(hid, T0)
+        end = start + dt.timedelta(hours=dur)
+        data.append((hid, loc, start, end, k))
+        clock[hid] = end
+        k += 1
+    df = spark.createDataFrame(data, ADT)
+    for bucket in (None, "DAY"):
+        blocks = sorted(map(tuple, coh.state_blocks(df, tie="k", bucket=bucket).collect()), key=lambda r: (r[0], r[1]))
+        assert sum(b[5] for b in blocks) == len(data)              # every row in exactly one block
+        for a, b in zip(blocks, blocks[1:]):
+            if a[0] == b[0]:
+                assert b[1] == a[1] + 1 and b[3] >= a[4]           # consecutive ids, no overlap in time
+                assert a[2] != b[2] or (a[2] is None) != (b[2] is None)  # neighbours differ in state
