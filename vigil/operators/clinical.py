@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, pao2_from_spo2, first_nonblank
-from .cohort import membership_flag
 from .ordered import quantile_columns
 from .reshape import densify, worst_values
 from .temporal import first_per_key, window_join
