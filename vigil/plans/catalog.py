@@ -451,3 +451,14 @@ def q_lab_unit_filter(spark, d):
 def q_table1_header(spark, d):
     s = _scored(spark, d)
     return pf.table1_header(s, "site")
+
+
+@query
+def q_source_scan(spark, d):
+    """SRC-2/3/5: the format-dispatching loader over a driver table, with projection and a
+    filter that reach the parquet scan."""
+    from ..sources import load_table
+    o = load_table(spark, "orders", d, "parquet")
+    return (o.where(F.col("o_orderstatus") == "F").select("o_orderpriority", "o_totalprice")
+            .groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"),
+                                            r6(F.sum("o_totalprice")).alias("total_price")))

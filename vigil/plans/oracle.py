@@ -704,3 +704,7 @@ SQL["table1_header"] = with_(SCORED) + """
 SELECT site, regexp_replace('Overall(N=' || CAST(count(*) AS VARCHAR) || ')', 'Overall\\(N=(\\d+)\\)',
                             site || ' (N=\\1)') AS header
 FROM sc GROUP BY site"""
+
+SQL["source_scan"] = """
+SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 6) AS total_price
+FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority"""
