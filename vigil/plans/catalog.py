@@ -461,4 +461,4 @@ def q_source_scan(spark, d):
     o = load_table(spark, "orders", d, "parquet")
     return (o.where(F.col("o_orderstatus") == "F").select("o_orderpriority", "o_totalprice")
             .groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"),
-                                            r6(F.sum("o_totalprice")).alias("total_price")))
+                                            F.round(F.sum("o_totalprice"), 2).alias("total_price")))

@@ -706,5 +706,5 @@ SELECT site, regexp_replace('Overall(N=' || CAST(count(*) AS VARCHAR) || ')', 'O
 FROM sc GROUP BY site"""
 
 SQL["source_scan"] = """
-SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 6) AS total_price
+SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total_price
 FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority"""
