@@ -73,3 +73,20 @@ def test_evaluation_and_descriptive(spark, tables):
     assert d["sofa_distribution"].count() == 7
     assert d["table1"].where("variable = 'N'").collect()[0]["value"] == c.count()
     assert d["modes"].where("mode_category = 'Total'").count() == 2
+
+
+def test_v1_heights_and_standard_labs(spark):
+    from conftest import ts
+    win = spark.createDataFrame([("h", ts("2024-01-01 00:00:00"), ts("2024-01-02 00:00:00"))],
+                                "hospitalization_id string, min_in_dttm timestamp_ntz, after_24hr timestamp_ntz")
+    vit = spark.createDataFrame([("h", ts("2024-01-01 01:00:00"), "weight_kg", "80"),
+                                 ("h", ts("2024-01-01 01:00:00"), "height_inches", "70"),
+                                 ("h", ts("2024-01-01 02:00:00"), "pulse", "90")],
+                                "hospitalization_id string, recorded_dttm timestamp_ntz, vital_category string, vital_value string")
+    r = reg.vital_features(win, vit, version=1).collect()[0]
+    assert abs(r["avg_bmi"] - 80 / (1.778 ** 2)) < 1e-9 and r["max_pulse"] == 90.0
+    labs = spark.createDataFrame([("h", ts("2024-01-01 01:00:00"), "sodium", "140", "standard"),
+                                  ("h", ts("2024-01-01 02:00:00"), "sodium", "150", "poc")],
+                                 "hospitalization_id string, lab_order_dttm timestamp_ntz, lab_category string, lab_value string, lab_type_name string")
+    assert reg.lab_features(win, labs, standard_only=True).collect()[0]["sodium_max"] == 140.0
+    assert reg.lab_features(win, labs).collect()[0]["sodium_max"] == 150.0

@@ -59,11 +59,19 @@ def study_cohort(t: dict, pinned: bool = True, **rules) -> DataFrame:
     return pin(c) if pinned else c
 
 
-def vital_features(cohort: DataFrame, vitals: DataFrame, strict: bool = True) -> DataFrame:
+def vital_features(cohort: DataFrame, vitals: DataFrame, strict: bool = True, version: int = 2) -> DataFrame:
     """FEA-1: per (id, time) pivot of the six vitals, BMI where weight and height share a
-    time, then min / max / avg per id over the first window."""
+    time, then min / max / avg per id over the first window.  Version 1 charts height in
+    inches (category ``height_inches``), converted to cm (x 2.54) before the pivot, and
+    the pulse under its own name."""
     parse = strict_number if strict else lenient_number
-    v = vitals.where(F.col("vital_category").isin(*VITAL_CATEGORIES)).withColumn("v", parse("vital_value"))
+    v = vitals.withColumn("v", parse("vital_value"))
+    if version == 1:
+        cat = F.col("vital_category")
+        v = v.withColumns({"v": F.when(cat == "height_inches", F.col("v") * 2.54).otherwise(F.col("v")),
+                           "vital_category": F.when(cat == "height_inches", F.lit("height_cm"))
+                           .when(cat == "pulse", F.lit("heart_rate")).otherwise(cat)})
+    v = v.where(F.col("vital_category").isin(*VITAL_CATEGORIES))
     inside = tp.window_join(cohort, v, id_col=ID, t="recorded_dttm")
     wide = rs.pivot_eav(inside, keys=[ID, "recorded_dttm"], cat="vital_category", value="v",
                         categories=VITAL_CATEGORIES, names=VITAL_RENAMES)
@@ -72,9 +80,12 @@ def vital_features(cohort: DataFrame, vitals: DataFrame, strict: bool = True) ->
     return cohort.select(ID).join(wide.groupBy(ID).agg(*aggs), ID, "left")
 
 
-def lab_features(cohort: DataFrame, labs: DataFrame) -> DataFrame:
-    """FEA-2: lenient parse ('>90' -> NULL), renamed categories, min / max / mean per id."""
-    lab = (labs.where(F.col("lab_category").isin(*LAB_CATEGORIES))
+def lab_features(cohort: DataFrame, labs: DataFrame, standard_only: bool = False) -> DataFrame:
+    """FEA-2: lenient parse ('>90' -> NULL), renamed categories, min / max / mean per id.
+    ``standard_only`` keeps rows whose ``lab_type_name`` is 'standard' (version 1, FLT-2)."""
+    labs = rs.filter_categories(labs, "lab_category", LAB_CATEGORIES,
+                                type_col="lab_type_name" if standard_only else None)
+    lab = (labs
            .withColumn("lab_category", F.coalesce(
                *[F.when(F.col("lab_category") == k, F.lit(v)) for k, v in LAB_RENAMES.items()], F.col("lab_category")))
            .withColumn("v", lenient_number("lab_value")))
@@ -82,10 +93,12 @@ def lab_features(cohort: DataFrame, labs: DataFrame) -> DataFrame:
                               categories=lab_variables())
 
 
-def model_matrix(cohort: DataFrame, t: dict) -> DataFrame:
+def model_matrix(cohort: DataFrame, t: dict, version: int = 2) -> DataFrame:
     """MOD-1: id, label and the 74 inputs (JON-8: per-id parts joined on the id)."""
     base = cohort.select(ID, "isfemale", "age", F.col("isdeathdispo").alias("label"), "race", "ethnicity", "sex")
-    m = base.join(vital_features(cohort, t["vitals"]), ID, "left").join(lab_features(cohort, t["labs"]), ID, "left")
+    vit = vital_features(cohort, t["vitals"], version=version)
+    lab = lab_features(cohort, t["labs"], standard_only=version == 1)
+    m = base.join(vit, ID, "left").join(lab, ID, "left")
     return m.select(ID, "label", "race", "ethnicity", "sex", *model_columns())
 
 
