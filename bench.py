@@ -36,8 +36,12 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = [n for n in HEADLINE if n in QUERIES]
+    # Sized for a local run at small scale: one shuffle partition per core, and a small
+    # minimum partition size so adaptive coalescing keeps the cores busy on post-shuffle
+    # stages of a few MB (at cluster scale partitions are far above either limit).
     spark = get_session(f"local[{cpus}]", int(cpus), app="vigil-bench",
-                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
+                        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
+                               "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"})
     for n in names:
         run(spark, n, d)
     times = {}
