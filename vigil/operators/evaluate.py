@@ -84,12 +84,13 @@ def metrics_at_threshold(df: DataFrame, *, label="label", score="score", thr=fix
 def headline_metrics(df: DataFrame, *, label="label", score="score", thr=fixed.THRESHOLD,
                      by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
     """EVL-2/EVL-4: long table (by..., metric, value) with Accuracy, Recall, Precision
-    (at ``score >= thr``), ROC AUC and Brier Score Loss."""
+    (at ``score >= thr``; 0 when the denominator is 0), ROC AUC (NULL for one class) and
+    Brier Score Loss."""
     by = list(by)
     c = confusion(df, label=label, score=score, thr=thr, by=by)
     auc = auc_from_ladder(score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets), by)
     m = (c.join(auc, by, "left") if by else c.crossJoin(auc))
-    rr = rates()
+    rr = rates(zero_as=0.0)   # precision / recall of nothing called positive: 0, as sklearn scores it
     wide = m.select(*by, rr["accuracy"].alias("Accuracy"), rr["recall"].alias("Recall"),
                     rr["ppv"].alias("Precision"), F.col("auc").alias("ROC AUC"),
                     F.col("brier").alias("Brier Score Loss"))

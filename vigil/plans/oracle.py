@@ -293,8 +293,8 @@ SQL["metrics_at_threshold"] = with_(SCORED, CONF) + "SELECT site, 0.208::DOUBLE
 SQL["auc_brier"] = with_(SCORED, CONF, AUC) + """,
 m AS (SELECT conf.*, auc.auc FROM conf JOIN auc USING (site))
 SELECT site, 'Accuracy' AS metric, round((tp + tn)::DOUBLE / (tn + fp + fn + tp), 6) AS value FROM m
-UNION ALL SELECT site, 'Recall', round(CASE WHEN tp + fn = 0 THEN NULL ELSE tp::DOUBLE / (tp + fn) END, 6) FROM m
-UNION ALL SELECT site, 'Precision', round(CASE WHEN tp + fp = 0 THEN NULL ELSE tp::DOUBLE / (tp + fp) END, 6) FROM m
+UNION ALL SELECT site, 'Recall', round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp::DOUBLE / (tp + fn) END, 6) FROM m
+UNION ALL SELECT site, 'Precision', round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp::DOUBLE / (tp + fp) END, 6) FROM m
 UNION ALL SELECT site, 'ROC AUC', round(auc, 6) FROM m
 UNION ALL SELECT site, 'Brier Score Loss', round(brier, 6) FROM m"""
 
