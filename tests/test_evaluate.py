@@ -155,3 +155,9 @@ def test_ungrouped_sweep_matches_grouped(spark):
     a = {r["q"]: (r["thr_value"], r["tp"], r["fp"]) for r in ev.topn_sweep(df, by=["site"]).collect()}
     b = {r["q"]: (r["thr_value"], r["tp"], r["fp"]) for r in ev.topn_sweep(df.drop("site")).collect()}
     assert a == b and len(a) == 100
+
+
+def test_headline_zero_division_is_zero(spark):
+    m = {r["metric"]: r["value"] for r in ev.headline_metrics(frame(spark, [1, 0, 1], [0.1, 0.1, 0.2]),
+                                                              by=["site"]).collect()}
+    assert m["Precision"] == 0.0 and m["Recall"] == 0.0 and m["Accuracy"] == 1 / 3

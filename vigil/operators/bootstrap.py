@@ -77,8 +77,8 @@ def _replicate_block(cells: pd.DataFrame, reps: int, seed_seq) -> np.ndarray:
         cum_before = np.cumsum(p) - p
         auc = (q * (cum_before + 0.5 * p)).sum() / (P * N) if P > 0 and N > 0 else np.nan
         out[r] = [(tp + tn) / n if n else np.nan,
-                  tp / (tp + fn) if tp + fn > 0 else np.nan,
-                  tp / (tp + fp) if tp + fp > 0 else np.nan,
+                  tp / (tp + fn) if tp + fn > 0 else 0.0,
+                  tp / (tp + fp) if tp + fp > 0 else 0.0,
                   auc,
                   (p * mse_pos + q * mse_neg).sum() / n if n else np.nan]
     return out
