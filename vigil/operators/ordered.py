@@ -1,11 +1,13 @@
 """Order-dependent aggregates without a single-partition window.
 
 ``running_totals`` is a two-level prefix sum: rows are range-partitioned on
-(group, order key) and pinned with ``checkpoint``; each range bucket's totals form a small table whose own prefix sum
-gives per-bucket offsets; the running sum inside a bucket is a window partitioned by
-(group, bucket).  No task ever holds more than one range bucket, so a hot group is
-spread over many tasks.  ``exact_quantiles`` builds on it (linear interpolation, the
-``percentile`` / ``quantile_cont`` definition) without a per-group value map.
+(group, order key) and pinned with ``checkpoint``; each range bucket's totals form a
+small table whose own prefix sum gives per-bucket offsets; the running sum inside a
+bucket is a window partitioned by (group, bucket).  No task ever holds more than one
+range bucket, so a hot group is spread over many tasks.  ``exact_quantiles`` builds on
+it (linear interpolation, the ``percentile`` / ``quantile_cont`` definition) without a
+per-group value map: target positions are matched to buckets on the small bucket table,
+then rows are equi-joined only to the targets of their own bucket.
 """
 
 from __future__ import annotations
