@@ -462,3 +462,9 @@ def q_source_scan(spark, d):
     return (o.where(F.col("o_orderstatus") == "F").select("o_orderpriority", "o_totalprice")
             .groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"),
                                             F.round(F.sum("o_totalprice"), 2).alias("total_price")))
+
+
+@query
+def q_bootstrap_poisson_ci(spark, d):
+    b = bs.poisson_bootstrap_ci(_scored(spark, d), id_col="case_id", by=SITE, replicates=20, seed=42)
+    return b.select("site", "metric", r6("ci_lower").alias("ci_lower"), r6("ci_upper").alias("ci_upper"))

@@ -708,3 +708,79 @@ FROM sc GROUP BY site"""
 SQL["source_scan"] = """
 SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total_price
 FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderpriority"""
+
+
+def _poisson_sql():
+    return with_(SCORED) + """,
+wt AS (SELECT site, case_id, label, score, label = 1 AS y, score >= 0.208 AS yh,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w0,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w1,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w2,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':0'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w3,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w4,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w5,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w6,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':1'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w7,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w8,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w9,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w10,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':2'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w11,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w12,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w13,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w14,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':3'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w15,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 1, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w16,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 9, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w17,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 17, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w18,
+  (CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.36787944117144233 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.7357588823428847 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9196986029286058 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9810118431238462 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9963401531726562 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9994058151824182 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.999916758850712 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999897508033254 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999988747974021 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999998885745217 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999899522337 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999991683893 THEN 1 ELSE 0 END + CASE WHEN CAST(('0x' || substr(md5('42:' || case_id || ':4'), 25, 8)) AS BIGINT) / 4294967296.0 >= 0.9999999999364023 THEN 1 ELSE 0 END)::DOUBLE AS w19
+  FROM sc WHERE label IS NOT NULL AND score IS NOT NULL),
+agg AS (SELECT site,
+  sum(w0) AS n0, sum(w0 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c0, sum(w0 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp0, sum(w0 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p0, sum(w0 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp0, sum(w0 * (score - label) * (score - label)) AS se0,
+  sum(w1) AS n1, sum(w1 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c1, sum(w1 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp1, sum(w1 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p1, sum(w1 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp1, sum(w1 * (score - label) * (score - label)) AS se1,
+  sum(w2) AS n2, sum(w2 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c2, sum(w2 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp2, sum(w2 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p2, sum(w2 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp2, sum(w2 * (score - label) * (score - label)) AS se2,
+  sum(w3) AS n3, sum(w3 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c3, sum(w3 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp3, sum(w3 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p3, sum(w3 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp3, sum(w3 * (score - label) * (score - label)) AS se3,
+  sum(w4) AS n4, sum(w4 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c4, sum(w4 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp4, sum(w4 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p4, sum(w4 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp4, sum(w4 * (score - label) * (score - label)) AS se4,
+  sum(w5) AS n5, sum(w5 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c5, sum(w5 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp5, sum(w5 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p5, sum(w5 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp5, sum(w5 * (score - label) * (score - label)) AS se5,
+  sum(w6) AS n6, sum(w6 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c6, sum(w6 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp6, sum(w6 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p6, sum(w6 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp6, sum(w6 * (score - label) * (score - label)) AS se6,
+  sum(w7) AS n7, sum(w7 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c7, sum(w7 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp7, sum(w7 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p7, sum(w7 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp7, sum(w7 * (score - label) * (score - label)) AS se7,
+  sum(w8) AS n8, sum(w8 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c8, sum(w8 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp8, sum(w8 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p8, sum(w8 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp8, sum(w8 * (score - label) * (score - label)) AS se8,
+  sum(w9) AS n9, sum(w9 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c9, sum(w9 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp9, sum(w9 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p9, sum(w9 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp9, sum(w9 * (score - label) * (score - label)) AS se9,
+  sum(w10) AS n10, sum(w10 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c10, sum(w10 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp10, sum(w10 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p10, sum(w10 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp10, sum(w10 * (score - label) * (score - label)) AS se10,
+  sum(w11) AS n11, sum(w11 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c11, sum(w11 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp11, sum(w11 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p11, sum(w11 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp11, sum(w11 * (score - label) * (score - label)) AS se11,
+  sum(w12) AS n12, sum(w12 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c12, sum(w12 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp12, sum(w12 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p12, sum(w12 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp12, sum(w12 * (score - label) * (score - label)) AS se12,
+  sum(w13) AS n13, sum(w13 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c13, sum(w13 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp13, sum(w13 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p13, sum(w13 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp13, sum(w13 * (score - label) * (score - label)) AS se13,
+  sum(w14) AS n14, sum(w14 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c14, sum(w14 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp14, sum(w14 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p14, sum(w14 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp14, sum(w14 * (score - label) * (score - label)) AS se14,
+  sum(w15) AS n15, sum(w15 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c15, sum(w15 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp15, sum(w15 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p15, sum(w15 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp15, sum(w15 * (score - label) * (score - label)) AS se15,
+  sum(w16) AS n16, sum(w16 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c16, sum(w16 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp16, sum(w16 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p16, sum(w16 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp16, sum(w16 * (score - label) * (score - label)) AS se16,
+  sum(w17) AS n17, sum(w17 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c17, sum(w17 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp17, sum(w17 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p17, sum(w17 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp17, sum(w17 * (score - label) * (score - label)) AS se17,
+  sum(w18) AS n18, sum(w18 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c18, sum(w18 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp18, sum(w18 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p18, sum(w18 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp18, sum(w18 * (score - label) * (score - label)) AS se18,
+  sum(w19) AS n19, sum(w19 * CASE WHEN y = yh THEN 1.0 ELSE 0.0 END) AS c19, sum(w19 * CASE WHEN y AND yh THEN 1.0 ELSE 0.0 END) AS tp19, sum(w19 * CASE WHEN y THEN 1.0 ELSE 0.0 END) AS p19, sum(w19 * CASE WHEN yh THEN 1.0 ELSE 0.0 END) AS pp19, sum(w19 * (score - label) * (score - label)) AS se19
+  FROM wt GROUP BY site),
+lng AS (SELECT site, 0 AS r, n0 AS n, c0 AS c, tp0 AS tp, p0 AS p, pp0 AS pp, se0 AS se FROM agg
+  UNION ALL SELECT site, 1 AS r, n1 AS n, c1 AS c, tp1 AS tp, p1 AS p, pp1 AS pp, se1 AS se FROM agg
+  UNION ALL SELECT site, 2 AS r, n2 AS n, c2 AS c, tp2 AS tp, p2 AS p, pp2 AS pp, se2 AS se FROM agg
+  UNION ALL SELECT site, 3 AS r, n3 AS n, c3 AS c, tp3 AS tp, p3 AS p, pp3 AS pp, se3 AS se FROM agg
+  UNION ALL SELECT site, 4 AS r, n4 AS n, c4 AS c, tp4 AS tp, p4 AS p, pp4 AS pp, se4 AS se FROM agg
+  UNION ALL SELECT site, 5 AS r, n5 AS n, c5 AS c, tp5 AS tp, p5 AS p, pp5 AS pp, se5 AS se FROM agg
+  UNION ALL SELECT site, 6 AS r, n6 AS n, c6 AS c, tp6 AS tp, p6 AS p, pp6 AS pp, se6 AS se FROM agg
+  UNION ALL SELECT site, 7 AS r, n7 AS n, c7 AS c, tp7 AS tp, p7 AS p, pp7 AS pp, se7 AS se FROM agg
+  UNION ALL SELECT site, 8 AS r, n8 AS n, c8 AS c, tp8 AS tp, p8 AS p, pp8 AS pp, se8 AS se FROM agg
+  UNION ALL SELECT site, 9 AS r, n9 AS n, c9 AS c, tp9 AS tp, p9 AS p, pp9 AS pp, se9 AS se FROM agg
+  UNION ALL SELECT site, 10 AS r, n10 AS n, c10 AS c, tp10 AS tp, p10 AS p, pp10 AS pp, se10 AS se FROM agg
+  UNION ALL SELECT site, 11 AS r, n11 AS n, c11 AS c, tp11 AS tp, p11 AS p, pp11 AS pp, se11 AS se FROM agg
+  UNION ALL SELECT site, 12 AS r, n12 AS n, c12 AS c, tp12 AS tp, p12 AS p, pp12 AS pp, se12 AS se FROM agg
+  UNION ALL SELECT site, 13 AS r, n13 AS n, c13 AS c, tp13 AS tp, p13 AS p, pp13 AS pp, se13 AS se FROM agg
+  UNION ALL SELECT site, 14 AS r, n14 AS n, c14 AS c, tp14 AS tp, p14 AS p, pp14 AS pp, se14 AS se FROM agg
+  UNION ALL SELECT site, 15 AS r, n15 AS n, c15 AS c, tp15 AS tp, p15 AS p, pp15 AS pp, se15 AS se FROM agg
+  UNION ALL SELECT site, 16 AS r, n16 AS n, c16 AS c, tp16 AS tp, p16 AS p, pp16 AS pp, se16 AS se FROM agg
+  UNION ALL SELECT site, 17 AS r, n17 AS n, c17 AS c, tp17 AS tp, p17 AS p, pp17 AS pp, se17 AS se FROM agg
+  UNION ALL SELECT site, 18 AS r, n18 AS n, c18 AS c, tp18 AS tp, p18 AS p, pp18 AS pp, se18 AS se FROM agg
+  UNION ALL SELECT site, 19 AS r, n19 AS n, c19 AS c, tp19 AS tp, p19 AS p, pp19 AS pp, se19 AS se FROM agg),
+m AS (SELECT site, r, c / n AS Accuracy, CASE WHEN p = 0 THEN 0.0 ELSE tp / p END AS Recall,
+             CASE WHEN pp = 0 THEN 0.0 ELSE tp / pp END AS "Precision", se / n AS "Brier Score Loss" FROM lng),
+v AS (UNPIVOT m ON Accuracy, Recall, "Precision", "Brier Score Loss" INTO NAME metric VALUE val)
+SELECT site, metric, round(quantile_cont(val, 0.025), 6) AS ci_lower, round(quantile_cont(val, 0.975), 6) AS ci_upper
+FROM v GROUP BY site, metric"""
+
+
+SQL["bootstrap_poisson_ci"] = _poisson_sql()
