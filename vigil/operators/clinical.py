@@ -44,9 +44,9 @@ def dose_summary(conv: DataFrame, total: DataFrame, *, id_col: str, drug: str =
     drug the median and quartiles of the encounter medians leaving out zeros (paused
     infusions), the number and percent of encounters (of ``total``, a one-row frame with
     ``n_total``) and one row per required drug (NULL row when never given)."""
-    pairs = conv.select(id_col, drug).distinct()
-    per = quantile_columns(conv, [id_col, drug], value, IQR)
-    enc = pairs.join(per, [id_col, drug], "left")
+    # one row per (encounter, drug) given, NULL quantiles when no dose converted; read from
+    # the quantile operator's pinned table, so the doses are not computed a second time
+    enc = quantile_columns(conv, [id_col, drug], value, IQR, keep_empty=True)
     overall = quantile_columns(enc.where(F.col("median") != 0), [drug], "median",
                                {"overall_median_dose": 0.5, "overall_iqr_lower": 0.25,
                                 "overall_iqr_upper": 0.75})

@@ -77,15 +77,20 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], *,
                     prob_col: str = "q", out: str = "value", n_buckets: int | None = None,
-                    bounds: bool = False) -> DataFrame:
+                    bounds: bool = False, keep_empty: bool = False) -> DataFrame:
     """Exact quantiles per group, linear interpolation between order statistics
     (position (n-1)q).  Rows ``(by..., q, value)``; NULL values are ignored and empty
     groups produce no rows.  Work is one aggregate to distinct values, one prefix sum and
     one equi join of those values with the (group, position) targets.  With ``bounds``
     the two order statistics around each quantile are kept as ``{out}_lo``/``{out}_hi``."""
     by = list(by)
-    cnt = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
-           .agg(F.count(F.lit(1)).alias("_n")))
+    if keep_empty:
+        # groups whose values are all NULL stay (NULL quantiles): NULL gets count 0, so it
+        # never holds a position and is left out of the group size
+        cnt = df.groupBy(*by, value).agg(F.count(value).alias("_n"))
+    else:
+        cnt = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
+               .agg(F.count(F.lit(1)).alias("_n")))
     rt = running_totals(cnt, by, value, ["_n"], n_buckets=n_buckets, totals_prefix="_Ntot", keep_bucket=True)
     g = by or ["_g"]
     res = pick_positions(rt.select(*g, value, "_n", "cum__n", F.col("_Ntot_n").alias("_gtot"), "_bk"), g, value,
@@ -126,7 +131,7 @@ def pick_positions(rt: DataFrame, by: Sequence[str], value: str, probs: Sequence
         hits = rt.join(need, by, "inner").where(holds).select(*by, "_p", F.col(value).alias("_v"))
     lo = hits.select(*by, F.col("_p").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = hits.select(*by, F.col("_p").alias("_hi"), F.col("_v").alias("_vhi"))
-    res = (tg.join(lo, by + ["_lo"], "inner").join(hi, by + ["_hi"], "inner")
+    res = (tg.join(lo, by + ["_lo"], "left").join(hi, by + ["_hi"], "left")
            .select(*by, prob_col,
                    (F.col("_vlo") + F.col("_f") * (F.col("_vhi") - F.col("_vlo"))).alias(out),
                    F.col("_vlo").alias(f"{out}_lo"), F.col("_vhi").alias(f"{out}_hi")))
@@ -134,8 +139,8 @@ def pick_positions(rt: DataFrame, by: Sequence[str], value: str, probs: Sequence
 
 
 def quantile_columns(df: DataFrame, by: Sequence[str], value: str, probs: dict,
-                     n_buckets: int | None = None) -> DataFrame:
+                     n_buckets: int | None = None, keep_empty: bool = False) -> DataFrame:
     """``exact_quantiles`` pivoted: one column per entry of ``probs`` (name -> q)."""
-    q = exact_quantiles(df, by, value, list(probs.values()), n_buckets=n_buckets)
+    q = exact_quantiles(df, by, value, list(probs.values()), n_buckets=n_buckets, keep_empty=keep_empty)
     return q.groupBy(*by).agg(*[F.max(F.when(F.col("q") == F.lit(float(p)), F.col("value"))).alias(name)
                                 for name, p in probs.items()])
