@@ -214,12 +214,14 @@ def net_benefit(sweep: DataFrame) -> DataFrame:
 
 
 def nearest_threshold(df: DataFrame, by: Sequence[str], target: float = fixed.THRESHOLD,
-                      col: str = "thr_value") -> DataFrame:
-    """EVL-14 / WIN-6: the row whose ``col`` is nearest ``target`` per group (ties: lower
-    value).  ``min_by`` is a partial aggregate."""
+                      col: str = "thr_value", then_desc: Sequence[str] = ("q",)) -> DataFrame:
+    """EVL-14 / WIN-6: the row whose ``col`` is nearest ``target`` per group.  Ties go to
+    the row that comes first in the sweep's own order (higher value, then higher
+    ``then_desc`` columns), as a first-occurrence arg-min does.  ``min_by`` is a partial
+    aggregate."""
     rest = [c for c in df.columns if c not in by]
-    return (df.groupBy(*by).agg(F.min_by(F.struct(*rest), F.struct(F.abs(F.col(col) - target), F.col(col)))
-                                .alias("_r")).select(*by, "_r.*"))
+    key = F.struct(F.abs(F.col(col) - target), -F.col(col), *[-F.col(c) for c in then_desc])
+    return (df.groupBy(*by).agg(F.min_by(F.struct(*rest), key).alias("_r")).select(*by, "_r.*"))
 
 
 def calibration_equal_width(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),

@@ -377,7 +377,8 @@ SELECT site, q, round(thr_value, 6) AS thr_value, round(net_benefit, 6) AS net_b
 
 SQL["nearest_threshold"] = with_(SCORED, SWEEP) + """
 SELECT site, q, round(thr_value, 6) AS thr_value, round(net_benefit, 6) AS net_benefit FROM (
-  SELECT *, row_number() OVER (PARTITION BY site ORDER BY abs(thr_value - 0.208), thr_value) AS rn FROM nb)
+  SELECT *, row_number() OVER (PARTITION BY site ORDER BY abs(thr_value - 0.208), thr_value DESC, q DESC) AS rn
+  FROM nb)
 WHERE rn = 1"""
 
 SQL["calibration_slope"] = with_(SCORED) + """,
