@@ -9,7 +9,8 @@ from vigil.plans.catalog import QUERIES
 
 D = "/root/testdata/sf0.001"
 HOT = ["first_block", "asof_weight", "window_features_wide", "score_ladder", "roc_points", "topn_sweep",
-       "dose_summary", "organ_score", "fairness", "settings_summary", "exact_quantiles_global"]
+       "dose_summary", "organ_score", "fairness", "settings_summary", "exact_quantiles_global",
+       "initial_mode_table", "state_blocks", "bootstrap_ci", "bootstrap_poisson_ci", "describe_features"]
 
 
 def plan_lines(df):

@@ -111,11 +111,12 @@ def initial_modes(resp: DataFrame, encounters: DataFrame, *, id_col: str, t: str
         canon = F.when(e, F.lit(m)) if canon is None else canon.when(e, F.lit(m))
     counts = (first.withColumn(mode, canon).where(F.col(mode).isNotNull())
               .groupBy(mode).agg(F.count(F.lit(1)).alias("n_encounters")))
-    # the two denominators as two rows, so every later step runs once for both tables
-    dens = (vent.agg(F.count(F.lit(1)).alias("_d")).withColumn("denominator", F.lit("ventilated"))
-            .unionByName(encounters.select(id_col).distinct().agg(F.count(F.lit(1)).alias("_d"))
-                         .withColumn("denominator", F.lit("all"))))
+    # both denominators in ONE scalar row (a one-row broadcast), then unpivoted so every
+    # later step runs once for both tables
+    dens = (vent.agg(F.count(F.lit(1)).alias("ventilated"))
+            .crossJoin(encounters.select(id_col).distinct().agg(F.count(F.lit(1)).alias("all"))))
     base = (densify(counts, list(required), mode).crossJoin(F.broadcast(dens))
+            .unpivot([mode, "_order", "n_encounters"], ["ventilated", "all"], "denominator", "_d")
             .withColumn("pct_encounters", 100.0 * F.col("n_encounters") / F.col("_d")))
     rest = (base.groupBy("denominator", "_d").agg(F.sum("n_encounters").alias("_s"))
             .select("denominator", F.lit(fixed.NO_MODE).alias(mode), F.lit(len(required)).alias("_order"),
