@@ -32,3 +32,9 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "isdeathdispo" in df.columns
+
+
+def test_every_query_has_an_oracle_or_is_random():
+    rows_only = {"bootstrap_ci", "metrics_table", "gbt_scores", "gbt_importance"}
+    missing = set(E.queries()) - set(SQL)
+    assert missing == rows_only, missing
