@@ -158,12 +158,16 @@ def poisson_cdf(k_max: int = 12) -> list[float]:
     return out
 
 
-def poisson_weight(id_col: str, rep: int, seed: int = 42) -> F.Column:
+def _digest(id_col: str, block: int, seed: int) -> F.Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"), F.lit(f":{block}")))
+
+
+def poisson_weight(id_col: str, rep: int, seed: int = 42, digest: F.Column | None = None) -> F.Column:
     """Poisson(1) resampling weight of a row in replicate ``rep``: the inverse CDF of a
     uniform read from the row's md5 (four 32-bit uniforms per digest), so every engine
-    that has md5 draws the same weights."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"), F.lit(f":{rep // 4}")))
-    u = F.conv(F.substring(digest, 1 + 8 * (rep % 4), 8), 16, 10).cast("long") / F.lit(4294967296.0)
+    that has md5 draws the same weights.  ``digest`` may pass a precomputed md5 column."""
+    d = digest if digest is not None else _digest(id_col, rep // 4, seed)
+    u = F.conv(F.substring(d, 1 + 8 * (rep % 4), 8), 16, 10).cast("long") / F.lit(4294967296.0)
     return sum((F.when(u >= F.lit(c), 1).otherwise(0) for c in poisson_cdf()), F.lit(0)).cast("double")
 
 
@@ -177,17 +181,26 @@ def poisson_bootstrap_ci(df: DataFrame, *, id_col: str, label: str = "label", sc
     ci_lower, ci_upper).  ROC AUC is left to ``bootstrap_ci`` (it needs a ladder per
     replicate)."""
     by = list(by)
-    y = (F.col(label) == 1)
-    yh = (F.col(score) >= thr)
     one = lambda e: F.when(e, 1.0).otherwise(0.0)
-    sq = (F.col(score) - F.col(label)) * (F.col(score) - F.col(label))
+    base = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    # row indicators and one md5 per four replicates, computed once per row in a projection
+    # (the weights below read these columns instead of re-hashing in every aggregate)
+    nd = (replicates + 3) // 4
+    rows = base.select(*by, one(F.col(label) == 1).alias("_y"), one(F.col(score) >= thr).alias("_yh"),
+                       ((F.col(score) - F.col(label)) * (F.col(score) - F.col(label))).alias("_sq"),
+                       *[_digest(id_col, b, seed).alias(f"_h{b}") for b in range(nd)])
+    rows = rows.select(*by, "_y", "_yh", "_sq",
+                       (F.col("_y") * F.col("_yh") + (1 - F.col("_y")) * (1 - F.col("_yh"))).alias("_ok"),
+                       (F.col("_y") * F.col("_yh")).alias("_tp"),
+                       *[poisson_weight(id_col, r, seed, F.col(f"_h{r // 4}")).alias(f"_w{r}")
+                         for r in range(replicates)])
     aggs = []
     for r in range(replicates):
-        w = poisson_weight(id_col, r, seed)
-        aggs += [F.sum(w).alias(f"n{r}"), F.sum(w * one(y == yh)).alias(f"c{r}"),
-                 F.sum(w * one(y & yh)).alias(f"tp{r}"), F.sum(w * one(y)).alias(f"p{r}"),
-                 F.sum(w * one(yh)).alias(f"pp{r}"), F.sum(w * sq).alias(f"se{r}")]
-    wide = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(*by).agg(*aggs)
+        w = F.col(f"_w{r}")
+        aggs += [F.sum(w).alias(f"n{r}"), F.sum(w * F.col("_ok")).alias(f"c{r}"),
+                 F.sum(w * F.col("_tp")).alias(f"tp{r}"), F.sum(w * F.col("_y")).alias(f"p{r}"),
+                 F.sum(w * F.col("_yh")).alias(f"pp{r}"), F.sum(w * F.col("_sq")).alias(f"se{r}")]
+    wide = rows.groupBy(*by).agg(*aggs)
     reps = F.array(*[F.struct(F.lit(r).alias("r"), *[F.col(f"{k}{r}").alias(k) for k in
                                                      ("n", "c", "tp", "p", "pp", "se")])
                      for r in range(replicates)])
