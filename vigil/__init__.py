@@ -6,3 +6,5 @@ strategy is left to Catalyst and adaptive query execution.
 """
 
 __version__ = "0.1.0"
+
+from .session import get_session, pin  # noqa: E402,F401
