@@ -2,18 +2,17 @@
 
 An Arrow column of texts is one byte buffer with offsets.  A word's hash is a polynomial of its
 bytes modulo 2**64, read off one running sum over the buffer, then mixed.  The buffer is walked
-in windows of about a million bytes, so scratch memory does not grow with a text's length.
+in windows of 128 KB, so scratch memory does not grow with a text's length.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
-WINDOW = 1 << 20
+WINDOW = 1 << 17
 SLICE_BYTES = 4 << 20
 BASE = 0x9E6C63D0676A9A99
 LOWER = np.arange(256, dtype=np.uint8)
@@ -33,7 +32,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-@lru_cache(1)
 def _powers() -> tuple[np.ndarray, np.ndarray]:
     def run(base: int) -> np.ndarray:
         steps = np.full(WINDOW + 1, base, np.uint64)
@@ -55,9 +53,9 @@ def slices(col: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int, n
         i = j
 
 
-def _window(b: np.ndarray, doc_start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _window(b: np.ndarray, doc_start: np.ndarray, powers: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Polynomial, start and end of each word in at most WINDOW lower-cased bytes."""
-    power, inverse = _powers()
+    power, inverse = powers
     space = IS_SPACE[b]
     edge = np.ones(len(b) + 1, bool)
     edge[1:-1] = space[:-1] | space[1:] | doc_start[1:]
@@ -76,7 +74,7 @@ def _window(b: np.ndarray, doc_start: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, end) of every word of the texts in turn, and where each text's words begin
     (one more entry than texts)."""
-    n = len(data)
+    n, powers = len(data), _powers()
     is_start = np.zeros(n + 1, bool)
     is_start[offsets] = True
     polys, starts, ends = [], [], []
@@ -93,7 +91,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
                     done = len(stop) > 0 or at + len(part) >= n
                     part = part[:stop[0]] if len(stop) else part
                     if len(part):
-                        p = _window(part, np.zeros(len(part), bool))[0]
+                        p = _window(part, np.zeros(len(part), bool), powers)[0]
                         poly = (poly + int(p[0]) * pow(BASE, at - lo, 1 << 64)) % (1 << 64)
                     at += len(part)
                 polys.append(np.array([poly], np.uint64))
@@ -102,7 +100,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
                 lo = at
                 continue
             hi = lo + int(cut[-1]) + 1
-        p, s, e = _window(LOWER[data[lo:hi]], is_start[lo:hi])
+        p, s, e = _window(LOWER[data[lo:hi]], is_start[lo:hi], powers)
         polys.append(p)
         starts.append(s + lo)
         ends.append(e + lo)
