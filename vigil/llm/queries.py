@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linededup, neardup
+from . import langid, linededup, neardup, packing
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = langid.training_split(F.col("doc_id"), 3, 1)
@@ -29,4 +33,5 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op6_near_dedup, op9_language_id)}
+QUERIES = {f.__name__: f for f in (op4_line_dedup, op6_near_dedup, op8_best_fit_packing,
+                                op9_language_id)}
