@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import sent
 from .words import slices
 
 UNKNOWN = "und"
@@ -134,11 +135,11 @@ def _scores(model: Model, codes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def predictor(model: Model, spark):
     """A column function: text -> struct(lang_pred, score)."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = sent(spark, model)
 
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(text: pa.Array) -> pa.Array:
-        m = shared.value
+        m = shared()
         names, scores = [], []
         for _, _, data, offsets in slices(text, TEXT_SLICE):
             raw = data.tobytes()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import written
+from .shared import sent, written
 from .words import IS_SPACE, slices
 
 CAPACITIES = (512, 1024, 2048, 4096)
@@ -132,13 +132,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capaci
     for length, first, last, per, a, room in placed:
         steps.setdefault(length, []).append((first, per, a, room))
     final = [next(c for c in capacities if c >= size - room) for _, _, size, room in bins]
-    shared = spark.sparkContext.broadcast((
+    shared = sent(spark, (
         {k: tuple(np.array(c, np.int64) for c in zip(*v)) for k, v in steps.items()},
         np.array([b[0] for b in bins], np.int64), np.array([b[2] for b in bins], np.int64), np.array(final, np.int64)))
 
     @F.arrow_udf("struct<bin_id:bigint,bin_capacity:int,bin_offset:int>")
     def place(length: pa.Array, rank: pa.Array) -> pa.Array:
-        by_length, first_bin, opened, shrunk = shared.value
+        by_length, first_bin, opened, shrunk = shared()
         lengths, ranks = length.to_numpy(zero_copy_only=False), rank.to_numpy(zero_copy_only=False)
         out = np.zeros((3, len(lengths)), np.int64)
         for n in np.unique(lengths):

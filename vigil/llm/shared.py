@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.session import ensure_checkpoint_dir
@@ -20,3 +21,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def sent(spark: SparkSession, value):
+    """Broadcast ``value`` (its class travels with it) and return a function that gives it in a worker."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    opened = []
+
+    def get():
+        if not opened:
+            opened.append(cloudpickle.loads(data.value))
+        return opened[0]
+
+    return get
