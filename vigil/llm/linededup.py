@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import written
 from .words import SPACES
 
 HASH = "struct<a:bigint,b:bigint>"
@@ -84,7 +85,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if min_docs > 2:
         exact = lines.distinct().groupBy("a", "b").count().where(F.col("count") >= min_docs)
         found = found.join(exact, ["a", "b"], "left_semi")
-    return lines.join(found.select("a", "b", "keeper"), ["a", "b"]).where(F.col("id") != F.col("keeper")).select("id", "a", "b")
+    # as a table of its own, so that the join's partitions of a frequent line can be split
+    found = written(found.select("a", "b", "keeper"), "repeated-lines")
+    return lines.join(found, ["a", "b"]).where(F.col("id") != F.col("keeper")).select("id", "a", "b")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10,
