@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, linededup, neardup, packing
+from . import decontaminate, langid, linededup, neardup, packing, tokencount
+
+#: A public piece vocabulary; any model file of that library will do.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +32,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    initial, continuation = tokencount.sentencepiece_vocabulary(vocabulary)
+    out = tokencount.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), initial, continuation)
+    return out.select("doc_id", "n_words", "n_tokens", "n_unknown")
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), k=2, percent=80)
 
@@ -37,5 +46,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op6_near_dedup, op8_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_token_counts, op6_near_dedup, op8_best_fit_packing,
                                 op9_language_id, op10_decontamination)}

@@ -71,10 +71,11 @@ def _window(b: np.ndarray, doc_start: np.ndarray, powers: tuple[np.ndarray, np.n
     return (total[ends] - total[starts]) * inverse[starts], starts, ends
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start, end) of every word of the texts in turn, and where each text's words begin
-    (one more entry than texts)."""
+    (one more entry than texts).  The hash is that of the lower-cased word unless ``lower`` is false."""
     n, powers = len(data), _powers()
+    fold = LOWER if lower else np.arange(256, dtype=np.uint8)
     is_start = np.zeros(n + 1, bool)
     is_start[offsets] = True
     polys, starts, ends = [], [], []
@@ -86,7 +87,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
             if not len(cut):  # one word fills the window: its polynomial is summed window by window
                 poly, at, done = 0, lo, False
                 while not done:
-                    part = LOWER[data[at:at + WINDOW]]
+                    part = fold[data[at:at + WINDOW]]
                     stop = np.flatnonzero(IS_SPACE[part] | (is_start[at:at + len(part)] & (np.arange(len(part)) + at > lo)))
                     done = len(stop) > 0 or at + len(part) >= n
                     part = part[:stop[0]] if len(stop) else part
@@ -100,7 +101,7 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
                 lo = at
                 continue
             hi = lo + int(cut[-1]) + 1
-        p, s, e = _window(LOWER[data[lo:hi]], is_start[lo:hi], powers)
+        p, s, e = _window(fold[data[lo:hi]], is_start[lo:hi], powers)
         polys.append(p)
         starts.append(s + lo)
         ends.append(e + lo)
