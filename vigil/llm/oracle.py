@@ -9,6 +9,17 @@ def _lower(x: str) -> str:
 
 
 SQL = {
+    "op7_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+            FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
     "op4_line_dedup": f"""
         WITH split AS (
             SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
