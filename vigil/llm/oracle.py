@@ -9,6 +9,18 @@ def _lower(x: str) -> str:
 
 
 SQL = {
+    "op1_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, encode(coalesce(html, ''))::BLOB AS payload FROM pages),
+        k AS (SELECT html, min(page_id) AS keeper FROM p GROUP BY html)
+        SELECT p.page_id, octet_length(payload) AS payload_bytes,
+               list_aggregate([
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                          ((('0x' || substr(sha1(payload), 1 + 5 * (i // 4), 5))::BIGINT >> (5 * (3 - i % 4))) & 31)::INTEGER + 1, 1)
+                   FOR i IN range(32)], 'string_agg', '') AS payload_digest,
+               CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> keeper THEN keeper END AS refers_to
+        FROM p JOIN k ON p.html = k.html""",
     "op7_exact_topk": """
         WITH v AS (
             SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS v FROM embeddings

@@ -5,16 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, knnjoin, langid, linededup, neardup, packing, tokencount
+from . import decontaminate, knnjoin, langid, linededup, neardup, packing, tokencount, warc
+from .shared import new_path
 
 #: A public piece vocabulary; any model file of that library will do.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
+#: Payloads above this are segmented in the archives of op1.
+SEGMENT_BYTES = 64 << 10
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path, "page_id", "url", F.col("html").cast("binary"), chunk_bytes=SEGMENT_BYTES, revisit_bytes=0)
+    out = warc.records(warc.read_chunks(spark, path, chunk_bytes=SEGMENT_BYTES))
+    return out.select(warc.urn_id(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      warc.urn_id(F.col("refers_to")).alias("refers_to"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(table(spark, sf_dir, "documents"), min_chars=10, min_docs=2)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -50,5 +62,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_token_counts, op6_near_dedup, op7_exact_topk, op8_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_warc, op4_line_dedup, op5_token_counts, op6_near_dedup, op7_exact_topk, op8_best_fit_packing,
                                 op9_language_id, op10_decontamination)}
