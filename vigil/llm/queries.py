@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, knnjoin, langid, linededup, neardup, packing, tokencount, warc
+from . import decontaminate, knnjoin, langid, linededup, lmscore, neardup, packing, tokencount, warc
 from .shared import new_path
 
 #: A public piece vocabulary; any model file of that library will do.
@@ -27,6 +27,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                       warc.urn_id(F.col("refers_to")).alias("refers_to"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(table(spark, sf_dir, "documents"), langid.training_split(F.col("doc_id"), 7, 2))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(table(spark, sf_dir, "documents"), min_chars=10, min_docs=2)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -62,5 +66,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op4_line_dedup, op5_token_counts, op6_near_dedup, op7_exact_topk, op8_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_warc, op3_lm_scores, op4_line_dedup, op5_token_counts, op6_near_dedup, op7_exact_topk, op8_best_fit_packing,
                                 op9_language_id, op10_decontamination)}
