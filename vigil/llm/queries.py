@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, knnjoin, langid, linededup, lmscore, neardup, packing, tokencount, warc
+from . import decontaminate, knnjoin, langid, linededup, lmscore, neardup, packing, pii, tokencount, warc
 from .shared import new_path
 
 #: A public piece vocabulary; any model file of that library will do.
@@ -27,6 +27,13 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                       warc.urn_id(F.col("refers_to")).alias("refers_to"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.sanitise(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind_no"] == pii.KINDS.index(kind))).cast("bigint").alias(f"n_{kind}")
+    return out.select("doc_id", *(count(k) for k in ("email", "ip", "card", "phone")),
+                      F.sha2(pii.digest_text(F.col("base")), 256).alias("base_sha256"), pii.digest_text(F.col("all_spans")).alias("spans"))
+
+
 def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(table(spark, sf_dir, "documents"), langid.training_split(F.col("doc_id"), 7, 2))
 
@@ -66,5 +73,5 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op3_lm_scores, op4_line_dedup, op5_token_counts, op6_near_dedup, op7_exact_topk, op8_best_fit_packing,
+QUERIES = {f.__name__: f for f in (op1_warc, op2_pii, op3_lm_scores, op4_line_dedup, op5_token_counts, op6_near_dedup, op7_exact_topk, op8_best_fit_packing,
                                 op9_language_id, op10_decontamination)}
