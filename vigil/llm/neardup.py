@@ -9,11 +9,16 @@ Banding.  Texts with the same shingle set form one class and only its smallest i
 cost one row each.  ``bands`` x ``rows`` values per signature; at similarity 0.8 the chance that no band of
 4 agrees in 32 is 5e-8.  Sets under four shingles cannot be similar at 0.8 without being equal.
 
-Verification without all pairs.  In each bucket a few members (hubs) meet all others of suitable
-size that are not yet in their group; links are confirmed on the full shingle sets.  Hubs then leave
-the bucket, groups are merged, and buckets that still hold several groups take four times as many hubs
-in the next round, until none is left: a pair of a bucket stays untested only if a chain of confirmed
-links joins it already, so groups come out as if all pairs of all buckets had been tested.
+Verification without all pairs.  In each bucket the smallest id (the hub) meets all others of suitable
+size; links are confirmed on the full shingle sets and merged to groups.  Texts of buckets that still
+hold several groups (often texts that share one long passage, half alike) are dealt anew by their rarest
+shingles: two sets of the wanted similarity share a shingle among their n - ceil(percent n) + 1 rarest,
+whatever else they have in common, and from the place of the first one they share in each text's order
+follows the most they can share, so pairs that fall short are never made.  In these finer buckets hubs
+(first the texts with the fewest rare shingles before the key) meet all others that are not yet in their group and then leave;
+buckets that still hold several groups take 64 times as many hubs in the next round, until none is
+left.  So a pair of a bucket stays untested only if it can't be similar or a
+chain of confirmed links joins it already, and groups come out as if all pairs had been tested.
 
 Grouping.  Links are first merged by union-find inside each partition, then by rounds in which every
 node points its neighbours at the smallest one it sees (large and small stars), on tables.
@@ -30,8 +35,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .shared import written
 from .words import distinct, lists, mix, shingles, slices, words
@@ -128,8 +134,11 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for every node of ``links`` (u, v; longs) whose smallest reachable id is another."""
-    edges = written(links.mapInArrow(_forest, "u bigint, v bigint"), "forest")
-    seen = None
+    def state(e: DataFrame):
+        return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+
+    edges = written(links.mapInArrow(_forest, "u bigint, v bigint").distinct(), "forest")
+    seen = state(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -138,26 +147,40 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = written(small.where("u <> v").distinct(), "stars")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        now = state(edges)
         if now == seen:
             return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
         seen = now
 
 
 def _candidates(active: DataFrame, salts: int, round_no: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs, hubs) of one round.  ``active``: (key, id, n, c), c being the group so far."""
-    alive = active.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    mine = active.join(alive, "key", "left_semi")
+    """(pairs, hubs) of one round.  ``active``: (key, id, n, p, c): n shingles, p of them before the key,
+    c the group so far.  Two texts whose first common key this is share at most n - p shingles."""
+    def enough(most: Column, n: Column, other: Column) -> Column:
+        return (100 + percent) * most >= percent * (n + other)
+
+    alive = active.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("least")).where("lo < hi")
+    mine = active.join(alive, "key").where(enough(F.col("n") - F.col("p"), F.col("n"), F.col("least"))).select("key", "id", "n", "p", "c")
     hubs = (mine.groupBy("key", F.pmod(F.xxhash64(F.col("id"), F.lit(round_no)), F.lit(salts)).alias("s"))
-            .agg(F.min(F.struct("id", "n", "c")).alias("hub")).groupBy("key").agg(F.collect_list("hub").alias("hubs")))
+            .agg(F.min(F.struct("p", "id", "n", "c")).alias("hub")).groupBy("key").agg(F.collect_list("hub").alias("hubs")))
     hubs = hubs.select("key", F.explode("hubs").alias("hub"))
     pairs = mine.join(hubs, "key").where(
         (F.col("id") != F.col("hub.id")) & (F.col("c") != F.col("hub.c"))
-        & (100 * F.least("n", "hub.n") >= percent * F.greatest("n", "hub.n")))
+        & enough(F.least(F.col("n") - F.col("p"), F.col("hub.n") - F.col("hub.p")), F.col("n"), F.col("hub.n")))
     pairs = pairs.select(F.least("id", "hub.id").alias("u"), F.greatest("id", "hub.id").alias("v")).distinct()
     return pairs, hubs.select("key", F.col("hub.id").alias("id"))
 
 
+def _rare_buckets(ids: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, id, n, p): the texts under each of their rarest shingles that another one of them has, too."""
+    rows = sets.join(ids, "id", "left_semi").select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    common = written(rows.groupBy("key").count().where("count > 1"), "shingle-counts")
+    order = Window.partitionBy("id").orderBy(F.coalesce("count", F.lit(1)), "key")
+    prefix = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
+    ranked = rows.join(common, "key", "left").withColumn("place", F.row_number().over(order))
+    return ranked.where((F.col("place") <= prefix) & F.col("count").isNotNull()).select("key", "id", "n", (F.col("place") - 1).cast("bigint").alias("p"))
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough: 100 * common >= percent * all."""
     one = pairs.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv")), "v")
@@ -175,30 +198,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = written(base.select("id", _signer(k, bands, rows)("t").alias("s")).select("id", "s.*"), "signatures")
     full = signed.where("n > 0 and id is not null")
     # rows of one text are one class; rows of one id are one node
-    classes = full.groupBy("n", "a", "b").agg(F.min("id").alias("rep"), F.max("id").alias("last"))
+    classes = written(full.groupBy("n", "a", "b").agg(F.min("id").alias("rep"), F.max("id").alias("last")), "classes")
     # n and n + 1 shingles can reach the similarity only from n >= percent / (100 - percent)
     large = full.where(F.col("n") * (100 - percent) >= percent)
     reps = large.join(classes.select("n", "a", "b", F.col("rep").alias("id")), ["n", "a", "b", "id"], "left_semi")
     rows_ = reps.select(F.explode("bands").alias("key"), "id", "n").distinct()
     shared_keys = rows_.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    active = written(rows_.join(shared_keys, "key", "left_semi"), "buckets")
+    active = written(rows_.join(shared_keys, "key", "left_semi").withColumn("p", F.lit(0).cast("bigint")), "buckets")
     wanted = active.select(F.col("id").alias("w")).distinct()
     fetched = base.join(wanted, F.col("id") == F.col("w"), "left_semi").select("id", _set_maker(k)("t").alias("shingles"))
     sets = written(fetched.where(F.size("shingles") > 0), "sets")
     # equal sets are links, of every id to its class's smallest
     links = [full.join(classes.where("rep < last"), ["n", "a", "b"]).where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))]
-    group = None
+    group, tested = None, None
     for round_no in range(64):
         named = active.withColumn("c", F.col("id")) if group is None else (
-            active.join(group, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("c")))
-        pairs, hubs = _candidates(named, 4 ** round_no, round_no, percent)
-        pairs = written(pairs, "pairs")
+            active.join(group, "id", "left").select("key", "id", "n", "p", F.coalesce("component", "id").alias("c")))
+        if round_no == 1:
+            alive = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+            ids = written(named.join(alive, "key", "left_semi").select("id").distinct(), "unsettled")
+            named = written(_rare_buckets(ids, sets, percent), "rare-buckets").join(group, "id", "left").select(
+                "key", "id", "n", "p", F.coalesce("component", "id").alias("c"))
+        pairs, hubs = _candidates(named, 64 ** max(0, round_no - 1), round_no, percent)
         hubs = written(hubs, "hubs")
         if hubs.isEmpty():
             break
-        links.append(written(_links(pairs, sets, percent), "links"))
-        group = components(reduce(DataFrame.union, links[1:]))
-        active = written(named.select("key", "id", "n").join(hubs, ["key", "id"], "left_anti"), "rest")
+        pairs = written(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        more = written(_links(pairs, sets, percent), "links")
+        if group is None or not more.isEmpty():
+            links.append(more)
+            group = components(reduce(DataFrame.union, links[1:]))
+        active = written(named.select("key", "id", "n", "p").join(hubs, ["key", "id"], "left_anti"), "rest")
     group = components(reduce(DataFrame.union, links)).withColumnRenamed("id", "node")
     out = signed.select("id", "n").join(group, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
