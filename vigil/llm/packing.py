@@ -32,19 +32,21 @@ from .words import IS_SPACE, slices
 CAPACITIES = (512, 1024, 2048, 4096)
 
 
-@F.arrow_udf("bigint")
-def word_count(text: pa.Array) -> pa.Array:
-    """Words of each text."""
-    out = []
-    for _, _, data, offsets in slices(text):
-        gap = np.ones(len(data) + 1, bool)
-        gap[1:] = IS_SPACE[data]
-        start = ~gap[1:] & gap[:-1]
-        first = offsets[:-1][offsets[:-1] < len(data)]
-        start[first] = ~gap[first + 1]
-        total = np.concatenate([[0], np.cumsum(start)])
-        out.append(total[offsets[1:]] - total[offsets[:-1]])
-    return pa.array(np.concatenate(out) if out else [], pa.int64())
+def _word_counter():
+    @F.arrow_udf("bigint")
+    def word_count(text: pa.Array) -> pa.Array:
+        out = []
+        for _, _, data, offsets in slices(text):
+            gap = np.ones(len(data) + 1, bool)
+            gap[1:] = IS_SPACE[data]
+            start = ~gap[1:] & gap[:-1]
+            first = offsets[:-1][offsets[:-1] < len(data)]
+            start[first] = ~gap[first + 1]
+            total = np.concatenate([[0], np.cumsum(start)])
+            out.append(total[offsets[1:]] - total[offsets[:-1]])
+        return pa.array(np.concatenate(out) if out else [], pa.int64())
+
+    return word_count
 
 
 def opening_size(length: int, capacities: tuple[int, ...], bin_cost: int) -> int:
@@ -101,7 +103,7 @@ def plan(histogram: dict[int, int], capacities: tuple[int, ...], bin_cost: int)
 
 def pieces(docs: DataFrame, id_col: str, text_col: str, most: int) -> DataFrame:
     """(id, n_words, piece_no, start_token, n_tokens): each text's words and its end token, cut."""
-    total = word_count(F.col(text_col).cast("binary")) + 1
+    total = _word_counter()(F.col(text_col).cast("binary")) + 1
     out = docs.select(F.col(id_col).alias("id"), total.alias("n"))
     out = out.select("id", "n", F.explode(F.sequence(F.lit(0), ((F.col("n") - 1) / most).cast("int"))).alias("piece_no"))
     start = F.col("piece_no").cast("bigint") * most
