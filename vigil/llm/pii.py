@@ -164,7 +164,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     out = out.select(F.struct("base", "all_spans", _sanitised(F.col("t"), F.col("all_spans"), F.coalesce("terms", F.array().cast("array<struct<term:bigint,share:double>>")), remove).alias("sanitised")).alias("_pii"),
                      F.col("id").alias("_id"), F.col("th").alias("_th"))
     other = [F.col(f"`{c}`") for c in docs.columns if c not in made]
-    joined = docs.join(written(out, "sanitised"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_th")), "left")
+    # the hash as a column, so that the text itself travels only where it is asked for
+    joined = docs.withColumn("_own", F.xxhash64(text)).join(
+        written(out, "sanitised"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")), "left")
     none = F.array().cast(SPAN)
     return joined.select(*other, F.coalesce("_pii.base", none).alias("base"), F.coalesce("_pii.all_spans", none).alias("all_spans"),
                          F.coalesce("_pii.sanitised", F.col(text_col)).alias("sanitised"))
