@@ -105,7 +105,7 @@ def test_language_model(spark):
         rows.append((i, " ".join(w) + (f" rare{i}" if i % 3 else "")))
     rows += [(900, None), (901, ""), (902, "unseen " * 3), (None, "v1 v2"), (3, rows[3][1]), (904, "v1 " * 60_000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("score", F.lit("clash")).repartition(2)
-    out = lmscore.score(docs, langid.training_split(F.col("doc_id"), 7, 2), head=40, wide=50, rounds=2).collect()
+    out = lmscore.score(docs, langid.training_split(F.col("doc_id"), 7, 2), head=40, rounds=2).collect()
     assert len(out) == len(rows)
     want = brute.unigram([r for r in rows if r[0] is not None and r[0] < 900], lambda i: zlib.crc32(str(i).encode()) % 7 == 2)
     assert {r.held_out for r in out} == {True, False}

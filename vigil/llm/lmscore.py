@@ -2,7 +2,7 @@
 
 Tokens are words and one end per text.  Spark counts every training token; the counts are a table that
 grows with the corpus and never leaves the executors.  Only three bounded pieces go out: the
-``head`` most frequent words and the counts of the ``wide`` most frequent ones, and sums per class.
+``head`` most frequent words and the counts of at most the ``wide`` most frequent ones, and sums per class.
 
 The model predicts symbols: head words, the end, and for all other words the class of their last two
 bytes; within a class a word has its add-one share of the class's training tokens.  So the
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -224,8 +225,14 @@ def vocabulary(counts: DataFrame, head: int, wide: int) -> Vocabulary:
                       F.coalesce(F.sum(F.when(F.col("h") == end, F.col("n"))), F.lit(0)).alias("ends")).first()
     if not size["n"]:
         return Vocabulary()
-    own = counts.where(F.col("h") != end)
-    top = own.orderBy(F.desc("n"), "h").limit(wide).toPandas()
+    # the most frequent words, cut at a step of counts (a sixteenth of a doubling) so that only those
+    # words leave the executors, not each task's candidates; below the cut the join takes over
+    own = counts.where(F.col("h") != end).withColumn("step", F.floor(16 * F.log2("n")))
+    steps = sorted(own.groupBy("step").count().collect(), key=lambda r: -r["step"])
+    reach = list(accumulate(r["count"] for r in steps))
+    taken = [r["step"] for r, n in zip(steps, reach) if n <= wide]
+    top = own.where(F.col("step") >= (taken[-1] if taken else steps[0]["step"] + 1 if steps else 0)).toPandas()
+    top = top.sort_values(["n", "h"], ascending=[False, True], ignore_index=True)
     mass = own.groupBy("cls").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
     n, v = np.zeros(CLASSES), np.zeros(CLASSES)
     n[mass["cls"]], v[mass["cls"]] = mass["n"], mass["v"]
