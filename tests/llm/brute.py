@@ -120,7 +120,7 @@ def greedy(word, initial, continuation):
     n = at = 0
     while at < len(word):
         vocabulary = continuation if at else initial
-        end = next((e for e in range(len(word), at, -1) if word[at:e] in vocabulary), None)
+        end = next((e for e in range(min(len(word), at + 9), at, -1) if word[at:e] in vocabulary), None)  # no test piece is longer
         if end is None:
             return 0
         n, at = n + 1, end

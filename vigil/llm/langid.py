@@ -64,8 +64,9 @@ def _buckets(codes: np.ndarray, bounds: np.ndarray, order: int, bits: int) -> tu
         h ^= h >> np.uint32(15)
     h = h * np.uint32(0xC2B2AE35) >> np.uint32(32 - bits)
     keep = np.ones(len(codes) + 1, bool)
-    for j in range(order - 1):
-        keep[np.maximum(bounds[1:] - 1 - j, bounds[:-1])] = False
+    full = np.diff(bounds) > 0
+    for j in range(order - 1):  # no n-gram starts at a text's last places
+        keep[np.maximum(bounds[1:] - 1 - j, bounds[:-1])[full]] = False
     keep = keep[:len(h)]
     return h[keep], out
 
