@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .ordered import running_totals
+from .ordered import join_on, running_totals
 
 METRICS = ["Accuracy", "Recall", "Precision", "ROC AUC", "Brier Score Loss"]
 
@@ -141,7 +141,7 @@ def bootstrap_ci(df: DataFrame, *, label="label", score="score", by: Sequence[st
 def metrics_table(headline: DataFrame, ci: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
     """EVL-4: Metric, Value, CI Lower, CI Upper per group."""
     by = list(by)
-    return headline.join(ci, by + ["metric"], "left").select(*by, "metric", "value", "ci_lower", "ci_upper")
+    return join_on(headline, ci, by + ["metric"], "left").select(*by, "metric", "value", "ci_lower", "ci_upper")
 
 
 # ---- deterministic Poisson bootstrap (counts and Brier; reproducible in SQL) ---------------

@@ -52,7 +52,7 @@ def dose_summary(conv: DataFrame, total: DataFrame, *, id_col: str, drug: str =
                                 "overall_iqr_upper": 0.75})
     counts = enc.groupBy(drug).agg(F.count(F.lit(1)).alias("n_encounters"))
     agg = (counts.join(overall, drug, "left").crossJoin(F.broadcast(total))
-           .withColumn("pct_encounters", 100.0 * F.col("n_encounters") / F.col("n_total")).drop("n_total"))
+           .withColumn("pct_encounters", F.try_divide(100.0 * F.col("n_encounters"), F.col("n_total"))).drop("n_total"))
     return densify(agg, list(required), drug)
 
 
@@ -117,11 +117,11 @@ def initial_modes(resp: DataFrame, encounters: DataFrame, *, id_col: str, t: str
             .crossJoin(encounters.select(id_col).distinct().agg(F.count(F.lit(1)).alias("all"))))
     base = (densify(counts, list(required), mode).crossJoin(F.broadcast(dens))
             .unpivot([mode, "_order", "n_encounters"], ["ventilated", "all"], "denominator", "_d")
-            .withColumn("pct_encounters", 100.0 * F.col("n_encounters") / F.col("_d")))
+            .withColumn("pct_encounters", F.try_divide(100.0 * F.col("n_encounters"), F.col("_d"))))
     rest = (base.groupBy("denominator", "_d").agg(F.sum("n_encounters").alias("_s"))
             .select("denominator", F.lit(fixed.NO_MODE).alias(mode), F.lit(len(required)).alias("_order"),
                     (F.col("_d") - F.coalesce("_s", F.lit(0))).alias("n_encounters"), "_d")
-            .withColumn("pct_encounters", 100.0 * F.col("n_encounters") / F.col("_d")))
+            .withColumn("pct_encounters", F.try_divide(100.0 * F.col("n_encounters"), F.col("_d"))))
     cols = ["denominator", mode, "_order", "n_encounters", "pct_encounters"]
     body = base.select(*cols).unionByName(rest.select(*cols))
     total = (body.groupBy("denominator").agg(F.sum("n_encounters").alias("n_encounters"),

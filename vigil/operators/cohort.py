@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import add_hours, death_flag, hours_between, map_values, trunc_ntz
 from ..functions import fixed
+from .ordered import join_on
 
 
 def normalise_state(state: str, renames: dict | None = None) -> Column:
@@ -68,7 +69,7 @@ def state_blocks(stays: DataFrame, *, id_col: str = "hospitalization_id",
                                .when(prev_b["s"].eqNullSafe(F.col("_fs")), 0).otherwise(1))
         summ = summ.withColumn("_off", F.coalesce(
             F.sum(F.col("_fc") + F.col("_n_in")).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        x = (x.join(summ.select(id_col, "_bk", "_fc", "_off"), [id_col, "_bk"], "inner")
+        x = (join_on(x, summ.select(id_col, "_bk", "_fc", "_off"), [id_col, "_bk"])
              .withColumn("block", F.col("_off") + F.col("_fc") + F.col("_lc")))
     return (x.groupBy(id_col, "block")
             .agg(F.first("_st").alias(state), F.min(t_in).alias("min_in_dttm"),

@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .ordered import attach, pick_positions, running_totals
+from .ordered import attach, join_on, pick_positions, running_totals
 
 div = F.try_divide
 
 
 def score_ladder(df: DataFrame, *, label: str = "label", score: str = "score",
-                 by: Sequence[str] = (), n_buckets: int | None = None, keep_bucket: bool = False) -> DataFrame:
+                 by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
     """EVL-1: ``(by..., score, pos, neg, cum_pos, cum_neg, rank, P, N)``; cumulative
     counts include the row's own score (predicted positive at threshold = score), rank
     1 is the highest score."""
@@ -27,11 +27,9 @@ def score_ladder(df: DataFrame, *, label: str = "label", score: str = "score",
            .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("_n"))
            .withColumn("neg", F.col("_n") - F.col("pos")).drop("_n")
            .withColumn("one", F.lit(1).cast("long")))
-    rt = running_totals(lad, by, "score", ["pos", "neg", "one"], descending=True, n_buckets=n_buckets,
-                        keep_bucket=keep_bucket)
+    rt = running_totals(lad, by, "score", ["pos", "neg", "one"], descending=True, n_buckets=n_buckets)
     return rt.select(*by, "score", "pos", "neg", "cum_pos", "cum_neg", F.col("cum_one").alias("rank"),
-                     F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"),
-                     *([c for c in ("_g", "_bk") if c in rt.columns] if keep_bucket else []))
+                     F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"))
 
 
 def auc_from_ladder(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -89,7 +87,7 @@ def headline_metrics(df: DataFrame, *, label="label", score="score", thr=fixed.T
     by = list(by)
     c = confusion(df, label=label, score=score, thr=thr, by=by)
     auc = auc_from_ladder(score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets), by)
-    m = (c.join(auc, by, "left") if by else c.crossJoin(auc))
+    m = (join_on(c, auc, by, "left") if by else c.crossJoin(auc))
     rr = rates(zero_as=0.0)   # precision / recall of nothing called positive: 0, as sklearn scores it
     wide = m.select(*by, rr["accuracy"].alias("Accuracy"), rr["recall"].alias("Recall"),
                     rr["ppv"].alias("Precision"), F.col("auc").alias("ROC AUC"),
@@ -108,7 +106,7 @@ def roc_points(lad: DataFrame, by: Sequence[str] = (), drop_intermediate: bool =
     if drop_intermediate:
         nxt = lad.select(*by, (F.col("rank") - 1).alias("rank"), F.col("pos").alias("_npos"),
                          F.col("neg").alias("_nneg"))
-        pts = (lad.join(nxt, by + ["rank"], "left")
+        pts = (join_on(lad, nxt, by + ["rank"], "left")
                .where((F.col("rank") == 1) | F.col("_npos").isNull()
                       | (F.col("_npos") != F.col("pos")) | (F.col("_nneg") != F.col("neg"))))
     pts = pts.select(*by, div(F.col("cum_neg").cast("double"), F.col("N").cast("double")).alias("fpr"),
@@ -154,7 +152,7 @@ def curve_areas(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     allp = pts.unionByName(start)
     prev = allp.select(*by, (F.col("rank") + 1).alias("rank"), F.col("x1").alias("x0"), F.col("y1").alias("y0"),
                        F.col("r1").alias("r0"), F.col("p1").alias("p0"))
-    j = pts.join(prev, by + ["rank"], "inner")
+    j = join_on(pts, prev, by + ["rank"])
     return j.groupBy(*by).agg(
         F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") + F.col("y0")) * 0.5).alias("roc_auc_trapezoid"),
         F.sum((F.col("r1") - F.col("r0")) * (F.col("p1") + F.col("p0")) * 0.5).alias("pr_auc"))
@@ -178,26 +176,22 @@ def topn_sweep(df: DataFrame, *, label="label", score="score", by: Sequence[str]
     """EVL-6: for q = 1.00, 0.99, ..., 1/steps: threshold = linear quantile q of the score,
     counts of ``score >= threshold``.  ``include_top=False`` starts at (steps-1)/steps
     (99 rows from 0.99, the R variant).  Quantile positions and counts are looked up on
-    the ladder by equi joins: one pass over the data, not one per threshold."""
+    the ladder's rows themselves: one pass over the data, not one per threshold."""
     by = list(by)
     top = steps if include_top else steps - 1
     probs = [k / float(steps) for k in range(top, 0, -1)]
-    lad = score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets, keep_bucket=True)
+    lad = score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets)
     # quantiles of the score read off the same ladder: ascending position of a distinct
     # score = rows below it + its own count (no second pass over the data)
     asc = lad.select(*by, F.col("score"), (F.col("pos") + F.col("neg")).alias("_n"),
                      ((F.col("P") + F.col("N")) - (F.col("cum_pos") + F.col("cum_neg"))
                       + (F.col("pos") + F.col("neg"))).alias("cum__n"),
-                     (F.col("P") + F.col("N")).alias("_gtot"), "_bk", *(["_g"] if not by else []))
-    qv = pick_positions(asc, by, "score", probs, out="thr_value", bounds=True)
+                     (F.col("P") + F.col("N")).alias("_gtot"), "cum_pos", "cum_neg", "P", "N")
     # rows with score >= threshold: the threshold is an order statistic or lies between two
     # adjacent ones, so the count is the ladder's running total at the lower statistic
-    # (threshold equal to it) or at the upper one -- an equi join on (group, score)
-    at = F.when(F.col("thr_value") <= F.col("thr_value_lo"), F.col("thr_value_lo")).otherwise(
-        F.col("thr_value_hi"))
-    cand = lad.select(*by, "score", F.struct("cum_pos", "cum_neg").alias("_c"), "P", "N")
-    hit = qv.withColumn("score", at).join(cand, by + ["score"], "inner")
-    tp, fp = F.col("_c.cum_pos"), F.col("_c.cum_neg")
+    # (threshold equal to it) or at the upper one
+    hit = pick_positions(asc, by, "score", probs, out="thr_value", carry=("cum_pos", "cum_neg", "P", "N"))
+    tp, fp = F.col("cum_pos"), F.col("cum_neg")
     out = hit.select(*by, "q", "thr_value", (F.col("N") - fp).alias("tn"), fp.alias("fp"),
                      (F.col("P") - tp).alias("fn"), tp.alias("tp"))
     return out.select("*", *[v.alias(k) for k, v in rates().items()],
@@ -276,7 +270,7 @@ def fairness(df: DataFrame, *, subgroups: Sequence[str], label="label", score="s
     auc = auc_from_ladder(score_ladder(long, label=label, score=score, by=keys, n_buckets=n_buckets), keys)
     two = (F.col("tp") + F.col("fn") > 0) & (F.col("tn") + F.col("fp") > 0)
     rr = rates(zero_as=0.0)
-    m = attach(c.join(auc, keys, "left"), total, by) if by else c.join(auc, keys, "left").crossJoin(F.broadcast(total))
+    m = attach(join_on(c, auc, keys, "left"), total, by) if by else join_on(c, auc, keys, "left").crossJoin(F.broadcast(total))
     return m.select(*keys, "tn", "tp", "fp", "fn",
                     F.when(two, F.col("auc")).alias("auc"),
                     *[F.when(two, rr[k]).alias(k) for k in ("ppv", "sensitivity", "specificity", "npv", "recall",

@@ -1,13 +1,16 @@
 """Order-dependent aggregates without a single-partition window.
 
-``running_totals`` is a two-level prefix sum: rows are range-partitioned on
-(group, order key) and pinned with ``checkpoint``; each range bucket's totals form a
-small table whose own prefix sum gives per-bucket offsets; the running sum inside a
+``running_totals`` is a two-level prefix sum: every row's bucket is a fixed function of its
+order value (its place between the smallest and the largest one, which are one small
+aggregate), so it is the same in every branch of the plan and on every recomputation.  Each bucket's
+totals form a small table whose own prefix sum gives per-bucket offsets; the running sum inside a
 bucket is a window partitioned by (group, bucket).  No task ever holds more than one
-range bucket, so a hot group is spread over many tasks.  ``exact_quantiles`` builds on
-it (linear interpolation, the ``percentile`` / ``quantile_cont`` definition) without a
-per-group value map: target positions are matched to buckets on the small bucket table,
-then rows are equi-joined only to the targets of their own bucket.
+bucket, so a hot group is spread over many tasks.  ``exact_quantiles`` builds on it (linear
+interpolation, the ``percentile`` / ``quantile_cont`` definition): a distinct value knows the
+positions it covers, so it picks the quantiles that it answers itself, and one grouped
+aggregate puts them together.
+
+Group keys are compared null-safely throughout: rows whose key is NULL form a group.
 """
 
 from __future__ import annotations
@@ -17,7 +20,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+
+def join_on(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join on ``keys`` in which NULL equals NULL: the keys travel as one struct, which is
+    never NULL itself.  The keys are taken from ``df``."""
+    key = F.struct(*[F.col(k) for k in keys])
+    return df.withColumn("_jk", key).join(other.withColumn("_jk", key).drop(*keys), "_jk", how).drop("_jk")
 
 
 def attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -25,64 +33,50 @@ def attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
     scalar), broadcast as such; otherwise an equi join on the keys whose strategy AQE
     picks from the measured size."""
     if by:
-        return df.join(small, list(by), "inner")
+        return join_on(df, small, by)
     return df.crossJoin(F.broadcast(small))
 
 
+def _bucket(order: str, n: int) -> F.Column:
+    """Bucket 0..n-1 of a value between ``_min`` and ``_max``; NULL below all (as it sorts), NaN and
+    what infinities make of the range above all.  Never decreasing in the value."""
+    v, lo, hi = F.col(order).cast("double"), F.col("_min"), F.col("_max")
+    at = F.try_divide(v - lo, hi - lo) * n
+    return (F.when(v.isNull(), -1).when(F.isnan(v) | F.isnan(at), n - 1)
+            .otherwise(F.coalesce(F.least(F.floor(at), F.lit(n - 1)), F.lit(0)))).cast("int")
+
+
 def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], *,
                    descending: bool = False, n_buckets: int | None = None,
-                   prefix: str = "cum_", totals_prefix: str | None = "tot_",
-                   keep_bucket: bool = False) -> DataFrame:
-    """Add ``{prefix}{c}`` = running (inclusive) sum of ``c`` in ``order`` within ``by``
+                   prefix: str = "cum_", totals_prefix: str | None = "tot_") -> DataFrame:
+    """Add ``{prefix}{c}`` = running (inclusive) sum of ``c`` in ``order`` (numeric) within ``by``
     and, optionally, group totals ``{totals_prefix}{c}``.  ``order`` must be unique within
-    a group (aggregate ties first).  ``keep_bucket`` keeps the range bucket id ``_bk``
-    (contiguous key ranges) for callers that look rows up by position."""
-    by = list(by)
-    if not by:
-        # one group: a constant key keeps the bucket-offset window (n_buckets rows) keyed
-        out = running_totals(df.withColumn("_g", F.lit(0)), ["_g"], order, sums, descending=descending,
-                             n_buckets=n_buckets, prefix=prefix, totals_prefix=totals_prefix,
-                             keep_bucket=keep_bucket)
-        # with buckets kept, the constant key stays: read back from the checkpoint it is a
-        # column, so later equi joins on it are not folded into cartesian products
-        return out if keep_bucket else out.drop("_g")
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    # Range bounds come from sampling, which may differ if the exchange is recomputed in
-    # another branch of the plan; the bucket ids must be identical in the totals and in the
-    # rows, so the bucketed rows are written once to the checkpoint folder (reliable
-    # storage, also survives the loss of executors) and every branch reads that copy.
-    ensure_checkpoint_dir(df.sparkSession)
-    # without an explicit count adaptive execution may coalesce the range partitions
-    # (each partition stays one contiguous key range, which is all the buckets need)
-    keys = [F.col(b) for b in by] + [o]
-    r = (df.repartitionByRange(n_buckets, *keys) if n_buckets else df.repartitionByRange(*keys))
-    r = (r
-         .withColumn("_bk", F.spark_partition_id())
-         .checkpoint(eager=True))
-    tot = r.groupBy(*by, "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    wb = Window.partitionBy(*by).orderBy("_bk")
+    a group (aggregate ties first)."""
+    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ends = df.agg(F.min(F.col(order).cast("double")).alias("_min"), F.max(F.col(order).cast("double")).alias("_max"))
+    r = (df.crossJoin(F.broadcast(ends)).withColumn("_bk", _bucket(order, n)).drop("_min", "_max")
+         .withColumn("_k", F.struct(F.lit(0).alias("_g"), *by)))
+    tot = r.groupBy("_k", "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    wb = Window.partitionBy("_k").orderBy(F.col("_bk").desc() if descending else F.col("_bk"))
     prev = wb.rowsBetween(Window.unboundedPreceding, -1)
-    whole = wb.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = Window.partitionBy("_k")
     offs = [F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_o_{c}") for c in sums]
     if totals_prefix:
         offs += [F.sum(f"_t_{c}").over(whole).alias(f"{totals_prefix}{c}") for c in sums]
-    off = tot.select(*by, "_bk", *offs)
-    j = r.join(off, by + ["_bk"], "inner")
-    wr = Window.partitionBy(*by, "_bk").orderBy(o).rowsBetween(Window.unboundedPreceding,
-                                                               Window.currentRow)
+    j = r.join(tot.select("_k", "_bk", *offs), ["_k", "_bk"], "inner")
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    wr = Window.partitionBy("_k", "_bk").orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = j.withColumns({f"{prefix}{c}": F.sum(c).over(wr) + F.col(f"_o_{c}") for c in sums})
-    out = out.drop(*[f"_o_{c}" for c in sums])
-    return out if keep_bucket else out.drop("_bk")
+    return out.drop("_k", "_bk", *[f"_o_{c}" for c in sums])
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], *,
                     prob_col: str = "q", out: str = "value", n_buckets: int | None = None,
-                    bounds: bool = False, keep_empty: bool = False) -> DataFrame:
+                    keep_empty: bool = False) -> DataFrame:
     """Exact quantiles per group, linear interpolation between order statistics
     (position (n-1)q).  Rows ``(by..., q, value)``; NULL values are ignored and empty
-    groups produce no rows.  Work is one aggregate to distinct values, one prefix sum and
-    one equi join of those values with the (group, position) targets.  With ``bounds``
-    the two order statistics around each quantile are kept as ``{out}_lo``/``{out}_hi``."""
+    groups produce no rows, or NULL quantiles with ``keep_empty``.  Work is one aggregate to
+    distinct values, one prefix sum and one aggregate of the values that hold a position."""
     by = list(by)
     if keep_empty:
         # groups whose values are all NULL stay (NULL quantiles): NULL gets count 0, so it
@@ -91,51 +85,31 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     else:
         cnt = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
                .agg(F.count(F.lit(1)).alias("_n")))
-    rt = running_totals(cnt, by, value, ["_n"], n_buckets=n_buckets, totals_prefix="_Ntot", keep_bucket=True)
-    g = by or ["_g"]
-    res = pick_positions(rt.select(*g, value, "_n", "cum__n", F.col("_Ntot_n").alias("_gtot"), "_bk"), g, value,
-                         probs, prob_col=prob_col, out=out, bounds=bounds)
-    return res if by else res.drop("_g")
+    rt = running_totals(cnt, by, value, ["_n"], n_buckets=n_buckets, totals_prefix="_Ntot")
+    return pick_positions(rt.withColumnRenamed("_Ntot_n", "_gtot"), by, value, probs, prob_col=prob_col, out=out)
 
 
 def pick_positions(rt: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], *,
-                   prob_col: str = "q", out: str = "value", bounds: bool = False) -> DataFrame:
+                   prob_col: str = "q", out: str = "value", carry: Sequence[str] = ()) -> DataFrame:
     """Quantiles from a distinct-value table ``(by..., value, _n, cum__n, _gtot)`` where
-    ``cum__n`` counts rows with a value <= this one and ``_gtot`` is the group size.  Group
-    sizes are read from that table (already materialised), not recomputed upstream."""
-    by = list(by)
-    if not by:
-        # no group keys: use the checkpointed constant key when present (see running_totals)
-        if "_g" not in rt.columns:
-            rt = rt.withColumn("_g", F.lit(0))
-        res = pick_positions(rt, ["_g"], value, probs, prob_col=prob_col, out=out, bounds=bounds)
-        return res.drop("_g")
-    grp = rt.groupBy(*by).agg(F.first("_gtot").alias("_gtot"))
+    ``cum__n`` counts rows with a value <= this one and ``_gtot`` is the group size.  A row covers the
+    positions [cum__n - _n, cum__n) and answers the quantiles that need one of them.  With ``carry``
+    those columns are added, as they stand at the smallest value >= the quantile."""
+    last = F.col("_gtot") - 1
+    lo = lambda q: F.floor(last.cast("double") * q)
+    hi = lambda q: F.least(lo(q) + 1, last)
+    holds = lambda p: (p >= F.col("cum__n") - F.col("_n")) & (p < F.col("cum__n"))
     qs = F.array(*[F.lit(float(p)) for p in probs])
-    tg = (grp.select(*by, "_gtot", F.explode(qs).alias(prob_col))
-          .withColumn("_h", (F.col("_gtot") - 1).cast("double") * F.col(prob_col))
-          .withColumn("_lo", F.floor("_h"))
-          .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("_gtot") - 1))
-          .withColumn("_f", F.col("_h") - F.col("_lo")))
-    need = tg.select(*by, F.explode(F.array("_lo", "_hi")).alias("_p")).distinct()
-    holds = (F.col("_p") >= F.col("cum__n") - F.col("_n")) & (F.col("_p") < F.col("cum__n"))
-    if "_bk" in rt.columns:
-        # match the few target positions to range buckets on the small bucket table first,
-        # then each row is compared only with the positions of its own bucket (equi join)
-        rng = rt.groupBy(*by, "_bk").agg(F.min(F.col("cum__n") - F.col("_n")).alias("_blo"),
-                                         F.max("cum__n").alias("_bhi"))
-        pb = (need.join(rng, by, "inner").where((F.col("_p") >= F.col("_blo")) & (F.col("_p") < F.col("_bhi")))
-              .select(*by, "_bk", "_p"))
-        hits = rt.join(pb, by + ["_bk"], "inner").where(holds).select(*by, "_p", F.col(value).alias("_v"))
-    else:
-        hits = rt.join(need, by, "inner").where(holds).select(*by, "_p", F.col(value).alias("_v"))
-    lo = hits.select(*by, F.col("_p").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = hits.select(*by, F.col("_p").alias("_hi"), F.col("_v").alias("_vhi"))
-    res = (tg.join(lo, by + ["_lo"], "left").join(hi, by + ["_hi"], "left")
-           .select(*by, prob_col,
-                   (F.col("_vlo") + F.col("_f") * (F.col("_vhi") - F.col("_vlo"))).alias(out),
-                   F.col("_vlo").alias(f"{out}_lo"), F.col("_vhi").alias(f"{out}_hi")))
-    return res if bounds else res.drop(f"{out}_lo", f"{out}_hi")
+    mine = F.filter(qs, lambda q: holds(lo(q)) | holds(hi(q)) | (F.col("_gtot") == 0))
+    kept = F.struct(F.col(value).alias("v"), *[F.col(c) for c in carry])
+    rows = rt.withColumn("_row", kept).select(*by, "_row", "_n", "cum__n", "_gtot", F.explode(mine).alias(prob_col))
+    q = F.col(prob_col)
+    at = (last.cast("double") * q) - lo(q)
+    g = rows.groupBy(*by, prob_col).agg(F.max(F.when(holds(lo(q)), F.col("_row"))).alias("_lo"),
+                                        F.max(F.when(holds(hi(q)), F.col("_row"))).alias("_hi"), F.max(at).alias("_f"))
+    v = F.col("_lo.v") + F.col("_f") * (F.col("_hi.v") - F.col("_lo.v"))
+    reach = F.when(v <= F.col("_lo.v"), F.col("_lo")).otherwise(F.col("_hi"))
+    return g.select(*by, prob_col, v.alias(out), *[reach[c].alias(c) for c in carry])
 
 
 def quantile_columns(df: DataFrame, by: Sequence[str], value: str, probs: dict,

@@ -43,8 +43,8 @@ def missingness(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     agg = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols])
     return (agg.unpivot(["_n"], list(cols), "column", "na_count")
-            .select("column", "na_count", F.col("_n").alias("total_rows"),
-                    (F.col("na_count") * 100.0 / F.col("_n")).alias("nan_percentage")))
+            .select("column", F.coalesce("na_count", F.lit(0)).alias("na_count"), F.col("_n").alias("total_rows"),
+                    F.try_divide(F.col("na_count") * 100.0, F.col("_n")).alias("nan_percentage")))
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:

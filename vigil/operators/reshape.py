@@ -16,11 +16,12 @@ _AGGS = {"min": F.min, "max": F.max, "mean": F.avg}
 def dedupe_eav(long: DataFrame, *, keys: Sequence[str], cat: str, value: str,
                tie: Sequence[str] | str | None = None) -> DataFrame:
     """One value per (keys, category): the value of the first row in ``tie`` order (NULL
-    values included), i.e. a deterministic ``first``.  Partial aggregate: hot keys are
+    values included), i.e. a deterministic ``first``; without ``tie`` the smallest value, NULL
+    only if there is no other.  Partial aggregate: hot keys are
     reduced map-side."""
-    tie = [tie] if isinstance(tie, str) else list(tie or [value])
+    order = [F.col(c) for c in ([tie] if isinstance(tie, str) else tie)] if tie else [F.col(value).isNull(), F.col(value)]
     return (long.groupBy(*keys, cat)
-            .agg(F.min_by(F.col(value), F.struct(*[F.col(c) for c in tie])).alias(value)))
+            .agg(F.min_by(F.col(value), F.struct(*order)).alias(value)))
 
 
 def pivot_eav(long: DataFrame, *, keys: Sequence[str], cat: str, value: str,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import trunc_ntz, within
+from .ordered import join_on
 
 
 def window_join(windows: DataFrame, obs: DataFrame, *, id_col: str, t: str,
@@ -40,7 +41,8 @@ def asof_join(left: DataFrame, right: DataFrame, *, id_col: str, left_t: str, ri
               bucket: str | None = "DAY", prefix: str = "") -> DataFrame:
     """JON-6: for every left row, the right row of the same id with the latest time at or
     before the left time (``roll = Inf``); NULLs when none exists.  Right values are
-    carried as one struct, so a right row with NULL values still counts as "latest".
+    carried as one struct, so a right row with NULL values still counts as "latest".  Right rows
+    without id or time never match; left rows without id or time come back with NULLs.
 
     Plan: union both sides and take ``last(ignorenulls)`` over a window ordered by
     (time, side) -- right rows sort before left rows at equal times.  With ``bucket``
@@ -52,6 +54,9 @@ def asof_join(left: DataFrame, right: DataFrame, *, id_col: str, left_t: str, ri
     vals = list(values)
     tie = [right_tie] if right_tie else []
     lcols = left.columns
+    placed = F.col(id_col).isNotNull() & F.col(left_t).isNotNull()
+    right = right.where(F.col(id_col).isNotNull() & F.col(right_t).isNotNull())
+    unplaced, left = left.where(~placed), left.where(placed)
     L = left.select(F.col(id_col).alias("_id"), F.col(left_t).alias("_t"), F.lit(1).alias("_side"),
                     F.struct(*[F.col(c) for c in lcols]).alias("_l"))
     rv = F.struct(F.col(right_t).alias("_rt"), *[F.col(c).alias(f"_tie{i}") for i, c in enumerate(tie)],
@@ -84,7 +89,8 @@ def asof_join(left: DataFrame, right: DataFrame, *, id_col: str, left_t: str, ri
                .withColumn("_m", F.coalesce("_m", "_prev")))
     out = hit.select("_l.*", *[F.col(f"_m.{c}").alias(prefix + c) for c in vals],
                      F.col("_m._rt").alias(prefix + right_t))
-    return out
+    kinds = {c: right.schema[c].dataType for c in [*vals, right_t]}
+    return out.union(unplaced.select(*lcols, *[F.lit(None).cast(kinds[c]).alias(prefix + c) for c in [*vals, right_t]]))
 
 
 def next_time(df: DataFrame, *, id_col: str, t: str, tie: str | None = None, out: str = "next_t",
@@ -101,5 +107,5 @@ def next_time(df: DataFrame, *, id_col: str, t: str, tie: str | None = None, out
     x = x.withColumn(out, F.lead(t).over(Window.partitionBy(id_col, "_bk").orderBy(*order)))
     firsts = x.groupBy(id_col, "_bk").agg(F.min(t).alias("_ft"))
     nxt = firsts.withColumn("_nb", F.lead("_ft").over(Window.partitionBy(id_col).orderBy("_bk")))
-    return (x.join(nxt.select(id_col, "_bk", "_nb"), [id_col, "_bk"], "inner")
+    return (join_on(x, nxt.select(id_col, "_bk", "_nb"), [id_col, "_bk"])
             .withColumn(out, F.coalesce(F.col(out), F.col("_nb"))).drop("_bk", "_nb"))
