@@ -45,3 +45,33 @@ def test_parse_timestamp_and_drop_zone(spark):
         "hospitalization_id", "TIMESTAMP '2020-01-01 10:00:00' AS t")
     out = to_ntz(z)
     assert dict(out.dtypes)["t"] == "timestamp_ntz" and out.collect()[0]["t"] == ts("2020-01-01 10:00:00")
+
+
+def test_csv_is_read_by_name(spark):
+    root = tempfile.mkdtemp(prefix="vigil-src-")
+    with open(os.path.join(root, "adt.csv"), "w") as f:
+        f.write("in_dttm,extra,location_category,out_dttm,hospitalization_id\n2024-01-01 00:00:00,x,ICU,2024-01-02 00:00:00,007\nnot a time,,WARD,,8\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        load_table(spark, "adt", root, "csv").collect()
+    rows = load_table(spark, "adt", root, "csv", strict=False).orderBy("hospitalization_id").collect()
+    assert rows[0].asDict() == {"hospitalization_id": "007", "location_category": "ICU", "in_dttm": ts("2024-01-01 00:00:00"),
+                                "out_dttm": ts("2024-01-02 00:00:00"), "extra": "x"}
+    assert rows[1]["in_dttm"] is None and rows[1]["out_dttm"] is None
+
+
+def test_csv_v1_names_missing_and_extra_columns(spark):
+    root = tempfile.mkdtemp(prefix="vigil-src-")
+    with open(os.path.join(root, "labs.csv"), "w") as f:
+        f.write("lab_type_name,encounter_id,lab_order_dttm,lab_category,lab_value,reference_unit\nstandard,1,2024-01-01 00:00:00,sodium,140,mmol/L\n")
+    r = load_table(spark, "labs", root, "csv", version=1).collect()[0]
+    assert (r["hospitalization_id"], r["lab_value_numeric"], r["lab_type_name"], r["reference_unit"]) == ("1", None, "standard", "mmol/L")
+    with pytest.raises(ValueError, match="hospitalization_id"):
+        load_table(spark, "labs", root, "csv")
+
+
+def test_shareable_refuses_row_level_scores(spark):
+    df = spark.createDataFrame([(1, 0, 0.5)], "n int, label int, pred_proba double")
+    with pytest.raises(ValueError):
+        write_shareable(df, tempfile.mkdtemp())
+    with pytest.raises(ValueError):
+        write_shareable(df.select("n", "pred_proba"), tempfile.mkdtemp())

@@ -2,11 +2,7 @@
 
 Resampling n rows with replacement is a multinomial draw of n over the distinct
 (score, label) cells, so a replicate never touches the rows.  Cells come from the score
-ladder: per group at most ``max_cells`` score cells (consecutive distinct scores are
-merged only when the ladder is longer than that -- then AUC ties inside a merged cell
-count one half, an approximation that is reported in the output), split at the
-operating threshold so that the counts at the threshold stay exact.  Each group's cells
-(a bounded number of rows) are resampled in one Arrow-batched ``applyInPandas`` call.
+ladder, one per distinct score, and are resampled in blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -17,7 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -27,11 +23,10 @@ METRICS = ["Accuracy", "Recall", "Precision", "ROC AUC", "Brier Score Loss"]
 
 
 def bootstrap_cells(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),
-                    thr: float = fixed.THRESHOLD, max_cells: int = 20000) -> DataFrame:
-    """(by..., cell, above, pos, neg, se_pos, se_neg, exact): cell 0 holds the highest scores.
-    One aggregate per distinct score (counts and squared errors), ranked by the two-level
-    prefix sum; ranks are only used to merge scores when a group has more than
-    ``max_cells`` of them."""
+                    thr: float = fixed.THRESHOLD, block: int = 4096) -> DataFrame:
+    """(by..., rank, block_no, above, pos, neg, se_pos, se_neg): one cell per distinct score, rank 1
+    the highest, in blocks of ``block`` ranks.  One aggregate (counts and squared errors) and the
+    two-level prefix sum; no score is merged with another."""
     by = list(by)
     y = F.col(label) == 1
     per = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
@@ -40,102 +35,88 @@ def bootstrap_cells(df: DataFrame, *, label="label", score="score", by: Sequence
                 F.sum(F.when(y, (F.col(score) - 1) * (F.col(score) - 1)).otherwise(0.0)).alias("se_pos"),
                 F.sum(F.when(~y, F.col(score) * F.col(score)).otherwise(0.0)).alias("se_neg"))
            .withColumn("one", F.lit(1).cast("long")))
-    rt = running_totals(per, by, "score", ["one"], descending=True)
-    cell = F.when(F.col("tot_one") <= max_cells, F.col("cum_one") - 1).otherwise(
-        F.floor((F.col("cum_one") - 1) * F.lit(max_cells) / F.col("tot_one")))
-    return (rt.withColumn("cell", cell.cast("long")).withColumn("above", F.col("score") >= thr)
-            .groupBy(*by, "cell", "above")
-            .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("se_pos").alias("se_pos"),
-                 F.sum("se_neg").alias("se_neg"), (F.max("tot_one") <= max_cells).alias("exact")))
-
-
-def _replicate_block(cells: pd.DataFrame, reps: int, seed_seq) -> np.ndarray:
-    """``reps`` multinomial resamples of one group's cells -> array (reps, 5 metrics)."""
-    c = cells.sort_values(["cell", "above"], ascending=[True, False])
-    pos, neg = c["pos"].to_numpy(float), c["neg"].to_numpy(float)
-    mse_pos = np.divide(c["se_pos"].to_numpy(float), pos, out=np.zeros_like(pos), where=pos > 0)
-    mse_neg = np.divide(c["se_neg"].to_numpy(float), neg, out=np.zeros_like(neg), where=neg > 0)
-    above = c["above"].to_numpy(bool)
-    n = int(pos.sum() + neg.sum())
-    probs = np.concatenate([pos, neg]) / max(n, 1)
-    rng = np.random.Generator(np.random.PCG64(seed_seq))
-    k = len(pos)
-    out = np.full((reps, 5), np.nan)
-    counts = np.concatenate([pos, neg]).astype(np.int64)
-    # Two exact samplers of the same multinomial: drawing n row indices costs O(n) per
-    # replicate, one binomial per cell costs O(cells); take the cheaper one for this group.
-    by_rows = n <= 10 * len(counts)
-    if by_rows:
-        cat_of_row = np.repeat(np.arange(len(counts)), counts)
-    for r in range(reps):
-        if by_rows:
-            draw = np.bincount(cat_of_row[rng.integers(0, n, n)], minlength=len(counts))
-        else:
-            draw = rng.multinomial(n, probs)
-        p, q = draw[:k].astype(float), draw[k:].astype(float)
-        tp, fp = p[above].sum(), q[above].sum()
-        fn, tn = p[~above].sum(), q[~above].sum()
-        P, N = p.sum(), q.sum()
-        cum_before = np.cumsum(p) - p
-        auc = (q * (cum_before + 0.5 * p)).sum() / (P * N) if P > 0 and N > 0 else np.nan
-        out[r] = [(tp + tn) / n if n else np.nan,
-                  tp / (tp + fn) if tp + fn > 0 else 0.0,
-                  tp / (tp + fp) if tp + fp > 0 else 0.0,
-                  auc,
-                  (p * mse_pos + q * mse_neg).sum() / n if n else np.nan]
-    return out
+    rt = running_totals(per, by, "score", ["one"], descending=True, totals_prefix=None)
+    return rt.select(*by, F.col("cum_one").alias("rank"), F.floor((F.col("cum_one") - 1) / block).alias("block_no"),
+                     (F.col("score") >= thr).alias("above"), "pos", "neg", "se_pos", "se_neg")
+
+
+def _rng(seed: int, *parts: int) -> np.random.Generator:
+    return np.random.Generator(np.random.PCG64([seed, *(p & 0xFFFFFFFFFFFFFFFF for p in parts)]))
+
+
+def _draw_blocks(replicates: int, seed: int):
+    """One group's block sizes -> per block, the rows that fall into it in each replicate."""
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("block_no")
+        n = pdf["n"].to_numpy(np.int64)
+        rng = _rng(seed, int(key[0]))
+        counts = np.stack([rng.multinomial(n.sum(), n / n.sum()) for _ in range(replicates)], axis=1)
+        return pd.DataFrame({"_gid": key[0], "block_no": pdf["block_no"].to_numpy(), "draws": list(counts)})
+    return run
+
+
+def _draw_cells(seed: int):
+    """One block's cells and its draws -> per replicate the block's sums; ``u`` are the block's ordered
+    (positive above negative) pairs, ties one half."""
+    def run(key, cells: pd.DataFrame, draws: pd.DataFrame) -> pd.DataFrame:
+        c = cells.sort_values("rank")
+        pos, neg = c["pos"].to_numpy(float), c["neg"].to_numpy(float)
+        mse_pos = np.divide(c["se_pos"].to_numpy(float), pos, out=np.zeros_like(pos), where=pos > 0)
+        mse_neg = np.divide(c["se_neg"].to_numpy(float), neg, out=np.zeros_like(neg), where=neg > 0)
+        above = c["above"].to_numpy(bool)
+        share = np.concatenate([pos, neg])
+        share /= share.sum()
+        rng, k, rows = _rng(seed, int(key[0]), int(key[1]) + 1), len(c), []
+        for r, n in enumerate(draws["draws"].iloc[0]):
+            d = rng.multinomial(int(n), share).astype(float)
+            p, q = d[:k], d[k:]
+            rows.append((r, p.sum(), q.sum(), p[above].sum(), q[above].sum(), (p * mse_pos + q * mse_neg).sum(),
+                         (q * (np.cumsum(p) - 0.5 * p)).sum()))
+        out = pd.DataFrame(rows, columns=["r", "p", "q", "tp", "fp", "se", "u"])
+        out.insert(0, "block_no", key[1])
+        out.insert(0, "_gid", key[0])
+        return out
+    return run
 
 
 def bootstrap_ci(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),
                  thr: float = fixed.THRESHOLD, replicates: int = fixed.BOOTSTRAP_REPLICATES, seed: int = 42,
-                 alpha: float = 0.05, max_cells: int = 20000, ci_method: str = "interpolated",
-                 blocks: int = 8) -> DataFrame:
+                 alpha: float = 0.05, ci_method: str = "interpolated", block: int = 4096) -> DataFrame:
     """EVL-3: percentile intervals (``interpolated``, or ``index`` = sorted replicate at
     position int(a/2 R) as in the Python variant) of accuracy, recall, precision (at
     ``score >= thr``), ROC AUC and probability Brier score over ``replicates`` resamples
-    of each group.  Rows (by..., metric, ci_lower, ci_upper, replicates, exact_cells).
+    of each group.  Rows (by..., metric, ci_lower, ci_upper, replicates); a NULL key is a group.
 
-    Each group's replicates are split into ``blocks`` independent streams (seeded from
-    (seed, block)), so one group's resampling runs on many cores; the bounded cell table is
-    repeated per block with ``explode`` and the interval is an exact percentile over the
-    replicate values (at most ``replicates`` per group and metric)."""
+    A multinomial draw over a group's cells is a draw over blocks of cells and then, given each
+    block's count, one inside it; so a group's blocks are resampled in parallel, exactly, whatever
+    the number of distinct scores.  AUC needs only each block's sums and the positives drawn in
+    the blocks above.  Streams are seeded by (seed, group, block)."""
     by = list(by)
-    cells = bootstrap_cells(df, label=label, score=score, by=by, thr=thr, max_cells=max_cells)
-    if not by:
-        cells = cells.withColumn("_g", F.lit(0))
-    keys = by or ["_g"]
-    nb = max(1, min(blocks, replicates))
-    schema = ", ".join([f"{b} string" for b in keys]) + ", _blk int, metric string, v double, exact boolean"
-
-    def run(key, pdf):
-        blk = int(key[len(keys)])
-        reps = replicates // nb + (1 if blk < replicates % nb else 0)
-        out = _replicate_block(pdf, reps, np.random.SeedSequence([seed, blk]))
-        rows = pd.DataFrame({"metric": np.tile(METRICS, reps),
-                             "v": out.reshape(-1)})
-        rows["v"] = rows["v"].astype(float)
-        for i, kname in enumerate(keys):
-            rows.insert(i, kname, str(key[i]))
-        rows.insert(len(keys), "_blk", blk)
-        rows["exact"] = bool(pdf["exact"].all())
-        return rows
-
-    rep = (cells.select(*[F.col(k).cast("string").alias(k) for k in keys], "cell", "above", "pos", "neg",
-                        "se_pos", "se_neg", "exact")
-           .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-           .groupBy(*keys, "_blk").applyInPandas(run, schema)
-           .withColumn("v", F.when(~F.isnan("v"), F.col("v"))))
+    cells = (bootstrap_cells(df, label=label, score=score, by=by, thr=thr, block=block)
+             .withColumn("_gid", F.xxhash64(F.lit(0), *by)))
+    groups = cells.groupBy("_gid").agg(*[F.first(b).alias(b) for b in by] or [F.first(F.lit(0)).alias("_one")])
+    sizes = cells.groupBy("_gid", "block_no").agg(F.sum(F.col("pos") + F.col("neg")).alias("n"))
+    draws = sizes.groupBy("_gid").applyInPandas(_draw_blocks(replicates, seed), "_gid bigint, block_no bigint, draws array<bigint>")
+    sums = (cells.drop(*by).groupBy("_gid", "block_no").cogroup(draws.groupBy("_gid", "block_no"))
+            .applyInPandas(_draw_cells(seed), "_gid bigint, block_no bigint, r int, p double, q double, tp double, fp double, se double, u double"))
+    before = Window.partitionBy("_gid", "r").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("u", F.col("u") + F.col("q") * F.coalesce(F.sum("p").over(before), F.lit(0.0)))
+    rep = sums.groupBy("_gid", "r").agg(*[F.sum(c).alias(c) for c in ("p", "q", "tp", "fp", "se", "u")])
+    n, called = F.col("p") + F.col("q"), F.col("tp") + F.col("fp")
+    rep = rep.select("_gid", F.try_divide(F.col("tp") + F.col("q") - F.col("fp"), n).alias("Accuracy"),
+                     F.when(F.col("p") == 0, 0.0).otherwise(F.try_divide(F.col("tp"), F.col("p"))).alias("Recall"),
+                     F.when(called == 0, 0.0).otherwise(F.try_divide(F.col("tp"), called)).alias("Precision"),
+                     F.try_divide(F.col("u"), F.col("p") * F.col("q")).alias("ROC AUC"),
+                     F.try_divide(F.col("se"), n).alias("Brier Score Loss")).unpivot(["_gid"], METRICS, "metric", "v")
     a_lo, a_hi = alpha / 2, 1 - alpha / 2
     if ci_method == "index":
         srt = F.array_sort(F.collect_list("v"))
-        lo = F.element_at(srt, int(a_lo * replicates) + 1)
-        hi = F.element_at(srt, min(int(a_hi * replicates), replicates - 1) + 1)
+        lo = F.get(srt, F.lit(int(a_lo * replicates)))
+        hi = F.get(srt, F.lit(min(int(a_hi * replicates), replicates - 1)))
     else:
         lo, hi = F.percentile("v", a_lo), F.percentile("v", a_hi)
-    out = (rep.groupBy(*keys, "metric")
-           .agg(lo.alias("ci_lower"), hi.alias("ci_upper"), F.lit(replicates).alias("replicates"),
-                F.min("exact").alias("exact_cells")))
-    return out.drop("_g") if not by else out
+    out = rep.groupBy("_gid", "metric").agg(lo.alias("ci_lower"), hi.alias("ci_upper"), F.lit(replicates).alias("replicates"))
+    return out.join(groups, "_gid").select(*by, "metric", "ci_lower", "ci_upper", "replicates")
 
 
 def metrics_table(headline: DataFrame, ci: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:

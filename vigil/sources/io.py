@@ -44,6 +44,9 @@ V1_RENAMES = {
     "pulse": "heart_rate",
 }
 
+# Declared columns that a CSV file may leave out.
+OPTIONAL = ("lab_value_numeric", "lpm_set")
+
 ID_COLUMNS = ("hospitalization_id", "encounter_id", "patient_id")
 
 
@@ -60,19 +63,25 @@ def to_ntz(df: DataFrame) -> DataFrame:
 
 
 def load_table(spark: SparkSession, name: str, root: str, fmt: str = "parquet",
-               version: int = 2, schema: T.StructType | None = None, prefix: str = "") -> DataFrame:
+               version: int = 2, schema: T.StructType | None = None, prefix: str = "", strict: bool = True) -> DataFrame:
     """Read ``{root}/{prefix}{name}.{fmt}``; unknown formats raise ``ValueError``.
 
-    CSV gets the declared schema (no inference pass over the data); Parquet uses its
-    own footer schema, then ids and timestamps are normalised.
+    CSV columns are matched to the declared schema by name, whatever their order (no inference
+    pass over the data); columns beyond the schema stay, as strings, and a missing one raises
+    ``ValueError`` unless it is in ``OPTIONAL`` (then it is NULL).  Values that do not parse raise
+    with ``strict`` and become NULL without.  Parquet uses its own footer schema, then ids and
+    timestamps are normalised.
     """
     path = f"{root}/{prefix}{name}.{fmt}"
     if fmt == "parquet":
         df = spark.read.parquet(path)
     elif fmt == "csv":
         sch = schema or SCHEMAS.get(name)
-        r = spark.read.option("header", True).option("mode", "PERMISSIVE")
-        df = r.schema(sch).csv(path) if sch is not None else r.option("inferSchema", True).csv(path)
+        r = spark.read.option("header", True)
+        if sch is None:
+            df = r.option("inferSchema", True).csv(path)
+        else:
+            df = by_name(harmonise_v1(r.csv(path)) if version == 1 else r.csv(path), sch, strict)
     else:
         raise ValueError(f"unsupported file type: {fmt!r}")
     if version == 1:
@@ -80,6 +89,21 @@ def load_table(spark: SparkSession, name: str, root: str, fmt: str = "parquet",
     return to_ntz(df)
 
 
+def by_name(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
+    """The declared columns of a frame of strings, cast, then its other columns."""
+    missing = [f.name for f in schema if f.name not in df.columns and f.name not in OPTIONAL]
+    if missing:
+        raise ValueError(f"missing columns: {missing}")
+
+    def cast(f: T.StructField):
+        if f.name not in df.columns:
+            return F.lit(None).cast(f.dataType).alias(f.name)
+        c = F.nullif(F.trim(F.col(f.name)), F.lit("")) if not isinstance(f.dataType, T.StringType) else F.col(f.name)
+        return (c.cast(f.dataType) if strict else c.try_cast(f.dataType)).alias(f.name)
+
+    return df.select(*[cast(f) for f in schema], *[c for c in df.columns if c not in schema.names])
+
+
 def harmonise_v1(df: DataFrame) -> DataFrame:
     """Rename version 1 columns to version 2 names (PRJ-2)."""
     ren = {k: v for k, v in V1_RENAMES.items() if k in df.columns and v not in df.columns}
@@ -92,6 +116,11 @@ def register(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def unregister(spark: SparkSession, name: str) -> bool:
+    """SRC-4: drop a temporary view; whether there was one."""
+    return spark.catalog.dropTempView(name)
+
+
 def read_site_results(spark: SparkSession, pattern: str, schema: T.StructType | None = None,
                       fmt: str = "csv") -> DataFrame:
     """SRC-6: all per-site result files matching a glob, as one DataFrame."""

@@ -5,7 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-IDENTIFYING = ("hospitalization_id", "encounter_id", "patient_id")
+IDENTIFYING = ("hospitalization_id", "encounter_id", "patient_id", "case_id")
+# One row per person: a score, or an outcome next to one.
+SCORES = ("score", "pred_proba", "pred_prob", "probability", "y_pred_proba", "prediction")
+OUTCOMES = ("label", "y_true", "isdeathdispo", "disposition")
 
 
 def write_row_level(df: DataFrame, path: str, site_col: str = "site", mode: str = "overwrite") -> None:
@@ -14,8 +17,9 @@ def write_row_level(df: DataFrame, path: str, site_col: str = "site", mode: str
 
 
 def write_shareable(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Small summary tables as one CSV with a header.  Raises on identifier columns."""
-    bad = [c for c in df.columns if c.lower() in IDENTIFYING]
+    """Small summary tables as one CSV with a header.  Raises on identifier columns and on
+    row-level scores or outcomes (summaries name their columns after what they summarise)."""
+    bad = [c for c in df.columns if c.lower() in IDENTIFYING + SCORES + OUTCOMES]
     if bad:
-        raise ValueError(f"refusing to share row-level identifiers: {bad}")
+        raise ValueError(f"refusing to share row-level columns: {bad}")
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
