@@ -66,6 +66,8 @@ def contaminated(rows, items, k=5, percent=80):
             n = c.total()
             size = min(n, len(s))
             best = 0
+            if not c.keys() & set(s):
+                continue
             for a in range(len(s) - size + 1 if s else 0):
                 common = (Counter(s[a:a + size]) & c).total()
                 best = max(best, common / (size + n - common))

@@ -83,7 +83,7 @@ def test_pii_base_spans(spark, monkeypatch):
 
 
 def test_pii_disclosing_terms(spark):
-    rows = [(i, f"common words about nothing zanzibar ann{i}@x.org and 10.0.0.7" if i < 4 else "common words about nothing at all") for i in range(60)]
+    rows = [(i, f"common words about nothing zanzibar ann{i}@x.org at 10.0.0.7" if i < 4 else "common words about nothing at all") for i in range(60)]
     rows += [(100, "zanzibar alone says nothing here"), (101, "quiet text")]
     out = {r.doc_id: r for r in pii.sanitise(spark.createDataFrame(rows, "doc_id bigint, text string"), generalise=0.8, remove=0.95).collect()}
     for i in range(4):
