@@ -63,18 +63,18 @@ def ventilated_ids(resp: DataFrame, *, id_col: str, device: str = "device_catego
     return resp.where(F.col(device).isin(*devices)).select(id_col).distinct()
 
 
-def clean_settings(resp: DataFrame, *, fio2: str = "fio2_set", peep: str = "peep_set") -> DataFrame:
-    """AGG-15 + FLT-10: FiO2 in percent (global mean > 1) is divided by 100; PEEP outside
-    0..30 and FiO2 outside 0.21..1 become NULL (rows kept).  The mean is a one-row
-    aggregate broadcast to every row."""
+def clean_fio2(resp: DataFrame, *, fio2: str = "fio2_set") -> DataFrame:
+    """AGG-15: FiO2 in percent (global mean > 1) is divided by 100; FiO2 outside 0.21..1 becomes
+    NULL (rows kept).  The mean is a one-row aggregate broadcast to every row."""
     mean = resp.agg(F.avg(fio2).alias("_fio2_mean"))
-    x = resp.crossJoin(F.broadcast(mean))
     f = F.when(F.col("_fio2_mean") > 1, F.col(fio2) / 100.0).otherwise(F.col(fio2))
-    lo_p, hi_p = fixed.PEEP_RANGE
-    lo_f, hi_f = fixed.FIO2_RANGE
-    return (x.withColumn(fio2, f).drop("_fio2_mean")
-            .withColumn(peep, F.when(F.col(peep).between(lo_p, hi_p), F.col(peep)))
-            .withColumn(fio2, F.when(F.col(fio2).between(lo_f, hi_f), F.col(fio2))))
+    return (resp.crossJoin(F.broadcast(mean)).withColumn(fio2, f).drop("_fio2_mean")
+            .withColumn(fio2, F.when(F.col(fio2).between(*fixed.FIO2_RANGE), F.col(fio2))))
+
+
+def clean_settings(resp: DataFrame, *, fio2: str = "fio2_set", peep: str = "peep_set") -> DataFrame:
+    """AGG-15 + FLT-10: :func:`clean_fio2`, and PEEP outside 0..30 becomes NULL."""
+    return clean_fio2(resp, fio2=fio2).withColumn(peep, F.when(F.col(peep).between(*fixed.PEEP_RANGE), F.col(peep)))
 
 
 def settings_summary(windows: DataFrame, resp: DataFrame, *, id_col: str, t: str = "recorded_dttm",
@@ -223,9 +223,7 @@ def organ_score(windows: DataFrame, *, id_col: str, vitals: DataFrame, resp: Dat
     vit = per_t.groupBy(id_col).agg(F.min(pao2_from_spo2("spo2")).alias("pao2_imputed_min"),
                                     F.min("spo2").alias("spo2_min"), F.min("map").alias("map_min"))
     # respiratory support: impute device and FiO2, rank devices, worst per id
-    r = window_join(w, resp.withColumn("fio2_set", F.when(F.col("fio2_set").between(*fixed.FIO2_RANGE),
-                                                          F.col("fio2_set"))),
-                    id_col=id_col, t="recorded_dttm", lo=lo, hi=hi)
+    r = window_join(w, clean_fio2(resp), id_col=id_col, t="recorded_dttm", lo=lo, hi=hi)
     r = r.withColumn("device_category", impute_device()).withColumn("fio2_combined", impute_fio2())
     rs = (r.groupBy(id_col).agg(F.min(device_rank("device_category")).alias("_rank"),
                                 F.max("fio2_combined").alias("fio2_max"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .ordered import attach, join_on, pick_positions, running_totals
+from .ordered import attach, join_on, pick_positions, running_totals, with_ends
 
 div = F.try_divide
 
@@ -223,16 +223,17 @@ def calibration_equal_width(df: DataFrame, *, label="label", score="score", by:
     """EVL-8: equal-width bins between each group's min and max score, right-closed with
     the lowest edge included; bin = number of interior edges strictly below the score.
     Mean predicted, mean actual, n, se = sqrt(p(1-p)/n), p -/+ 1.96 se.  Empty bins are
-    absent."""
+    absent.  Bins are found for distinct scores, which carry their rows' counts."""
     by = list(by)
-    mm = df.groupBy(*by).agg(F.min(score).alias("_mn"), F.max(score).alias("_mx"))
-    x = attach(df.where(F.col(score).isNotNull()), mm, by)
+    cells = (df.where(F.col(score).isNotNull()).groupBy(*by, F.col(score).alias(score))
+             .agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col(label).cast("double")).alias("_y"), F.count(label).alias("_ny")))
+    x = with_ends(cells, by, score)
     step = (F.col("_mx") - F.col("_mn")) / float(n_bins)
     b = sum((F.when(F.lit(float(k)) * step + F.col("_mn") < F.col(score), 1).otherwise(0)
              for k in range(1, n_bins)), F.lit(0))
     g = (x.withColumn("bin", b.cast("int")).groupBy(*by, "bin")
-         .agg(F.avg(score).alias("predicted_prob"), F.avg(F.col(label).cast("double")).alias("actual_prob"),
-              F.count(F.lit(1)).alias("n")))
+         .agg(div(F.sum(F.col(score) * F.col("_n")), F.sum("_n")).alias("predicted_prob"),
+              div(F.sum("_y"), F.sum("_ny")).alias("actual_prob"), F.sum("_n").alias("n")))
     se = F.sqrt(F.col("actual_prob") * (1 - F.col("actual_prob")) / F.col("n"))
     return g.withColumn("se", se).withColumns({"lower_ci": F.col("actual_prob") - 1.96 * F.col("se"),
                                                "upper_ci": F.col("actual_prob") + 1.96 * F.col("se")})

@@ -70,6 +70,19 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[
     return out.drop("_k", "_bk", *[f"_o_{c}" for c in sums])
 
 
+def with_ends(df: DataFrame, by: Sequence[str], order: str, n_buckets: int | None = None) -> DataFrame:
+    """Add each group's smallest and largest ``order`` as ``_mn`` and ``_mx``.  Rows meet them in buckets of
+    (group, place), as in ``running_totals``, so that few groups don't mean few tasks."""
+    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    v = F.col(order).cast("double")
+    r = (df.crossJoin(F.broadcast(df.agg(F.min(v).alias("_min"), F.max(v).alias("_max"))))
+         .withColumn("_bk", _bucket(order, n)).drop("_min", "_max").withColumn("_k", F.struct(F.lit(0).alias("_g"), *by)))
+    whole = Window.partitionBy("_k")
+    ends = (r.groupBy("_k", "_bk").agg(F.min(order).alias("_mn"), F.max(order).alias("_mx"))
+            .select("_k", "_bk", F.min("_mn").over(whole).alias("_mn"), F.max("_mx").over(whole).alias("_mx")))
+    return r.join(ends, ["_k", "_bk"]).drop("_k", "_bk")
+
+
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], *,
                     prob_col: str = "q", out: str = "value", n_buckets: int | None = None,
                     keep_empty: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import attach, quantile_columns
+from .ordered import quantile_columns
 
 STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 
@@ -51,15 +51,19 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     """AGG-17: equal-width bins between each feature's min and max (edges
     ``min + k * (max - min) / bins``), left-closed, the last bin closed on the right;
     only the counts (rows ``feature, bin, bin_lower, n``)."""
-    long = _long(df, cols).where(F.col("value").isNotNull())
-    mm = long.groupBy("feature").agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"))
-    x = attach(long, mm, ["feature"])
-    step = (F.col("_mx") - F.col("_mn")) / float(bins)
-    b = sum((F.when(F.lit(float(k)) * step + F.col("_mn") <= F.col("value"), 1).otherwise(0)
-             for k in range(1, bins)), F.lit(0))
-    return (x.withColumn("bin", b.cast("int"))
-            .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"),
-                                           F.first(F.col("bin").cast("double") * step + F.col("_mn")).alias("bin_lower")))
+    num = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    # all smallest and largest values are one row; rows meet it as a scalar and are counted where they lie
+    ends = num.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols) for f, n in ((F.min, "_mn"), (F.max, "_mx"))])
+
+    def place(i: int, c: str) -> F.Column:
+        lo, step = F.col(f"_mn{i}"), (F.col(f"_mx{i}") - F.col(f"_mn{i}")) / float(bins)
+        edges = F.array(*[F.lit(float(k)) for k in range(1, bins)])
+        b = F.size(F.filter(edges, lambda k: k * step + lo <= F.col(c)))
+        return F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("feature"), b.alias("bin"), (b.cast("double") * step + lo).alias("bin_lower")))
+
+    at = F.array(*[place(i, c) for i, c in enumerate(cols)])
+    x = num.crossJoin(F.broadcast(ends)).select(F.explode(at).alias("x")).where("x is not null").select("x.*")
+    return x.groupBy("feature", "bin", "bin_lower").agg(F.count(F.lit(1)).alias("n")).select("feature", "bin", "n", "bin_lower")
 
 
 def table1(df: DataFrame, *, continuous: Sequence[str], categorical: Sequence[str]) -> DataFrame:
