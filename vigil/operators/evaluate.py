@@ -80,13 +80,14 @@ def metrics_at_threshold(df: DataFrame, *, label="label", score="score", thr=fix
 
 
 def headline_metrics(df: DataFrame, *, label="label", score="score", thr=fixed.THRESHOLD,
-                     by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+                     by: Sequence[str] = (), n_buckets: int | None = None, lad: DataFrame | None = None) -> DataFrame:
     """EVL-2/EVL-4: long table (by..., metric, value) with Accuracy, Recall, Precision
     (at ``score >= thr``; 0 when the denominator is 0), ROC AUC (NULL for one class) and
-    Brier Score Loss."""
+    Brier Score Loss.  ``lad`` may pass the score ladder of the same rows."""
     by = list(by)
     c = confusion(df, label=label, score=score, thr=thr, by=by)
-    auc = auc_from_ladder(score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets), by)
+    lad = lad if lad is not None else score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets)
+    auc = auc_from_ladder(lad, by)
     m = (join_on(c, auc, by, "left") if by else c.crossJoin(auc))
     rr = rates(zero_as=0.0)   # precision / recall of nothing called positive: 0, as sklearn scores it
     wide = m.select(*by, rr["accuracy"].alias("Accuracy"), rr["recall"].alias("Recall"),
@@ -172,7 +173,7 @@ def threshold_metrics(roc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def topn_sweep(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),
                steps: int = fixed.SWEEP_STEPS, include_top: bool = True,
-               n_buckets: int | None = None) -> DataFrame:
+               n_buckets: int | None = None, lad: DataFrame | None = None) -> DataFrame:
     """EVL-6: for q = 1.00, 0.99, ..., 1/steps: threshold = linear quantile q of the score,
     counts of ``score >= threshold``.  ``include_top=False`` starts at (steps-1)/steps
     (99 rows from 0.99, the R variant).  Quantile positions and counts are looked up on
@@ -180,7 +181,7 @@ def topn_sweep(df: DataFrame, *, label="label", score="score", by: Sequence[str]
     by = list(by)
     top = steps if include_top else steps - 1
     probs = [k / float(steps) for k in range(top, 0, -1)]
-    lad = score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets)
+    lad = lad if lad is not None else score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets)
     # quantiles of the score read off the same ladder: ascending position of a distinct
     # score = rows below it + its own count (no second pass over the data)
     asc = lad.select(*by, F.col("score"), (F.col("pos") + F.col("neg")).alias("_n"),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import fixed
+from ..functions import fixed, trunc_ntz
 
 # Fixed values of the analogue mapping (mirrored in plans/oracle.py).
 DRUG_BY_MOD8 = fixed.REQUIRED_MEDS
@@ -104,6 +104,20 @@ class Analogue:
                         .otherwise(F.col("value")).alias("vital_value"),
                         txt.alias("vital_text"), "event_id")
 
+    def registry_vitals(self, categories) -> DataFrame:
+        """The observations under the registry's vital names (by event_id), charted by the hour."""
+        o = self.observations()
+        return o.select("hospitalization_id", trunc_ntz("HOUR", "recorded_dttm").alias("recorded_dttm"),
+                        _pick(F.col("event_id") % len(categories), categories).alias("vital_category"),
+                        F.col("vital_value").cast("string").alias("vital_value"))
+
+    def registry_labs(self, categories) -> DataFrame:
+        """The observations as labs under the registry's names, some with text like '>90'."""
+        o = self.observations()
+        return o.select("hospitalization_id", trunc_ntz("HOUR", "recorded_dttm").alias("lab_order_dttm"),
+                        _pick(F.col("event_id") % len(categories), categories).alias("lab_category"),
+                        F.col("vital_text").alias("lab_value"))
+
     def doses(self) -> DataFrame:
         """Continuous medication analogue from 'purchase' events."""
         e = self.table("events").where(F.col("event_type") == "purchase")

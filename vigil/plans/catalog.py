@@ -390,17 +390,11 @@ def _model_frame(spark, d):
                     "n_lines", "avg_discount", "sum_quantity", "max_tax", "open_lines"))
 
 
-_MODELS: dict = {}
-
-
 def _fit(spark, d):
-    """Train once per (session, data directory); both model queries reuse the fit."""
+    """(model fitted on the other years, rows of the test years)."""
     df = _model_frame(spark, d)
     test = F.col("year").isin(1998, 1999)
-    key = (id(spark), d)
-    if key not in _MODELS:
-        _MODELS[key] = mdl.train(df.where(~test), MODEL_FEATURES)
-    return _MODELS[key], df.where(test)
+    return mdl.train(df.where(~test), MODEL_FEATURES), df.where(test)
 
 
 @query
@@ -468,3 +462,40 @@ def q_source_scan(spark, d):
 def q_bootstrap_poisson_ci(spark, d):
     b = bs.poisson_bootstrap_ci(_scored(spark, d), id_col="case_id", by=SITE, replicates=20, seed=42)
     return b.select("site", "metric", r6("ci_lower").alias("ci_lower"), r6("ci_upper").alias("ci_upper"))
+
+
+# ---- the configured study: feature tables and the model matrix -------------------------------
+from . import registry as reg  # noqa: E402
+
+
+def _rounded(df, keep):
+    return df.select(*[c if c in keep else r6(c).alias(c) for c in df.columns])
+
+
+@query
+def q_vital_features(spark, d):
+    """FEA-1: the 18 vital inputs, BMI where weight and height share a time."""
+    a = Analogue(spark, d)
+    return _rounded(reg.vital_features(_cohort(a), a.registry_vitals(reg.VITAL_CATEGORIES)), [reg.ID])
+
+
+@query
+def q_lab_features(spark, d):
+    """FEA-2: the 54 lab inputs."""
+    a = Analogue(spark, d)
+    return _rounded(reg.lab_features(_cohort(a), a.registry_labs(reg.LAB_CATEGORIES)), [reg.ID])
+
+
+@query
+def q_model_matrix(spark, d):
+    """MOD-1: id, label, subgroups and the 74 inputs."""
+    a = Analogue(spark, d)
+    cohort = coh.demographics(_cohort(a), a.patients(), death_pattern="urgent|high")
+    t = {"vitals": a.registry_vitals(reg.VITAL_CATEGORIES), "labs": a.registry_labs(reg.LAB_CATEGORIES)}
+    return _rounded(reg.model_matrix(cohort, t), [reg.ID, "label", "race", "ethnicity", "sex", "isfemale"])
+
+
+@query
+def q_model_missingness(spark, d):
+    """AGG-13 over the model matrix: one row per input."""
+    return pf.missingness(q_model_matrix(spark, d), reg.model_columns())

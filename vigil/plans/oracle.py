@@ -785,3 +785,56 @@ FROM v GROUP BY site, metric"""
 
 
 SQL["bootstrap_poisson_ci"] = _poisson_sql()
+
+
+# ---- the configured study: feature tables and the model matrix -------------------------------
+# fixed values: the registry's categories in the order in which event_id picks them
+_VITALS = ["weight_kg", "heart_rate", "sbp", "dbp", "temp_c", "height_cm"]
+_LABS = ["monocytes_percent", "lymphocytes_percent", "basophils_percent", "neutrophils_percent", "albumin", "ast",
+         "total_protein", "alkaline_phosphatase", "bilirubin_total", "bilirubin_conjugated", "calcium_total", "chloride",
+         "potassium", "sodium", "glucose_serum", "hemoglobin", "platelet_count", "wbc"]
+_LAB_NAMES = {"monocytes_percent": "monocyte", "lymphocytes_percent": "lymphocyte", "basophils_percent": "basophil",
+              "neutrophils_percent": "neutrophil", "calcium_total": "calcium"}
+
+
+def _feature_ctes() -> str:
+    def cat(names):
+        return "CASE event_id % " + str(len(names)) + " " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(names)) + " END"
+
+    def one(names):
+        return ", ".join(f"min(x) FILTER (WHERE cat = '{n}') AS {n}" for n in names)
+
+    inside = """ AS (
+  SELECT o.hospitalization_id, date_trunc('hour', recorded_dttm) AS t, {cat} AS cat, {value} AS x
+  FROM obs o JOIN cohort c USING (hospitalization_id)
+  WHERE date_trunc('hour', recorded_dttm) >= c.min_in_dttm AND date_trunc('hour', recorded_dttm) <= c.after_24hr),
+"""
+    vit = ["bmi", "weight_kg", "pulse", "sbp", "dbp", "temp_c"]
+    vit_cols = ", ".join(f"round({f}(w.{v}), 6) AS {n}_{v}" for v in vit for f, n in (("min", "min"), ("max", "max"), ("avg", "avg")))
+    lab_cols = ", ".join(f"round({f}(w.{n}), 6) AS {_LAB_NAMES.get(n, n)}_{s}" for n in _LABS
+                         for f, s in (("min", "min"), ("max", "max"), ("avg", "mean")))
+    return (",\nvin" + inside.format(cat=cat(_VITALS), value="vital_value")
+            + f"""vw0 AS (SELECT hospitalization_id, t, {one(_VITALS)} FROM vin GROUP BY 1, 2),
+vw AS (SELECT *, heart_rate AS pulse, CASE WHEN height_cm = 0 THEN NULL
+              ELSE weight_kg / ((height_cm / 100) * (height_cm / 100)) END AS bmi FROM vw0),
+vfeat AS (SELECT c.hospitalization_id, {vit_cols} FROM cohort c LEFT JOIN vw w USING (hospitalization_id) GROUP BY 1),
+lin""" + inside.format(cat=cat(_LABS), value="v")
+            + f"""lw AS (SELECT hospitalization_id, t, {one(_LABS)} FROM lin GROUP BY 1, 2),
+lfeat AS (SELECT c.hospitalization_id, {lab_cols} FROM cohort c LEFT JOIN lw w USING (hospitalization_id) GROUP BY 1)
+""")
+
+
+_INPUTS = (["isfemale", "age"] + [f"{s}_{v}" for v in ("bmi", "weight_kg", "pulse", "sbp", "dbp", "temp_c") for s in ("min", "max", "avg")]
+           + [f"{v}_{s}" for v in sorted(_LAB_NAMES.get(n, n) for n in _LABS) for s in ("min", "max", "mean")])
+_MATRIX = (",\ndemo AS (" + SQL["cohort_demographics"].split("\nSELECT c.hospitalization_id, c.patient_id", 1)[1].join(
+    ["SELECT c.hospitalization_id, c.patient_id", ")"]) + """,
+matrix AS (
+  SELECT hospitalization_id, isdeathdispo AS label, race, ethnicity, sex, """
+           + ", ".join("round(age, 6) AS age" if c == "age" else c for c in _INPUTS)
+           + " FROM demo LEFT JOIN vfeat USING (hospitalization_id) LEFT JOIN lfeat USING (hospitalization_id))\n")
+SQL["vital_features"] = with_(STAYS, ENC, COHORT, OBS).rstrip() + _feature_ctes() + "SELECT * FROM vfeat"
+SQL["lab_features"] = with_(STAYS, ENC, COHORT, OBS).rstrip() + _feature_ctes() + "SELECT * FROM lfeat"
+SQL["model_matrix"] = with_(STAYS, ENC, PATIENTS, COHORT, OBS).rstrip() + _feature_ctes() + _MATRIX + "SELECT * FROM matrix"
+SQL["model_missingness"] = (with_(STAYS, ENC, PATIENTS, COHORT, OBS).rstrip() + _feature_ctes() + _MATRIX + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS na_count, count(*) AS total_rows, "
+    f"CASE WHEN count(*) > 0 THEN (count(*) - count({c})) * 100.0 / count(*) END AS nan_percentage FROM matrix" for c in _INPUTS))

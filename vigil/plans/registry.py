@@ -65,14 +65,15 @@ def vital_features(cohort: DataFrame, vitals: DataFrame, strict: bool = True, ve
     inches (category ``height_inches``), converted to cm (x 2.54) before the pivot, and
     the pulse under its own name."""
     parse = strict_number if strict else lenient_number
-    v = vitals.withColumn("v", parse("vital_value"))
+    names = [*VITAL_CATEGORIES, *(["height_inches", "pulse"] if version == 1 else [])]
+    # only values of the cohort's windows are parsed: others may hold anything
+    inside = tp.window_join(cohort, vitals.where(F.col("vital_category").isin(*names)), id_col=ID, t="recorded_dttm")
+    inside = inside.withColumn("v", parse("vital_value"))
     if version == 1:
         cat = F.col("vital_category")
-        v = v.withColumns({"v": F.when(cat == "height_inches", F.col("v") * 2.54).otherwise(F.col("v")),
-                           "vital_category": F.when(cat == "height_inches", F.lit("height_cm"))
-                           .when(cat == "pulse", F.lit("heart_rate")).otherwise(cat)})
-    v = v.where(F.col("vital_category").isin(*VITAL_CATEGORIES))
-    inside = tp.window_join(cohort, v, id_col=ID, t="recorded_dttm")
+        inside = inside.withColumns({"v": F.when(cat == "height_inches", F.col("v") * 2.54).otherwise(F.col("v")),
+                                     "vital_category": F.when(cat == "height_inches", F.lit("height_cm"))
+                                     .when(cat == "pulse", F.lit("heart_rate")).otherwise(cat)})
     wide = rs.pivot_eav(inside, keys=[ID, "recorded_dttm"], cat="vital_category", value="v",
                         categories=VITAL_CATEGORIES, names=VITAL_RENAMES)
     wide = wide.withColumn("bmi", safe_div(F.col("weight_kg"), (F.col("height_cm") / 100) * (F.col("height_cm") / 100)))
@@ -108,10 +109,10 @@ def evaluation(scored: DataFrame, *, label: str = "label", score: str = "pred_pr
     s = scored.withColumnsRenamed({label: "label", score: "score"})
     by = [site]
     lad = ev.score_ladder(s, by=by)
-    sweep = ev.topn_sweep(s, by=by)
+    sweep = ev.topn_sweep(s, by=by, lad=lad)
     roc = ev.roc_points(lad, by)
     return {
-        "metrics": bs.metrics_table(ev.headline_metrics(s, by=by, thr=thr), bs.bootstrap_ci(
+        "metrics": bs.metrics_table(ev.headline_metrics(s, by=by, thr=thr, lad=lad), bs.bootstrap_ci(
             s, by=by, thr=thr, replicates=replicates), by=by),
         "fairness": ev.fairness(s, subgroups=[c for c in SUBGROUPS if c in s.columns], by=by, thr=thr),
         "top_n": sweep,
