@@ -208,3 +208,13 @@ def test_packing(spark, share):
             at += r.n_tokens
         assert {r.bin_capacity for r in rows_} == {min(c for c in sizes if c >= at)}
     assert packing.pack(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("share", [200_000, 7])
+def test_components_of_chains_and_stars(spark, monkeypatch, share):
+    monkeypatch.setattr(neardup, "LINKS_PER_TASK", share)
+    links = [(i + 1, i) for i in range(40)] + [(100, x) for x in range(101, 120)] + [(200, 150), (150, 201), (201, 39), (300, 299), (300, 299)]
+    random.Random(1).shuffle(links)
+    got = {r.id: r.component for r in neardup.components(spark.createDataFrame(links, "u bigint, v bigint").repartition(6)).collect()}
+    want = {i: 0 for i in [*range(1, 41), 150, 200, 201]} | {i: 100 for i in range(101, 120)} | {300: 299}
+    assert got == want

@@ -20,8 +20,9 @@ buckets that still hold several groups take 64 times as many hubs in the next ro
 left.  So a pair of a bucket stays untested only if it can't be similar or a
 chain of confirmed links joins it already, and groups come out as if all pairs had been tested.
 
-Grouping.  Links are first merged by union-find inside each partition, then by rounds in which every
-node points its neighbours at the smallest one it sees (large and small stars), on tables.
+Grouping.  Links are merged by union-find in shares of bounded size; several forests are then merged by
+rounds in which every node points its neighbours at the smallest one it sees (large and small stars),
+on tables.
 
 Defined results: a null or empty text, or one of blanks, has no shingles and is linked with nothing; a
 text under ``k`` words is one shingle; rows that share an id are one node, each with its own
@@ -43,6 +44,8 @@ from .shared import written
 from .words import distinct, lists, mix, shingles, slices, words
 
 PLACES = 128
+#: Links that one union-find holds; more links are shared out and their forests merged by rounds.
+LINKS_PER_TASK = 200_000
 GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -137,7 +140,12 @@ def components(links: DataFrame) -> DataFrame:
     def state(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
-    edges = written(links.mapInArrow(_forest, "u bigint, v bigint").distinct(), "forest")
+    links = written(links, "all-links")
+    parts = links.count() // LINKS_PER_TASK + 1
+    edges = written(links.coalesce(parts).mapInArrow(_forest, "u bigint, v bigint"), "forest")
+    if parts == 1:  # one forest has every node once, under its group's smallest id
+        return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    edges = written(edges.distinct(), "forests")
     seen = state(edges)
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
