@@ -18,18 +18,19 @@ div = F.try_divide
 
 def score_ladder(df: DataFrame, *, label: str = "label", score: str = "score",
                  by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
-    """EVL-1: ``(by..., score, pos, neg, cum_pos, cum_neg, rank, P, N)``; cumulative
-    counts include the row's own score (predicted positive at threshold = score), rank
-    1 is the highest score."""
+    """EVL-1: ``(by..., score, pos, neg, cum_pos, cum_neg, rank, P, N, next_pos, next_neg)``;
+    cumulative counts include the row's own score (predicted positive at threshold = score), rank
+    1 is the highest score, next is the one below (NULL for the last)."""
     by = list(by)
     lad = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
            .groupBy(*by, F.col(score).alias("score"))
            .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("_n"))
            .withColumn("neg", F.col("_n") - F.col("pos")).drop("_n")
            .withColumn("one", F.lit(1).cast("long")))
-    rt = running_totals(lad, by, "score", ["pos", "neg", "one"], descending=True, n_buckets=n_buckets)
+    rt = running_totals(lad, by, "score", ["pos", "neg", "one"], descending=True, n_buckets=n_buckets,
+                        leads=["pos", "neg"])
     return rt.select(*by, "score", "pos", "neg", "cum_pos", "cum_neg", F.col("cum_one").alias("rank"),
-                     F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"))
+                     F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"), "next_pos", "next_neg")
 
 
 def auc_from_ladder(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -100,16 +101,13 @@ def headline_metrics(df: DataFrame, *, label="label", score="score", thr=fixed.T
 def roc_points(lad: DataFrame, by: Sequence[str] = (), drop_intermediate: bool = True) -> DataFrame:
     """EVL-10: (by..., fpr, tpr, threshold).  First point (0, 0, +inf); with
     ``drop_intermediate`` interior points whose neighbours continue on the same line are
-    removed (a point stays when its step (pos, neg) differs from the next one).  The next
-    step is found by an equi join on rank, not a window over the whole group."""
+    removed (a point stays when its step (pos, neg) differs from the next one, which the
+    ladder carries)."""
     by = list(by)
     pts = lad
     if drop_intermediate:
-        nxt = lad.select(*by, (F.col("rank") - 1).alias("rank"), F.col("pos").alias("_npos"),
-                         F.col("neg").alias("_nneg"))
-        pts = (join_on(lad, nxt, by + ["rank"], "left")
-               .where((F.col("rank") == 1) | F.col("_npos").isNull()
-                      | (F.col("_npos") != F.col("pos")) | (F.col("_nneg") != F.col("neg"))))
+        pts = lad.where((F.col("rank") == 1) | F.col("next_pos").isNull()
+                        | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg")))
     pts = pts.select(*by, div(F.col("cum_neg").cast("double"), F.col("N").cast("double")).alias("fpr"),
                      div(F.col("cum_pos").cast("double"), F.col("P").cast("double")).alias("tpr"),
                      F.col("score").alias("threshold"), "cum_pos", "cum_neg", "P", "N")
@@ -137,26 +135,18 @@ def pr_points(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def curve_areas(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """EVL-10/11: trapezoid areas under the ROC curve (fpr, tpr) and the PR curve
     (recall, precision) through every ladder point, starting at (0, 0) for ROC and at
-    recall 0, precision 1 for PR.  Consecutive points are paired by an equi join on
-    rank (rank - 1), so a large curve is never sorted in one task."""
+    recall 0, precision 1 for PR.  The point before a row's is its running totals without its own
+    counts, so each row gives its own trapezoid: no join and no window."""
     by = list(by)
-    d = F.col("P").cast("double")
-    n = F.col("N").cast("double")
-    pts = lad.select(*by, "rank", div(F.col("cum_neg").cast("double"), n).alias("x1"),
-                     div(F.col("cum_pos").cast("double"), d).alias("y1"),
-                     F.when(F.col("P") == 0, F.lit(1.0)).otherwise(div(F.col("cum_pos").cast("double"), d)).alias("r1"),
-                     div(F.col("cum_pos").cast("double"), (F.col("cum_pos") + F.col("cum_neg")).cast("double"))
-                     .alias("p1"))
-    start = (lad.groupBy(*by).agg(F.first("P").alias("_P"))
-             .select(*by, F.lit(0).cast("long").alias("rank"), F.lit(0.0).alias("x1"), F.lit(0.0).alias("y1"),
-                     F.lit(0.0).alias("r1"), F.lit(1.0).alias("p1")))
-    allp = pts.unionByName(start)
-    prev = allp.select(*by, (F.col("rank") + 1).alias("rank"), F.col("x1").alias("x0"), F.col("y1").alias("y0"),
-                       F.col("r1").alias("r0"), F.col("p1").alias("p0"))
-    j = join_on(pts, prev, by + ["rank"])
-    return j.groupBy(*by).agg(
-        F.sum((F.col("x1") - F.col("x0")) * (F.col("y1") + F.col("y0")) * 0.5).alias("roc_auc_trapezoid"),
-        F.sum((F.col("r1") - F.col("r0")) * (F.col("p1") + F.col("p0")) * 0.5).alias("pr_auc"))
+    p, n = F.col("P").cast("double"), F.col("N").cast("double")
+    cp, cn = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
+    bp, bn = (F.col("cum_pos") - F.col("pos")).cast("double"), (F.col("cum_neg") - F.col("neg")).cast("double")
+    first = F.col("rank") == 1
+    recall = lambda c: F.when(p == 0, 1.0).otherwise(div(c, p))
+    r0, p0 = F.when(first, 0.0).otherwise(recall(bp)), F.when(first, 1.0).otherwise(div(bp, bp + bn))
+    return lad.groupBy(*by).agg(
+        F.sum((div(cn, n) - div(bn, n)) * (div(cp, p) + div(bp, p)) * 0.5).alias("roc_auc_trapezoid"),
+        F.sum((recall(cp) - r0) * (div(cp, cp + cn) + p0) * 0.5).alias("pr_auc"))
 
 
 def threshold_metrics(roc: DataFrame, by: Sequence[str] = ()) -> DataFrame:

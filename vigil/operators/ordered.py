@@ -1,8 +1,8 @@
 """Order-dependent aggregates without a single-partition window.
 
 ``running_totals`` is a two-level prefix sum: every row's bucket is a fixed function of its
-order value (its place between the smallest and the largest one, which are one small
-aggregate), so it is the same in every branch of the plan and on every recomputation.  Each bucket's
+order value (its size in steps of a fraction of a doubling), so it is the same in every branch of the
+plan and on every recomputation, and needs no look at the data.  Each bucket's
 totals form a small table whose own prefix sum gives per-bucket offsets; the running sum inside a
 bucket is a window partitioned by (group, bucket).  No task ever holds more than one
 bucket, so a hot group is spread over many tasks.  ``exact_quantiles`` builds on it (linear
@@ -20,6 +20,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Buckets from a value to twice that value.
+PER_DOUBLING = 64
+
 
 def join_on(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi join on ``keys`` in which NULL equals NULL: the keys travel as one struct, which is
@@ -37,46 +40,47 @@ def attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.crossJoin(F.broadcast(small))
 
 
-def _bucket(order: str, n: int) -> F.Column:
-    """Bucket 0..n-1 of a value between ``_min`` and ``_max``; NULL below all (as it sorts), NaN and
-    what infinities make of the range above all.  Never decreasing in the value."""
-    v, lo, hi = F.col(order).cast("double"), F.col("_min"), F.col("_max")
-    at = F.try_divide(v - lo, hi - lo) * n
-    return (F.when(v.isNull(), -1).when(F.isnan(v) | F.isnan(at), n - 1)
-            .otherwise(F.coalesce(F.least(F.floor(at), F.lit(n - 1)), F.lit(0)))).cast("int")
+def _bucket(order: str, per_doubling: int) -> F.Column:
+    """Bucket number of a value: ``per_doubling`` buckets from each size of 1 + 1024 |v| to twice it, mirrored
+    below zero; NULL below all (as it sorts), NaN above all.  Never decreasing in the value, the
+    same for every table, and exact on any machine (Spark's logarithm is the strict one)."""
+    v = F.col(order).cast("double")
+    size = F.floor(F.log2(F.lit(1.0) + F.abs(v) * 1024) * per_doubling)
+    return (F.when(v.isNull(), F.lit(-(1 << 62))).when(F.isnan(v), F.lit(1 << 62))
+            .when(v < 0, -size).otherwise(size)).cast("bigint")
 
 
 def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], *,
                    descending: bool = False, n_buckets: int | None = None,
-                   prefix: str = "cum_", totals_prefix: str | None = "tot_") -> DataFrame:
+                   prefix: str = "cum_", totals_prefix: str | None = "tot_", leads: Sequence[str] = ()) -> DataFrame:
     """Add ``{prefix}{c}`` = running (inclusive) sum of ``c`` in ``order`` (numeric) within ``by``
     and, optionally, group totals ``{totals_prefix}{c}``.  ``order`` must be unique within
-    a group (aggregate ties first)."""
-    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ends = df.agg(F.min(F.col(order).cast("double")).alias("_min"), F.max(F.col(order).cast("double")).alias("_max"))
-    r = (df.crossJoin(F.broadcast(ends)).withColumn("_bk", _bucket(order, n)).drop("_min", "_max")
+    a group (aggregate ties first).  ``n_buckets``: buckets per doubling of the value.
+    ``leads`` adds ``next_{c}``, the value of ``c`` (never NULL itself) in the group's next row."""
+    r = (df.withColumn("_bk", _bucket(order, n_buckets or PER_DOUBLING))
          .withColumn("_k", F.struct(F.lit(0).alias("_g"), *by)))
-    tot = r.groupBy("_k", "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    o = F.col(order).desc() if descending else F.col(order).asc()
+    opening = [(F.max_by if descending else F.min_by)(F.struct(*leads), F.col(order)).alias("_head")] if leads else []
+    tot = r.groupBy("_k", "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], *opening)
     wb = Window.partitionBy("_k").orderBy(F.col("_bk").desc() if descending else F.col("_bk"))
     prev = wb.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("_k")
     offs = [F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_o_{c}") for c in sums]
     if totals_prefix:
         offs += [F.sum(f"_t_{c}").over(whole).alias(f"{totals_prefix}{c}") for c in sums]
+    offs += [F.lead("_head").over(wb).alias("_next")] if leads else []
     j = r.join(tot.select("_k", "_bk", *offs), ["_k", "_bk"], "inner")
-    o = F.col(order).desc() if descending else F.col(order).asc()
-    wr = Window.partitionBy("_k", "_bk").orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = j.withColumns({f"{prefix}{c}": F.sum(c).over(wr) + F.col(f"_o_{c}") for c in sums})
-    return out.drop("_k", "_bk", *[f"_o_{c}" for c in sums])
+    wo = Window.partitionBy("_k", "_bk").orderBy(o)
+    wr = wo.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = j.withColumns({**{f"{prefix}{c}": F.sum(c).over(wr) + F.col(f"_o_{c}") for c in sums},
+                         **{f"next_{c}": F.coalesce(F.lead(c).over(wo), F.col(f"_next.{c}")) for c in leads}})
+    return out.drop("_k", "_bk", "_next", *[f"_o_{c}" for c in sums])
 
 
 def with_ends(df: DataFrame, by: Sequence[str], order: str, n_buckets: int | None = None) -> DataFrame:
     """Add each group's smallest and largest ``order`` as ``_mn`` and ``_mx``.  Rows meet them in buckets of
     (group, place), as in ``running_totals``, so that few groups don't mean few tasks."""
-    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(order).cast("double")
-    r = (df.crossJoin(F.broadcast(df.agg(F.min(v).alias("_min"), F.max(v).alias("_max"))))
-         .withColumn("_bk", _bucket(order, n)).drop("_min", "_max").withColumn("_k", F.struct(F.lit(0).alias("_g"), *by)))
+    r = df.withColumn("_bk", _bucket(order, n_buckets or PER_DOUBLING)).withColumn("_k", F.struct(F.lit(0).alias("_g"), *by))
     whole = Window.partitionBy("_k")
     ends = (r.groupBy("_k", "_bk").agg(F.min(order).alias("_mn"), F.max(order).alias("_mx"))
             .select("_k", "_bk", F.min("_mn").over(whole).alias("_mn"), F.max("_mx").over(whole).alias("_mx")))

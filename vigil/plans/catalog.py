@@ -128,7 +128,7 @@ def _scored(spark, d):
 
 @query
 def q_score_ladder(spark, d):
-    return ev.score_ladder(_scored(spark, d), by=SITE)
+    return ev.score_ladder(_scored(spark, d), by=SITE).drop("next_pos", "next_neg")
 
 
 @query
