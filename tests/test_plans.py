@@ -10,7 +10,8 @@ from vigil.plans.catalog import QUERIES
 D = "/root/testdata/sf0.001"
 HOT = ["first_block", "asof_weight", "window_features_wide", "score_ladder", "roc_points", "topn_sweep",
        "dose_summary", "organ_score", "fairness", "settings_summary", "exact_quantiles_global",
-       "initial_mode_table", "state_blocks", "bootstrap_ci", "bootstrap_poisson_ci", "describe_features"]
+       "initial_mode_table", "state_blocks", "bootstrap_ci", "bootstrap_poisson_ci", "describe_features",
+       "calibration_equal_width", "histogram30", "curve_areas", "model_matrix"]
 
 
 def plan_lines(df):
@@ -66,3 +67,17 @@ def test_scan_pruning_and_pushdown(spark):
     scans = [ln for ln in lines if "FileScan parquet" in ln and "events" in ln]
     assert any("PushedFilters" in s and "event_type" in s for s in scans)
     assert all("props" not in s for s in scans)
+
+
+@pytest.mark.parametrize("name", ["calibration_equal_width", "histogram30", "curve_areas", "score_ladder", "topn_sweep"])
+def test_no_checkpoint_and_no_row_shuffle_on_a_few_keys(spark, name):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        lines = plan_lines(QUERIES[name](spark, D))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not any("ExistingRDD" in line for line in lines), "reads a checkpoint"
+    for i, line in enumerate(lines):
+        if re.search(r"hashpartitioning\((site|feature)#\d+, \d+\)", line):
+            assert "partial_" in lines[i + 1], f"rows are shuffled on a few keys in {name}: {line}"
