@@ -3,6 +3,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,3 +175,29 @@ def test_exact_top_k_of_huge_components(spark):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     got = [(r.vec_id, r.score) for r in sorted(knnjoin.top_k(df, F.col("vec_id") == 2, scale=1).collect(), key=lambda r: r.rank)]
     assert got == [(1, 10**17 + 2), (0, 10**17 + 1), (3, -10**17)]
+
+
+def test_exact_top_k_of_repeated_rows(spark):
+    rng = np.random.default_rng(6)
+    v = vectors(rng, 80, 8)
+    rows = [(i, x) for i, x in enumerate(v)]
+    best = max(range(1, 80), key=lambda i: np.dot(np.floor(64 * np.array(v[0])), np.floor(64 * np.array(v[i]))))
+    # more than k repeats of the best row, of the query, and of rows that are equal only when quantised or padded
+    rows += [(best, v[best])] * 30 + [(0, v[0])] * 30 + [(1, [(np.floor(64 * x) + n / 50) / 64 for x in v[1]]) for n in range(30)]
+    rows += [(2, v[2] + [0.0])] * 30
+    df = spark.createDataFrame([(i, [float(x) for x in y]) for i, y in rows], "vec_id bigint, embedding array<double>").repartition(4)
+    good = {i: [int(np.floor(64 * y)) for y in x] for i, x in enumerate(v)}
+    for every in (80, 20):  # one query, then four
+        got = sorted(tuple(r) for r in knnjoin.top_k(df, F.col("vec_id") % every == 0, k=20).collect())
+        want = []
+        for q in range(0, 80, every):
+            scores = sorted((-int(np.dot(good[q], good[s])), s) for s in good if s != q)[:20]
+            want += [(q, n + 1, s, -score) for n, (score, s) in enumerate(scores)]
+        assert got == sorted(want)
+
+
+def test_bounds_count_an_id_once():
+    ids, v = np.repeat(np.arange(8), 5), np.repeat(np.arange(8.0), 5)
+    batches = [pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array([[x] for x in v[at]])], names=["id", "v"]) for at in (slice(0, 23), slice(13, 40))]
+    out = pa.Table.from_batches(knnjoin._reached(lambda: np.ones((1, 1)), lambda: np.zeros(1), 1, 1, 3)(iter(batches))).to_pydict()
+    assert sorted(zip(out["id"], out["low"])) == [(4, 4.0), (5, 5.0), (6, 6.0), (7, 7.0)]

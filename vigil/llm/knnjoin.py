@@ -3,15 +3,15 @@
 Pivots are a few query vectors.  Queries go to the cell of their nearest pivot, data vectors too; the
 summary of a query cell is its radius U (largest distance to the pivot p), that of a data cell its
 radius and size.  For any query q of a cell and any vector s, q.s lies within |s| U of p.s.  So the k+1
-largest p.s - |s| U of a cell (each task's best, merged by Spark) give a score that every query of
-the cell reaches k times without its own row, and s has to meet the cell only if p.s + |s| U reaches it.
+ids with the largest p.s - |s| U of a cell (each task's best, merged by Spark) give a score that every query
+of the cell reaches with k ids besides its own, and s has to meet the cell only if p.s + |s| U reaches it.
 Those copies of s, and the queries, meet in blocks of bounded size: (query cell, part of it, data
 cell, part of it).  In a block a query skips the data cell if even its best possible score, q.p + |q| R,
 stays below the bound.  Each block returns a query's best k, Spark ranks them.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part, nor do null
-ids; shorter vectors count as padded with zeros; the id is a key, exact repeats of a row count
-once; equal scores go to the smaller id; fewer candidates than k give as many rows; scores beyond 64
+ids; shorter vectors count as padded with zeros; the id is a key, exact repeats of a row are dropped
+first; equal scores go to the smaller id; fewer candidates than k give as many rows; scores beyond 64
 bits are held at the limits of a long.
 """
 
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import sent
+from .shared import sent, written
 
 SLACK = 1e-9
 NONE = np.iinfo(np.int64).min + 1  # so that its negative is a long, too
@@ -73,19 +73,36 @@ def _cells(pivots, dim: int, scale: int):
     return run
 
 
+def _highest(low: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` highest bounds of each row with their ids."""
+    if low.shape[1] <= most:
+        return low, ids
+    at = np.argpartition(-low, most - 1, axis=1)[:, :most]
+    return np.take_along_axis(low, at, axis=1), np.take_along_axis(ids, at, axis=1)
+
+
 def _reached(pivots, radius, dim: int, scale: int, k: int):
-    """A task's k+1 best lower bounds for each query cell."""
+    """A task's k+1 ids with the best lower bounds for each query cell; an id counts once, with its best row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, u = pivots(), radius()
-        best = np.full((len(p), 0), -np.inf)
+        best, who = np.full((len(p), 0), -np.inf), np.zeros((len(p), 0), np.int64)
         for b in batches:
+            if not len(b):
+                continue
             v = _matrix(b.column(1), dim, scale)
             low = p @ v.T - np.outer(u, np.sqrt((v * v).sum(axis=1)))
-            best = np.concatenate([best, low], axis=1)
-            if best.shape[1] > k + 1:
-                best = -np.partition(-best, k, axis=1)[:, :k + 1]
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(p), dtype=np.int32), best.shape[1])), pa.array(best.reshape(-1))],
-                                         names=["cell", "low"])
+            ids = b.column(0).to_numpy()
+            order = np.argsort(ids, kind="stable")
+            ids, first = np.unique(ids[order], return_index=True)
+            low = np.maximum.reduceat(low[:, order], first, axis=1)
+            low, ids = _highest(low, np.broadcast_to(ids, low.shape), k + 1)
+            best, who = np.concatenate([best, low], axis=1), np.concatenate([who, ids], axis=1)
+            order = np.lexsort((-best, who), axis=1)
+            best, who = np.take_along_axis(best, order, axis=1), np.take_along_axis(who, order, axis=1)
+            best[:, 1:][who[:, 1:] == who[:, :-1]] = -np.inf
+            best, who = _highest(best, who, k + 1)
+        cell = np.repeat(np.arange(len(p), dtype=np.int32), best.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(who.reshape(-1)), pa.array(best.reshape(-1))], names=["cell", "id", "low"])
     return run
 
 
@@ -194,6 +211,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), usable(F.col(vector_col)).alias("v"),
                           F.coalesce(is_query, F.lit(False)).alias("is_query")).where("id is not null and v is not null")
+    rows = written(rows.groupBy("id", "v").agg(F.max("is_query").alias("is_query")), "vectors")
     queries = rows.where("is_query")
     size = rows.agg(F.count_if("is_query").alias("q"), F.max(F.size("v")).alias("dim")).first()
     if not size["q"]:
@@ -211,7 +229,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
     for r in summary:
         u[r["cell"]], far[r["cell"]] = r["u"] or 0, r["far"]
         q_parts[r["cell"]], s_parts[r["cell"]] = -(-r["nq"] // (2 * cell_queries)), -(-r["n"] // block_rows)
-    lows = rows.mapInArrow(_reached(pivots, sent(spark, u), dim, scale, k), "cell int, low double")
+    lows = rows.mapInArrow(_reached(pivots, sent(spark, u), dim, scale, k), "cell int, id bigint, low double")
+    lows = lows.groupBy("cell", "id").agg(F.max("low").alias("low"))
     rank = F.row_number().over(Window.partitionBy("cell").orderBy(F.desc("low")))
     bound = np.full(len(p), -np.inf)
     for r in lows.withColumn("r", rank).where(F.col("r") <= k + 1).where(F.col("r") == k + 1).collect():
