@@ -52,6 +52,42 @@ def test_near_duplicates_odd_rows(spark):
         {"doc_id": 1, "text": text, "lang": "en", "n_lines": "x", "kept": None}]
 
 
+@pytest.fixture(scope="module")
+def unsettled():
+    """Triples of texts: an unlike one with the smallest id, which shares a passage with two similar ones."""
+    rng, rows = random.Random(3), []
+    for i in range(0, 180, 3):
+        shared, own = [prose(rng, n, 10**9).split(" ") for n in (90, 90)]
+        x = shared + own
+        y = shared + own[:-8] + prose(rng, 8, 10**9).split(" ")
+        rows += [(i, " ".join(shared + prose(rng, 90, 10**9).split(" "))), (i + 1, " ".join(x)), (i + 2, " ".join(y))]
+    return rows
+
+
+def test_near_duplicates_of_repeated_rows(spark, unsettled):
+    # one band of one value: a pair shares its only bucket with the unlike text or with nothing
+    groups = lambda rows: {(r.doc_id, r.component_id) for r in neardup.near_duplicates(frame(spark, rows), k=1, bands=1, rows=1).collect()}
+    want = groups(unsettled)
+    assert sum(i != c for i, c in want) > 40
+    repeated = unsettled * 2 + unsettled[::2]
+    assert groups(repeated) == want
+
+
+def test_near_duplicates_of_two_texts_under_one_id(spark, unsettled):
+    groups = lambda rows: dict((r.doc_id, r.component_id) for r in neardup.near_duplicates(frame(spark, rows), k=1, bands=1, rows=1).collect())
+    alone = groups(unsettled)
+    # the triples' second texts share ids in pairs, as do the third ones with texts of their own
+    rng = random.Random(4)
+    twin = {i: i - i % 6 + i % 3 for i, _ in unsettled if i % 3 == 1}
+    rows = [(twin.get(i, i), t) for i, t in unsettled] + [(i, prose(rng, 40 + i, 10**9)) for i, _ in unsettled if i % 3 == 2]
+    links = [(twin.get(i, i), twin.get(c, c)) for i, c in alone.items()]
+    want = {i: i for pair in links for i in pair}
+    for _ in links:
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+    assert groups(rows) == want
+
+
 def test_line_dedup(spark):
     rng = random.Random(4)
     lines = ["  Shared  line one ", "shared  line ONE", "ten chars!", "9 chars..", "ünïcödé ünï", "", " ", "\x0bvertical tab line\x0c",

@@ -26,7 +26,7 @@ on tables.
 
 Defined results: a null or empty text, or one of blanks, has no shingles and is linked with nothing; a
 text under ``k`` words is one shingle; rows that share an id are one node, each with its own
-``n_shingles``; a row with a null id is its own group and kept.
+``n_shingles``, and each distinct set of an id is compared once; a row with a null id is its own group and kept.
 """
 
 from __future__ import annotations
@@ -85,15 +85,20 @@ def _shingle_sets(text: pa.Array, k: int) -> Iterator[tuple[np.ndarray, np.ndarr
         yield distinct(*shingles(h, at, k))
 
 
+def _digest(values: np.ndarray, at: np.ndarray, salt: int) -> np.ndarray:
+    """Order-free digest of each whole set."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values + np.uint64(salt * GOLDEN & 0xFFFFFFFFFFFFFFFF)))])
+    return (total[at[1:]] - total[at[:-1]]).view(np.int64)
+
+
 def _signer(k: int, bands: int, rows: int):
     @F.arrow_udf("struct<n:bigint,a:bigint,b:bigint,bands:array<bigint>>")
     def sign(text: pa.Array) -> pa.Array:
         size, a, b, keys = [], [], [], []
         for values, at in _shingle_sets(text, k):
             n = np.diff(at)
-            for out, salt in ((a, 1), (b, 2)):  # order-free digests of the whole set
-                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values + np.uint64(salt * GOLDEN & 0xFFFFFFFFFFFFFFFF)))])
-                out.append((total[at[1:]] - total[at[:-1]]).view(np.int64))
+            a.append(_digest(values, at, 1))
+            b.append(_digest(values, at, 2))
             sig = superminhash(values, at, bands * rows).reshape(len(n), bands, rows)
             key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(GOLDEN), (len(n), bands)).copy()
             for r in range(rows):
@@ -109,10 +114,13 @@ def _signer(k: int, bands: int, rows: int):
 
 
 def _set_maker(k: int):
-    @F.arrow_udf("array<bigint>")
+    @F.arrow_udf("struct<a:bigint,shingles:array<bigint>>")
     def shingle_set(text: pa.Array) -> pa.Array:
-        parts = [lists(v, at) for v, at in _shingle_sets(text, k)]
-        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int64()))
+        a, parts = [np.zeros(0, np.int64)], [pa.array([], pa.list_(pa.int64()))]
+        for v, at in _shingle_sets(text, k):
+            a.append(_digest(v, at, 1))
+            parts.append(lists(v, at))
+        return pa.StructArray.from_arrays([pa.array(np.concatenate(a)), pa.concat_arrays(parts)], names=["a", "shingles"])
 
     return shingle_set
 
@@ -162,37 +170,39 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _candidates(active: DataFrame, salts: int, round_no: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs, hubs) of one round.  ``active``: (key, id, n, p, c): n shingles, p of them before the key,
-    c the group so far.  Two texts whose first common key this is share at most n - p shingles."""
+    """(pairs, hubs) of one round.  ``active``: (key, id, a, n, p, c): a text's id and digest, n shingles, p of
+    them before the key, c the id's group so far.  Two texts whose first common key this is share at most n - p shingles."""
     def enough(most: Column, n: Column, other: Column) -> Column:
         return (100 + percent) * most >= percent * (n + other)
 
     alive = active.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min("n").alias("least")).where("lo < hi")
-    mine = active.join(alive, "key").where(enough(F.col("n") - F.col("p"), F.col("n"), F.col("least"))).select("key", "id", "n", "p", "c")
-    hubs = (mine.groupBy("key", F.pmod(F.xxhash64(F.col("id"), F.lit(round_no)), F.lit(salts)).alias("s"))
-            .agg(F.min(F.struct("p", "id", "n", "c")).alias("hub")).groupBy("key").agg(F.collect_list("hub").alias("hubs")))
+    mine = active.join(alive, "key").where(enough(F.col("n") - F.col("p"), F.col("n"), F.col("least"))).select("key", "id", "a", "n", "p", "c")
+    hubs = (mine.groupBy("key", F.pmod(F.xxhash64("id", "a", F.lit(round_no)), F.lit(salts)).alias("s"))
+            .agg(F.min(F.struct("p", "id", "a", "n", "c")).alias("hub")).groupBy("key").agg(F.collect_list("hub").alias("hubs")))
     hubs = hubs.select("key", F.explode("hubs").alias("hub"))
     pairs = mine.join(hubs, "key").where(
         (F.col("id") != F.col("hub.id")) & (F.col("c") != F.col("hub.c"))
         & enough(F.least(F.col("n") - F.col("p"), F.col("hub.n") - F.col("hub.p")), F.col("n"), F.col("hub.n")))
-    pairs = pairs.select(F.least("id", "hub.id").alias("u"), F.greatest("id", "hub.id").alias("v")).distinct()
-    return pairs, hubs.select("key", F.col("hub.id").alias("id"))
+    one, two = F.struct("id", "a"), F.struct("hub.id", "hub.a")
+    pairs = pairs.select(F.least(one, two).alias("x"), F.greatest(one, two).alias("y"))
+    pairs = pairs.select(F.col("x.id").alias("u"), F.col("x.a").alias("ua"), F.col("y.id").alias("v"), F.col("y.a").alias("va")).distinct()
+    return pairs, hubs.select("key", "hub.id", "hub.a")
 
 
 def _rare_buckets(ids: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(key, id, n, p): the texts under each of their rarest shingles that another one of them has, too."""
-    rows = sets.join(ids, "id", "left_semi").select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    """(key, id, a, n, p): the texts under each of their rarest shingles that another one of them has, too."""
+    rows = sets.join(ids, ["id", "a"], "left_semi").select("id", "a", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
     common = written(rows.groupBy("key").count().where("count > 1"), "shingle-counts")
-    order = Window.partitionBy("id").orderBy(F.coalesce("count", F.lit(1)), "key")
+    order = Window.partitionBy("id", "a").orderBy(F.coalesce("count", F.lit(1)), "key")
     prefix = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
     ranked = rows.join(common, "key", "left").withColumn("place", F.row_number().over(order))
-    return ranked.where((F.col("place") <= prefix) & F.col("count").isNotNull()).select("key", "id", "n", (F.col("place") - 1).cast("bigint").alias("p"))
+    return ranked.where((F.col("place") <= prefix) & F.col("count").isNotNull()).select("key", "id", "a", "n", (F.col("place") - 1).cast("bigint").alias("p"))
 
 
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough: 100 * common >= percent * all."""
-    one = pairs.join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("sv")), "v")
-    two = one.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("su")), "u")
+    one = pairs.join(sets.select(F.col("id").alias("v"), F.col("a").alias("va"), F.col("shingles").alias("sv")), ["v", "va"])
+    two = one.join(sets.select(F.col("id").alias("u"), F.col("a").alias("ua"), F.col("shingles").alias("su")), ["u", "ua"])
     common = F.size(F.array_intersect("su", "sv"))
     return two.where(100 * common >= percent * (F.size("su") + F.size("sv") - common)).select("u", "v")
 
@@ -210,34 +220,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # n and n + 1 shingles can reach the similarity only from n >= percent / (100 - percent)
     large = full.where(F.col("n") * (100 - percent) >= percent)
     reps = large.join(classes.select("n", "a", "b", F.col("rep").alias("id")), ["n", "a", "b", "id"], "left_semi")
-    rows_ = reps.select(F.explode("bands").alias("key"), "id", "n").distinct()
+    rows_ = reps.select(F.explode("bands").alias("key"), "id", "a", "n").distinct()
     shared_keys = rows_.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
     active = written(rows_.join(shared_keys, "key", "left_semi").withColumn("p", F.lit(0).cast("bigint")), "buckets")
-    wanted = active.select(F.col("id").alias("w")).distinct()
-    fetched = base.join(wanted, F.col("id") == F.col("w"), "left_semi").select("id", _set_maker(k)("t").alias("shingles"))
-    sets = written(fetched.where(F.size("shingles") > 0), "sets")
+    # a row may be repeated, but its set has to come once per id and text: only ids of several rows are shuffled for that
+    often = full.groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("often"))
+    wanted = active.select("id").distinct().join(often, "id", "left").select(F.col("id").alias("w"), F.coalesce("often", F.lit(False)).alias("often"))
+    fetched = base.join(wanted, F.col("id") == F.col("w")).select("id", "often", _set_maker(k)("t").alias("s")).select("id", "often", "s.*")
+    fetched = written(fetched.where(F.size("shingles") > 0), "sets")
+    again = written(fetched.where("often").dropDuplicates(["id", "a"]), "repeated-sets")
+    sets = fetched.where("not often").union(again).select("id", "a", "shingles")
     # equal sets are links, of every id to its class's smallest
     links = [full.join(classes.where("rep < last"), ["n", "a", "b"]).where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))]
     group, tested = None, None
     for round_no in range(64):
         named = active.withColumn("c", F.col("id")) if group is None else (
-            active.join(group, "id", "left").select("key", "id", "n", "p", F.coalesce("component", "id").alias("c")))
+            active.join(group, "id", "left").select("key", "id", "a", "n", "p", F.coalesce("component", "id").alias("c")))
         if round_no == 1:
             alive = named.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-            ids = written(named.join(alive, "key", "left_semi").select("id").distinct(), "unsettled")
+            ids = written(named.join(alive, "key", "left_semi").select("id", "a").distinct(), "unsettled")
             named = written(_rare_buckets(ids, sets, percent), "rare-buckets").join(group, "id", "left").select(
-                "key", "id", "n", "p", F.coalesce("component", "id").alias("c"))
+                "key", "id", "a", "n", "p", F.coalesce("component", "id").alias("c"))
         pairs, hubs = _candidates(named, 64 ** max(0, round_no - 1), round_no, percent)
         hubs = written(hubs, "hubs")
         if hubs.isEmpty():
             break
-        pairs = written(pairs if tested is None else pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
+        pairs = written(pairs if tested is None else pairs.join(tested, ["u", "ua", "v", "va"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         more = written(_links(pairs, sets, percent), "links")
         if group is None or not more.isEmpty():
             links.append(more)
             group = components(reduce(DataFrame.union, links[1:]))
-        active = written(named.select("key", "id", "n", "p").join(hubs, ["key", "id"], "left_anti"), "rest")
+        active = written(named.select("key", "id", "a", "n", "p").join(hubs, ["key", "id", "a"], "left_anti"), "rest")
     group = components(reduce(DataFrame.union, links)).withColumnRenamed("id", "node")
     out = signed.select("id", "n").join(group, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
