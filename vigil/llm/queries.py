@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, knnjoin, langid, linededup, lmscore, neardup, packing, pii, tokencount, warc
+from . import (aligntokens, decontaminate, divergence, knnjoin, langid, licenses, linededup, lmscore, neardup, packing, pii,
+               tokencount, warc)
 from .shared import new_path
 
 #: A public piece vocabulary; any model file of that library will do.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
+#: The other tokenizer of op13.
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
+
 #: Payloads above this are segmented in the archives of op1.
 SEGMENT_BYTES = 64 << 10
 
@@ -73,5 +77,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licenses.scan(table(spark, sf_dir, "documents"))
+    starts = F.flatten(F.transform("base", lambda x: x["places"]))
+    return out.select("doc_id", "n_words", F.size(starts).cast("long").alias("n_base"), F.array_min(starts).cast("long").alias("first_word"),
+                      F.array_max(starts).cast("long").alias("last_word"), F.array_join("base_labels", ",").alias("base_labels"),
+                      F.array_join("labels", ",").alias("labels"), "score")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"), min_docs=30, top_terms=50)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str, byte_bpe: str = BYTE_BPE, piece_bpe: str = VOCABULARY) -> DataFrame:
+    out = aligntokens.align(table(spark, sf_dir, "documents"), byte_bpe, piece_bpe)
+    return out.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_pii, op3_lm_scores, op4_line_dedup, op5_token_counts, op6_near_dedup, op7_exact_topk, op8_best_fit_packing,
-                                op9_language_id, op10_decontamination)}
+                                op9_language_id, op10_decontamination, op11_license_scan, op12_source_divergence, op13_token_alignment)}
