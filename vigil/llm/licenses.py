@@ -23,8 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 #: Phrases whose places are the base labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 BASE_SCORE = 0.5
@@ -76,7 +75,9 @@ TEMPLATES = (
 
 
 def lower_text(text: str) -> Column:
-    return F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), UPPER, LOWER)
+    """The text in lower case.  Words are compared with ASCII words alone, so the case of other letters is of no
+    account, but for the one letter whose lower case is in a-z: the Kelvin sign, which gives way to a letter that has no case."""
+    return F.lower(F.replace(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.lit("\u212a"), F.lit("\u0138")))
 
 
 def words(lowered: Column) -> Column:
