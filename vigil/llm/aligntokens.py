@@ -12,9 +12,8 @@ Corpus counts.  A block keeps its distinct id pairs and, per document, which of
 counted over blocks, a pair with one row per block, marked if no pair of their B id has more, and come
 back to the block, where each document adds up its own.
 
-Memory: a block ends at ``BLOCK_BYTES`` of text or ``BLOCK_DOCS`` documents.  Texts above ``CUT`` characters are
-tokenised in parts, cut before a blank between a non-blank and a letter of A-Z: no token of either kind
-crosses such a place.
+A text is tokenised in the parts between its single blanks, which no token of either kind crosses, and a task encodes
+each of its distinct parts once.  Memory: a block ends at ``BLOCK_BYTES`` of text or ``BLOCK_DOCS`` documents.
 
 Defined results: null, empty and undecodable texts, and those whose tokens' bytes differ from a blank and the text, have no
 tokens: zeros and an empty digest; repeated rows are documents each, and so are rows with a null
@@ -25,7 +24,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,12 @@ from .shared import sent, written
 
 PIECE = 1 << 16
 BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 8192
-#: Characters given to the tokenizers at once, and the length from which a text is cut.
-BATCH, CUT = 1 << 20, 1 << 20
-CUT_PLACE = re.compile(r"(?<=\S) (?=[A-Za-z])")
+#: Characters given to the tokenizers at once.
+BATCH = 1 << 20
+#: Parts (and their characters) that a task remembers before it starts anew.
+KNOWN_PARTS, KNOWN_CHARS = 1 << 18, 16 << 20
+#: A single blank between other characters (U+180E counts as white space in some tables): no token of either kind crosses it.
+CUT_PLACE = re.compile("(?<=[^\\s\u180e\u2581]) (?=[^\\s\u180e\u2581])")
 BLANK = "▁"
 
 
@@ -74,45 +78,60 @@ class Tokenizers:
         self.printed_size = np.array([len(x) for x in self.printed], np.int64)
         self.most = most
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(A ids, B ids) of each text."""
+        # no B piece goes on after a blank, so texts may be cut before single blanks
+        self.cuttable = not any(BLANK in p.lstrip(BLANK) for p in pieces)
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.held = 0
         none = np.zeros(0, np.int64)
-        i = 0
-        while i < len(texts):
-            j, held = i, 0
-            while j < len(texts) and (j == i or held + len(texts[j]) <= BATCH):
-                held += len(texts[j])
+        self.a_ids, self.b_ids, self.a_at, self.b_at, self.same = none, none, none[:0], none[:0], np.zeros(0, bool)
+        self.a_len, self.b_len = none, none
+
+    def learn(self) -> None:
+        """Encode the parts that were numbered since the last call."""
+        new = list(islice(self.number, len(self.same), None))
+        a, b, i = [], [], 0
+        while i < len(new):
+            j, size = i, 0
+            while j < len(new) and (j == i or size + len(new[j]) <= BATCH):
+                size += len(new[j])
                 j += 1
-            owner, a_parts, b_parts = [], [], []
-            for t in range(i, j):
-                for a, b in parts(texts[t]):
-                    owner.append(t)
-                    a_parts.append(a)
-                    b_parts.append(b)
-            a_ids = [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(a_parts, add_special_tokens=False)]
-            b_ids = [np.array(x, np.int64) for x in self.b.encode(b_parts, num_threads=1)]
-            at = 0
-            for t in range(i, j):
-                n = at
-                while n < len(owner) and owner[n] == t:
-                    n += 1
-                a, b = np.concatenate([none, *a_ids[at:n]]), np.concatenate([none, *b_ids[at:n]])
-                whole = b" " + texts[t].encode()
-                same = b"".join(map(self.a_bytes.__getitem__, a.tolist())) == whole == b"".join(map(self.b_bytes.__getitem__, b.tolist()))
-                yield (a, b) if same else (none, none)
-                at = n
+            a += [e.ids for e in self.a.encode_batch_fast([" " + p for p in new[i:j]], add_special_tokens=False)]
+            b += self.b.encode(new[i:j], num_threads=1)
+            self.held += size
             i = j
-
-
-def parts(text: str, cut: int | None = None) -> Iterator[tuple[str, str]]:
-    """What A and B encode, in turn, for a text: A gets a blank in front, B adds one itself."""
-    cut, at = cut or CUT, 0
-    while text and at < len(text):
-        place = CUT_PLACE.search(text, at + cut) if len(text) - at > cut else None
-        end = place.start() if place else len(text)
-        part = text[at:end]
-        yield (" " + part, part) if at == 0 else (part, part[1:])
-        at = end
+        same = [b"".join(map(self.a_bytes.__getitem__, x)) == b" " + p.encode() == b"".join(map(self.b_bytes.__getitem__, y)) for p, x, y in zip(new, a, b)]
+        flat = lambda old, lists: np.concatenate([old, np.fromiter(chain.from_iterable(lists), np.int64)])
+        self.a_len, self.b_len = (np.append(old, np.array([len(x) for x in y], np.int64)) for old, y in ((self.a_len, a), (self.b_len, b)))
+        self.a_ids, self.b_ids = flat(self.a_ids, a), flat(self.b_ids, b)
+        self.same = np.append(self.same, np.array(same, bool))
+        self.a_at, self.b_at = np.cumsum(self.a_len) - self.a_len, np.cumsum(self.b_len) - self.b_len
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(A ids, where each text's begin, B ids, where each text's begin), one more bound than texts."""
+        if len(self.number) > KNOWN_PARTS or self.held > KNOWN_CHARS:
+            self.forget()
+        split = CUT_PLACE.split if self.cuttable else lambda t: [t]
+        parts = [split(t) if t else [] for t in texts]
+        size = np.array([len(p) for p in parts], np.int64)
+        code = np.fromiter(map(self.number.__getitem__, chain.from_iterable(parts)), np.int64, int(size.sum()))
+        del parts
+        self.learn()
+        doc = np.repeat(np.arange(len(texts)), size)
+        good = np.bincount(doc[~self.same[code]], minlength=len(texts)) == 0
+        code, doc = code[good[doc]], doc[good[doc]]
+
+        def laid_out(ids, at, length):
+            n = length[code]
+            ends = np.cumsum(n)
+            take = np.repeat(at[code] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+            bounds = np.append(0, np.cumsum(np.bincount(doc, n, len(texts)).astype(np.int64)))
+            return ids[take], bounds
+
+        return *laid_out(self.a_ids, self.a_at, self.a_len), *laid_out(self.b_ids, self.b_at, self.b_len)
 
 
 def diagonals(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> np.ndarray:
@@ -168,9 +187,7 @@ class _Blocks:
 
     def rows(self, block: int, ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
         tok, n = self.tok, len(ids)
-        a_ids, b_ids = zip(*tok.encode(texts)) if n else ((), ())
-        a_at, b_at = (np.append(0, np.cumsum([len(x) for x in y])).astype(np.int64) for y in (a_ids, b_ids))
-        a, b = np.concatenate(a_ids), np.concatenate(b_ids)
+        a, a_at, b, b_at = tok.encode(texts)
         cross_a, cross_b, cut_a, cut_b = merge(np.cumsum(tok.a_size[a]), np.cumsum(tok.b_size[b]))
         doc_of_link = np.searchsorted(a_at, cross_a, "right") - 1
         doc_of_cut = np.searchsorted(a_at, cut_a - 1, "right") - 1

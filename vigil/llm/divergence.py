@@ -1,7 +1,8 @@
 """Source divergence audit: how far the sources of a language part in their word use, and by which terms.
 
 Chunk factorisation.  A term never holds white space, so a text's terms are those of its white-space chunks.
-Each task cuts its rows into blocks of documents of one (lang, source), of bounded size, and counts the chunks of every document:
+Documents are dealt by ranges of (lang, source, hash of the text), so that a task
+has few groups and a hot source many tasks; each task cuts its rows into blocks of documents of one (lang, source), of bounded size, and counts the chunks of every document:
 a block's chunk is one row with its occurrences and the documents (numbers within the block) that hold
 it.  Each globally distinct chunk is tokenised once; its terms are joined back to the blocks' rows, and
 documents and occurrences are aggregated per block and term - a term's documents are the union of its
@@ -20,6 +21,7 @@ terms has distances of 0 and no term rows; an empty table gives no rows; other c
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,12 +47,13 @@ class _Block:
     """Chunks of some documents of one (lang, source)."""
 
     def __init__(self):
-        self.docs, self.held, self.bytes, self.number, self.chunks, self.at = 0, 0, 0, {}, [], []
+        self.docs, self.held, self.bytes, self.chunks, self.at = 0, 0, 0, [], []
+        self.number = defaultdict()
+        self.number.default_factory = self.number.__len__
 
     def add(self, text: bytes) -> None:
-        number = self.number
         words = text.split()  # at the six ASCII blanks, which no term holds
-        self.chunks.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+        self.chunks.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
         self.at.append(np.full(len(words), self.docs, np.int32))
         self.docs += 1
         self.held += len(words)
@@ -106,7 +109,8 @@ def chunk_index(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     """(lang, source, block, chunk, n, docs): every chunk of every block of documents."""
     blank = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     rows = docs.select(blank(lang).alias("lang"), blank(source).alias("source"), F.col(f"`{text}`").cast("binary").alias("text"))
-    return rows.mapInArrow(_index_blocks, INDEX)
+    dealt = rows.repartitionByRange("lang", "source", F.xxhash64("text"))
+    return dealt.mapInArrow(_index_blocks, INDEX)
 
 
 def chunk_terms(index: DataFrame) -> DataFrame:

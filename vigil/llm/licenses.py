@@ -131,7 +131,7 @@ def rare_index(found: DataFrame, per_template: int) -> DataFrame:
     return kept.select("*", F.size(F.collect_set("t").over(whole)).alias("places"), F.size(F.collect_set("phrase").over(whole)).alias("phrases"))
 
 
-def findings(found: DataFrame, *, per_template: int = 8, file_words: int = 64, least: int = 3) -> DataFrame:
+def findings(found: DataFrame, *, per_template: int = 4, file_words: int = 64, least: int = 3) -> DataFrame:
     """(key, template, label, start, score): notices verified in the files of ``found`` (key, words)."""
     index = rare_index(found, per_template)
     placed = F.slice(F.col("words"), F.greatest(F.col("pos") - F.col("at") + 1, F.lit(1)), F.size("phrase"))
@@ -151,7 +151,7 @@ def findings(found: DataFrame, *, per_template: int = 8, file_words: int = 64, l
             .select("key", "template", "label", "start", (F.col("votes") / F.col("places")).alias("score")))
 
 
-def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", per_template: int = 8, file_words: int = 64,
+def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", per_template: int = 4, file_words: int = 64,
          least: int = 3) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_words``, ``base`` (places by label), ``base_labels``, ``notices`` (verified
     template, start and score), ``labels`` and ``score``."""
@@ -161,7 +161,10 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", per_tem
     hits = findings(base.select("key", "words"), per_template=per_template, file_words=file_words, least=least)
     notices = hits.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "template", "score"))).alias("notices"),
                                       F.collect_set("label").alias("more"), F.max("score").alias("best"))
-    places = base.select("key", F.size("words").cast("long").alias("n_words"), F.filter(F.array(*[
+    # words are only listed where a phrase can stand; elsewhere they are counted
+    likely = F.exists(F.array(*[F.lit(max(phrase.split(), key=len)) for phrase, _ in BASE]), lambda w: F.contains("lowered", w))
+    base = base.withColumn("words", F.when(likely, F.col("words")).otherwise(F.array().cast("array<string>")))
+    places = base.select("key", F.regexp_count("lowered", F.lit(WORD)).cast("long").alias("n_words"), F.filter(F.array(*[
         F.struct(F.lit(label).alias("label"), phrase_places(F.col("words"), F.col("lowered"), phrase).alias("places"))
         for phrase, label in BASE]), lambda x: F.size(x["places"]) > 0).alias("base"))
     named = lambda c: F.array_sort(F.array_distinct(c))

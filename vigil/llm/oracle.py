@@ -37,7 +37,7 @@ SQL = {
         ph(template, phrase, first) AS (VALUES {_PHRASES}),
         rare AS (
             SELECT template, label, t, word FROM (
-                SELECT *, dense_rank() OVER (PARTITION BY template ORDER BY df, length(word) DESC, word) AS k FROM tdf) WHERE k <= 8
+                SELECT *, dense_rank() OVER (PARTITION BY template ORDER BY df, length(word) DESC, word) AS k FROM tdf) WHERE k <= 4
             UNION
             SELECT template, label, t, word FROM (
                 SELECT tdf.*, row_number() OVER (PARTITION BY ph.template, ph.phrase ORDER BY df, length(word) DESC, word, t) AS k
