@@ -114,12 +114,13 @@ def divergence_brute(rows_, min_docs, top):
 def test_divergence_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(dv, "TILE", 3)          # several tiles and shares of terms
     monkeypatch.setattr(dv, "TERMS_PER_TASK", 7)
-    monkeypatch.setattr(dv, "BLOCK_DOCS", 16)
+    monkeypatch.setattr(dv, "HELD_CHUNKS", 16)
+    monkeypatch.setattr(dv, "BITS", 256)        # many false hits
     rng = random.Random(5)
     word = lambda: rng.choice(["Aa", "aa,", "bé", "É", "c-d", "e1f", "(g)", "h i", "zz"]) + rng.choice(["", ".", "x", "KK"])
     rows_ = [(i, rng.choice([" ", "\n", "\t"]).join(word() for _ in range(rng.choice([0, 1, 8, 40]))), rng.choice(["en", "fr", None]),
-              rng.choice([f"s{j}" for j in range(8)] + [None])) for i in range(300)]
-    rows_ += [(None, None, "xx", "lonely"), (7, "  ", "xx", "other"), (7, "  ", "xx", "other"), (8, "Aa " * 100_000, "en", "s1")] + [rows_[0]] * 3
+              rng.choice([f"s{j}" for j in range(8)] + [None])) for i in range(150)]
+    rows_ += [(None, None, "xx", "lonely"), (7, "  ", "xx", "other"), (7, "  ", "xx", "other"), (8, "Aa " * 20_000, "en", "s1")] + [rows_[0]] * 3
     got = {tuple(r) for r in dv.divergence(docs(spark, rows_).repartition(6), min_docs=5, top_terms=4).collect()}
     assert got == divergence_brute(rows_, 5, 4)
 

@@ -1,12 +1,15 @@
 """Source divergence audit: how far the sources of a language part in their word use, and by which terms.
 
 Chunk factorisation.  A term never holds white space, so a text's terms are those of its white-space chunks.
-Documents are dealt by ranges of (lang, source, hash of the text), so that a task
-has few groups and a hot source many tasks; each task cuts its rows into blocks of documents of one (lang, source), of bounded size, and counts the chunks of every document:
-a block's chunk is one row with its occurrences and the documents (numbers within the block) that hold
-it.  Each globally distinct chunk is tokenised once; its terms are joined back to the blocks' rows, and
-documents and occurrences are aggregated per block and term - a term's documents are the union of its
-chunks' lists, and blocks share no document, so block counts add up.  A frequent chunk has one row per block.
+The first pass counts, per language, the documents that hold each chunk, and each globally distinct chunk is tokenised once.
+With its terms joined back, a term is held by at least as many documents as its commonest chunk and by at most
+as many as all its chunks together.  Most terms are settled by that.  The second pass counts the occurrences of
+the chunks that can matter per (lang, source), and names the documents of those chunks whose terms are not
+settled; distinct documents of these are then counted.  Both passes count within a task before anything is
+shuffled, so a frequent chunk is one row per task.
+
+What can matter reaches the second pass as a bitmap of ``BITS`` bits over chunk checksums, so its size does
+not grow; a false hit costs a row and is removed by the join on the chunk itself.
 
 Probabilities are integers: p = 1 + floor(1e9 (count + 5) / (N + 5 V)) over the V terms that a language
 keeps, N the kept occurrences; the arithmetic is exact (decimals of 38 digits in Spark, 64-bit integers
@@ -21,7 +24,8 @@ terms has distances of 0 and no term rows; an empty table gives no rows; other c
 
 from __future__ import annotations
 
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,103 +33,131 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import sent, written
 
-#: A block ends at so many documents, chunk occurrences or bytes of text, whichever comes first.
-BLOCK_DOCS, BLOCK_CHUNKS, BLOCK_BYTES = 4096, 1 << 20, 8 << 20
-#: Blocks that a task holds open, one per (lang, source); the largest is ended to make room.
-OPEN_BYTES = 64 << 20
+#: Chunks that a task counts before it hands them on, and bits of the bitmap of chunks that matter.
+HELD_CHUNKS, BITS = 1 << 19, 1 << 25
 #: Sources on one side of a tile of pairs, and kept terms (about) per task of the distances.
 TILE, TERMS_PER_TASK = 128, 20_000
 SCALE, ADDED = 1_000_000_000, 5
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-INDEX = "lang string, source string, block long, chunk binary, n long, docs array<int>"
-
-
-class _Block:
-    """Chunks of some documents of one (lang, source)."""
-
-    def __init__(self):
-        self.docs, self.held, self.bytes, self.chunks, self.at = 0, 0, 0, [], []
-        self.number = defaultdict()
-        self.number.default_factory = self.number.__len__
-
-    def add(self, text: bytes) -> None:
-        words = text.split()  # at the six ASCII blanks, which no term holds
-        self.chunks.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
-        self.at.append(np.full(len(words), self.docs, np.int32))
-        self.docs += 1
-        self.held += len(words)
-        self.bytes += len(text) + 64
-
-    def full(self) -> bool:
-        return self.docs >= BLOCK_DOCS or self.held >= BLOCK_CHUNKS or self.bytes >= BLOCK_BYTES
-
-    def rows(self, lang: str, source: str, block: int) -> pa.RecordBatch:
-        code = np.concatenate(self.chunks).astype(np.int64)
-        doc = np.concatenate(self.at)
-        n = np.bincount(code, minlength=len(self.number))
-        pair = np.unique(code * BLOCK_DOCS + doc)
-        bounds = np.searchsorted(pair, np.arange(len(self.number) + 1) * BLOCK_DOCS)
-        k = len(self.number)
-        return pa.record_batch(
-            [pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), pa.array(np.full(k, block)),
-             pa.array(list(self.number), pa.binary()), pa.array(n.astype(np.int64)),
-             pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array((pair % BLOCK_DOCS).astype(np.int32)))],
-            ["lang", "source", "block", "chunk", "n", "docs"])
-
-
-def _index_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-    first = TaskContext.get().partitionId() << 32
-    open_, size, made = {}, 0, 0
-
-    def close(key):
-        nonlocal size, made
-        b = open_.pop(key)
-        size -= b.bytes
-        made += 1
-        return b.rows(*key, first + made)
+BLANK = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, list[bytes]]]:
+    """(lang, source, chunks) of every row; chunks end at the six ASCII blanks, which no term holds."""
     for batch in batches:
         for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            text = text.as_py()
-            if not text or text.isspace():
-                continue
-            b = open_.setdefault((lang, source), _Block())
-            size -= b.bytes
-            b.add(text)
-            size += b.bytes
-            if b.full():
-                yield close((lang, source))
-            elif size > OPEN_BYTES:
-                yield close(max(open_, key=lambda k: open_[k].bytes))
-    for key in list(open_):
-        yield close(key)
-
-
-def chunk_index(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, block, chunk, n, docs): every chunk of every block of documents."""
-    blank = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    rows = docs.select(blank(lang).alias("lang"), blank(source).alias("source"), F.col(f"`{text}`").cast("binary").alias("text"))
-    dealt = rows.repartitionByRange("lang", "source", F.xxhash64("text"))
-    return dealt.mapInArrow(_index_blocks, INDEX)
-
-
-def chunk_terms(index: DataFrame) -> DataFrame:
+            yield lang, source, (text.as_py() or b"").split()
+
+
+def _batch(names: list[str], kinds: list, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
+def chunk_documents(docs: DataFrame) -> DataFrame:
+    """(lang, chunk, docs): documents per language that hold a chunk, counted within each task."""
+    def run(batches):
+        held: dict[str, Counter] = defaultdict(Counter)
+
+        def handed():
+            for lang, counts in held.items():
+                yield pa.record_batch([pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()),
+                                       pa.array(list(counts.values()), pa.int64())], ["lang", "chunk", "docs"])
+            held.clear()
+
+        for lang, _, chunks in _texts(batches):
+            held[lang].update(set(chunks))
+            if sum(map(len, held.values())) > HELD_CHUNKS:
+                yield from handed()
+        yield from handed()
+
+    return docs.mapInArrow(run, "lang string, chunk binary, docs long")
+
+
+def chunk_terms(chunks: DataFrame) -> DataFrame:
     """(chunk, term, k): the terms of each distinct chunk with their occurrences in it, tokenised once."""
     found = F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    return (index.select("chunk").distinct().select("chunk", F.explode(found).alias("term"))
+    return (chunks.select("chunk").distinct().select("chunk", F.explode(found).alias("term"))
             .groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("k")))
 
 
-def term_counts(index: DataFrame) -> DataFrame:
-    """(lang, source, term, docs, count): distinct documents and occurrences of every term."""
-    in_block = (index.join(chunk_terms(index), "chunk").groupBy("lang", "source", "block", "term")
-                .agg(F.sum(F.col("n") * F.col("k")).alias("count"),
-                     F.size(F.array_distinct(F.flatten(F.collect_list("docs")))).alias("docs")))
-    return in_block.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("count"))
+def chunks_that_matter(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, chunk, term, k, docs, settled): the chunks of terms that ``min_docs`` documents of the language may hold."""
+    # one exchange by chunk serves the counting, the distinct chunks and the join of their terms
+    counts = chunk_documents(docs).repartition("chunk").groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
+    with_terms = counts.join(chunk_terms(counts), "chunk")
+    reach = (with_terms.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
+             .where(F.col("most") >= min_docs).select("lang", "term", (F.col("least") >= min_docs).alias("settled")))
+    return with_terms.join(reach, ["lang", "term"])
+
+
+def _bitmap(matter: DataFrame) -> np.ndarray:
+    """Bit ``crc32(chunk) mod BITS`` set for every chunk; at most BITS / 64 rows come to the driver."""
+    at = F.pmod(F.crc32("chunk"), F.lit(BITS))
+    words = (matter.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))).alias("bits"))
+             .toArrow())
+    out = np.zeros(BITS // 64, np.int64)
+    out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint8)
+
+
+class _Marks(dict):
+    """Chunk -> 0 (of no account), 1 (counted) or 2 (its documents are named too), remembered in part."""
+
+    def __init__(self, counted: np.ndarray, named: np.ndarray):
+        super().__init__()
+        self.counted, self.named = counted, named
+
+    def __missing__(self, chunk: bytes) -> int:
+        at = zlib.crc32(chunk) % (len(self.counted) * 8)
+        hit = lambda bits: bits[at >> 3] >> (at & 7) & 1
+        if len(self) > HELD_CHUNKS:
+            self.clear()
+        self[chunk] = mark = 0 if not hit(self.counted) else 2 if hit(self.named) else 1
+        return mark
+
+
+USES = ["lang", "source", "chunk", "n", "doc"]
+
+
+def chunk_uses(docs: DataFrame, matter: DataFrame) -> DataFrame:
+    """(lang, source, chunk, n, doc): occurrences ``n`` of each chunk that matters, counted within each task (``doc`` null),
+    and one row for each document ``doc`` that holds a chunk of an unsettled term (``n`` null)."""
+    bits = sent(docs.sparkSession, (_bitmap(matter), _bitmap(matter.where(~F.col("settled")))))
+    marks_of = _Marks
+
+    def run(batches):
+        from pyspark import TaskContext
+        doc = TaskContext.get().partitionId() << 40
+        mark = marks_of(*bits())
+        held: dict[tuple, Counter] = defaultdict(Counter)
+        kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
+        named = []
+
+        def handed():
+            for (lang, source), counts in held.items():
+                if counts:
+                    yield _batch(USES, kinds, [(lang, source, c, n, None) for c, n in counts.items()])
+            if named:
+                yield _batch(USES, kinds, named)
+            held.clear()
+            named.clear()
+
+        since = 0
+        for lang, source, chunks in _texts(batches):
+            doc += 1
+            useful = [c for c in chunks if mark[c]]
+            held[lang, source].update(useful)
+            named += [(lang, source, c, None, doc) for c in set(useful) if mark[c] == 2]
+            since += len(useful)
+            if since > 4 * HELD_CHUNKS:
+                yield from handed()
+                since = 0
+        yield from handed()
+
+    return docs.mapInArrow(run, "lang string, source string, chunk binary, n long, doc long")
 
 
 def _p(count: Column, total: Column, kept: Column) -> Column:
@@ -183,18 +215,24 @@ def divergence(docs: DataFrame, *, min_docs: int = 30, top_terms: int = 50, text
                source: str = "source") -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` has a source's distance to each other source of
     the language, part ``term`` the ``top_terms`` kept terms it uses most above the language."""
-    blank = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
-    index = written(chunk_index(docs, text, lang, source), "chunk-index")
-    counts = written(term_counts(index), "term-counts")
-
-    in_lang = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("count").alias("lang_count"))
-    kept = in_lang.where(F.col("docs") >= min_docs).select("lang", "term", "lang_count")
+    rows = docs.select(BLANK(lang).alias("lang"), BLANK(source).alias("source"), F.col(f"`{text}`").cast("binary").alias("text"))
+    matter = written(chunks_that_matter(rows, min_docs), "chunks")
+    uses = written(chunk_uses(rows, matter), "chunk-uses")
+    terms_of = matter.select("lang", "chunk", "term", "k", "settled")
+    held = (uses.where(F.col("doc").isNotNull()).join(terms_of.where(~F.col("settled")), ["lang", "chunk"])
+            .select("lang", "term", "doc").distinct().groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs"))
+            .where(F.col("docs") >= min_docs).select("lang", "term"))
+    keep = terms_of.where("settled").select("lang", "term").distinct().unionByName(held)
+    counts = (uses.where(F.col("doc").isNull()).join(terms_of, ["lang", "chunk"]).groupBy("lang", "source", "term")
+              .agg(F.sum(F.col("n") * F.col("k")).alias("count")))
+    counts = written(counts.join(keep, ["lang", "term"]), "term-counts")
+    kept = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
     of_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("V"), F.sum("lang_count").alias("lang_N"))
-    used = written(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "count", "lang_count"), "kept-terms")
-    of_source = used.groupBy("lang", "source").agg(F.sum("count").alias("N"))
+    used = counts.join(kept, ["lang", "term"])
+    of_source = counts.groupBy("lang", "source").agg(F.sum("count").alias("N"))
     # one row per (lang, source), numbered within the language for the tiles
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    groups = (docs.select(blank(lang).alias("lang"), blank(source).alias("source")).distinct()
+    groups = (rows.select("lang", "source").distinct()
               .join(of_source, ["lang", "source"], "left").join(of_lang, "lang", "left")
               .select("lang", "source", zero("N"), zero("V"), zero("lang_N")))
     w = Window.partitionBy("lang")
