@@ -1,4 +1,5 @@
 """License scan, source divergence and token alignment against brute force, and their odd rows."""
+import functools
 import hashlib
 import random
 import re
@@ -135,11 +136,15 @@ def test_divergence_odd_rows(spark):
 
 # ---- op13 ---------------------------------------------------------------------------------
 
+@functools.cache
+def tokenizers():
+    with open(BYTE_BPE, encoding="utf-8") as f, open(VOCABULARY, "rb") as g:
+        return al.Tokenizers(f.read(), g.read())
+
+
 def whole_text(text):
     """(A ids, A sizes, B ids, B sizes) of the text encoded as a whole; nothing if the bytes differ."""
-    from tokenizers import Tokenizer
-    import sentencepiece
-    tok = whole_text.__dict__.setdefault("tok", al.Tokenizers(open(BYTE_BPE, encoding="utf-8").read(), open(VOCABULARY, "rb").read()))
+    tok = tokenizers()
     a = tok.a.encode(" " + text, add_special_tokens=False).ids if text else []
     b = tok.b.encode(text) if text else []
     pa, pb = [tok.a_bytes[i] for i in a], [tok.b_bytes[i] for i in b]

@@ -26,7 +26,7 @@ import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +38,11 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .shared import sent, written
 
 PIECE = 1 << 16
-BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 8192
+BLOCK_BYTES, BLOCK_DOCS = 2 << 20, 8192
 #: Characters given to the tokenizers at once.
 BATCH = 1 << 20
 #: Parts (and their characters) that a task remembers before it starts anew.
-KNOWN_PARTS, KNOWN_CHARS = 1 << 18, 16 << 20
+KNOWN_PARTS, KNOWN_CHARS = 1 << 17, 4 << 20
 #: A single blank between other characters (U+180E counts as white space in some tables): no token of either kind crosses it.
 CUT_PLACE = re.compile("(?<=[^\\s\u180e\u2581]) (?=[^\\s\u180e\u2581])")
 BLANK = "▁"
@@ -103,13 +103,29 @@ class Tokenizers:
             b += self.b.encode(new[i:j], num_threads=1)
             self.held += size
             i = j
-        same = [b"".join(map(self.a_bytes.__getitem__, x)) == b" " + p.encode() == b"".join(map(self.b_bytes.__getitem__, y)) for p, x, y in zip(new, a, b)]
-        flat = lambda old, lists: np.concatenate([old, np.fromiter(chain.from_iterable(lists), np.int64)])
-        self.a_len, self.b_len = (np.append(old, np.array([len(x) for x in y], np.int64)) for old, y in ((self.a_len, a), (self.b_len, b)))
-        self.a_ids, self.b_ids = flat(self.a_ids, a), flat(self.b_ids, b)
-        self.same = np.append(self.same, np.array(same, bool))
+        flat = lambda lists: np.fromiter(chain.from_iterable(lists), np.int64)
+        sizes = lambda lists: np.fromiter(map(len, lists), np.int64, len(lists))
+        new = [b" " + p.encode() for p in new]
+        a_new, b_new, a_len, b_len = flat(a), flat(b), sizes(a), sizes(b)
+        same = self.equal(new, a_new, a_len, self.a_bytes, self.a_size) & self.equal(new, b_new, b_len, self.b_bytes, self.b_size)
+        self.a_len, self.b_len = np.append(self.a_len, a_len), np.append(self.b_len, b_len)
+        self.a_ids, self.b_ids = np.append(self.a_ids, a_new), np.append(self.b_ids, b_new)
+        self.same = np.append(self.same, same)
         self.a_at, self.b_at = np.cumsum(self.a_len) - self.a_len, np.cumsum(self.b_len) - self.b_len
 
+    @staticmethod
+    def equal(parts: list[bytes], ids: np.ndarray, length: np.ndarray, table: list[bytes], size: np.ndarray) -> np.ndarray:
+        """Which parts their tokens' bytes spell: those of equal size are compared at once, then one by one if need be."""
+        ends = np.append(0, np.cumsum(size[ids]))[np.append(0, np.cumsum(length))]
+        same = np.diff(ends) == np.fromiter(map(len, parts), np.int64, len(parts))
+        spelt = b"".join(map(table.__getitem__, ids[np.repeat(same, length)].tolist()))
+        if spelt != b"".join(compress(parts, same.tolist())):
+            at = 0
+            for i in np.flatnonzero(same).tolist():
+                same[i] = spelt[at:at + len(parts[i])] == parts[i]
+                at += len(parts[i])
+        return same
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(A ids, where each text's begin, B ids, where each text's begin), one more bound than texts."""
         if len(self.number) > KNOWN_PARTS or self.held > KNOWN_CHARS:

@@ -6,7 +6,7 @@ With its terms joined back, a term is held by at least as many documents as its
 as many as all its chunks together.  Most terms are settled by that.  The second pass counts the occurrences of
 the chunks that can matter per (lang, source), and names the documents of those chunks whose terms are not
 settled; distinct documents of these are then counted.  Both passes count within a task before anything is
-shuffled, so a frequent chunk is one row per task.
+shuffled, so a frequent chunk is one row per task; the second pass deals the documents by ranges of (lang, source, hash of the text).
 
 What can matter reaches the second pass as a bitmap of ``BITS`` bits over chunk checksums, so its size does
 not grow; a false hit costs a row and is removed by the join on the chunk itself.
@@ -38,7 +38,7 @@ from .shared import sent, written
 #: Chunks that a task counts before it hands them on, and bits of the bitmap of chunks that matter.
 HELD_CHUNKS, BITS = 1 << 19, 1 << 25
 #: Sources on one side of a tile of pairs, and kept terms (about) per task of the distances.
-TILE, TERMS_PER_TASK = 128, 20_000
+TILE, TERMS_PER_TASK = 128, 2_000
 SCALE, ADDED = 1_000_000_000, 5
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -79,7 +79,9 @@ def chunk_documents(docs: DataFrame) -> DataFrame:
 def chunk_terms(chunks: DataFrame) -> DataFrame:
     """(chunk, term, k): the terms of each distinct chunk with their occurrences in it, tokenised once."""
     found = F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    return (chunks.select("chunk").distinct().select("chunk", F.explode(found).alias("term"))
+    # the count is kept in use so that this reads the very exchange that the counting reads
+    distinct = chunks.groupBy("chunk").agg(F.max("docs").alias("docs")).where(F.col("docs") > 0)
+    return (distinct.select("chunk", F.explode(found).alias("term"))
             .groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("k")))
 
 
@@ -157,7 +159,9 @@ def chunk_uses(docs: DataFrame, matter: DataFrame) -> DataFrame:
                 since = 0
         yield from handed()
 
-    return docs.mapInArrow(run, "lang string, source string, chunk binary, n long, doc long")
+    # by ranges of (lang, source) a task counts for few groups, and a hot source has many tasks
+    dealt = docs.repartitionByRange("lang", "source", F.xxhash64("text"))
+    return dealt.mapInArrow(run, "lang string, source string, chunk binary, n long, doc long")
 
 
 def _p(count: Column, total: Column, kept: Column) -> Column:
