@@ -47,11 +47,11 @@ def test_auc_matches_brute_force_and_symmetry(spark, pairs):
 def test_ladder_totals_and_confusion_sum(spark):
     rng = np.random.RandomState(0)
     y, s = rng.randint(0, 2, 300), rng.rand(300).round(2)
-    lad = ev.score_ladder(frame(spark, y, s), by=["site"], n_buckets=5).collect()
+    lad = ev.score_ladder(frame(spark, y, s), by=["site"], rows_per_bucket=5).collect()
     assert sum(r["pos"] + r["neg"] for r in lad) == 300
     top = min(lad, key=lambda r: r["score"])
     assert top["cum_pos"] == y.sum() and top["cum_neg"] == 300 - y.sum()
-    sw = ev.topn_sweep(frame(spark, y, s), by=["site"], n_buckets=4).collect()
+    sw = ev.topn_sweep(frame(spark, y, s), by=["site"], rows_per_bucket=4).collect()
     assert len(sw) == 100 and all(r["tn"] + r["fp"] + r["fn"] + r["tp"] == 300 for r in sw)
     q1 = [r for r in sw if r["q"] == 1.0][0]
     assert q1["thr_value"] == s.max() and q1["tp"] + q1["fp"] >= 1
@@ -63,11 +63,11 @@ def test_exact_quantiles_match_numpy(spark):
     grp = rng.randint(0, 3, 500)
     df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(grp, vals)], "g int, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
-    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, ["g"], "v", probs, n_buckets=7).collect()}
+    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, ["g"], "v", probs, rows_per_bucket=7).collect()}
     for g in range(3):
         for p in probs:
             assert abs(got[(g, p)] - np.quantile(vals[grp == g], p)) < 1e-9
-    allq = {r["q"]: r["value"] for r in exact_quantiles(df, [], "v", probs, n_buckets=3).collect()}
+    allq = {r["q"]: r["value"] for r in exact_quantiles(df, [], "v", probs, rows_per_bucket=3).collect()}
     assert all(abs(allq[p] - np.quantile(vals, p)) < 1e-9 for p in probs)
 
 

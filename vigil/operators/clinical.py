@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, pao2_from_spo2, first_nonblank
+from ..session import written
 from .ordered import quantile_columns
 from .reshape import densify, worst_values
 from .temporal import first_per_key, window_join
@@ -44,9 +45,9 @@ def dose_summary(conv: DataFrame, total: DataFrame, *, id_col: str, drug: str =
     drug the median and quartiles of the encounter medians leaving out zeros (paused
     infusions), the number and percent of encounters (of ``total``, a one-row frame with
     ``n_total``) and one row per required drug (NULL row when never given)."""
-    # one row per (encounter, drug) given, NULL quantiles when no dose converted; read from
-    # the quantile operator's pinned table, so the doses are not computed a second time
-    enc = quantile_columns(conv, [id_col, drug], value, IQR, keep_empty=True)
+    # one row per (encounter, drug) given, NULL quantiles when no dose converted: a group is one encounter's
+    # charting of one drug, so the built-in holds its values; the rows serve both steps below from one table
+    enc = written(conv.groupBy(id_col, drug).agg(*[F.percentile(value, p).alias(name) for name, p in IQR.items()]), "doses")
     overall = quantile_columns(enc.where(F.col("median") != 0), [drug], "median",
                                {"overall_median_dose": 0.5, "overall_iqr_lower": 0.25,
                                 "overall_iqr_upper": 0.75})
@@ -260,5 +261,6 @@ def organ_score_distribution(scores: DataFrame, *, id_col: str) -> DataFrame:
     """SET-3 + AGG-7: median and quartiles of each component over encounters."""
     long = scores.select(id_col, *[F.col(c).cast("double").alias(c) for c in SOFA_PARTS]).unpivot(
         [id_col], SOFA_PARTS, "sofa_category", "sofa_value")
-    return quantile_columns(long, ["sofa_category"], "sofa_value",
-                            {"overall_median": 0.5, "overall_iqr_lower": 0.25, "overall_iqr_upper": 0.75})
+    # a component has a few integer values, so the built-in's map of value to count is short
+    return long.groupBy("sofa_category").agg(*[F.percentile("sofa_value", p).alias(name) for name, p in (
+        ("overall_median", 0.5), ("overall_iqr_lower", 0.25), ("overall_iqr_upper", 0.75))])

@@ -17,7 +17,7 @@ div = F.try_divide
 
 
 def score_ladder(df: DataFrame, *, label: str = "label", score: str = "score",
-                 by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+                 by: Sequence[str] = (), rows_per_bucket: int | None = None) -> DataFrame:
     """EVL-1: ``(by..., score, pos, neg, cum_pos, cum_neg, rank, P, N, next_pos, next_neg)``;
     cumulative counts include the row's own score (predicted positive at threshold = score), rank
     1 is the highest score, next is the one below (NULL for the last)."""
@@ -27,7 +27,7 @@ def score_ladder(df: DataFrame, *, label: str = "label", score: str = "score",
            .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("_n"))
            .withColumn("neg", F.col("_n") - F.col("pos")).drop("_n")
            .withColumn("one", F.lit(1).cast("long")))
-    rt = running_totals(lad, by, "score", ["pos", "neg", "one"], descending=True, n_buckets=n_buckets,
+    rt = running_totals(lad, by, "score", ["pos", "neg", "one"], descending=True, rows_per_bucket=rows_per_bucket,
                         leads=["pos", "neg"])
     return rt.select(*by, "score", "pos", "neg", "cum_pos", "cum_neg", F.col("cum_one").alias("rank"),
                      F.col("tot_pos").alias("P"), F.col("tot_neg").alias("N"), "next_pos", "next_neg")
@@ -81,13 +81,13 @@ def metrics_at_threshold(df: DataFrame, *, label="label", score="score", thr=fix
 
 
 def headline_metrics(df: DataFrame, *, label="label", score="score", thr=fixed.THRESHOLD,
-                     by: Sequence[str] = (), n_buckets: int | None = None, lad: DataFrame | None = None) -> DataFrame:
+                     by: Sequence[str] = (), rows_per_bucket: int | None = None, lad: DataFrame | None = None) -> DataFrame:
     """EVL-2/EVL-4: long table (by..., metric, value) with Accuracy, Recall, Precision
     (at ``score >= thr``; 0 when the denominator is 0), ROC AUC (NULL for one class) and
     Brier Score Loss.  ``lad`` may pass the score ladder of the same rows."""
     by = list(by)
     c = confusion(df, label=label, score=score, thr=thr, by=by)
-    lad = lad if lad is not None else score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets)
+    lad = lad if lad is not None else score_ladder(df, label=label, score=score, by=by, rows_per_bucket=rows_per_bucket)
     auc = auc_from_ladder(lad, by)
     m = (join_on(c, auc, by, "left") if by else c.crossJoin(auc))
     rr = rates(zero_as=0.0)   # precision / recall of nothing called positive: 0, as sklearn scores it
@@ -163,7 +163,7 @@ def threshold_metrics(roc: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def topn_sweep(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),
                steps: int = fixed.SWEEP_STEPS, include_top: bool = True,
-               n_buckets: int | None = None, lad: DataFrame | None = None) -> DataFrame:
+               rows_per_bucket: int | None = None, lad: DataFrame | None = None) -> DataFrame:
     """EVL-6: for q = 1.00, 0.99, ..., 1/steps: threshold = linear quantile q of the score,
     counts of ``score >= threshold``.  ``include_top=False`` starts at (steps-1)/steps
     (99 rows from 0.99, the R variant).  Quantile positions and counts are looked up on
@@ -171,7 +171,7 @@ def topn_sweep(df: DataFrame, *, label="label", score="score", by: Sequence[str]
     by = list(by)
     top = steps if include_top else steps - 1
     probs = [k / float(steps) for k in range(top, 0, -1)]
-    lad = lad if lad is not None else score_ladder(df, label=label, score=score, by=by, n_buckets=n_buckets)
+    lad = lad if lad is not None else score_ladder(df, label=label, score=score, by=by, rows_per_bucket=rows_per_bucket)
     # quantiles of the score read off the same ladder: ascending position of a distinct
     # score = rows below it + its own count (no second pass over the data)
     asc = lad.select(*by, F.col("score"), (F.col("pos") + F.col("neg")).alias("_n"),
@@ -245,7 +245,7 @@ def calibration_fixed_edges(df: DataFrame, *, label="label", score="score", by:
 
 def fairness(df: DataFrame, *, subgroups: Sequence[str], label="label", score="score",
              thr: float = fixed.THRESHOLD, by: Sequence[str] = (), strict: bool = True,
-             n_buckets: int | None = None) -> DataFrame:
+             rows_per_bucket: int | None = None) -> DataFrame:
     """EVL-5: per (by..., subgroup column, group value): confusion counts at the threshold
     (``score > thr`` by default, as in the reference's fairness table), AUC, PPV,
     sensitivity, specificity, NPV, recall, accuracy (zero denominators -> 0), Brier,
@@ -259,7 +259,7 @@ def fairness(df: DataFrame, *, subgroups: Sequence[str], label="label", score="s
             .where(F.col("group_value").isNotNull()))
     keys = by + ["subgroup", "group_value"]
     c = confusion(long, label=label, score=score, thr=thr, by=keys, strict=strict)
-    auc = auc_from_ladder(score_ladder(long, label=label, score=score, by=keys, n_buckets=n_buckets), keys)
+    auc = auc_from_ladder(score_ladder(long, label=label, score=score, by=keys, rows_per_bucket=rows_per_bucket), keys)
     two = (F.col("tp") + F.col("fn") > 0) & (F.col("tn") + F.col("fp") > 0)
     rr = rates(zero_as=0.0)
     m = attach(join_on(c, auc, keys, "left"), total, by) if by else join_on(c, auc, keys, "left").crossJoin(F.broadcast(total))

@@ -1,11 +1,12 @@
 """Order-dependent aggregates without a single-partition window.
 
-``running_totals`` is a two-level prefix sum: every row's bucket is a fixed function of its
-order value (its size in steps of a fraction of a doubling), so it is the same in every branch of the
-plan and on every recomputation, and needs no look at the data.  Each bucket's
+``running_totals`` is a two-level prefix sum over a table that is written once to the shared folder, so that
+the upstream is read once however many passes follow.  As long as some (group, bucket) has more than ``ROWS_PER_BUCKET`` rows, the buckets of such
+pairs are split at quantiles of their own rows (a mergeable summary), so narrow ranges far from zero, such as epoch
+seconds, spread over as many buckets as their rows need.  Any cuts give the same sums.  Each bucket's
 totals form a small table whose own prefix sum gives per-bucket offsets; the running sum inside a
-bucket is a window partitioned by (group, bucket).  No task ever holds more than one
-bucket, so a hot group is spread over many tasks.  ``exact_quantiles`` builds on it (linear
+bucket is a window partitioned by (group, bucket), so no task needs more than one
+bucket and a hot group is spread over many tasks.  ``exact_quantiles`` builds on it (linear
 interpolation, the ``percentile`` / ``quantile_cont`` definition): a distinct value knows the
 positions it covers, so it picks the quantiles that it answers itself, and one grouped
 aggregate puts them together.
@@ -20,8 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Buckets from a value to twice that value.
-PER_DOUBLING = 64
+from ..session import written
+
+#: A bucket with more rows of one group is split, in ``CUTS`` + 1 parts at most.
+ROWS_PER_BUCKET = 1_000_000
+CUTS = 255
 
 
 def join_on(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -40,47 +44,69 @@ def attach(df: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.crossJoin(F.broadcast(small))
 
 
-def _bucket(order: str, per_doubling: int) -> F.Column:
-    """Bucket number of a value: ``per_doubling`` buckets from each size of 1 + 1024 |v| to twice it, mirrored
-    below zero; NULL below all (as it sorts), NaN above all.  Never decreasing in the value, the
-    same for every table, and exact on any machine (Spark's logarithm is the strict one)."""
-    v = F.col(order).cast("double")
-    size = F.floor(F.log2(F.lit(1.0) + F.abs(v) * 1024) * per_doubling)
-    return (F.when(v.isNull(), F.lit(-(1 << 62))).when(F.isnan(v), F.lit(1 << 62))
-            .when(v < 0, -size).otherwise(size)).cast("bigint")
+def _place(cuts: F.Column, v: F.Column) -> F.Column:
+    """Number of ``cuts`` (rising, ``CUTS`` at most) that are not above ``v``, by binary search; 0 without cuts or value."""
+    steps = F.array(*[F.lit(1 << k) for k in range(CUTS.bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) <= v, at + step).otherwise(at))
+
+
+def irows_per_bucket(df: DataFrame, by: Sequence[str], order: str, rows: int | None = None) -> tuple[DataFrame, bool]:
+    """``df``, written once, with its group ``_k`` and bucket ``_bk`` (rising with ``order``, which is unique within a group; NULL first),
+    no (group, bucket) above ``rows`` rows; and whether there is more than one bucket."""
+    rows = rows or ROWS_PER_BUCKET
+    t, n = written(df.withColumn("_k", F.struct(F.lit(0).alias("_g"), *by)), "ordered", counted=True)
+    t = t.withColumn("_bk", F.lit(0).cast("bigint"))
+    v, split = F.col(order).cast("double"), False
+    levels = 7 if n > rows else 0  # 256 ** 7 buckets; values that are equal as doubles cannot be parted
+    for _ in range(levels):
+        crowded = t.groupBy("_k", "_bk").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).drop("_n")
+        parts = [F.lit(i / (CUTS + 1)) for i in range(1, CUTS + 1)]
+        cuts = (t.select("_k", "_bk", v.alias("_v")).join(crowded, ["_k", "_bk"], "left_semi").groupBy("_bk")
+                .agg(F.array_distinct(F.percentile_approx("_v", F.array(*parts), 20 * CUTS)).alias("_cuts")))
+        cuts, more = written(cuts, "cuts", counted=True)
+        if not more:
+            break
+        split = True
+        t = t.join(cuts, "_bk", "left").withColumn("_bk", F.col("_bk") * (CUTS + 1) + _place(F.col("_cuts"), v)).drop("_cuts")
+    return t, split
 
 
 def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[str], *,
-                   descending: bool = False, n_buckets: int | None = None,
+                   descending: bool = False, rows_per_bucket: int | None = None,
                    prefix: str = "cum_", totals_prefix: str | None = "tot_", leads: Sequence[str] = ()) -> DataFrame:
     """Add ``{prefix}{c}`` = running (inclusive) sum of ``c`` in ``order`` (numeric) within ``by``
     and, optionally, group totals ``{totals_prefix}{c}``.  ``order`` must be unique within
-    a group (aggregate ties first).  ``n_buckets``: buckets per doubling of the value.
-    ``leads`` adds ``next_{c}``, the value of ``c`` (never NULL itself) in the group's next row."""
-    r = (df.withColumn("_bk", _bucket(order, n_buckets or PER_DOUBLING))
-         .withColumn("_k", F.struct(F.lit(0).alias("_g"), *by)))
+    a group (aggregate ties first).  ``leads`` adds ``next_{c}``, the value of ``c`` (never NULL itself) in the group's next row.
+    With one bucket the offsets are all 0 and the windows hold whole groups of at most ``rows_per_bucket`` rows."""
+    r, split = irows_per_bucket(df, by, order, rows_per_bucket)
     o = F.col(order).desc() if descending else F.col(order).asc()
-    opening = [(F.max_by if descending else F.min_by)(F.struct(*leads), F.col(order)).alias("_head")] if leads else []
-    tot = r.groupBy("_k", "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], *opening)
-    wb = Window.partitionBy("_k").orderBy(F.col("_bk").desc() if descending else F.col("_bk"))
-    prev = wb.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("_k")
-    offs = [F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_o_{c}") for c in sums]
-    if totals_prefix:
-        offs += [F.sum(f"_t_{c}").over(whole).alias(f"{totals_prefix}{c}") for c in sums]
-    offs += [F.lead("_head").over(wb).alias("_next")] if leads else []
-    j = r.join(tot.select("_k", "_bk", *offs), ["_k", "_bk"], "inner")
-    wo = Window.partitionBy("_k", "_bk").orderBy(o)
+    bucket = ["_k", "_bk"] if split else ["_k"]
+    j = r
+    if split:
+        opening = [(F.max_by if descending else F.min_by)(F.struct(*leads), F.col(order)).alias("_head")] if leads else []
+        tot = r.groupBy("_k", "_bk").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], *opening)
+        # a window over bucket totals only: at most one row per bucket and group
+        wb = Window.partitionBy("_k").orderBy(F.col("_bk").desc() if descending else F.col("_bk"))
+        prev = wb.rowsBetween(Window.unboundedPreceding, -1)
+        offs = [F.coalesce(F.sum(f"_t_{c}").over(prev), F.lit(0)).alias(f"_o_{c}") for c in sums]
+        if totals_prefix:
+            offs += [F.sum(f"_t_{c}").over(Window.partitionBy("_k")).alias(f"{totals_prefix}{c}") for c in sums]
+        offs += [F.lead("_head").over(wb).alias("_next")] if leads else []
+        j = r.join(tot.select("_k", "_bk", *offs), ["_k", "_bk"], "inner")
+    wo = Window.partitionBy(*bucket).orderBy(o)
     wr = wo.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = j.withColumns({**{f"{prefix}{c}": F.sum(c).over(wr) + F.col(f"_o_{c}") for c in sums},
-                         **{f"next_{c}": F.coalesce(F.lead(c).over(wo), F.col(f"_next.{c}")) for c in leads}})
-    return out.drop("_k", "_bk", "_next", *[f"_o_{c}" for c in sums])
-
-
-def with_ends(df: DataFrame, by: Sequence[str], order: str, n_buckets: int | None = None) -> DataFrame:
-    """Add each group's smallest and largest ``order`` as ``_mn`` and ``_mx``.  Rows meet them in buckets of
-    (group, place), as in ``running_totals``, so that few groups don't mean few tasks."""
-    r = df.withColumn("_bk", _bucket(order, n_buckets or PER_DOUBLING)).withColumn("_k", F.struct(F.lit(0).alias("_g"), *by))
+    whole = Window.partitionBy(*bucket)
+    new = {f"{prefix}{c}": F.sum(c).over(wr) + (F.col(f"_o_{c}") if split else F.lit(0)) for c in sums}
+    if totals_prefix and not split:
+        new |= {f"{totals_prefix}{c}": F.sum(c).over(whole) for c in sums}
+    new |= {f"next_{c}": F.coalesce(F.lead(c).over(wo), F.col(f"_next.{c}")) if split else F.lead(c).over(wo) for c in leads}
+    return j.withColumns(new).drop("_k", "_bk", "_next", *[f"_o_{c}" for c in sums])
+
+
+def with_ends(df: DataFrame, by: Sequence[str], order: str, spread: int = 64) -> DataFrame:
+    """Add each group's smallest and largest ``order`` as ``_mn`` and ``_mx``.  Rows meet them in ``spread`` shares of
+    each group, by the value's hash, so that few groups don't mean few tasks."""
+    r = df.withColumn("_bk", F.pmod(F.xxhash64(order), F.lit(spread))).withColumn("_k", F.struct(F.lit(0).alias("_g"), *by))
     whole = Window.partitionBy("_k")
     ends = (r.groupBy("_k", "_bk").agg(F.min(order).alias("_mn"), F.max(order).alias("_mx"))
             .select("_k", "_bk", F.min("_mn").over(whole).alias("_mn"), F.max("_mx").over(whole).alias("_mx")))
@@ -88,7 +114,7 @@ def with_ends(df: DataFrame, by: Sequence[str], order: str, n_buckets: int | Non
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], *,
-                    prob_col: str = "q", out: str = "value", n_buckets: int | None = None,
+                    prob_col: str = "q", out: str = "value", rows_per_bucket: int | None = None,
                     keep_empty: bool = False) -> DataFrame:
     """Exact quantiles per group, linear interpolation between order statistics
     (position (n-1)q).  Rows ``(by..., q, value)``; NULL values are ignored and empty
@@ -102,7 +128,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     else:
         cnt = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
                .agg(F.count(F.lit(1)).alias("_n")))
-    rt = running_totals(cnt, by, value, ["_n"], n_buckets=n_buckets, totals_prefix="_Ntot")
+    rt = running_totals(cnt, by, value, ["_n"], rows_per_bucket=rows_per_bucket, totals_prefix="_Ntot")
     return pick_positions(rt.withColumnRenamed("_Ntot_n", "_gtot"), by, value, probs, prob_col=prob_col, out=out)
 
 
@@ -130,8 +156,8 @@ def pick_positions(rt: DataFrame, by: Sequence[str], value: str, probs: Sequence
 
 
 def quantile_columns(df: DataFrame, by: Sequence[str], value: str, probs: dict,
-                     n_buckets: int | None = None, keep_empty: bool = False) -> DataFrame:
+                     rows_per_bucket: int | None = None, keep_empty: bool = False) -> DataFrame:
     """``exact_quantiles`` pivoted: one column per entry of ``probs`` (name -> q)."""
-    q = exact_quantiles(df, by, value, list(probs.values()), n_buckets=n_buckets, keep_empty=keep_empty)
+    q = exact_quantiles(df, by, value, list(probs.values()), rows_per_bucket=rows_per_bucket, keep_empty=keep_empty)
     return q.groupBy(*by).agg(*[F.max(F.when(F.col("q") == F.lit(float(p)), F.col("value"))).alias(name)
                                 for name, p in probs.items()])

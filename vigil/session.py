@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every vigil job relies on.  Adaptive execution re-plans joins at run time
 # (broadcast only when the measured side is small), coalesces tiny shuffle partitions
@@ -64,3 +66,14 @@ def pin(df):
     on a cluster) and read that copy from then on.  For results reused by many outputs."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df, label: str, counted: bool = False):
+    """Write ``df`` once as Parquet to the shared folder and return the table read from there (with its number of
+    rows if ``counted``, taken while writing): what is built on it reads that copy and never the upstream again."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/vigil-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    seen = Observation()
+    (df.observe(seen, F.count(F.lit(1)).alias("n")) if counted else df).write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    return (table, seen.get["n"]) if counted else table

@@ -121,12 +121,45 @@ def unregister(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
-def read_site_results(spark: SparkSession, pattern: str, schema: T.StructType | None = None,
-                      fmt: str = "csv") -> DataFrame:
-    """SRC-6: all per-site result files matching a glob, as one DataFrame."""
-    r = spark.read.option("header", True)
-    if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", True)
+#: Most columns of a site result file.
+MAX_COLUMNS = 64
+
+
+def site_rows(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
+    """Every data line of the result files that match ``pattern``: the columns of ``schema`` by each file's own
+    header, then ``_file``, ``_line``, ``_text`` and ``_fault`` (NULL for a good line).
+
+    Result files are summaries of a few hundred lines, so a file is read as one row; fields may be quoted, but hold no line
+    ends.  Faults: a schema column that the header lacks, a number of fields other than the header's, a
+    value that its type does not parse.  Blank lines are skipped; a null or empty field is NULL."""
+    raw = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("_file"), "value")
+    lines = raw.select("_file", F.posexplode(F.split(F.regexp_replace("value", "^\ufeff", ""), "\r?\n")).alias("_at", "_text"),
+                       F.regexp_extract(F.regexp_replace("value", "^\ufeff", ""), r"^([^\r\n]*)", 1).alias("_head"))
+    lines = lines.where((F.col("_at") > 0) & (F.trim("_text") != ""))
+    fields = ", ".join(f"c{i} string" for i in range(MAX_COLUMNS))
+    cells = lambda c: F.array(*[F.from_csv(c, fields)[f"c{i}"] for i in range(MAX_COLUMNS)])
+    parsed = lines.withColumns({"_names": F.transform(cells(F.col("_head")), F.trim), "_cells": cells(F.col("_text"))})
+    width = lambda c: F.size(F.split(F.regexp_replace(c, r'"(?:[^"]|"")*"', ""), ",", -1))
+    at = lambda f: F.array_position("_names", f.name)
+    text = lambda f: F.when(at(f) > 0, F.nullif(F.get("_cells", at(f).cast("int") - 1), F.lit("")))
+    fault = F.when(width(F.col("_head")) != width(F.col("_text")), F.lit("number of fields"))
+    for f in schema:
+        fault = F.coalesce(fault, F.when(F.coalesce(at(f), F.lit(0)) == 0, F.lit(f"no column {f.name}")),
+                           F.when(text(f).isNotNull() & text(f).try_cast(f.dataType).isNull(), F.lit(f"value of {f.name}")))
+    return parsed.select(*[text(f).try_cast(f.dataType).alias(f.name) for f in schema], "_file", (F.col("_at") + 1).alias("_line"),
+                         "_text", fault.alias("_fault"))
+
+
+def read_site_results(spark: SparkSession, pattern: str, schema: T.StructType | None = None, fmt: str = "csv") -> DataFrame:
+    """SRC-6 / SET-1: all per-site result files matching a glob, as one DataFrame.  With a schema, CSV columns are matched by name, file by
+    file, whatever their order, and faulty lines are left to ``quarantined_site_lines``."""
+    if fmt == "csv" and schema is not None:
+        return site_rows(spark, pattern, schema).where(F.col("_fault").isNull()).select(*schema.names)
+    r = spark.read.option("header", True).option("inferSchema", True)
     return r.format(fmt).load(pattern)
+
+
+def quarantined_site_lines(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
+    """(file, line, text, fault) of the lines that ``read_site_results`` leaves out."""
+    bad = site_rows(spark, pattern, schema).where(F.col("_fault").isNotNull())
+    return bad.select(F.col("_file").alias("file"), F.col("_line").alias("line"), F.col("_text").alias("text"), F.col("_fault").alias("fault"))
