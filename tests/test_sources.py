@@ -75,3 +75,34 @@ def test_shareable_refuses_row_level_scores(spark):
         write_shareable(df, tempfile.mkdtemp())
     with pytest.raises(ValueError):
         write_shareable(df.select("n", "pred_proba"), tempfile.mkdtemp())
+
+
+def _metrics(name, rows):
+    return name + "\n" + "\n".join(rows) + "\n"
+
+
+def test_site_files_by_header_and_quarantine(spark, tmp_path):
+    from vigil.sources import quarantined_site_lines, read_site_results
+    from vigil.streaming.site_results import METRICS_SCHEMA
+    (tmp_path / "m_A.csv").write_text(_metrics("site,metric,value,ci_lower,ci_upper", ['A,ROC AUC,0.8,0.7,0.9', 'A,"odd, ""name""",0.1,,', "A,short,0.5"]))
+    (tmp_path / "m_B.csv").write_text("﻿" + _metrics("metric, value,ci_lower,ci_upper,extra,site", ["ROC AUC,0.6,0.5,0.7,x,B", "Recall,many,0.1,0.2,,B", ""]).replace("\n", "\r\n"))
+    (tmp_path / "m_C.csv").write_text(_metrics("site,metric,value", ["C,ROC AUC,0.9"]))
+    got = sorted(tuple(r) for r in read_site_results(spark, f"{tmp_path}/m_*.csv", METRICS_SCHEMA).collect())
+    assert got == [("A", "ROC AUC", 0.8, 0.7, 0.9), ("A", 'odd, "name"', 0.1, None, None), ("B", "ROC AUC", 0.6, 0.5, 0.7)]
+    bad = sorted((r.file[-7:], r.line, r.fault) for r in quarantined_site_lines(spark, f"{tmp_path}/m_*.csv", METRICS_SCHEMA).collect())
+    assert bad == [("m_A.csv", 4, "number of fields"), ("m_B.csv", 3, "value of value"), ("m_C.csv", 2, "no column ci_lower")]
+
+
+def test_site_files_are_written_one_a_site_and_read_back(spark, tmp_path):
+    from vigil.sources import read_site_results, write_row_level, write_site_files
+    from vigil.streaming.site_results import METRICS_SCHEMA
+    rows = [(s, m, 0.5, None, 0.75) for s in ("A", "B b", "C/d") for m in ("ROC AUC", "Recall, all")]
+    df = spark.createDataFrame(rows, METRICS_SCHEMA).repartition(4)
+    write_site_files(df, f"{tmp_path}/out")
+    assert len(list(tmp_path.glob("out/*/*.csv"))) == 3
+    back = read_site_results(spark, f"{tmp_path}/out/*/*.csv", METRICS_SCHEMA)
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(ValueError):
+        write_site_files(df.withColumnRenamed("metric", "patient_id"), f"{tmp_path}/no")
+    write_row_level(df, f"{tmp_path}/rows")
+    assert spark.read.parquet(f"{tmp_path}/rows").count() == 6 and len(list(tmp_path.glob("rows/site=*"))) == 3

@@ -1,5 +1,5 @@
-"""DataFrame -> DataFrame operators.  No operator triggers an action, except the
-checkpoint that pins range-bucketed rows (``ordered.running_totals``) and model fitting.
+"""DataFrame -> DataFrame operators.  No operator triggers an action, except those that
+write an intermediate table once (``ordered.running_totals`` and what stands on it, ``clinical.dose_summary``) and model fitting.
 
 Modules: ``cohort`` (state blocks, first qualifying block, demographics), ``temporal``
 (window join, as-of join, first row per key, next row time), ``reshape`` (EAV pivot,

@@ -1,8 +1,14 @@
 """Bootstrap confidence intervals (EVL-3) without multiplying the data.
 
-Resampling n rows with replacement is a multinomial draw of n over the distinct
-(score, label) cells, so a replicate never touches the rows.  Cells come from the score
-ladder, one per distinct score, and are resampled in blocks of bounded size.
+A replicate gives every row a Poisson(1) weight, so a ladder cell of n equal rows gets a Poisson(n) weight: the sum of
+independent Poisson(2 ** k) weights over the binary digits of n.  Each is read by the inverse distribution from a number that is
+a function of (seed, group, rank of the score, class, k, replicate) alone: no stream and no order, so any engine draws
+the same weights, and a lost task draws them again.
+
+Cells are drawn in blocks of bounded size.  A block's result is, per replicate, its weighted counts and its ordered
+(positive above negative) pairs; two neighbours combine by adding up, with the pairs between them being the upper
+one's positives times the lower one's negatives.  Blocks are folded up a tree of bounded fan, one keyed step per
+level, so no task holds a group.
 """
 
 from __future__ import annotations
@@ -13,7 +19,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
@@ -40,45 +46,86 @@ def bootstrap_cells(df: DataFrame, *, label="label", score="score", by: Sequence
                      (F.col("score") >= thr).alias("above"), "pos", "neg", "se_pos", "se_neg")
 
 
-def _rng(seed: int, *parts: int) -> np.random.Generator:
-    return np.random.Generator(np.random.PCG64([seed, *(p & 0xFFFFFFFFFFFFFFFF for p in parts)]))
+#: Draws are numbers modulo this prime; x ** 5 permutes them.
+PRIME = (1 << 31) - 1
+#: Steps of the counter: per replicate, and per (class, binary digit).
+STEP_REPLICATE, STEP_DIGIT = 1_103_515_245, 1_140_671_485
+SUMS = ("p", "q", "tp", "fp", "se", "u")
+#: Children of a node of the tree, and its levels above the blocks.
+FAN, LEVELS = 256, 3
 
 
-def _draw_blocks(replicates: int, seed: int):
-    """One group's block sizes -> per block, the rows that fall into it in each replicate."""
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("block_no")
-        n = pdf["n"].to_numpy(np.int64)
-        rng = _rng(seed, int(key[0]))
-        counts = np.stack([rng.multinomial(n.sum(), n / n.sum()) for _ in range(replicates)], axis=1)
-        return pd.DataFrame({"_gid": key[0], "block_no": pdf["block_no"].to_numpy(), "draws": list(counts)})
-    return run
+def poisson_thresholds(mean: int) -> np.ndarray:
+    """Draws x below PRIME map to a Poisson(mean) weight: the number of thresholds that are not above x."""
+    spread = 12 * math.sqrt(mean) + 12
+    k = np.arange(max(0, int(mean - spread)), int(mean + spread) + 1)
+    mode = max(mean, k[0])
+    logs = np.where(k > mode, np.log(mean / np.maximum(k, 1)), 0.0).cumsum()
+    below = np.where(k <= mode, np.log(np.maximum(k, 1) / mean), 0.0)
+    logs += below[::-1].cumsum()[::-1] - np.where(k <= mode, below, 0.0)
+    mass = np.exp(logs - logs.max())
+    first = np.zeros(int(k[0]), np.int64)  # weights below the first one have no chance to speak of
+    return np.append(first, np.ceil(np.cumsum(mass / mass.sum()) * PRIME).astype(np.int64))
+
+
+def _mod(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> 31)
+    x = (x & PRIME) + (x >> 31)
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _fifth(x: np.ndarray) -> np.ndarray:
+    square = _mod(x * x)
+    return _mod(_mod(square * square) * x)
+
 
+def draws(keys: np.ndarray, digit: int, replicates: np.ndarray) -> np.ndarray:
+    """One number below PRIME per (key, replicate); ``keys`` are rows of three 28-bit numbers."""
+    a, b, c = (keys[:, i, None] for i in range(3))
+    x = _mod(a + (replicates + 1) * STEP_REPLICATE % PRIME + (digit + 1) * STEP_DIGIT % PRIME)
+    return _mod(_fifth(_mod(_fifth(x) + b)) + c)
 
-def _draw_cells(seed: int):
-    """One block's cells and its draws -> per replicate the block's sums; ``u`` are the block's ordered
-    (positive above negative) pairs, ties one half."""
-    def run(key, cells: pd.DataFrame, draws: pd.DataFrame) -> pd.DataFrame:
+
+def _weights(keys: np.ndarray, count: np.ndarray, cls: int, replicates: np.ndarray, tables: dict) -> np.ndarray:
+    out = np.zeros((len(count), len(replicates)))
+    for k in range(int(count.max()).bit_length() if len(count) else 0):
+        has = np.flatnonzero(count >> k & 1)
+        if len(has):
+            if k not in tables:
+                tables[k] = poisson_thresholds(1 << k)
+            out[has] += np.searchsorted(tables[k], draws(keys[has], 64 * cls + k, replicates), "right")
+    return out
+
+
+def _draw_block(replicates: int):
+    def run(key, cells: pd.DataFrame) -> pd.DataFrame:
         c = cells.sort_values("rank")
-        pos, neg = c["pos"].to_numpy(float), c["neg"].to_numpy(float)
-        mse_pos = np.divide(c["se_pos"].to_numpy(float), pos, out=np.zeros_like(pos), where=pos > 0)
-        mse_neg = np.divide(c["se_neg"].to_numpy(float), neg, out=np.zeros_like(neg), where=neg > 0)
+        pos, neg = c["pos"].to_numpy(np.int64), c["neg"].to_numpy(np.int64)
+        mse_pos = np.divide(c["se_pos"].to_numpy(float), pos, out=np.zeros(len(c)), where=pos > 0)
+        mse_neg = np.divide(c["se_neg"].to_numpy(float), neg, out=np.zeros(len(c)), where=neg > 0)
         above = c["above"].to_numpy(bool)
-        share = np.concatenate([pos, neg])
-        share /= share.sum()
-        rng, k, rows = _rng(seed, int(key[0]), int(key[1]) + 1), len(c), []
-        for r, n in enumerate(draws["draws"].iloc[0]):
-            d = rng.multinomial(int(n), share).astype(float)
-            p, q = d[:k], d[k:]
-            rows.append((r, p.sum(), q.sum(), p[above].sum(), q[above].sum(), (p * mse_pos + q * mse_neg).sum(),
-                         (q * (np.cumsum(p) - 0.5 * p)).sum()))
-        out = pd.DataFrame(rows, columns=["r", "p", "q", "tp", "fp", "se", "u"])
-        out.insert(0, "block_no", key[1])
-        out.insert(0, "_gid", key[0])
-        return out
+        keys = np.array([[int(h[i:i + 7], 16) for i in (0, 7, 14)] for h in c["key"]], np.int64).reshape(-1, 3)
+        tables, sums = {}, []
+        for lo in range(0, replicates, 64):
+            r = np.arange(lo, min(lo + 64, replicates))
+            p, q = _weights(keys, pos, 0, r, tables), _weights(keys, neg, 1, r, tables)
+            sums.append((p.sum(0), q.sum(0), p[above].sum(0), q[above].sum(0), mse_pos @ p + mse_neg @ q,
+                         (q * (np.cumsum(p, 0) - 0.5 * p)).sum(0)))
+        out = {"_gid": [key[0]], "node": [key[1]]}
+        return pd.DataFrame(out | {n: [np.concatenate(x)] for n, x in zip(SUMS, zip(*sums))})
     return run
 
 
+def _fold(key, nodes: pd.DataFrame) -> pd.DataFrame:
+    """Children of one node, the highest scores first, into one row."""
+    nodes = nodes.sort_values("node")
+    part = {n: np.stack(nodes[n].to_list()) for n in SUMS}
+    above = np.cumsum(part["p"], 0) - part["p"]
+    total = {n: v.sum(0) for n, v in part.items()}
+    total["u"] = total["u"] + (part["q"] * above).sum(0)
+    return pd.DataFrame({"_gid": [key[0]], "node": [key[1]]} | {n: [v] for n, v in total.items()})
+
+
 def bootstrap_ci(df: DataFrame, *, label="label", score="score", by: Sequence[str] = (),
                  thr: float = fixed.THRESHOLD, replicates: int = fixed.BOOTSTRAP_REPLICATES, seed: int = 42,
                  alpha: float = 0.05, ci_method: str = "interpolated", block: int = 4096) -> DataFrame:
@@ -87,21 +134,20 @@ def bootstrap_ci(df: DataFrame, *, label="label", score="score", by: Sequence[st
     ``score >= thr``), ROC AUC and probability Brier score over ``replicates`` resamples
     of each group.  Rows (by..., metric, ci_lower, ci_upper, replicates); a NULL key is a group.
 
-    A multinomial draw over a group's cells is a draw over blocks of cells and then, given each
-    block's count, one inside it; so a group's blocks are resampled in parallel, exactly, whatever
-    the number of distinct scores.  AUC needs only each block's sums and the positives drawn in
-    the blocks above.  Streams are seeded by (seed, group, block)."""
+    A task holds ``block`` cells and 64 replicates at a time, or ``FAN`` rows of ``replicates`` sums; blocks
+    and nodes are numbered by rank, so ``FAN`` ** ``LEVELS`` blocks (7e10 distinct scores at 4,096) end in one row per group
+    and more in a few.  The result does not depend on ``block``."""
     by = list(by)
+    name = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(b).cast("string"), F.lit("")) for b in by], F.col("rank").cast("string"))
     cells = (bootstrap_cells(df, label=label, score=score, by=by, thr=thr, block=block)
-             .withColumn("_gid", F.xxhash64(F.lit(0), *by)))
+             .withColumns({"_gid": F.xxhash64(F.lit(0), *by), "key": F.md5(name)}))
     groups = cells.groupBy("_gid").agg(*[F.first(b).alias(b) for b in by] or [F.first(F.lit(0)).alias("_one")])
-    sizes = cells.groupBy("_gid", "block_no").agg(F.sum(F.col("pos") + F.col("neg")).alias("n"))
-    draws = sizes.groupBy("_gid").applyInPandas(_draw_blocks(replicates, seed), "_gid bigint, block_no bigint, draws array<bigint>")
-    sums = (cells.drop(*by).groupBy("_gid", "block_no").cogroup(draws.groupBy("_gid", "block_no"))
-            .applyInPandas(_draw_cells(seed), "_gid bigint, block_no bigint, r int, p double, q double, tp double, fp double, se double, u double"))
-    before = Window.partitionBy("_gid", "r").orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("u", F.col("u") + F.col("q") * F.coalesce(F.sum("p").over(before), F.lit(0.0)))
-    rep = sums.groupBy("_gid", "r").agg(*[F.sum(c).alias(c) for c in ("p", "q", "tp", "fp", "se", "u")])
+    schema = "_gid bigint, node bigint, " + ", ".join(f"{c} array<double>" for c in SUMS)
+    nodes = cells.drop(*by).groupBy("_gid", "block_no").applyInPandas(_draw_block(replicates), schema)
+    for _ in range(LEVELS):
+        parent = F.floor(F.col("node") / FAN).alias("parent")
+        nodes = nodes.groupBy("_gid", parent).applyInPandas(_fold, schema)
+    rep = nodes.select("_gid", F.inline(F.arrays_zip(*[F.col(c) for c in SUMS])))
     n, called = F.col("p") + F.col("q"), F.col("tp") + F.col("fp")
     rep = rep.select("_gid", F.try_divide(F.col("tp") + F.col("q") - F.col("fp"), n).alias("Accuracy"),
                      F.when(F.col("p") == 0, 0.0).otherwise(F.try_divide(F.col("tp"), F.col("p"))).alias("Recall"),

@@ -50,7 +50,7 @@ def _place(cuts: F.Column, v: F.Column) -> F.Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(cuts, at + step - 1) <= v, at + step).otherwise(at))
 
 
-def irows_per_bucket(df: DataFrame, by: Sequence[str], order: str, rows: int | None = None) -> tuple[DataFrame, bool]:
+def in_buckets(df: DataFrame, by: Sequence[str], order: str, rows: int | None = None) -> tuple[DataFrame, bool]:
     """``df``, written once, with its group ``_k`` and bucket ``_bk`` (rising with ``order``, which is unique within a group; NULL first),
     no (group, bucket) above ``rows`` rows; and whether there is more than one bucket."""
     rows = rows or ROWS_PER_BUCKET
@@ -78,7 +78,7 @@ def running_totals(df: DataFrame, by: Sequence[str], order: str, sums: Sequence[
     and, optionally, group totals ``{totals_prefix}{c}``.  ``order`` must be unique within
     a group (aggregate ties first).  ``leads`` adds ``next_{c}``, the value of ``c`` (never NULL itself) in the group's next row.
     With one bucket the offsets are all 0 and the windows hold whole groups of at most ``rows_per_bucket`` rows."""
-    r, split = irows_per_bucket(df, by, order, rows_per_bucket)
+    r, split = in_buckets(df, by, order, rows_per_bucket)
     o = F.col(order).desc() if descending else F.col(order).asc()
     bucket = ["_k", "_bk"] if split else ["_k"]
     j = r

@@ -363,13 +363,39 @@ from ..operators import model as mdl  # noqa: E402
 
 @query
 def q_bootstrap_ci(spark, d):
-    return bs.bootstrap_ci(_scored(spark, d), by=SITE, replicates=1000, seed=42)
+    ci = bs.bootstrap_ci(_scored(spark, d), by=SITE, replicates=1000, seed=42)
+    return ci.select("site", "metric", r6("ci_lower").alias("ci_lower"), r6("ci_upper").alias("ci_upper"), "replicates")
 
 
 @query
 def q_metrics_table(spark, d):
     s = _scored(spark, d)
-    return bs.metrics_table(ev.headline_metrics(s, by=SITE), bs.bootstrap_ci(s, by=SITE), by=SITE)
+    t = bs.metrics_table(ev.headline_metrics(s, by=SITE), bs.bootstrap_ci(s, by=SITE), by=SITE)
+    return t.select("site", "metric", *[r6(c).alias(c) for c in ("value", "ci_lower", "ci_upper")])
+
+
+def _site_files(spark, d) -> str:
+    """The metrics table as one CSV per site, as the sites would send them; every other site orders its columns its own way."""
+    from ..session import shared_path
+    from ..sources import write_site_files
+    path = shared_path(spark, "site-files")
+    t = q_metrics_table(spark, d)
+    write_site_files(t, f"{path}/a", "site")
+    write_site_files(t.where(F.substring("site", 1, 1) == "A").select("ci_upper", "metric", "site", "ci_lower", "value"), f"{path}/b", "site")
+    return path
+
+
+@query
+def q_site_table_from_files(spark, d):
+    """SNK-1, SRC-6, SET-1, JON-10, EVL-16: one file per site, read back by header, named, ranked, with intervals."""
+    from ..operators import sites
+    from ..sources import read_site_results
+    from ..streaming.site_results import METRICS_SCHEMA
+    path = _site_files(spark, d)
+    rows = read_site_results(spark, f"{path}/*/*/*.csv", METRICS_SCHEMA).distinct()
+    t = sites.site_table(rows, lower="ci_lower", upper="ci_upper")
+    return t.select(map_values("site", SITE_NAMES, None).alias("site_name"), "site", "auc", "auc_ci_lower", "auc_ci_upper", "brier",
+                    "auc_rank", "brier_rank")
 
 
 MODEL_FEATURES = ["o_totalprice", "c_acctbal", "c_nationkey", "priority_rank", "n_lines", "avg_discount",

@@ -838,3 +838,61 @@ SQL["model_matrix"] = with_(STAYS, ENC, PATIENTS, COHORT, OBS).rstrip() + _featu
 SQL["model_missingness"] = (with_(STAYS, ENC, PATIENTS, COHORT, OBS).rstrip() + _feature_ctes() + _MATRIX + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS na_count, count(*) AS total_rows, "
     f"CASE WHEN count(*) > 0 THEN (count(*) - count({c})) * 100.0 / count(*) END AS nan_percentage FROM matrix" for c in _INPUTS))
+
+
+# ---- bootstrap replicates: every draw is a function of its counter -------------------------------------
+def _thresholds(mean: int) -> str:
+    """Poisson(mean) distribution function at 0, 1, ... in units of the prime, for means up to 8."""
+    from math import ceil, exp
+    term, acc, out = exp(-mean), 0.0, []
+    for k in range(int(mean + 12 * mean ** 0.5 + 12) + 1):
+        term = term * mean / k if k else term
+        acc += term
+        out.append(min(ceil(acc * 2147483647), 2147483647))
+    return "[" + ", ".join(map(str, out)) + "]"
+
+
+_WEIGHT = "CASE digit " + " ".join(f"WHEN {k} THEN len(list_filter({_thresholds(1 << k)}, lambda t: t <= x))" for k in range(4)) + " END"
+_FIFTH = "((({0} * {0} % 2147483647) * ({0} * {0} % 2147483647) % 2147483647) * {0} % 2147483647)"
+BOOT = """cell0 AS (
+  SELECT site, score, sum(label)::BIGINT AS pos, (count(*) - sum(label))::BIGINT AS neg FROM sc WHERE score IS NOT NULL GROUP BY site, score),
+cell1 AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY score DESC) AS rank FROM cell0),
+cell AS (SELECT *, md5('42:' || coalesce(site, '') || ':' || rank) AS h FROM cell1),
+digits AS (
+  SELECT site, rank, score, cls, digit, ('0x' || substr(h, 1, 7))::BIGINT AS a, ('0x' || substr(h, 8, 7))::BIGINT AS b, ('0x' || substr(h, 15, 7))::BIGINT AS c
+  FROM cell, (VALUES (0), (1)) k(cls), range(0, 4) d(digit) WHERE ((CASE cls WHEN 0 THEN pos ELSE neg END) >> digit) & 1 = 1),
+draw0 AS (
+  SELECT site, rank, score, cls, digit, b, c, r,
+         (a + (r + 1) * 1103515245 % 2147483647 + (64 * cls + digit + 1) * 1140671485 % 2147483647) % 2147483647 AS x
+  FROM digits, range(0, 1000) t(r)),
+draw1 AS (SELECT site, rank, score, cls, digit, c, r, (""" + _FIFTH.format("x") + """ + b) % 2147483647 AS x FROM draw0),
+draw2 AS (SELECT site, rank, score, cls, digit, r, (""" + _FIFTH.format("x") + """ + c) % 2147483647 AS x FROM draw1),
+weight AS (SELECT site, rank, score, cls, r, """ + _WEIGHT + """ AS w FROM draw2),
+cw AS (
+  SELECT site, r, rank, any_value(score) AS score, sum(CASE WHEN cls = 0 THEN w ELSE 0 END)::DOUBLE AS p, sum(CASE WHEN cls = 1 THEN w ELSE 0 END)::DOUBLE AS q
+  FROM weight GROUP BY site, r, rank),
+cum AS (SELECT *, sum(p) OVER (PARTITION BY site, r ORDER BY rank) AS cp FROM cw),
+rep AS (
+  SELECT site, r, sum(p) AS p, sum(q) AS q, sum(CASE WHEN score >= 0.208 THEN p ELSE 0 END) AS tp, sum(CASE WHEN score >= 0.208 THEN q ELSE 0 END) AS fp,
+         sum(p * (score - 1) * (score - 1) + q * score * score) AS se, sum(q * (cp - 0.5 * p)) AS u FROM cum GROUP BY site, r),
+metric AS (
+  SELECT site, 'Accuracy' AS metric, (tp + q - fp) / (p + q) AS v FROM rep
+  UNION ALL SELECT site, 'Recall', CASE WHEN p = 0 THEN 0 ELSE tp / p END FROM rep
+  UNION ALL SELECT site, 'Precision', CASE WHEN tp + fp = 0 THEN 0 ELSE tp / (tp + fp) END FROM rep
+  UNION ALL SELECT site, 'ROC AUC', CASE WHEN p * q > 0 THEN u / (p * q) END FROM rep
+  UNION ALL SELECT site, 'Brier Score Loss', se / (p + q) FROM rep),
+ci AS (
+  SELECT site, metric, round(quantile_cont(v, 0.025), 6) AS ci_lower, round(quantile_cont(v, 0.975), 6) AS ci_upper FROM metric GROUP BY site, metric)"""
+
+SQL["bootstrap_ci"] = with_(SCORED, BOOT) + "SELECT site, metric, ci_lower, ci_upper, 1000 AS replicates FROM ci"
+_POINT = "point AS (" + SQL["auc_brier"].split("m AS (SELECT", 1)[1].split("SELECT site, 'Accuracy'", 1)[1].join(["SELECT site, 'Accuracy'", ")"])
+SQL["metrics_table"] = with_(SCORED, CONF, AUC, "m AS (SELECT conf.*, auc.auc FROM conf JOIN auc USING (site))", _POINT, BOOT) + """
+SELECT point.site, point.metric, value, ci_lower, ci_upper
+FROM point LEFT JOIN ci ON point.site IS NOT DISTINCT FROM ci.site AND point.metric = ci.metric"""
+SQL["site_table_from_files"] = with_(SCORED, CONF, AUC, BOOT) + """,
+one AS (SELECT conf.site, round(auc, 6) AS auc, round(brier, 6) AS brier, ci_lower AS auc_ci_lower, ci_upper AS auc_ci_upper
+        FROM conf JOIN auc ON conf.site = auc.site JOIN ci ON ci.site = conf.site AND ci.metric = 'ROC AUC')
+SELECT CASE site WHEN 'AFRICA' THEN 'Africa Region' WHEN 'AMERICA' THEN 'Americas Region' WHEN 'ASIA' THEN 'Asia Region'
+                 WHEN 'EUROPE' THEN 'Europe Region' END AS site_name, *,
+       CAST(row_number() OVER (ORDER BY auc DESC, site) AS INTEGER) AS auc_rank,
+       CAST(row_number() OVER (ORDER BY brier ASC, site) AS INTEGER) AS brier_rank FROM one"""

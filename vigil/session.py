@@ -68,11 +68,16 @@ def pin(df):
     return df.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the shared folder, below the application's own folder."""
+    return f"{ensure_checkpoint_dir(spark)}/vigil-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def written(df, label: str, counted: bool = False):
     """Write ``df`` once as Parquet to the shared folder and return the table read from there (with its number of
     rows if ``counted``, taken while writing): what is built on it reads that copy and never the upstream again."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/vigil-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = shared_path(spark, label)
     seen = Observation()
     (df.observe(seen, F.count(F.lit(1)).alias("n")) if counted else df).write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)

@@ -121,10 +121,6 @@ def unregister(spark: SparkSession, name: str) -> bool:
     return spark.catalog.dropTempView(name)
 
 
-#: Most columns of a site result file.
-MAX_COLUMNS = 64
-
-
 def site_rows(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
     """Every data line of the result files that match ``pattern``: the columns of ``schema`` by each file's own
     header, then ``_file``, ``_line``, ``_text`` and ``_fault`` (NULL for a good line).
@@ -136,13 +132,14 @@ def site_rows(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFr
     lines = raw.select("_file", F.posexplode(F.split(F.regexp_replace("value", "^\ufeff", ""), "\r?\n")).alias("_at", "_text"),
                        F.regexp_extract(F.regexp_replace("value", "^\ufeff", ""), r"^([^\r\n]*)", 1).alias("_head"))
     lines = lines.where((F.col("_at") > 0) & (F.trim("_text") != ""))
-    fields = ", ".join(f"c{i} string" for i in range(MAX_COLUMNS))
-    cells = lambda c: F.array(*[F.from_csv(c, fields)[f"c{i}"] for i in range(MAX_COLUMNS)])
-    parsed = lines.withColumns({"_names": F.transform(cells(F.col("_head")), F.trim), "_cells": cells(F.col("_text"))})
-    width = lambda c: F.size(F.split(F.regexp_replace(c, r'"(?:[^"]|"")*"', ""), ",", -1))
+    # fields one after the other, each with the comma that ends it; a quoted one may hold commas and doubled quotes
+    field = F.lit(r'\s*("(?:[^"]|"")*"|[^,"]*)\s*,')
+    unquoted = lambda x: F.when(F.startswith(x, F.lit('"')), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(F.trim(x))
+    cells = lambda c: F.transform(F.regexp_extract_all(F.concat(F.col(c), F.lit(",")), field, F.lit(1)), unquoted)
+    parsed = lines.withColumns({"_names": cells("_head"), "_cells": cells("_text")})
     at = lambda f: F.array_position("_names", f.name)
     text = lambda f: F.when(at(f) > 0, F.nullif(F.get("_cells", at(f).cast("int") - 1), F.lit("")))
-    fault = F.when(width(F.col("_head")) != width(F.col("_text")), F.lit("number of fields"))
+    fault = F.when(F.size("_names") != F.size("_cells"), F.lit("number of fields"))
     for f in schema:
         fault = F.coalesce(fault, F.when(F.coalesce(at(f), F.lit(0)) == 0, F.lit(f"no column {f.name}")),
                            F.when(text(f).isNotNull() & text(f).try_cast(f.dataType).isNull(), F.lit(f"value of {f.name}")))
