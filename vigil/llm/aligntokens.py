@@ -42,7 +42,7 @@ BLOCK_BYTES, BLOCK_DOCS = 2 << 20, 8192
 #: Characters given to the tokenizers at once.
 BATCH = 1 << 20
 #: Parts (and their characters) that a task remembers before it starts anew.
-KNOWN_PARTS, KNOWN_CHARS = 1 << 17, 4 << 20
+KNOWN_PARTS, KNOWN_CHARS = 1 << 18, 8 << 20
 #: A single blank between other characters (U+180E counts as white space in some tables): no token of either kind crosses it.
 CUT_PLACE = re.compile("(?<=[^\\s\u180e\u2581]) (?=[^\\s\u180e\u2581])")
 BLANK = "▁"
