@@ -5,8 +5,10 @@ Parquet to the folder in ``spark.checkpoint.dir`` and reads them back for the ne
 the last return the columns of ``documents``.
 
 * language ID drops texts without a letter (or null) and texts whose best language has a posterior
-  under one half; the model learns from the stage's own labelled rows;
-* line dedup rewrites each text to its kept lines (``n_chars`` follows) and drops no document;
+  under one half; the model learns from the stage's own labelled rows, and where there are none it
+  drops only texts without a letter;
+* line dedup rewrites each text to its kept lines (``n_chars`` follows); a document that loses lines and
+  has no word left goes, since smaller ids hold all its lines;
 * near-dedup keeps the smallest id of each group (5-word shingles, similarity 0.8);
 * decontamination drops documents that hold a window similar to a benchmark item;
 * packing returns the pieces of the remaining documents with their bins.
@@ -15,23 +17,31 @@ the last return the columns of ``documents``.
 from pyspark.sql import functions as F
 
 from vigil.llm import decontaminate, langid, linededup, neardup, packing
-from vigil.llm.shared import written
+from vigil.llm.shared import free_name, written
 
 LEAST_POSTERIOR = 0.5
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def language_id(spark, docs, sf_dir):
     model = langid.train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    name = free_name("_language", docs)
     predict = langid.predictor(model, spark)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    out = docs.select(*columns, predict(F.col("text").cast("binary")).alias("_language"))
-    known = (F.col("_language.lang_pred") != langid.UNKNOWN) & (F.col("_language.score") >= LEAST_POSTERIOR)
+    out = docs.select(*columns, predict(F.col("text").cast("binary")).alias(name))
+    known = (F.col(f"{name}.lang_pred") != langid.UNKNOWN) & (F.col(f"{name}.score") >= LEAST_POSTERIOR)
     return out.where(known).select(*columns)
 
 
 def line_dedup(spark, docs, sf_dir):
-    out = linededup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+    # columns of documents that have the operator's result names keep their values
+    aside = {c: free_name("_" + c, docs) for c in docs.columns if c in ("n_lines", "n_dropped")}
+    out = linededup.dedup_lines(docs.withColumnsRenamed(aside))
+    out = out.where((F.col("n_dropped") == 0) | F.col("text").rlike(WORD))
+    out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*(F.col(f"`{aside.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def near_dedup(spark, docs, sf_dir):

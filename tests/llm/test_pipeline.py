@@ -3,10 +3,11 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tools.oracle_check import TABLES, close, rows as sorted_rows
-from vigil.llm import oracle, queries
+from vigil.llm import decontaminate, langid, linededup, neardup, oracle, pii, queries, tokencount
 
 from . import brute
 from .test_text import corpus, prose
@@ -21,6 +22,7 @@ def stage_docs(spark, tmp_path_factory):
     items = [(i, prose(rng, 20)) for i in range(5)]
     rows = corpus(8) + [(1000 + i, f"{prose(rng, 30)} {items[i][1]}") for i in range(5)]
     rows += [(2000, "a line that is shared\nown line of 2000"), (2001, "own line of 2001\nA LINE that is shared "), (2002, "123 456")]
+    rows += [(3000, "a line that is shared\n own LINE of 2000\n \n")]  # every line with a word is in a smaller id
     d = str(tmp_path_factory.mktemp("stage"))
     spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{d}/benchmark.parquet")
     docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA)
@@ -36,7 +38,8 @@ def test_stages_and_run_match_brute_force(spark, stage_docs):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         now = stage(spark, now, d)
         if name == "line_dedup":
-            left = [(i, x[2]) for i, x in brute.dedup_lines(left).items()]
+            left = [(i, x[2]) for i, x in brute.dedup_lines(left).items() if not x[1] or x[2].encode().split()]
+            assert 3000 not in dict(left) and 2000 in dict(left)
         elif name == "near_dedup":
             group = brute.groups(left, 5)
             left = [(i, t) for i, t in left if group[i][1] == i]
@@ -67,6 +70,39 @@ def test_stages_on_odd_rows(spark, stage_docs):
                 assert len(out) == table.count()
 
 
+INTERNAL = ["_th", "_id", "_own", "_pii", "_lost", "_lost_id", "_r", "_p", "_c", "_gone", "_Matches", "_language", "_language_"]
+
+
+def test_columns_named_like_internal_ones(spark, stage_docs):
+    """Extra columns of any name come through every operator and stage with their values."""
+    rows, _, docs, d = stage_docs
+    benchmark = spark.read.parquet(f"{d}/benchmark.parquet")
+    wide = docs.where("doc_id < 12 or doc_id >= 1000").withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in INTERNAL})
+    wide = wide.withColumn("text", F.concat("text", F.lit(" a@b.co")))
+    made = {"pii": pii.sanitise(wide), "lines": linededup.dedup_lines(wide), "tokens": tokencount.count_tokens(wide, [b"a"], [b"a"]),
+            "language": langid.identify(wide, langid.train(wide)), "near": neardup.drop_near_duplicates(wide),
+            "clean": decontaminate.decontaminate(wide, benchmark)}
+    n = wide.count()
+    for name, out in made.items():
+        got = out.select("doc_id", *INTERNAL).collect()
+        assert got and (len(got) == n or name in ("near", "clean"))
+        assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in INTERNAL)
+    now = wide.withColumns({c: F.concat(F.lit(c), F.col("doc_id")) for c in ("n_lines", "n_dropped")})
+    columns = now.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, d)
+        got = now.collect()
+        assert now.columns == columns and got
+        assert all(r[c] == f"{c}{r.doc_id}" for r in got for c in (*INTERNAL, "n_lines", "n_dropped"))
+
+
+def test_unlabelled_texts_stay(spark, stage_docs):
+    _, _, _, d = stage_docs
+    texts = ["clean text", "", None, "12 34", "\u043c\u0438\u0440"]
+    docs = spark.createDataFrame([(i, t, None, "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    assert {r.doc_id for r in corpus_pipeline.language_id(spark, docs, d).collect()} == {0, 4}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()

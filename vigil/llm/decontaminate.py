@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import sent
+from .shared import free_name, sent
 from .words import shingles, slices, words
 
 BLOCKS = 8
@@ -183,6 +183,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found, with all their columns."""
+    """The rows of ``docs`` in which no benchmark item is found, with all their columns (of any name)."""
     names = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*names, matches(F.col(text_col), benchmark, **how).alias("_matches")).where(F.size("_matches") == 0).select(*names)
+    found = free_name("_matches", docs)
+    return docs.select(*names, matches(F.col(text_col), benchmark, **how).alias(found)).where(F.size(found) == 0).select(*names)

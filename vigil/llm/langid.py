@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import sent
+from .shared import free_name, sent
 from .words import slices
 
 UNKNOWN = "und"
@@ -164,9 +164,10 @@ def predictor(model: Model, spark):
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
     predict = predictor(model, docs.sparkSession)
+    p = free_name("_p", docs)
     other = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
-    return docs.select(*other, predict(F.col(text_col).cast("binary")).alias("_p")).select(
-        *other, F.col("_p.lang_pred").alias("lang_pred"), F.col("_p.score").alias("score"))
+    return docs.select(*other, predict(F.col(text_col).cast("binary")).alias(p)).select(
+        *other, F.col(f"{p}.lang_pred").alias("lang_pred"), F.col(f"{p}.score").alias("score"))
 
 
 def training_split(doc_id: Column, parts: int, held: int) -> Column:

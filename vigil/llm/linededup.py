@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import free_name, written
 from .words import SPACES
 
 HASH = "struct<a:bigint,b:bigint>"
@@ -94,11 +94,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_docs: int = 2) -> DataFrame:
     """``docs`` with the text of its kept lines, ``n_lines`` (before) and ``n_dropped``; columns of
     these names are replaced, all others stay."""
+    gone, gone_id, r = (free_name(c, docs) for c in ("_lost", "_lost_id", "_r"))
     lost = repeated_lines(docs, id_col, text_col, min_chars, min_docs)
-    lost = lost.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias("_lost")).withColumnRenamed("id", "_lost_id")
+    lost = lost.groupBy("id").agg(F.collect_set(F.struct("a", "b")).alias(gone)).withColumnRenamed("id", gone_id)
     other = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped", text_col)]
-    out = docs.join(lost, F.col(id_col) == F.col("_lost_id"), "left")
-    out = out.select(*other, _reassembler(min_chars)(F.col(text_col).cast("binary"), F.col("_lost")).alias("_r"))
-    made = {text_col: "_r.text", "n_lines": "_r.n_lines", "n_dropped": "_r.n_dropped"}
+    out = docs.join(lost, F.col(id_col) == F.col(gone_id), "left")
+    out = out.select(*other, _reassembler(min_chars)(F.col(text_col).cast("binary"), F.col(gone)).alias(r))
+    made = {text_col: f"{r}.text", "n_lines": f"{r}.n_lines", "n_dropped": f"{r}.n_dropped"}
     order = [c for c in docs.columns if c not in ("n_lines", "n_dropped")] + ["n_lines", "n_dropped"]
     return out.select(*(F.col(made[c]).alias(c) if c in made else F.col(f"`{c}`") for c in order))

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import written
+from .shared import free_name, written
 from .words import distinct, lists, mix, shingles, slices, words
 
 PLACES = 128
@@ -252,6 +252,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             links.append(more)
             group = components(reduce(DataFrame.union, links[1:]))
         active = written(named.select("key", "id", "a", "n", "p").join(hubs, ["key", "id", "a"], "left_anti"), "rest")
+    else:
+        raise RuntimeError("near-duplicate hubs are left after 64 rounds")
     group = components(reduce(DataFrame.union, links)).withColumnRenamed("id", "node")
     out = signed.select("id", "n").join(group, F.col("id") == F.col("node"), "left")
     component = F.coalesce("component", "id")
@@ -261,5 +263,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
     """The rows of ``docs`` that :func:`near_duplicates` keeps, with all their columns."""
-    gone = near_duplicates(docs, id_col, **how).where("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    name = free_name("_gone", docs)
+    gone = near_duplicates(docs, id_col, **how).where("not kept").select(F.col(id_col).alias(name))
+    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")

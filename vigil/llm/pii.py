@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import free_name, written
 
 KINDS = ("email", "ip", "card", "phone", "term")
 PATTERNS = {
@@ -149,6 +149,7 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     """``docs`` with ``base`` and ``all_spans`` (arrays of start, kind_no, end, value; kinds are KINDS) and
     ``sanitised`` text; columns of these names are replaced."""
     made = ("base", "all_spans", "sanitised")
+    pii, of_id, of_hash, own = (free_name(c, docs) for c in ("_pii", "_id", "_th", "_own"))
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("th"), text.alias("t"))
     found = rows.withColumn("base", base_spans(F.col("t"))).where(F.size("base") > 0)
@@ -161,12 +162,12 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     free = F.filter(F.coalesce(F.col("hits"), F.array().cast(SPAN)),
                     lambda s: ~F.exists(F.col("base"), lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
     out = out.withColumn("known", known).withColumn("hits", hits).withColumn("all_spans", F.array_sort(F.concat("base", free)))
-    out = out.select(F.struct("base", "all_spans", _sanitised(F.col("t"), F.col("all_spans"), F.coalesce("terms", F.array().cast("array<struct<term:bigint,share:double>>")), remove).alias("sanitised")).alias("_pii"),
-                     F.col("id").alias("_id"), F.col("th").alias("_th"))
+    out = out.select(F.struct("base", "all_spans", _sanitised(F.col("t"), F.col("all_spans"), F.coalesce("terms", F.array().cast("array<struct<term:bigint,share:double>>")), remove).alias("sanitised")).alias(pii),
+                     F.col("id").alias(of_id), F.col("th").alias(of_hash))
     other = [F.col(f"`{c}`") for c in docs.columns if c not in made]
     # the hash as a column, so that the text itself travels only where it is asked for
-    joined = docs.withColumn("_own", F.xxhash64(text)).join(
-        written(out, "sanitised"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_th")), "left")
+    joined = docs.withColumn(own, F.xxhash64(text)).join(
+        written(out, "sanitised"), F.col(id_col).eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_hash)), "left")
     none = F.array().cast(SPAN)
-    return joined.select(*other, F.coalesce("_pii.base", none).alias("base"), F.coalesce("_pii.all_spans", none).alias("all_spans"),
-                         F.coalesce("_pii.sanitised", F.col(text_col)).alias("sanitised"))
+    return joined.select(*other, F.coalesce(f"{pii}.base", none).alias("base"), F.coalesce(f"{pii}.all_spans", none).alias("all_spans"),
+                         F.coalesce(f"{pii}.sanitised", F.col(text_col)).alias("sanitised"))

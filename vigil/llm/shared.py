@@ -10,6 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.session import ensure_checkpoint_dir
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, with underscores added until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, grouped by application so that it can be cleared."""
     return f"{ensure_checkpoint_dir(spark)}/vigil-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

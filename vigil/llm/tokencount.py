@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import sent
+from .shared import free_name, sent
 from .words import slices, words
 
 INITIAL, CONTINUATION, NOWHERE = 0, 1, -1
@@ -123,6 +123,7 @@ def count_tokens(docs: DataFrame, initial: Iterable[bytes], continuation: Iterab
     the vocabulary bounds its size."""
     automaton = sent(docs.sparkSession, Automaton(initial, continuation))
     made = ("n_words", "n_tokens", "n_unknown")
+    counts = free_name("_c", docs)
     other = [F.col(f"`{c}`") for c in docs.columns if c not in made]
-    out = docs.select(*other, _counter(automaton)(F.col(text_col).cast("binary")).alias("_c"))
-    return out.select(*other, *(F.col(f"_c.{c}").alias(c) for c in made))
+    out = docs.select(*other, _counter(automaton)(F.col(text_col).cast("binary")).alias(counts))
+    return out.select(*other, *(F.col(f"{counts}.{c}").alias(c) for c in made))
