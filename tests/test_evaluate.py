@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings, strategies as st
 
 from vigil.operators import evaluate as ev
@@ -160,3 +161,27 @@ def test_headline_zero_division_is_zero(spark):
     m = {r["metric"]: r["value"] for r in ev.headline_metrics(frame(spark, [1, 0, 1], [0.1, 0.1, 0.2]),
                                                               by=["site"]).collect()}
     assert m["Precision"] == 0.0 and m["Recall"] == 0.0 and m["Accuracy"] == 1 / 3
+
+
+def test_interpolated_pr_area(spark):
+    """Against a fine sum over each tied group; one class only gives NULL or 1."""
+    import random
+    rng = random.Random(12)
+    data = [(g, int(rng.random() < 0.3), round(rng.random(), d)) for g, d in (("ties", 1), ("few", 6)) for _ in range(150)]
+    data += [("neg", 0, 0.1), ("neg", 0, 0.4), ("pos", 1, 0.4), ("pos", 1, 0.4), ("late", 0, 0.9), ("late", 1, 0.2), ("late", 0, 0.2)]
+    df = spark.createDataFrame(data, "site string, label int, score double")
+    got = {r.site: r.pr_auc for r in ev.curve_areas(ev.score_ladder(df, by=["site"]), ["site"], pr="interpolated").collect()}
+    for site in ("ties", "few", "late"):
+        rows = [(s, y) for g, y, s in data if g == site]
+        tp = fp = area = 0.0
+        steps = 4000
+        for s in sorted({s for s, _ in rows}, reverse=True):
+            pos, neg = (sum(1 for x, y in rows if x == s and y == k) for k in (1, 0))
+            for j in range(steps):
+                t, f = tp + pos * (j + 0.5) / steps, fp + neg * (j + 0.5) / steps
+                area += pos / steps * (t / (t + f)) if pos else 0.0
+            tp, fp = tp + pos, fp + neg
+        assert abs(got[site] - area / tp) < 1e-5
+    assert got["neg"] is None and got["pos"] == 1.0
+    with pytest.raises(ValueError):
+        ev.curve_areas(ev.score_ladder(df, by=["site"]), ["site"], pr="other")

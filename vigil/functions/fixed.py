@@ -90,6 +90,27 @@ LAB_RANGES = {
     "po2_arterial": (30.0, 700.0),
     "platelet_count": (0.0, 2000.0),
 }
+# ---- fixed values: the unit in which a laboratory category is accepted (standard results only) --
+LAB_UNITS = [
+    ("monocyte", "%"),
+    ("lymphocyte", "%"),
+    ("basophil", "%"),
+    ("neutrophil", "%"),
+    ("albumin", "g/dL"),
+    ("ast", "U/L"),
+    ("total_protein", "g/dL"),
+    ("alkaline_phosphatase", "U/L"),
+    ("bilirubin_total", "mg/dL"),
+    ("bilirubin_conjugated", "mg/dL"),
+    ("calcium", "mg/dL"),
+    ("chloride", "mmol/L"),
+    ("potassium", "mmol/L"),
+    ("sodium", "mmol/L"),
+    ("glucose_serum", "mg/dL"),
+    ("hemoglobin", "g/dL"),
+    ("platelet count", "K/uL"),
+    ("wbc", "K/uL"),
+]
 LABS_WORST_IS_MAX = ["creatinine", "bilirubin_total"]
 LABS_WORST_IS_MIN = ["po2_arterial", "platelet_count"]
 

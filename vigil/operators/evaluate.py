@@ -132,11 +132,17 @@ def pr_points(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return pts.unionByName(last)
 
 
-def curve_areas(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def curve_areas(lad: DataFrame, by: Sequence[str] = (), pr: str = "trapezoid") -> DataFrame:
     """EVL-10/11: trapezoid areas under the ROC curve (fpr, tpr) and the PR curve
     (recall, precision) through every ladder point, starting at (0, 0) for ROC and at
     recall 0, precision 1 for PR.  The point before a row's is its running totals without its own
-    counts, so each row gives its own trapezoid: no join and no window."""
+    counts, so each row gives its own trapezoid: no join and no window.
+
+    ``pr="interpolated"`` measures the PR area between achievable points instead: inside a ladder row
+    (tied scores) false positives grow linearly with true positives, so precision bends with recall.
+    A row of ``pos`` > 0 positives has the closed form below; a row without any has width 0."""
+    if pr not in ("trapezoid", "interpolated"):
+        raise ValueError(f"pr is trapezoid or interpolated, not {pr!r}")
     by = list(by)
     p, n = F.col("P").cast("double"), F.col("N").cast("double")
     cp, cn = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
@@ -144,9 +150,16 @@ def curve_areas(lad: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     first = F.col("rank") == 1
     recall = lambda c: F.when(p == 0, 1.0).otherwise(div(c, p))
     r0, p0 = F.when(first, 0.0).otherwise(recall(bp)), F.when(first, 1.0).otherwise(div(bp, bp + bn))
+    area = (recall(cp) - r0) * (div(cp, cp + cn) + p0) * 0.5
+    if pr == "interpolated":
+        # with t true positives, t / (w t + c) is the precision: w = 1 + neg / pos, c what precedes the row
+        w = 1 + div(F.col("neg").cast("double"), F.col("pos").cast("double"))
+        c = bn - (w - 1) * bp
+        bend = F.when((bp + bn > 0) & (c != 0), c / (w * w) * F.ln(div(cp + cn, bp + bn))).otherwise(0.0)
+        area = div(F.when(F.col("pos") > 0, F.col("pos") / w - bend).otherwise(0.0), p)
     return lad.groupBy(*by).agg(
         F.sum((div(cn, n) - div(bn, n)) * (div(cp, p) + div(bp, p)) * 0.5).alias("roc_auc_trapezoid"),
-        F.sum((recall(cp) - r0) * (div(cp, cp + cn) + p0) * 0.5).alias("pr_auc"))
+        F.sum(area).alias("pr_auc"))
 
 
 def threshold_metrics(roc: DataFrame, by: Sequence[str] = ()) -> DataFrame:

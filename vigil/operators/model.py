@@ -15,6 +15,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shared_path
+
 
 def feature_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """MOD-1: numeric feature columns as doubles plus 0/1 missing flags."""
@@ -46,7 +48,7 @@ def score(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str
 
 
 def importance(model: PipelineModel, features: Sequence[str], top: int = 20) -> DataFrame:
-    """MOD-4 / SRT-4: gain-style importances of the trees, top ``top`` features."""
+    """MOD-4 / SRT-4: impurity-gain importances of the trees, top ``top`` features."""
     gbt = model.stages[-1]
     names = list(features) + [f"{c}_missing" for c in features]
     vals = gbt.featureImportances.toArray().tolist()
@@ -55,3 +57,24 @@ def importance(model: PipelineModel, features: Sequence[str], top: int = 20) ->
     # one value per feature (model metadata, bounded by the feature count)
     imp = s.createDataFrame(list(zip(names, [float(v) for v in vals])), "feature string, importance double")
     return imp.orderBy(F.desc("importance"), F.asc("feature")).limit(top)
+
+
+def tree_nodes(model: PipelineModel) -> DataFrame:
+    """(tree, node, feature_no, gain) of every inner node of the fitted trees: the model's own node table,
+    written to the shared folder and read back as rows."""
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    path = shared_path(s, "trees")
+    model.stages[-1].save(path)
+    nodes = s.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    return nodes.where(F.col("leftChild") >= 0).select(
+        "tree", F.col("id").alias("node"), F.col("split.featureIndex").alias("feature_no"), "gain")
+
+
+def split_counts(model: PipelineModel, features: Sequence[str], top: int = 20) -> DataFrame:
+    """MOD-4 / SRT-4, second kind: how often the trees split on a feature, top ``top`` features (ties by
+    name); features that no tree splits on are left out."""
+    names = F.array(*(F.lit(f) for f in features), *(F.lit(f"{f}_missing") for f in features))
+    return (tree_nodes(model).groupBy("feature_no").agg(F.count(F.lit(1)).alias("splits"))
+            .select(F.get(names, F.col("feature_no")).alias("feature"), "splits")
+            .orderBy(F.desc("splits"), F.asc("feature")).limit(top))

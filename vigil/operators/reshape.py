@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from .temporal import window_join
 
 _AGGS = {"min": F.min, "max": F.max, "mean": F.avg}
@@ -114,3 +115,11 @@ def filter_pairs(long: DataFrame, allowed: Sequence[tuple], cols: Sequence[str])
     spark = long.sparkSession
     ok = spark.createDataFrame([tuple(a) for a in allowed], ", ".join(f"{c} string" for c in cols))
     return long.join(F.broadcast(ok), list(cols), "left_semi")
+
+
+def standard_labs(labs: DataFrame, *, cat: str = "lab_category", unit: str = "reference_unit",
+                  type_col: str = "lab_type_name", allowed: Sequence[tuple] = tuple(fixed.LAB_UNITS)) -> DataFrame:
+    """FLT-3 as the study uses it: results of type 'standard' whose (category, unit) is one of the 18
+    accepted pairs.  The type and the categories reach the scan; the pairs are a semi join."""
+    std = filter_categories(labs, cat, sorted({c for c, _ in allowed}), type_col=type_col)
+    return filter_pairs(std, allowed, [cat, unit])

@@ -447,6 +447,36 @@ def q_label_probability_table(spark, d):
     return _scored(spark, d).select("case_id", "label", F.col("score").alias("pred_proba"), "site")
 
 
+@query
+def q_gbt_split_counts(spark, d):
+    model, _ = _fit(spark, d)
+    return mdl.split_counts(model, MODEL_FEATURES, top=20)
+
+
+@query
+def q_curve_areas_interpolated(spark, d):
+    lad = ev.score_ladder(_scored(spark, d), by=SITE)
+    a = ev.curve_areas(lad, SITE, pr="interpolated")
+    return a.select("site", r6("pr_auc").alias("pr_auc_interpolated"))
+
+
+# A category or unit that the study does not know ends each list; a line of a supplier divisible by 17 has no unit.
+_LAB_NAMES = [c for c, _ in fx.LAB_UNITS] + ["lactate"]
+_LAB_UNIT_NAMES = sorted({u for _, u in fx.LAB_UNITS}) + ["g/L"]
+
+
+@query
+def q_lab_standard_units(spark, d):
+    li = Analogue(spark, d).table("lineitem")
+    pick = lambda names, at: F.get(F.array(*map(F.lit, names)), (at % len(names)).cast("int"))
+    labs = li.select(pick(_LAB_NAMES, F.col("l_partkey")).alias("lab_category"),
+                     F.when(F.col("l_suppkey") % 17 != 0, pick(_LAB_UNIT_NAMES, F.col("l_orderkey"))).alias("reference_unit"),
+                     F.when(F.col("l_linestatus") == "O", F.lit("standard")).otherwise(F.lit("poc")).alias("lab_type_name"),
+                     F.col("l_quantity").alias("lab_value"))
+    return rs.standard_labs(labs).groupBy("lab_category", "reference_unit").agg(
+        F.count(F.lit(1)).alias("n"), r6(F.avg("lab_value")).alias("mean_value"))
+
+
 # Labs analogue for the category / unit / type filters: lineitem lines as lab results.
 LAB_PAIRS = [("creatinine", "mg/dL"), ("albumin", "g/dL"), ("sodium", "mmol/L")]
 

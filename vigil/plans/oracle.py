@@ -395,10 +395,48 @@ SELECT site, round(auc, 6) AS auc, round(brier, 6) AS brier,
        CAST(row_number() OVER (ORDER BY brier ASC, site) AS INTEGER) AS brier_rank
 FROM conf JOIN auc USING (site)"""
 
-from ..functions.fixed import dose_factor_rows as _dfr, REQUIRED_MEDS as _MEDS, REQUIRED_MODES as _MODES  # noqa: E402
-
-FACTORS = "ft(drug, unit, factor, per_weight) AS (VALUES " + ", ".join(
-    f"('{d}', '{u}', {f!r}::DOUBLE, {str(w).upper()})" for d, u, f, w in _dfr()) + ")"
+# fixed values: conversion factors, drugs and modes, written out here so that a wrong one in the engine shows
+FACTORS = """ft(drug, unit, factor, per_weight) AS (VALUES
+  ('norepinephrine', 'mcg/kg/min', 1::DOUBLE, FALSE),
+  ('norepinephrine', 'mcg/kg/hr', 1::DOUBLE / 60, FALSE),
+  ('norepinephrine', 'mg/kg/hr', 1000::DOUBLE / 60, FALSE),
+  ('norepinephrine', 'mcg/min', 1::DOUBLE, TRUE),
+  ('norepinephrine', 'mg/hr', 1000::DOUBLE / 60, TRUE),
+  ('epinephrine', 'mcg/kg/min', 1::DOUBLE, FALSE),
+  ('epinephrine', 'mcg/kg/hr', 1::DOUBLE / 60, FALSE),
+  ('epinephrine', 'mg/kg/hr', 1000::DOUBLE / 60, FALSE),
+  ('epinephrine', 'mcg/min', 1::DOUBLE, TRUE),
+  ('epinephrine', 'mg/hr', 1000::DOUBLE / 60, TRUE),
+  ('phenylephrine', 'mcg/kg/min', 1::DOUBLE, FALSE),
+  ('phenylephrine', 'mcg/kg/hr', 1::DOUBLE / 60, FALSE),
+  ('phenylephrine', 'mg/kg/hr', 1000::DOUBLE / 60, FALSE),
+  ('phenylephrine', 'mcg/min', 1::DOUBLE, TRUE),
+  ('phenylephrine', 'mg/hr', 1000::DOUBLE / 60, TRUE),
+  ('dopamine', 'mcg/kg/min', 1::DOUBLE, FALSE),
+  ('dopamine', 'mcg/kg/hr', 1::DOUBLE / 60, FALSE),
+  ('dopamine', 'mg/kg/hr', 1000::DOUBLE / 60, FALSE),
+  ('dopamine', 'mcg/min', 1::DOUBLE, TRUE),
+  ('dopamine', 'mg/hr', 1000::DOUBLE / 60, TRUE),
+  ('milrinone', 'mcg/kg/min', 1::DOUBLE, FALSE),
+  ('milrinone', 'mcg/kg/hr', 1::DOUBLE / 60, FALSE),
+  ('milrinone', 'mg/kg/hr', 1000::DOUBLE / 60, FALSE),
+  ('milrinone', 'mcg/min', 1::DOUBLE, TRUE),
+  ('milrinone', 'mg/hr', 1000::DOUBLE / 60, TRUE),
+  ('dobutamine', 'mcg/kg/min', 1::DOUBLE, FALSE),
+  ('dobutamine', 'mcg/kg/hr', 1::DOUBLE / 60, FALSE),
+  ('dobutamine', 'mg/kg/hr', 1000::DOUBLE / 60, FALSE),
+  ('dobutamine', 'mcg/min', 1::DOUBLE, TRUE),
+  ('dobutamine', 'mg/hr', 1000::DOUBLE / 60, TRUE),
+  ('angiotensin', 'ng/kg/min', 1::DOUBLE / 1000, FALSE),
+  ('angiotensin', 'ng/kg/hr', 1::DOUBLE / 1000 / 60, FALSE),
+  ('vasopressin', 'units/min', 1::DOUBLE, FALSE),
+  ('vasopressin', 'units/hr', 1::DOUBLE / 60, FALSE),
+  ('vasopressin', 'milliunits/min', 1::DOUBLE / 1000, FALSE),
+  ('vasopressin', 'milliunits/hr', 1::DOUBLE / 1000 / 60, FALSE))"""
+_MEDS = ["norepinephrine", "epinephrine", "phenylephrine", "vasopressin", "dopamine", "angiotensin", "dobutamine",
+         "milrinone"]
+_MODES = ["Assist Control-Volume Control", "Pressure Control", "Pressure-Regulated Volume Control", "SIMV",
+          "Pressure Support/CPAP", "Volume Support", "Other"]
 
 CONV = """aj AS (
   SELECT d.*, w.weight_kg FROM doses d ASOF LEFT JOIN weights w
@@ -701,6 +739,50 @@ WHERE (lab_category = 'creatinine' AND reference_unit = 'mg/dL' AND lab_type_nam
    OR (lab_category = 'albumin' AND reference_unit = 'g/dL' AND lab_type_name = 'standard')
 GROUP BY 1, 2"""
 
+SQL["lab_standard_units"] = """
+WITH labs AS (
+  SELECT ['monocyte', 'lymphocyte', 'basophil', 'neutrophil', 'albumin', 'ast', 'total_protein', 'alkaline_phosphatase', 'bilirubin_total', 'bilirubin_conjugated', 'calcium', 'chloride', 'potassium', 'sodium', 'glucose_serum', 'hemoglobin', 'platelet count', 'wbc', 'lactate'][l_partkey % 19 + 1] AS lab_category,
+         CASE WHEN l_suppkey % 17 <> 0 THEN ['%', 'K/uL', 'U/L', 'g/dL', 'mg/dL', 'mmol/L', 'g/L'][l_orderkey % 7 + 1] END AS reference_unit,
+         CASE WHEN l_linestatus = 'O' THEN 'standard' ELSE 'poc' END AS lab_type_name,
+         l_quantity AS lab_value
+  FROM lineitem)
+SELECT lab_category, reference_unit, count(*) AS n, round(avg(lab_value), 6) AS mean_value
+FROM labs
+WHERE (lab_category = 'monocyte' AND reference_unit = '%' AND lab_type_name = 'standard')
+   OR (lab_category = 'lymphocyte' AND reference_unit = '%' AND lab_type_name = 'standard')
+   OR (lab_category = 'basophil' AND reference_unit = '%' AND lab_type_name = 'standard')
+   OR (lab_category = 'neutrophil' AND reference_unit = '%' AND lab_type_name = 'standard')
+   OR (lab_category = 'albumin' AND reference_unit = 'g/dL' AND lab_type_name = 'standard')
+   OR (lab_category = 'ast' AND reference_unit = 'U/L' AND lab_type_name = 'standard')
+   OR (lab_category = 'total_protein' AND reference_unit = 'g/dL' AND lab_type_name = 'standard')
+   OR (lab_category = 'alkaline_phosphatase' AND reference_unit = 'U/L' AND lab_type_name = 'standard')
+   OR (lab_category = 'bilirubin_total' AND reference_unit = 'mg/dL' AND lab_type_name = 'standard')
+   OR (lab_category = 'bilirubin_conjugated' AND reference_unit = 'mg/dL' AND lab_type_name = 'standard')
+   OR (lab_category = 'calcium' AND reference_unit = 'mg/dL' AND lab_type_name = 'standard')
+   OR (lab_category = 'chloride' AND reference_unit = 'mmol/L' AND lab_type_name = 'standard')
+   OR (lab_category = 'potassium' AND reference_unit = 'mmol/L' AND lab_type_name = 'standard')
+   OR (lab_category = 'sodium' AND reference_unit = 'mmol/L' AND lab_type_name = 'standard')
+   OR (lab_category = 'glucose_serum' AND reference_unit = 'mg/dL' AND lab_type_name = 'standard')
+   OR (lab_category = 'hemoglobin' AND reference_unit = 'g/dL' AND lab_type_name = 'standard')
+   OR (lab_category = 'platelet count' AND reference_unit = 'K/uL' AND lab_type_name = 'standard')
+   OR (lab_category = 'wbc' AND reference_unit = 'K/uL' AND lab_type_name = 'standard')
+GROUP BY 1, 2"""
+
+SQL["curve_areas_interpolated"] = with_(SCORED, LADDER) + """,
+seg AS (
+  SELECT site, P, cum_pos::DOUBLE AS tp, cum_neg::DOUBLE AS fp,
+         COALESCE(LAG(cum_pos) OVER w, 0)::DOUBLE AS tp0, COALESCE(LAG(cum_neg) OVER w, 0)::DOUBLE AS fp0
+  FROM lad WINDOW w AS (PARTITION BY site ORDER BY rank)),
+line AS (
+  SELECT *, (fp - fp0) / nullif(tp - tp0, 0) AS slope FROM seg),
+area AS (
+  SELECT site, P, CASE WHEN tp = tp0 THEN 0
+                       WHEN fp0 = slope * tp0 THEN (tp - tp0) / (1 + slope)
+                       ELSE (tp - tp0) / (1 + slope)
+                            - (fp0 - slope * tp0) / ((1 + slope) * (1 + slope)) * (ln(tp + fp) - ln(tp0 + fp0)) END AS a
+  FROM line)
+SELECT site, round(sum(a) / nullif(max(P), 0), 6) AS pr_auc_interpolated FROM area GROUP BY site"""
+
 SQL["table1_header"] = with_(SCORED) + """
 SELECT site, regexp_replace('Overall(N=' || CAST(count(*) AS VARCHAR) || ')', 'Overall\\(N=(\\d+)\\)',
                             site || ' (N=\\1)') AS header
