@@ -76,20 +76,20 @@ def chunk_documents(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, chunk binary, docs long")
 
 
-def chunk_terms(chunks: DataFrame) -> DataFrame:
-    """(chunk, term, k): the terms of each distinct chunk with their occurrences in it, tokenised once."""
+def chunk_terms(counted: DataFrame) -> DataFrame:
+    """(lang, chunk, term, k, docs) of counted chunks (lang, chunk, docs): each distinct chunk is tokenised once,
+    its languages beside it as a list, so at most as long as the table has languages."""
     found = F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    # the count is kept in use so that this reads the very exchange that the counting reads
-    distinct = chunks.groupBy("chunk").agg(F.max("docs").alias("docs")).where(F.col("docs") > 0)
-    return (distinct.select("chunk", F.explode(found).alias("term"))
-            .groupBy("chunk", "term").agg(F.count(F.lit(1)).alias("k")))
+    # one exchange by chunk serves the counts, the distinct chunks and their terms
+    once = (counted.repartition("chunk").groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
+            .groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("held")))
+    return (once.select("chunk", "held", F.explode(found).alias("term")).select("chunk", "term", F.inline("held"))
+            .groupBy("chunk", "lang", "term").agg(F.count(F.lit(1)).alias("k"), F.max("docs").alias("docs")))
 
 
 def chunks_that_matter(docs: DataFrame, min_docs: int) -> DataFrame:
     """(lang, chunk, term, k, docs, settled): the chunks of terms that ``min_docs`` documents of the language may hold."""
-    # one exchange by chunk serves the counting, the distinct chunks and the join of their terms
-    counts = chunk_documents(docs).repartition("chunk").groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
-    with_terms = counts.join(chunk_terms(counts), "chunk")
+    with_terms = written(chunk_terms(chunk_documents(docs)), "chunk-terms")
     reach = (with_terms.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
              .where(F.col("most") >= min_docs).select("lang", "term", (F.col("least") >= min_docs).alias("settled")))
     return with_terms.join(reach, ["lang", "term"])
