@@ -6,7 +6,7 @@ With its terms joined back, a term is held by at least as many documents as its
 as many as all its chunks together.  Most terms are settled by that.  The second pass counts the occurrences of
 the chunks that can matter per (lang, source), and names the documents of those chunks whose terms are not
 settled; distinct documents of these are then counted.  Both passes count within a task before anything is
-shuffled, so a frequent chunk is one row per task; the second pass deals the documents by ranges of (lang, source, hash of the text).
+shuffled, so a frequent chunk is one row per task; the documents are first dealt by ranges of (lang, source, hash of the text).
 
 What can matter reaches the second pass as a bitmap of ``BITS`` bits over chunk checksums, so its size does
 not grow; a false hit costs a row and is removed by the join on the chunk itself.
@@ -52,8 +52,14 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, list[b
             yield lang, source, (text.as_py() or b"").split()
 
 
-def _batch(names: list[str], kinds: list, rows: list[tuple]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+def _repeated(names: tuple, sizes: list) -> pa.Array:
+    return pa.array(names, pa.string()).take(pa.array(np.repeat(np.arange(len(names)), sizes)))
+
+
+def dealt(docs: DataFrame) -> DataFrame:
+    """(lang, source, text), written by ranges of (lang, source, hash of the text): a task then counts for few
+    groups, and a hot source has many tasks."""
+    return written(docs.repartitionByRange("lang", "source", F.xxhash64("text")), "dealt")
 
 
 def chunk_documents(docs: DataFrame) -> DataFrame:
@@ -126,42 +132,54 @@ USES = ["lang", "source", "chunk", "n", "doc"]
 
 def chunk_uses(docs: DataFrame, matter: DataFrame) -> DataFrame:
     """(lang, source, chunk, n, doc): occurrences ``n`` of each chunk that matters, counted within each task (``doc`` null),
-    and one row for each document ``doc`` that holds a chunk of an unsettled term (``n`` null)."""
+    and one row for each document ``doc`` that holds a chunk of an unsettled term (``n`` and ``source`` null)."""
     bits = sent(docs.sparkSession, (_bitmap(matter), _bitmap(matter.where(~F.col("settled")))))
-    marks_of = _Marks
+    marks_of, repeated = _Marks, _repeated
 
     def run(batches):
         from pyspark import TaskContext
         doc = TaskContext.get().partitionId() << 40
         mark = marks_of(*bits())
         held: dict[tuple, Counter] = defaultdict(Counter)
-        kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
-        named = []
+        size = 0
+        names: list[bytes] = []
+        named: list[tuple] = []  # (lang, doc, how many of names)
 
         def handed():
-            for (lang, source), counts in held.items():
-                if counts:
-                    yield _batch(USES, kinds, [(lang, source, c, n, None) for c, n in counts.items()])
+            if size:
+                sizes = [len(counts) for counts in held.values()]
+                langs, sources = zip(*held)
+                yield pa.record_batch([repeated(langs, sizes), repeated(sources, sizes),
+                                       pa.array([c for counts in held.values() for c in counts], pa.binary()),
+                                       pa.array([n for counts in held.values() for n in counts.values()], pa.int64()),
+                                       pa.nulls(size, pa.int64())], USES)
             if named:
-                yield _batch(USES, kinds, named)
+                langs, ids, sizes = zip(*named)
+                yield pa.record_batch([repeated(langs, sizes), pa.nulls(len(names), pa.string()), pa.array(names, pa.binary()),
+                                       pa.nulls(len(names), pa.int64()), pa.array(np.repeat(np.array(ids, np.int64), sizes))], USES)
             held.clear()
+            names.clear()
             named.clear()
 
-        since = 0
         for lang, source, chunks in _texts(batches):
             doc += 1
             useful = [c for c in chunks if mark[c]]
-            held[lang, source].update(useful)
-            named += [(lang, source, c, None, doc) for c in set(useful) if mark[c] == 2]
-            since += len(useful)
-            if since > 4 * HELD_CHUNKS:
+            if not useful:
+                continue
+            counts = held[lang, source]
+            size -= len(counts)
+            counts.update(useful)
+            size += len(counts)
+            own = [c for c in set(useful) if mark[c] == 2]
+            if own:
+                names += own
+                named.append((lang, doc, len(own)))
+            if size + len(names) > HELD_CHUNKS:
                 yield from handed()
-                since = 0
+                size = 0
         yield from handed()
 
-    # by ranges of (lang, source) a task counts for few groups, and a hot source has many tasks
-    dealt = docs.repartitionByRange("lang", "source", F.xxhash64("text"))
-    return dealt.mapInArrow(run, "lang string, source string, chunk binary, n long, doc long")
+    return docs.mapInArrow(run, "lang string, source string, chunk binary, n long, doc long")
 
 
 def _p(count: Column, total: Column, kept: Column) -> Column:
@@ -219,7 +237,7 @@ def divergence(docs: DataFrame, *, min_docs: int = 30, top_terms: int = 50, text
                source: str = "source") -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` has a source's distance to each other source of
     the language, part ``term`` the ``top_terms`` kept terms it uses most above the language."""
-    rows = docs.select(BLANK(lang).alias("lang"), BLANK(source).alias("source"), F.col(f"`{text}`").cast("binary").alias("text"))
+    rows = dealt(docs.select(BLANK(lang).alias("lang"), BLANK(source).alias("source"), F.col(f"`{text}`").cast("binary").alias("text")))
     matter = written(chunks_that_matter(rows, min_docs), "chunks")
     uses = written(chunk_uses(rows, matter), "chunk-uses")
     terms_of = matter.select("lang", "chunk", "term", "k", "settled")
