@@ -101,29 +101,29 @@ def chunks_that_matter(docs: DataFrame, min_docs: int) -> DataFrame:
     return with_terms.join(reach, ["lang", "term"])
 
 
-def _bitmap(matter: DataFrame) -> np.ndarray:
+def _bitmap(matter: DataFrame) -> bytes:
     """Bit ``crc32(chunk) mod BITS`` set for every chunk; at most BITS / 64 rows come to the driver."""
     at = F.pmod(F.crc32("chunk"), F.lit(BITS))
     words = (matter.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))).alias("bits"))
              .toArrow())
     out = np.zeros(BITS // 64, np.int64)
     out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
-    return out.view(np.uint8)
+    return out.tobytes()
 
 
 class _Marks(dict):
     """Chunk -> 0 (of no account), 1 (counted) or 2 (its documents are named too), remembered in part."""
 
-    def __init__(self, counted: np.ndarray, named: np.ndarray):
+    def __init__(self, counted: bytes, named: bytes):
         super().__init__()
         self.counted, self.named = counted, named
 
     def __missing__(self, chunk: bytes) -> int:
         at = zlib.crc32(chunk) % (len(self.counted) * 8)
-        hit = lambda bits: bits[at >> 3] >> (at & 7) & 1
+        byte, bit = at >> 3, 1 << (at & 7)
         if len(self) > HELD_CHUNKS:
             self.clear()
-        self[chunk] = mark = 0 if not hit(self.counted) else 2 if hit(self.named) else 1
+        self[chunk] = mark = 0 if not self.counted[byte] & bit else 2 if self.named[byte] & bit else 1
         return mark
 
 
@@ -146,13 +146,14 @@ def chunk_uses(docs: DataFrame, matter: DataFrame) -> DataFrame:
         named: list[tuple] = []  # (lang, doc, how many of names)
 
         def handed():
-            if size:
-                sizes = [len(counts) for counts in held.values()]
+            if held:
+                useful = [[c for c in counts if mark[c]] for counts in held.values()]
+                sizes = [len(u) for u in useful]
                 langs, sources = zip(*held)
                 yield pa.record_batch([repeated(langs, sizes), repeated(sources, sizes),
-                                       pa.array([c for counts in held.values() for c in counts], pa.binary()),
-                                       pa.array([n for counts in held.values() for n in counts.values()], pa.int64()),
-                                       pa.nulls(size, pa.int64())], USES)
+                                       pa.array([c for u in useful for c in u], pa.binary()),
+                                       pa.array([counts[c] for counts, u in zip(held.values(), useful) for c in u], pa.int64()),
+                                       pa.nulls(sum(sizes), pa.int64())], USES)
             if named:
                 langs, ids, sizes = zip(*named)
                 yield pa.record_batch([repeated(langs, sizes), pa.nulls(len(names), pa.string()), pa.array(names, pa.binary()),
@@ -163,14 +164,11 @@ def chunk_uses(docs: DataFrame, matter: DataFrame) -> DataFrame:
 
         for lang, source, chunks in _texts(batches):
             doc += 1
-            useful = [c for c in chunks if mark[c]]
-            if not useful:
-                continue
             counts = held[lang, source]
             size -= len(counts)
-            counts.update(useful)
+            counts.update(chunks)
             size += len(counts)
-            own = [c for c in set(useful) if mark[c] == 2]
+            own = [c for c in set(chunks) if mark[c] == 2]
             if own:
                 names += own
                 named.append((lang, doc, len(own)))
@@ -245,7 +243,8 @@ def divergence(docs: DataFrame, *, min_docs: int = 30, top_terms: int = 50, text
             .select("lang", "term", "doc").distinct().groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs"))
             .where(F.col("docs") >= min_docs).select("lang", "term"))
     keep = terms_of.where("settled").select("lang", "term").distinct().unionByName(held)
-    counts = (uses.where(F.col("doc").isNull()).join(terms_of, ["lang", "chunk"]).groupBy("lang", "source", "term")
+    # a (lang, chunk) has its own few terms, so the terms hash evenly and neither side needs a sort
+    counts = (uses.where(F.col("doc").isNull()).join(terms_of.hint("shuffle_hash"), ["lang", "chunk"]).groupBy("lang", "source", "term")
               .agg(F.sum(F.col("n") * F.col("k")).alias("count")))
     counts = written(counts.join(keep, ["lang", "term"]), "term-counts")
     kept = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
