@@ -51,6 +51,8 @@ PRIME = (1 << 31) - 1
 #: Steps of the counter: per replicate, and per (class, binary digit).
 STEP_REPLICATE, STEP_DIGIT = 1_103_515_245, 1_140_671_485
 SUMS = ("p", "q", "tp", "fp", "se", "u")
+#: Cells drawn at a time for 64 replicates, so that the arrays of one draw stay in a core's cache.
+SLICE = 256
 #: Children of a node of the tree, and its levels above the blocks.
 FAN, LEVELS = 256, 3
 
@@ -68,32 +70,66 @@ def poisson_thresholds(mean: int) -> np.ndarray:
     return np.append(first, np.ceil(np.cumsum(mass / mass.sum()) * PRIME).astype(np.int64))
 
 
-def _mod(x: np.ndarray) -> np.ndarray:
-    x = (x & PRIME) + (x >> 31)
-    x = (x & PRIME) + (x >> 31)
-    return np.where(x >= PRIME, x - PRIME, x)
+def _fold31(x: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """In place: a smaller number that is the same modulo PRIME; ``low`` is scratch."""
+    np.bitwise_and(x, PRIME, out=low)
+    np.right_shift(x, 31, out=x)
+    return np.add(x, low, out=x)
 
 
-def _fifth(x: np.ndarray) -> np.ndarray:
-    square = _mod(x * x)
-    return _mod(_mod(square * square) * x)
+def _fifth(x: np.ndarray, square: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """In place: x ** 5 modulo PRIME, at most 2 ** 32 + 8.  Given x up to 2 ** 31 no product reaches 2 ** 64."""
+    np.multiply(x, x, out=square)
+    _fold31(square, low)
+    np.multiply(square, square, out=square)
+    _fold31(_fold31(square, low), low)
+    np.multiply(x, square, out=x)
+    return _fold31(x, low)
 
 
 def draws(keys: np.ndarray, digit: int, replicates: np.ndarray) -> np.ndarray:
     """One number below PRIME per (key, replicate); ``keys`` are rows of three 28-bit numbers."""
-    a, b, c = (keys[:, i, None] for i in range(3))
-    x = _mod(a + (replicates + 1) * STEP_REPLICATE % PRIME + (digit + 1) * STEP_DIGIT % PRIME)
-    return _mod(_fifth(_mod(_fifth(x) + b)) + c)
+    a, b, c = (keys[:, i, None].astype(np.uint64) for i in range(3))
+    step = (replicates + 1) * STEP_REPLICATE % PRIME + (digit + 1) * STEP_DIGIT % PRIME
+    x = a + (step % PRIME).astype(np.uint64)
+    square, low = np.empty_like(x), np.empty_like(x)
+    _fifth(_fold31(x, low), square, low)
+    x += b
+    _fifth(_fold31(x, low), square, low)
+    x += c
+    _fold31(x, low)
+    # at most 2 ** 31 by now; where x is below PRIME the difference wraps round to a huge number
+    np.subtract(x, PRIME, out=low)
+    return np.minimum(x, low, out=x).view(np.int64)
+
+
+#: Draws are looked up by their upper bits first: one cell of the table for 2 ** SHIFT draws.
+SHIFT = 15
+
+
+def poisson_lookup(mean: int) -> tuple[np.ndarray, np.ndarray]:
+    """Thresholds of Poisson(mean), and the weight of each cell's draws, -1 for a cell that a threshold divides."""
+    thresholds = poisson_thresholds(mean)
+    first = np.arange(1 << (31 - SHIFT), dtype=np.int64) << SHIFT
+    weight = np.searchsorted(thresholds, first, "right")
+    last = np.searchsorted(thresholds, first + ((1 << SHIFT) - 1), "right")
+    return thresholds, np.where(weight == last, weight, -1).astype(float)
 
 
 def _weights(keys: np.ndarray, count: np.ndarray, cls: int, replicates: np.ndarray, tables: dict) -> np.ndarray:
     out = np.zeros((len(count), len(replicates)))
     for k in range(int(count.max()).bit_length() if len(count) else 0):
         has = np.flatnonzero(count >> k & 1)
-        if len(has):
-            if k not in tables:
-                tables[k] = poisson_thresholds(1 << k)
-            out[has] += np.searchsorted(tables[k], draws(keys[has], 64 * cls + k, replicates), "right")
+        if len(has) and k not in tables:
+            tables[k] = poisson_lookup(1 << k)
+        for lo in range(0, len(has), SLICE):
+            at = has[lo:lo + SLICE]
+            x = draws(keys[at], 64 * cls + k, replicates)
+            thresholds, weight = tables[k]
+            w = weight[x >> SHIFT]
+            rest = np.nonzero(w < 0)
+            w[rest] = np.searchsorted(thresholds, x[rest], "right")
+            out[at] += w
     return out
 
 
