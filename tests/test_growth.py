@@ -2,8 +2,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from vigil.operators import bootstrap as bs
+from vigil.plans import catalog
 
 
 def test_draws_are_those_of_whole_numbers():
@@ -34,3 +36,19 @@ def test_weights_do_not_depend_on_slices(monkeypatch):
     whole = bs._weights(keys, count, 1, np.arange(8), {})
     monkeypatch.setattr(bs, "SLICE", 7)
     assert (bs._weights(keys, count, 1, np.arange(8), {}) == whole).all() and (whole[count == 0] == 0).all()
+
+
+def test_site_metrics_are_computed_once_for_all_files(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def once(v):
+        seen.add(1)
+        return v
+
+    rows = [(s, m, 0.5) for s in ("AFRICA", "ASIA", "EUROPE") for m in ("ROC AUC", "Brier Score Loss")]
+    t = spark.createDataFrame(rows, "site string, metric string, value double").withColumn("value", F.udf(once, "double").asNondeterministic()("value"))
+    t = t.withColumns({"ci_lower": F.lit(0.4), "ci_upper": F.lit(0.6)})
+    monkeypatch.setattr(catalog, "q_metrics_table", lambda *_: t)
+    got = {r.site: r for r in catalog.QUERIES["site_table_from_files"](spark, "unused").collect()}
+    assert len(got) == 3 and got["ASIA"].site_name == "Asia Region" and got["EUROPE"].auc_ci_upper == 0.6
+    assert seen.value == len(rows)

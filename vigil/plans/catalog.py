@@ -376,10 +376,10 @@ def q_metrics_table(spark, d):
 
 def _site_files(spark, d) -> str:
     """The metrics table as one CSV per site, as the sites would send them; every other site orders its columns its own way."""
-    from ..session import shared_path
+    from ..session import shared_path, written
     from ..sources import write_site_files
     path = shared_path(spark, "site-files")
-    t = q_metrics_table(spark, d)
+    t = written(q_metrics_table(spark, d), "site-metrics")  # both writes read it
     write_site_files(t, f"{path}/a", "site")
     write_site_files(t.where(F.substring("site", 1, 1) == "A").select("ci_upper", "metric", "site", "ci_lower", "value"), f"{path}/b", "site")
     return path
