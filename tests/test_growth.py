@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from vigil.operators import bootstrap as bs
+from vigil.operators import clinical as cl
 from vigil.plans import catalog
 
 
@@ -52,3 +53,53 @@ def test_site_metrics_are_computed_once_for_all_files(spark, monkeypatch):
     got = {r.site: r for r in catalog.QUERIES["site_table_from_files"](spark, "unused").collect()}
     assert len(got) == 3 and got["ASIA"].site_name == "Asia Region" and got["EUROPE"].auc_ci_upper == 0.6
     assert seen.value == len(rows)
+
+
+def _organ_inputs(spark, rng):
+    import datetime as dt
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    ids = [f"h{i}" for i in range(12)]
+    rows = {"vitals": [], "labs": [], "gcs": [], "meds": [], "resp": []}
+    for i in ids[:-1]:  # the last one has no rows
+        for _ in range(30):
+            t = at(rng.randrange(-5, 60))
+            rows["vitals"].append((i, t, rng.choice(["spo2", "map", "other"]), rng.choice([None, 55.0, 62.0, 88.0, 96.5, 97.0, 100.0, 20.0])))
+            rows["labs"].append((i, t, rng.choice(["creatinine", "bilirubin_total", "po2_arterial", "platelet_count", "x"]), rng.choice([None, -1.0, 0.5, 4.0, 60.0, 130.0, 900.0])))
+            rows["gcs"].append((i, t, rng.choice([None, 3, 9, 12, 15])))
+            rows["meds"].append((i, t, rng.choice(["dopamine", "epinephrine", "norepinephrine", "dobutamine", "x"]), rng.choice([None, 0.0, 0.05, 3.0, 20.0])))
+            rows["resp"].append((i, t, rng.choice([None, "IMV", "NIPPV", "Nasal Cannula", "Room Air", "x"]), rng.choice([None, "simv"]), rng.choice([None, 0.21, 0.5, 1.5]),
+                                 rng.choice([None, 0.0, 5.0, 30.0]), rng.choice([None, 5.0]), rng.choice([None, 400.0])))
+    rows["vitals"].append((None, at(1), "map", 40.0))
+    windows = [(i, at(0), at(24)) for i in ids] + [("h0", at(30), at(50)), (None, at(0), at(24))]
+    made = {"vitals": "vital_category string, vital_value double", "labs": "lab_category string, lab_value_numeric double", "gcs": "numerical_value int",
+            "meds": "med_category string, med_dose_converted double",
+            "resp": "device_category string, mode_category string, fio2_set double, lpm_set double, peep_set double, tidal_volume_set double"}
+    time = {"labs": "lab_order_dttm", "meds": "admin_dttm"}
+    frames = {k: spark.createDataFrame(v, f"hid string, {time.get(k, 'recorded_dttm')} timestamp_ntz, {made[k]}") for k, v in rows.items()}
+    return spark.createDataFrame(windows, "hid string, min_in_dttm timestamp_ntz, after_24hr timestamp_ntz"), frames, windows, rows
+
+
+def test_organ_score_takes_the_worst_inside_the_windows_in_one_join(spark):
+    w, frames, windows, rows = _organ_inputs(spark, random.Random(6))
+    s = cl.organ_score(w, id_col="hid", **frames)
+    got = [r.asDict() for r in s.collect()]
+    assert len(got) == len(windows)
+
+    def inside(kind):
+        return lambda i: [r[2:] for r in rows[kind] if i and r[0] == i and any(i == x[0] and x[1] <= r[1] <= x[2] for x in windows)]
+
+    ends = {"map_min": (inside("vitals"), "map", min, 30, 1e9), "spo2_min": (inside("vitals"), "spo2", min, 60, 1e9), "creatinine_max": (inside("labs"), "creatinine", max, 0, 20),
+            "platelet_count_min": (inside("labs"), "platelet_count", min, 0, 2000), "po2_arterial_min": (inside("labs"), "po2_arterial", min, 30, 700),
+            "dopamine": (inside("meds"), "dopamine", max, -1e9, 1e9), "dobutamine": (inside("meds"), "dobutamine", max, -1e9, 1e9)}
+    for r in got:
+        for name, (of, cat, worst, lo, hi) in ends.items():
+            assert r[name] == worst((v for c, v in of(r["hid"]) if c == cat and v is not None and lo <= v <= hi), default=None), (r["hid"], name)
+        assert r["min_gcs_score"] == min((v for v, in inside("gcs")(r["hid"]) if v is not None), default=None)
+    assert sum(r["sofa_97_24hr"] for r in got) > 0 and {r["resp_support_max"] for r in got} >= {"Vent", None}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = cl.organ_score(w, id_col="hid", **frames)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 2, "values meet the windows once, and the windows their worst values once"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, pao2_from_spo2, first_nonblank
 from ..session import written
 from .ordered import quantile_columns
-from .reshape import densify, worst_values
+from .reshape import densify
 from .temporal import first_per_key, window_join
 
 IQR = {"median": 0.5, "q25": 0.25, "q75": 0.75}
@@ -211,38 +211,53 @@ def organ_score(windows: DataFrame, *, id_col: str, vitals: DataFrame, resp: Dat
     components and their sum.  Inputs (long): vitals (id, recorded_dttm, vital_category,
     vital_value); resp (settings columns); labs (id, lab_order_dttm, lab_category,
     lab_value_numeric); gcs (id, recorded_dttm, numerical_value); meds (id, admin_dttm,
-    med_category, med_dose_converted).  Every part is a per-id aggregate and the parts are
-    left-joined on the id."""
+    med_category, med_dose_converted).  The inputs are narrowed to (id, time, code, value), plausible values only, and
+    meet the windows in one join; the worst of every code is one aggregate over the join's own partitions, so a value is
+    shuffled once and the windows twice, whatever the number of inputs."""
     w = windows.select(id_col, lo, hi)
-    # vitals: plausible spo2 / map; per time the worst (min), imputed PaO2 per time
-    v = window_join(w, vitals.where(((F.col("vital_category") == "spo2") & (F.col("vital_value") >= 60))
-                                    | ((F.col("vital_category") == "map") & (F.col("vital_value") >= 30))),
-                    id_col=id_col, t="recorded_dttm", lo=lo, hi=hi)
-    per_t = v.groupBy(id_col, "recorded_dttm").agg(
-        F.min(F.when(F.col("vital_category") == "spo2", F.col("vital_value"))).alias("spo2"),
-        F.min(F.when(F.col("vital_category") == "map", F.col("vital_value"))).alias("map"))
-    vit = per_t.groupBy(id_col).agg(F.min(pao2_from_spo2("spo2")).alias("pao2_imputed_min"),
-                                    F.min("spo2").alias("spo2_min"), F.min("map").alias("map_min"))
-    # respiratory support: impute device and FiO2, rank devices, worst per id
-    r = window_join(w, clean_fio2(resp), id_col=id_col, t="recorded_dttm", lo=lo, hi=hi)
-    r = r.withColumn("device_category", impute_device()).withColumn("fio2_combined", impute_fio2())
-    rs = (r.groupBy(id_col).agg(F.min(device_rank("device_category")).alias("_rank"),
-                                F.max("fio2_combined").alias("fio2_max"))
-          .withColumn("resp_support_max", rank_device("_rank")).drop("_rank"))
-    # labs: plausible ranges, worst per category
-    lab = window_join(w, labs, id_col=id_col, t="lab_order_dttm", lo=lo, hi=hi)
-    lb = worst_values(lab, id_col=id_col, t="lab_order_dttm", cat="lab_category", value="lab_value_numeric",
-                      worst_max=fixed.LABS_WORST_IS_MAX, worst_min=fixed.LABS_WORST_IS_MIN,
-                      ranges=fixed.LAB_RANGES)
-    g = (window_join(w, gcs.where(F.col("numerical_value").isNotNull()), id_col=id_col, t="recorded_dttm",
-                     lo=lo, hi=hi).groupBy(id_col).agg(F.min("numerical_value").alias("min_gcs_score")))
     drugs = ["dopamine", "epinephrine", "norepinephrine", "dobutamine"]
-    md = (window_join(w, meds, id_col=id_col, t="admin_dttm", lo=lo, hi=hi)
-          .groupBy(id_col).agg(*[F.max(F.when(F.col("med_category") == d, F.col("med_dose_converted"))).alias(d)
-                                 for d in drugs]))
-    x = w.select(id_col)
-    for part in (rs, vit, lb, g, md):
-        x = x.join(part, id_col, "left")
+    labs_of = [*fixed.LABS_WORST_IS_MAX, *fixed.LABS_WORST_IS_MIN]
+    codes = ["spo2", "map", *labs_of, "gcs", *drugs, "device", "fio2"]
+    code_of = {c: F.lit(i).cast("byte") for i, c in enumerate(codes)}
+
+    def narrow(df: DataFrame, t: str, code: Column, value: str) -> DataFrame:
+        x = df.select(F.col(id_col), F.col(t).alias("_t"), code.alias("_code"), F.col(value).cast("double").alias("_v"))
+        return x.where(F.col("_code").isNotNull() & F.col("_v").isNotNull())
+
+    def by_category(cat: str, names) -> Column:
+        return F.coalesce(*[F.when(F.col(cat) == c, code_of[c]) for c in names])
+
+    def plausible(cat: str, value: str, ranges: dict) -> Column:
+        return F.coalesce(*[F.when((F.col(cat) == c) & F.col(value).between(*ranges[c]), code_of[c]) for c in ranges])
+
+    # respiratory support: impute device and FiO2, rank devices, worst per id
+    r = clean_fio2(resp).withColumn("device_category", impute_device())
+    r = r.select(id_col, "recorded_dttm", device_rank("device_category").cast("double").alias("device"), impute_fio2().alias("fio2"))
+    v = vitals.where(((F.col("vital_category") == "spo2") & (F.col("vital_value") >= 60))
+                     | ((F.col("vital_category") == "map") & (F.col("vital_value") >= 30)))
+    rows = [narrow(v, "recorded_dttm", by_category("vital_category", ["spo2", "map"]), "vital_value"),
+            narrow(labs, "lab_order_dttm", plausible("lab_category", "lab_value_numeric", {c: fixed.LAB_RANGES[c] for c in labs_of}), "lab_value_numeric"),
+            narrow(gcs, "recorded_dttm", code_of["gcs"], "numerical_value"),
+            narrow(meds, "admin_dttm", by_category("med_category", drugs), "med_dose_converted"),
+            narrow(r.unpivot([id_col, "recorded_dttm"], ["device", "fio2"], "kind", "value"), "recorded_dttm",
+                   by_category("kind", ["device", "fio2"]), "value")]
+    long = rows[0]
+    for other in rows[1:]:
+        long = long.unionByName(other)
+    inside = window_join(w, long, id_col=id_col, t="_t", lo=lo, hi=hi)
+
+    def worst(agg, code: str) -> Column:
+        return agg(F.when(F.col("_code") == code_of[code], F.col("_v")))
+
+    # the worst over time of each time's worst is the worst of all
+    worsts = inside.groupBy(id_col).agg(
+        worst(F.min, "spo2").alias("spo2_min"), worst(F.min, "map").alias("map_min"),
+        worst(F.min, "device").cast("int").alias("_rank"), worst(F.max, "fio2").alias("fio2_max"),
+        *[worst(F.max, c).alias(f"{c}_max") for c in fixed.LABS_WORST_IS_MAX], *[worst(F.min, c).alias(f"{c}_min") for c in fixed.LABS_WORST_IS_MIN],
+        worst(F.min, "gcs").alias("min_gcs_score"), *[worst(F.max, d).alias(d) for d in drugs])
+    x = w.select(id_col).join(worsts, id_col, "left").withColumn("resp_support_max", rank_device("_rank")).drop("_rank")
+    # imputed PaO2 rises with SpO2 up to its cut, so the lowest is that of the lowest SpO2
+    x = x.withColumn("pao2_imputed_min", pao2_from_spo2("spo2_min"))
     x = x.withColumns({
         "p_f": F.try_divide(F.col("po2_arterial_min"), F.col("fio2_max")),
         "p_f_imputed": F.try_divide(F.col("pao2_imputed_min"), F.col("fio2_max")),
