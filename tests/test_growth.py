@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators import bootstrap as bs
 from vigil.operators import clinical as cl
+from vigil.operators import profile as pf
 from vigil.plans import catalog
 
 
@@ -55,6 +56,27 @@ def test_site_metrics_are_computed_once_for_all_files(spark, monkeypatch):
     assert seen.value == len(rows)
 
 
+def _counted(values, bins):
+    known = [v for v in values if v is not None]
+    lo, step = min(known), (max(known) - min(known)) / float(bins)
+    n = {}
+    for v in known:
+        b = sum(k * step + lo <= v for k in range(1, bins))
+        n[b, b * step + lo] = n.get((b, b * step + lo), 0) + 1
+    return n
+
+
+def test_histogram_places_every_value_as_all_edges_do(spark):
+    rng = random.Random(5)
+    cols = {"a": [rng.random() for _ in range(200)], "b": [1e16 + rng.randrange(9) for _ in range(200)], "c": [3.5] * 200,
+            "d": [None if i % 3 else float(i % 10) / 10 for i in range(200)], "e": [None] * 200}
+    df = spark.createDataFrame([*zip(*cols.values())], ", ".join(f"{c} double" for c in cols))
+    h = pf.histogram(df, list(cols), bins=30)
+    got = {c: {(r.bin, r.bin_lower): r.n for r in h.where(F.col("feature") == c).collect()} for c in cols}
+    assert got == {c: _counted(v, 30) if c != "e" else {} for c, v in cols.items()}
+    assert "lambda" not in h._jdf.queryExecution().executedPlan().toString(), "edges are walked one by one for each value"
+
+
 def _organ_inputs(spark, rng):
     import datetime as dt
     at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)

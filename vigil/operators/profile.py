@@ -52,18 +52,26 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 30) -> DataFrame:
     ``min + k * (max - min) / bins``), left-closed, the last bin closed on the right;
     only the counts (rows ``feature, bin, bin_lower, n``)."""
     num = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    # all smallest and largest values are one row; rows meet it as a scalar and are counted where they lie
+    # all smallest values and widths are one row; rows meet it as a scalar and are counted where they lie
     ends = num.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(cols) for f, n in ((F.min, "_mn"), (F.max, "_mx"))])
-
-    def place(i: int, c: str) -> F.Column:
-        lo, step = F.col(f"_mn{i}"), (F.col(f"_mx{i}") - F.col(f"_mn{i}")) / float(bins)
-        edges = F.array(*[F.lit(float(k)) for k in range(1, bins)])
-        b = F.size(F.filter(edges, lambda k: k * step + lo <= F.col(c)))
-        return F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("feature"), b.alias("bin"), (b.cast("double") * step + lo).alias("bin_lower")))
-
-    at = F.array(*[place(i, c) for i, c in enumerate(cols)])
-    x = num.crossJoin(F.broadcast(ends)).select(F.explode(at).alias("x")).where("x is not null").select("x.*")
-    return x.groupBy("feature", "bin", "bin_lower").agg(F.count(F.lit(1)).alias("n")).select("feature", "bin", "n", "bin_lower")
+    ends = ends.select(*[x for i in range(len(cols)) for x in (F.col(f"_mn{i}"), ((F.col(f"_mx{i}") - F.col(f"_mn{i}")) / float(bins)).alias(f"_step{i}"))])
+
+    def place(first: int, last: int) -> F.Column:
+        """Number of edges that are not above the value: the edges rise, so each comparison halves them."""
+        if first == last:
+            return F.lit(first)
+        k = (first + last + 1) // 2
+        return F.when(F.lit(float(k)) * F.col("step") + F.col("lo") <= F.col("v"), place(k, last)).otherwise(place(first, k - 1))
+
+    long = num.crossJoin(F.broadcast(ends)).select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.col(c).alias("v"), F.col(f"_mn{i}").alias("lo"), F.col(f"_step{i}").alias("step")) for i, c in enumerate(cols)])))
+    # rows are counted by one integer that holds feature and bin; names and edges are added to the counts
+    n = (long.where(F.col("v").isNotNull()).select((F.col("i") * bins + place(0, bins - 1)).alias("at"))
+         .groupBy("at").agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(ends)))
+    i, b = F.floor(F.col("at") / bins).cast("int"), F.col("at") % bins
+    of = lambda x: F.get(F.array(*[F.col(f"{x}{j}") for j in range(len(cols))]), i)
+    return n.select(F.get(F.array(*map(F.lit, cols)), i).alias("feature"), b.alias("bin"), "n",
+                    (b.cast("double") * of("_step") + of("_mn")).alias("bin_lower"))
 
 
 def table1(df: DataFrame, *, continuous: Sequence[str], categorical: Sequence[str]) -> DataFrame:
