@@ -125,3 +125,11 @@ def test_organ_score_takes_the_worst_inside_the_windows_in_one_join(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("SortMergeJoin") == 2, "values meet the windows once, and the windows their worst values once"
+
+
+def test_model_rows_are_joined_once(spark, monkeypatch):
+    fits = []
+    monkeypatch.setattr(catalog.mdl, "train", lambda df, features: fits.append(df))
+    catalog._fit(spark, "/root/testdata/sf0.001")
+    plan = fits[0]._jdf.queryExecution().executedPlan().toString()
+    assert all("/model-frame-" in f for f in fits[0].inputFiles()) and "Join" not in plan and "Exchange" not in plan

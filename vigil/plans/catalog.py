@@ -417,8 +417,10 @@ def _model_frame(spark, d):
 
 
 def _fit(spark, d):
-    """(model fitted on the other years, rows of the test years)."""
-    df = _model_frame(spark, d)
+    """(model fitted on the other years, rows of the test years).  Fitting reads its rows several times (medians, labels,
+    splits, tree points), so the joined frame is written once, which also deals the rows to as many tasks as there are cores."""
+    from ..session import written
+    df = written(_model_frame(spark, d), "model-frame")
     test = F.col("year").isin(1998, 1999)
     return mdl.train(df.where(~test), MODEL_FEATURES), df.where(test)
 
