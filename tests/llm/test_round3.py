@@ -221,3 +221,10 @@ def test_alignment_odd_rows(spark):
     got = al.align(df, BYTE_BPE, VOCABULARY).collect()
     assert sorted((r.doc_id or "", r.n_a, r.n_links, r.count_sum) for r in got) == [("", 2, 2, 4)] * 2 + [("1", 0, 0, 0)]
     assert al.align(df.limit(0), BYTE_BPE, VOCABULARY).count() == 0
+
+
+def test_license_scan_takes_the_words_of_a_text_once(spark):
+    df = spark.createDataFrame([(1, "Released under the MIT License, really"), (2, None), (3, "no such words")], "doc_id long, text string")
+    got = lic.scan(df)
+    assert [(r.doc_id, r.n_words, r.base_labels, r.labels) for r in got.orderBy("doc_id").collect()] == [(1, 6, ["mit"], ["mit"]), (2, 0, [], []), (3, 3, [], [])]
+    assert "regexp" not in got._jdf.queryExecution().optimizedPlan().toString()
