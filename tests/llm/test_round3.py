@@ -134,6 +134,40 @@ def test_divergence_odd_rows(spark):
     assert {(r.source, r.part, r.item, r.value) for r in dv.divergence(two, min_docs=30).collect()} == {("s", "pair", "t", 0), ("t", "pair", "s", 0)}
 
 
+def test_divergence_reads_the_texts_in_one_pass(spark, monkeypatch):
+    sizes, keep = {}, dv.written
+
+    def counted(df, label):
+        out = keep(df, label)
+        sizes[label] = out.count()
+        return out
+    monkeypatch.setattr(dv, "written", counted)
+    rows_ = [(i, f"of the {i}of; rare{'x' * i}\tÉ", "en", f"s{i % 3}") for i in range(60)] + [(60, None, "fr", "s0")]
+    got = {tuple(r) for r in dv.divergence(docs(spark, rows_), min_docs=30, top_terms=4).collect()}
+    assert got == divergence_brute(rows_, 30, 4)
+    # neither texts, chunks nor the documents of a chunk are written: of, the and É of three sources, and four groups
+    assert sizes == {"term-counts": 9 + 4, "sources": 4}
+
+
+@pytest.mark.parametrize("held, bits", [(1 << 19, 1 << 25), (2, 8), (2, 400)])
+def test_term_uses_equal_brute_force(spark, monkeypatch, held, bits):
+    monkeypatch.setattr(dv, "HELD_CHUNKS", held)
+    monkeypatch.setattr(dv, "BITS", bits)
+    texts = ["aa", "bb aa", "", None, " \n\t ", "  lead aa", "1", "1 2-3", "Aa.aa,AA aA1aa", "x\x00y\x7fz{Z}[é]", "É é\xa0e a\u2003b", "😀a 😀", "\x1caa\x85bb", "aa\x0b\x0cbb\r",
+             "w" * 5000 + " " * 300 + "w", "aa" * 3, "bb"]
+    rows_ = [(i, t, "en" if i % 5 else "", f"s{i % 2}") for i, t in enumerate(texts * 3)] + [(None, "aa", "en", "s1")] * 2
+    found = dv.term_uses(docs(spark, rows_).select("lang", "source", F.col("text").cast("binary")))
+    got = {(r.lang, r.source, bytes(r.term).decode() if r.term is not None else None): (r.n, r.docs)
+           for r in found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).collect()}
+    want = {(lang, source, None): (0, 0) for _, _, lang, source in rows_}
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for _, text, lang, source in rows_:
+        for t, n in Counter(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(low))).items():
+            old = want.get((lang, source, t), (0, 0))
+            want[lang, source, t] = (old[0] + n, old[1] + 1)
+    assert got == want
+
+
 # ---- op13 ---------------------------------------------------------------------------------
 
 @functools.cache

@@ -1,15 +1,12 @@
 """Source divergence audit: how far the sources of a language part in their word use, and by which terms.
 
 Chunk factorisation.  A term never holds white space, so a text's terms are those of its white-space chunks.
-The first pass counts, per language, the documents that hold each chunk, and each globally distinct chunk is tokenised once.
-With its terms joined back, a term is held by at least as many documents as its commonest chunk and by at most
-as many as all its chunks together.  Most terms are settled by that.  The second pass counts the occurrences of
-the chunks that can matter per (lang, source), and names the documents of those chunks whose terms are not
-settled; distinct documents of these are then counted.  Both passes count within a task before anything is
-shuffled, so a frequent chunk is one row per task; the documents are first dealt by ranges of (lang, source, hash of the text).
-
-What can matter reaches the second pass as a bitmap of ``BITS`` bits over chunk checksums, so its size does
-not grow; a false hit costs a row and is removed by the join on the chunk itself.
+The documents are dealt by ranges of (lang, source, hash of the text), so that a task counts for few groups and a hot
+source has many tasks.  A task cuts its texts into blocks; a block numbers its distinct chunks, each of these is
+tokenised once, and a text is read as its chunks' numbers.  One sort of (group, term, document) then gives a
+block's occurrences and documents of every term of a group.  A document lies in one block, so both add up over
+blocks and tasks, exactly; a task adds up its blocks before anything is shuffled, so a frequent term is one row per
+group and task.
 
 Probabilities are integers: p = 1 + floor(1e9 (count + 5) / (N + 5 V)) over the V terms that a language
 keeps, N the kept occurrences; the arithmetic is exact (decimals of 38 digits in Spark, 64-bit integers
@@ -24,8 +21,6 @@ terms has distances of 0 and no term rows; an empty table gives no rows; other c
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,151 +28,108 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import sent, written
+from .shared import written
+from .words import IS_SPACE, LOWER, slices
 
-#: Chunks that a task counts before it hands them on, and bits of the bitmap of chunks that matter.
+#: Rows that a task holds before it hands them on, and bits of text in a block (a longer text is a block of its own).
 HELD_CHUNKS, BITS = 1 << 19, 1 << 25
 #: Sources on one side of a tile of pairs, and kept terms (about) per task of the distances.
 TILE, TERMS_PER_TASK = 128, 2_000
 SCALE, ADDED = 1_000_000_000, 5
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Bytes of terms: A-Z, a-z and all of characters beyond ASCII.
+IS_TERM = np.ones(256, bool)
+IS_TERM[:65] = IS_TERM[91:97] = IS_TERM[123:128] = False
 BLANK = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, list[bytes]]]:
-    """(lang, source, chunks) of every row; chunks end at the six ASCII blanks, which no term holds."""
-    for batch in batches:
-        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            yield lang, source, (text.as_py() or b"").split()
-
-
-def _repeated(names: tuple, sizes: list) -> pa.Array:
-    return pa.array(names, pa.string()).take(pa.array(np.repeat(np.arange(len(names)), sizes)))
-
-
-def dealt(docs: DataFrame) -> DataFrame:
-    """(lang, source, text), written by ranges of (lang, source, hash of the text): a task then counts for few
-    groups, and a hot source has many tasks."""
-    return written(docs.repartitionByRange("lang", "source", F.xxhash64("text")), "dealt")
-
-
-def chunk_documents(docs: DataFrame) -> DataFrame:
-    """(lang, chunk, docs): documents per language that hold a chunk, counted within each task."""
-    def run(batches):
-        held: dict[str, Counter] = defaultdict(Counter)
-
-        def handed():
-            for lang, counts in held.items():
-                yield pa.record_batch([pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()),
-                                       pa.array(list(counts.values()), pa.int64())], ["lang", "chunk", "docs"])
-            held.clear()
-
-        for lang, _, chunks in _texts(batches):
-            held[lang].update(set(chunks))
-            if sum(map(len, held.values())) > HELD_CHUNKS:
-                yield from handed()
-        yield from handed()
-
-    return docs.mapInArrow(run, "lang string, chunk binary, docs long")
-
-
-def chunk_terms(counted: DataFrame) -> DataFrame:
-    """(lang, chunk, term, k, docs) of counted chunks (lang, chunk, docs): each distinct chunk is tokenised once,
-    its languages beside it as a list, so at most as long as the table has languages."""
-    found = F.regexp_extract_all(F.translate(F.col("chunk").cast("string"), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    # one exchange by chunk serves the counts, the distinct chunks and their terms
-    once = (counted.repartition("chunk").groupBy("chunk", "lang").agg(F.sum("docs").alias("docs"))
-            .groupBy("chunk").agg(F.collect_list(F.struct("lang", "docs")).alias("held")))
-    return (once.select("chunk", "held", F.explode(found).alias("term")).select("chunk", "term", F.inline("held"))
-            .groupBy("chunk", "lang", "term").agg(F.count(F.lit(1)).alias("k"), F.max("docs").alias("docs")))
-
-
-def chunks_that_matter(docs: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, chunk, term, k, docs, settled): the chunks of terms that ``min_docs`` documents of the language may hold."""
-    with_terms = written(chunk_terms(chunk_documents(docs)), "chunk-terms")
-    reach = (with_terms.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most"))
-             .where(F.col("most") >= min_docs).select("lang", "term", (F.col("least") >= min_docs).alias("settled")))
-    return with_terms.join(reach, ["lang", "term"])
-
-
-def _bitmap(matter: DataFrame) -> bytes:
-    """Bit ``crc32(chunk) mod BITS`` set for every chunk; at most BITS / 64 rows come to the driver."""
-    at = F.pmod(F.crc32("chunk"), F.lit(BITS))
-    words = (matter.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(at, F.lit(64)).cast("int"))).alias("bits"))
-             .toArrow())
-    out = np.zeros(BITS // 64, np.int64)
-    out[words.column("w").to_numpy()] = words.column("bits").to_numpy()
-    return out.tobytes()
-
-
-class _Marks(dict):
-    """Chunk -> 0 (of no account), 1 (counted) or 2 (its documents are named too), remembered in part."""
-
-    def __init__(self, counted: bytes, named: bytes):
-        super().__init__()
-        self.counted, self.named = counted, named
-
-    def __missing__(self, chunk: bytes) -> int:
-        at = zlib.crc32(chunk) % (len(self.counted) * 8)
-        byte, bit = at >> 3, 1 << (at & 7)
-        if len(self) > HELD_CHUNKS:
-            self.clear()
-        self[chunk] = mark = 0 if not self.counted[byte] & bit else 2 if self.named[byte] & bit else 1
-        return mark
-
-
-USES = ["lang", "source", "chunk", "n", "doc"]
-
-
-def chunk_uses(docs: DataFrame, matter: DataFrame) -> DataFrame:
-    """(lang, source, chunk, n, doc): occurrences ``n`` of each chunk that matters, counted within each task (``doc`` null),
-    and one row for each document ``doc`` that holds a chunk of an unsettled term (``n`` and ``source`` null)."""
-    bits = sent(docs.sparkSession, (_bitmap(matter), _bitmap(matter.where(~F.col("settled")))))
-    marks_of, repeated = _Marks, _repeated
-
-    def run(batches):
-        from pyspark import TaskContext
-        doc = TaskContext.get().partitionId() << 40
-        mark = marks_of(*bits())
-        held: dict[tuple, Counter] = defaultdict(Counter)
-        size = 0
-        names: list[bytes] = []
-        named: list[tuple] = []  # (lang, doc, how many of names)
-
-        def handed():
-            if held:
-                useful = [[c for c in counts if mark[c]] for counts in held.values()]
-                sizes = [len(u) for u in useful]
-                langs, sources = zip(*held)
-                yield pa.record_batch([repeated(langs, sizes), repeated(sources, sizes),
-                                       pa.array([c for u in useful for c in u], pa.binary()),
-                                       pa.array([counts[c] for counts, u in zip(held.values(), useful) for c in u], pa.int64()),
-                                       pa.nulls(sum(sizes), pa.int64())], USES)
-            if named:
-                langs, ids, sizes = zip(*named)
-                yield pa.record_batch([repeated(langs, sizes), pa.nulls(len(names), pa.string()), pa.array(names, pa.binary()),
-                                       pa.nulls(len(names), pa.int64()), pa.array(np.repeat(np.array(ids, np.int64), sizes))], USES)
-            held.clear()
-            names.clear()
-            named.clear()
-
-        for lang, source, chunks in _texts(batches):
-            doc += 1
-            counts = held[lang, source]
-            size -= len(counts)
-            counts.update(chunks)
-            size += len(counts)
-            own = [c for c in set(chunks) if mark[c] == 2]
-            if own:
-                names += own
-                named.append((lang, doc, len(own)))
-            if size + len(names) > HELD_CHUNKS:
-                yield from handed()
-                size = 0
-        yield from handed()
-
-    return docs.mapInArrow(run, "lang string, source string, chunk binary, n long, doc long")
+def _starts(inside: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where runs of ``inside`` start; a run ends at each of the ``bounds`` too."""
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    start[bounds] = inside[bounds]
+    return start
+
+
+def _numbered(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """A number for each of the byte strings that lie end to end in ``data``, and the distinct ones by number."""
+    values = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    values = values.dictionary_encode()
+    return values.indices.to_numpy(), values.dictionary
+
+
+def _chunk_terms(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Term numbers of the distinct chunks in turn, where each chunk's end, and the distinct terms by number."""
+    bounds = np.frombuffer(chunks.buffers()[1], np.int64)[:len(chunks) + 1]
+    data = np.frombuffer(chunks.buffers()[2], np.uint8)[:bounds[-1]]
+    inside = IS_TERM[data]
+    start = _starts(inside, bounds[:-1])
+    term, terms = _numbered(LOWER[data[inside]], np.append(np.flatnonzero(start[inside]), np.count_nonzero(inside)))
+    return term, np.searchsorted(np.flatnonzero(start), bounds[1:]), terms
+
+
+def _block(lang: pa.Array, source: pa.Array, data: np.ndarray, offsets: np.ndarray) -> pa.Table:
+    """A block's (lang, source, term, n, docs), and a row without term for each of its (lang, source)."""
+    lang, source = lang.dictionary_encode(), source.dictionary_encode()
+    many = max(len(source.dictionary), 1)
+    groups, group = np.unique(lang.indices.to_numpy().astype(np.int64) * many + source.indices.to_numpy(), return_inverse=True)
+    # a chunk is taken with the blanks behind it, so chunks lie end to end
+    at = np.flatnonzero(_starts(~IS_SPACE[data], offsets[:-1][offsets[:-1] < len(data)]))
+    n, docs, row_group, row_term, terms = (np.zeros(0, np.int64),) * 4 + (pa.array([], pa.large_binary()),)
+    if len(at):
+        chunk, chunks = _numbered(data[at[0]:], np.append(at, len(data)) - at[0])
+        term, end, terms = _chunk_terms(chunks)
+        size = np.diff(end, prepend=0)[chunk]
+        found = term[np.repeat(end[chunk] - np.cumsum(size), size) + np.arange(size.sum())]
+        doc = np.repeat(np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(at, offsets))), size)
+        bits, many_terms = len(offsets).bit_length(), max(len(terms), 1)
+        key = (group[doc] * many_terms + found) << bits | doc
+        key.sort()
+        fresh = np.diff(key, prepend=-1) != 0
+        key >>= bits
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        n, docs = np.diff(first, append=len(key)), np.diff(np.cumsum(fresh)[first], append=np.count_nonzero(fresh) + 1)
+        row_group, row_term = np.divmod(key[first], many_terms)
+    none = np.zeros(len(groups), np.int64)
+    of = groups[np.concatenate([row_group, np.arange(len(groups))])]
+    return pa.table({"lang": lang.dictionary.take(pa.array(of // many)), "source": source.dictionary.take(pa.array(of % many)),
+                     "term": pa.concat_arrays([terms.take(pa.array(row_term)).cast(pa.binary()), pa.nulls(len(groups), pa.binary())]),
+                     "n": np.concatenate([n, none]), "docs": np.concatenate([docs, none])})
+
+
+def _added(tables: list[pa.Table]) -> pa.Table:
+    sums = pa.concat_tables(tables).group_by(["lang", "source", "term"], use_threads=False).aggregate([("n", "sum"), ("docs", "sum")])
+    return sums.rename_columns(["lang", "source", "term", "n", "docs"])
+
+
+def term_uses(docs: DataFrame) -> DataFrame:
+    """(lang, source, term, n, docs): occurrences and documents of each term in a group, added up within each task;
+    every (lang, source) has a row without term too."""
+    most, block = HELD_CHUNKS, BITS // 8
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            for i, j, data, offsets in slices(batch.column(2), block):
+                held.append(_block(batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), data, offsets))
+                if sum(map(len, held)) > most:
+                    held = [_added(held)]
+                    if len(held[0]) > most // 2:
+                        yield from held.pop().to_batches()
+        if held:
+            yield from _added(held).to_batches()
+
+    dealt = docs.repartitionByRange("lang", "source", F.xxhash64("text"))
+    return dealt.mapInArrow(run, "lang string, source string, term binary, n long, docs long")
+
+
+def term_counts(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, source, term, count, lang_count) of the terms that ``min_docs`` documents of the language hold, and the rows without term."""
+    w = Window.partitionBy("lang", "term")
+    # one exchange serves the counts of a group and of its language
+    sums = term_uses(docs).repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("count"), F.sum("docs").alias("docs"))
+    return (sums.select("*", F.sum("count").over(w).alias("lang_count"), F.sum("docs").over(w).alias("lang_docs"))
+            .where(F.col("term").isNull() | (F.col("lang_docs") >= min_docs))
+            .select("lang", "source", F.col("term").cast("string").alias("term"), "count", "lang_count"))
 
 
 def _p(count: Column, total: Column, kept: Column) -> Column:
@@ -235,25 +187,14 @@ def divergence(docs: DataFrame, *, min_docs: int = 30, top_terms: int = 50, text
                source: str = "source") -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` has a source's distance to each other source of
     the language, part ``term`` the ``top_terms`` kept terms it uses most above the language."""
-    rows = dealt(docs.select(BLANK(lang).alias("lang"), BLANK(source).alias("source"), F.col(f"`{text}`").cast("binary").alias("text")))
-    matter = written(chunks_that_matter(rows, min_docs), "chunks")
-    uses = written(chunk_uses(rows, matter), "chunk-uses")
-    terms_of = matter.select("lang", "chunk", "term", "k", "settled")
-    held = (uses.where(F.col("doc").isNotNull()).join(terms_of.where(~F.col("settled")), ["lang", "chunk"])
-            .select("lang", "term", "doc").distinct().groupBy("lang", "term").agg(F.count(F.lit(1)).alias("docs"))
-            .where(F.col("docs") >= min_docs).select("lang", "term"))
-    keep = terms_of.where("settled").select("lang", "term").distinct().unionByName(held)
-    # a (lang, chunk) has its own few terms, so the terms hash evenly and neither side needs a sort
-    counts = (uses.where(F.col("doc").isNull()).join(terms_of.hint("shuffle_hash"), ["lang", "chunk"]).groupBy("lang", "source", "term")
-              .agg(F.sum(F.col("n") * F.col("k")).alias("count")))
-    counts = written(counts.join(keep, ["lang", "term"]), "term-counts")
-    kept = counts.groupBy("lang", "term").agg(F.sum("count").alias("lang_count"))
-    of_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("V"), F.sum("lang_count").alias("lang_N"))
-    used = counts.join(kept, ["lang", "term"])
-    of_source = counts.groupBy("lang", "source").agg(F.sum("count").alias("N"))
+    rows = docs.select(BLANK(lang).alias("lang"), BLANK(source).alias("source"), F.make_valid_utf8(F.col(f"`{text}`").cast("string")).cast("binary").alias("text"))
+    counted = written(term_counts(rows, min_docs), "term-counts")
+    used = counted.where(F.col("term").isNotNull())
+    of_lang = used.groupBy("lang").agg(F.countDistinct("term").alias("V"), F.sum("count").alias("lang_N"))
+    of_source = used.groupBy("lang", "source").agg(F.sum("count").alias("N"))
     # one row per (lang, source), numbered within the language for the tiles
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
-    groups = (rows.select("lang", "source").distinct()
+    groups = (counted.where(F.col("term").isNull()).select("lang", "source")
               .join(of_source, ["lang", "source"], "left").join(of_lang, "lang", "left")
               .select("lang", "source", zero("N"), zero("V"), zero("lang_N")))
     w = Window.partitionBy("lang")
