@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_path
+from . import boosting
 
 
 def feature_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -35,8 +36,12 @@ def gbt_pipeline(features: Sequence[str], *, label: str = "label", trees: int =
 
 
 def train(df: DataFrame, features: Sequence[str], **kw) -> PipelineModel:
-    """MOD-2: fit on the training rows (an action: model fitting)."""
-    return gbt_pipeline(features, **kw).fit(feature_matrix(df, features))
+    """MOD-2: fit on the training rows (an action: model fitting).  The model of ``gbt_pipeline(...).fit``, its trees
+    grown over blocks of binned rows (``boosting``)."""
+    imp, asm, gbt = gbt_pipeline(features, **kw).getStages()
+    rows = feature_matrix(df, features)
+    filled = imp.fit(rows)
+    return PipelineModel([filled, asm, boosting.fitted(filled.transform(rows), gbt, asm.getInputCols())])
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str = "pred_proba") -> DataFrame:
