@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from vigil.operators import boosting as bo
@@ -33,7 +34,6 @@ def test_trees_are_those_of_sparks_learner_without_its_pass_over_row_objects(spa
     got = mdl.train(df, FEATURES, trees=12, depth=6)
     assert _nodes(spark, got, tmp_path / "got") == _nodes(spark, own, tmp_path / "own")
     assert got.stages[-1].featureImportances == own.stages[-1].featureImportances
-    assert mdl.score(got, df, FEATURES).collect() == mdl.score(own, df, FEATURES).collect()
 
 
 def test_thresholds_come_from_sparks_sample(spark):
@@ -84,3 +84,25 @@ def test_constant_columns_and_bad_labels(spark):
     for bad in (2, None):
         with pytest.raises(Exception, match="Labels must be in"):
             mdl.train(df.union(spark.createDataFrame([(bad, 1.0)], df.schema)), ["a"], trees=2, depth=3)
+
+
+def test_scores_are_those_of_the_model_and_walk_whole_batches(spark):
+    df = _rows(spark, 500, seed=5)
+    model = mdl.train(df, FEATURES, trees=4, depth=5)
+    want = [r[0] for r in model.transform(mdl.feature_matrix(df, FEATURES)).select(vector_to_array("probability")[1]).collect()]
+    odd = df.union(spark.createDataFrame([(None, None, float("nan"), float("inf"), -0.0, None)], df.schema))
+    got = mdl.score(model, odd, FEATURES)
+    assert got.columns == [*df.columns, "pred_proba"]
+    rows = got.collect()
+    assert [r.pred_proba for r in rows[:-1]] == pytest.approx(want, abs=1e-12) and len({round(x, 6) for x in want}) > 50
+    (last,) = model.transform(mdl.feature_matrix(odd, FEATURES)).where("label is null").select(vector_to_array("probability")[1]).collect()
+    assert rows[-1].pred_proba == pytest.approx(last[0], abs=1e-12)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "probability" not in plan, "no vector per row is built"
+
+
+def test_scores_of_a_model_without_splits(spark):
+    df = spark.createDataFrame([(1, 2.0), (0, 2.0), (1, 2.0)], "label int, a double")
+    model = mdl.train(df, ["a"], trees=2, depth=3)
+    want = [r[0] for r in model.transform(mdl.feature_matrix(df, ["a"])).select(vector_to_array("probability")[1]).collect()]
+    assert [r.pred_proba for r in mdl.score(model, df, ["a"]).collect()] == pytest.approx(want, abs=1e-12)

@@ -20,10 +20,11 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shared_path
@@ -154,7 +155,7 @@ class Walk:
             return np.zeros(n, np.intp)
         node = self.next[:self.bins].take(bins[self.column[0]])
         start, rows, flat = self.column * n, np.arange(n), bins.ravel()
-        at, bin_ = np.empty(n, np.intp), np.empty(n, np.uint8)
+        at, bin_ = np.empty(n, np.intp), np.empty(n, bins.dtype)
         for _ in range(self.depth - 1):
             np.take(start, node, out=at, mode="clip")
             np.add(at, rows, out=at)
@@ -416,3 +417,47 @@ def fitted(df: DataFrame, stage: GBTClassifier, columns: Sequence[str]) -> GBTCl
     spark.createDataFrame(pa.table({"treeID": pa.array([t for t, _ in rows], pa.int32()), "nodeData": pa.array([x for _, x in rows], NODE)})
                           ).coalesce(1).write.parquet(f"{path}/data")
     return GBTClassificationModel.load(path)
+
+
+def saved_nodes(model: GBTClassificationModel) -> DataFrame:
+    """The model's own node table (treeID, nodeData), written to the shared folder and read back as rows."""
+    spark = SparkSession.getActiveSession()
+    path = shared_path(spark, "trees")
+    model.save(path)
+    return spark.read.parquet(f"{path}/data")
+
+
+def probability(model: GBTClassificationModel, columns: Sequence[str]):
+    """Column: the model's probability of class 1, from ``columns`` as its features (no categories).  Whole batches walk
+    down the trees by the bins of the model's own thresholds."""
+    # the model's size bounds these rows, not the scored table's
+    nodes = saved_nodes(model).select("treeID", "nodeData.*").select(
+        "treeID", "id", "prediction", "leftChild", "rightChild", F.col("split.featureIndex").alias("feature"),
+        F.get("split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold")).toPandas().sort_values(["treeID", "id"])
+    inner = nodes[nodes.leftChild >= 0]
+    used = sorted(set(inner.feature)) or [0]
+    cuts = [np.unique(inner.threshold[inner.feature == f]) for f in used]
+    bins, trees = max(map(len, cuts)) + 1, []
+    for (_, x), weight in zip(nodes.groupby("treeID"), model.treeWeights):
+        at, leaf = x.id.to_numpy(), x.leftChild.to_numpy() < 0
+        column = np.where(leaf, 0, np.searchsorted(used, x.feature))
+        cut = np.array([0 if end else np.searchsorted(cuts[c], v) for end, c, v in zip(leaf, column, x.threshold)])
+        trees.append((column, cut, np.where(leaf, at, x.leftChild), np.where(leaf, at, x.rightChild), x.prediction.to_numpy() * weight))
+    depth = [t.depth for t in model.trees]
+    return F.pandas_udf(_scorer(trees, depth, cuts, bins), "double")(F.struct(*[F.col(columns[f]).alias(f"x{k}") for k, f in enumerate(used)]))
+
+
+def _scorer(trees, depth, cuts, bins):
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        walks = []
+        for (column, cut, left, right, _), deep in zip(trees, depth):
+            low = np.arange(bins) <= cut[:, None]
+            walks.append(Walk((column, np.where(low, left[:, None], right[:, None])), deep))
+        for b in batches:
+            at = np.stack([np.searchsorted(c, b[f"x{k}"].to_numpy()) for k, c in enumerate(cuts)]).astype(np.uint16)
+            margin = np.zeros(len(b))
+            for walk, (*_, value) in zip(walks, trees):
+                margin += value.take(walk(at))
+            with np.errstate(over="ignore"):
+                yield pd.Series(1.0 - 1.0 / (1.0 + np.exp(2.0 * margin)))
+    return scores

@@ -11,11 +11,9 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shared_path
 from . import boosting
 
 
@@ -45,10 +43,11 @@ def train(df: DataFrame, features: Sequence[str], **kw) -> PipelineModel:
 
 
 def score(model: PipelineModel, df: DataFrame, features: Sequence[str], out: str = "pred_proba") -> DataFrame:
-    """MOD-3: probability of the positive class."""
-    p = model.transform(feature_matrix(df, features))
-    return p.withColumn(out, vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability", "prediction",
+    """MOD-3: probability of the positive class, that of ``model.transform`` (``boosting.probability`` walks whole batches
+    down the trees)."""
+    filled, asm, gbt = model.stages
+    p = filled.transform(feature_matrix(df, features))
+    return p.withColumn(out, boosting.probability(gbt, asm.getInputCols())).drop(
         *[f"{c}_imp" for c in features], *[f"{c}_missing" for c in features])
 
 
@@ -67,11 +66,7 @@ def importance(model: PipelineModel, features: Sequence[str], top: int = 20) ->
 def tree_nodes(model: PipelineModel) -> DataFrame:
     """(tree, node, feature_no, gain) of every inner node of the fitted trees: the model's own node table,
     written to the shared folder and read back as rows."""
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    path = shared_path(s, "trees")
-    model.stages[-1].save(path)
-    nodes = s.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
+    nodes = boosting.saved_nodes(model.stages[-1]).select(F.col("treeID").alias("tree"), "nodeData.*")
     return nodes.where(F.col("leftChild") >= 0).select(
         "tree", F.col("id").alias("node"), F.col("split.featureIndex").alias("feature_no"), "gain")
 
