@@ -43,6 +43,17 @@ def test_thresholds_come_from_sparks_sample(spark):
     assert got.stages[-1].toDebugString.splitlines()[1:] == own.stages[-1].toDebugString.splitlines()[1:]
 
 
+def test_equal_thresholds_between_adjacent_doubles(spark):
+    rng = random.Random(11)
+    near = [0.07, 0.07000000000000002, 0.06999999999999999, 0.07000000000000003, 0.07000000000000001, 0.02, 0.05]
+    rows = [(int(rng.random() < 0.3 + 0.05 * k), near[k], rng.random()) for k in (rng.randrange(7) for _ in range(600))]
+    df = spark.createDataFrame(rows, "label int, a double, b double").coalesce(1)
+    assert len(set(t := bo.thresholds(np.array([r[1] for r in rows]), 600, 32))) < len(t)
+    own = mdl.gbt_pipeline(["a", "b"], trees=4, depth=6).fit(mdl.feature_matrix(df, ["a", "b"]))
+    got = mdl.train(df, ["a", "b"], trees=4, depth=6)
+    assert got.stages[-1].toDebugString.splitlines()[1:] == own.stages[-1].toDebugString.splitlines()[1:]
+
+
 def test_blocks_in_many_partitions_and_derived_sums_give_the_same_splits(spark, monkeypatch):
     df = _rows(spark, 3_000, seed=9).na.fill(0.3)  # Spark's medians depend on the partitions
     shape = lambda m: [x.split("Predict")[0] for x in m.stages[-1].toDebugString.splitlines()[1:]]

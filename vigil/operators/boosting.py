@@ -73,6 +73,21 @@ def sampled(df: DataFrame, columns: Sequence[str], n: int, max_bins: int, seed:
     return rows.toPandas().to_numpy(dtype=float)
 
 
+def bin_of(values: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Bins as Spark finds them.  Midpoints of adjacent doubles may be equal; a value that is one of several equal thresholds gets the
+    bin of the one that the JVM's binary search meets first."""
+    at = np.searchsorted(cut, values)
+    if len(cut) and (cut[1:] == cut[:-1]).any():
+        met = np.arange(len(cut) + 1)
+        for k, v in enumerate(cut):
+            low, high = 0, len(cut) - 1
+            while cut[mid := (low + high) // 2] != v:
+                low, high = (mid + 1, high) if cut[mid] < v else (low, mid - 1)
+            met[k] = mid
+        at = np.where(np.append(cut, np.nan)[at] == values, met[at], at)
+    return at
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], columns: list[str], cuts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """(bins by column, class as -1 or 1) of about ``ROWS`` rows at a time."""
     def block(held):
@@ -82,7 +97,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], columns: list[str], cuts: list[np
             v = t[c].to_numpy()
             if not np.isfinite(v).all():
                 raise ValueError(f"{c} must not be NaN or infinite")
-            bins[k] = np.searchsorted(cut, v)
+            bins[k] = bin_of(v, cut)
         sign = (t["label"].to_numpy() * 2 - 1).astype(np.float64)
         return pa.record_batch({"bins": pa.array([bins.tobytes()], pa.binary()), "sign": pa.array([sign.tobytes()], pa.binary())})
 
@@ -206,8 +221,10 @@ def _variance(rows, total, squares):
         return np.where(rows == 0, 0.0, (squares - (total * total) / rows) / rows)
 
 
-def _grown(data, sizes: list[int], depth: int) -> Tree:
-    """The tree over the residuals: level by level, the best split of each node from its sums by column and bin."""
+def _grown(data, cuts: list[np.ndarray], depth: int) -> Tree:
+    """The tree over the residuals: level by level, the best split of each node from its sums by column and bin.  Rows then go by the
+    threshold's value, as in Spark: left in all bins that end at an equal one."""
+    sizes, last = [len(c) + 1 for c in cuts], [np.searchsorted(c, c, "right") - 1 for c in cuts]
     tree, active, above, place = Tree(), [0], None, {}
     pairs: list[tuple[int, int]] = []  # children that are split further, with their parent's place in ``above``
     bins = max(sizes)
@@ -260,7 +277,8 @@ def _grown(data, sizes: list[int], depth: int) -> Tree:
             low = upto[:, :, :-1]
             high = upto[:, :, -1:] - low
             both = low[0] + high[0]
-            gain = impurity - low[0] / both * _variance(*low) - high[0] / both * _variance(*high)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = impurity - low[0] / both * _variance(*low) - high[0] / both * _variance(*high)
             gain[(low[0] < 1) | (high[0] < 1) | ~(gain >= 0.0)] = -np.inf
             k = gain.argmax(axis=1)
             won = gain[one, k] > best
@@ -273,7 +291,7 @@ def _grown(data, sizes: list[int], depth: int) -> Tree:
                 tree.impurity[k] = -1.0  # no valid split, which Spark notes so
             elif best[i] > 0:
                 kids = [tree.add(s, _variance(*s)) for s in (sides[0][:, i], sides[1][:, i])]
-                tree.split(k, int(column[i]), int(cut[i]), *kids, float(best[i]))
+                tree.split(k, int(column[i]), int(last[column[i]][cut[i]]), *kids, float(best[i]))
                 pairs += [(c, i) for c in kids if level + 1 < depth and abs(tree.impurity[c]) >= EPSILON]
         if not pairs:
             break
@@ -337,7 +355,8 @@ def boosted(df: DataFrame, stage: GBTClassifier, columns: Sequence[str]) -> tupl
     base = binned.rdd.map(lambda b: (bytes(b.bins), bytes(b.sign))).persist(level)
     alike = base.map(lambda b: _equal(b[0], len(b[1]) // 8)).reduce(_both)
     kept = sorted(set(alike))
-    used, cuts, sizes = [used[k] for k in kept], [own[k] for k in kept], [len(own[k]) + 1 for k in kept]
+    used, cuts = [used[k] for k in kept], [own[k] for k in kept]
+    bins = max(map(len, cuts)) + 1
 
     def begun(b):
         sign = np.frombuffer(b[1])
@@ -346,12 +365,12 @@ def boosted(df: DataFrame, stage: GBTClassifier, columns: Sequence[str]) -> tupl
     ensure_checkpoint_dir(spark)
     data, before, trees, saved = base.map(begun).persist(level), base, [], None
     for t in range(stage.getMaxIter()):
-        trees.append(tree := _grown(data, sizes, depth))
+        trees.append(tree := _grown(data, cuts, depth))
         before.unpersist()
         if data.isCheckpointed():
             saved = _instead_of(spark, saved, data.getCheckpointFile())
         if t + 1 < stage.getMaxIter():
-            steps, weight = tree.steps(max(sizes)), rate if t else 1.0
+            steps, weight = tree.steps(bins), rate if t else 1.0
             values = np.array([tree.prediction(k) for k in range(len(tree.column))])
             before, data = data, data.mapPartitions(
                 lambda it, steps=steps, values=values, weight=weight: _moved(it, steps, depth, values, weight)).persist(level)
